@@ -265,6 +265,9 @@ def window_profile(df: DataFrame, keys: str | Sequence[str], order: str, value:
     by_key = Window.partitionBy(*keys)
     by_order = by_key.orderBy(F.col(order).asc_nulls_first())
     by_value = by_key.orderBy(F.col(value).desc_nulls_last(), F.col(order).asc_nulls_first())
-    return (df.withColumn("share", F.col(value) / F.sum(value).over(by_key))
+    # the total is summed in the value's own type (DECIMAL stays exact), then
+    # both sides go to double for the ratio
+    share = F.col(value).cast("double") / F.sum(value).over(by_key).cast("double")
+    return (df.withColumn("share", share)
             .withColumn("value_rank", F.rank().over(by_value))
             .withColumn("prev_value", F.lag(value, 1).over(by_order)))
