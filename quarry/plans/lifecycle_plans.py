@@ -1 +1,154 @@
-"""(filled in below)"""
+"""Plans for snapshot and lifecycle operators (inventory M1-M5, M7-M11, S6)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import lifecycle as lc
+from quarry.operators import quality as q
+from quarry.operators import relational as rel
+from quarry.plans.core import altered_part
+from quarry.plans.quality_plans import DOC_RULES_SQL, doc_rules
+from quarry.plans.registry import plan
+from quarry.sources.tables import Tables
+
+
+@plan("m1_manifest", "SELECT page_id AS id, sha256(html) AS sha256, url FROM pages")
+def m1(spark, sf):
+    return lc.manifest(Tables(spark, sf).pages, "page_id", ["html"], ["url"])
+
+
+@plan("m2_first_seen", """
+WITH prev AS (SELECT o_custkey AS id, MIN(CAST(o_orderdate AS DATE)) AS added_at FROM orders
+              WHERE o_orderdate <= TIMESTAMP '2000-12-31 00:00:00' GROUP BY o_custkey),
+cur AS (SELECT DISTINCT o_custkey AS id FROM orders)
+SELECT cur.id, COALESCE(prev.added_at, DATE '2001-08-02') AS added_at FROM cur LEFT JOIN prev ON prev.id = cur.id""")
+def m2(spark, sf):
+    """Customers seen up to 2000-12-31 keep their first order date; customers
+    first seen afterwards get the run date."""
+    o = Tables(spark, sf).orders
+    prev = o.where(F.col("o_orderdate") <= F.lit("2000-12-31 00:00:00").cast("timestamp_ntz")) \
+        .groupBy(F.col("o_custkey").alias("id")).agg(F.min(F.to_date("o_orderdate")).alias("added_at"))
+    cur = o.select(F.col("o_custkey").alias("id")).distinct()
+    return lc.carry_first_seen(cur, prev, "2001-08-02")
+
+
+M3_CHANGES_SQL = """
+WITH o AS (SELECT p_partkey, p_name, p_size, p_retailprice FROM part),
+n AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 97 = 0 THEN p_size + 1 ELSE p_size END AS p_size, p_retailprice FROM part),
+r AS (SELECT CASE WHEN o.p_partkey IS NULL THEN 'added' WHEN n.p_partkey IS NULL THEN 'removed'
+                  WHEN o.p_name IS DISTINCT FROM n.p_name OR o.p_size IS DISTINCT FROM n.p_size
+                    OR o.p_retailprice IS DISTINCT FROM n.p_retailprice THEN 'changed' ELSE 'same' END AS status
+      FROM o FULL OUTER JOIN n ON o.p_partkey = n.p_partkey)
+SELECT CAST(1 + CASE WHEN COUNT(*) FILTER (WHERE status <> 'same') > 0 THEN 1 ELSE 0 END AS BIGINT) AS version,
+  COUNT(*) FILTER (WHERE status <> 'same') > 0 AS changed,
+  COUNT(*) FILTER (WHERE status = 'added') AS n_added, COUNT(*) FILTER (WHERE status = 'removed') AS n_removed,
+  COUNT(*) FILTER (WHERE status = 'changed') AS n_changed FROM r"""
+
+
+def _part_manifest(df):
+    return lc.manifest(df, "p_partkey", ["p_name", "p_size", "p_retailprice"])
+
+
+@plan("m3_version_changed", M3_CHANGES_SQL)
+def m3_changed(spark, sf):
+    """``part`` against ``part`` with size + 1 on key % 97 = 0: version 1 -> 2."""
+    p = Tables(spark, sf).part
+    bumped = p.withColumn("p_size", F.when(F.col("p_partkey") % 97 == 0, F.col("p_size") + 1)
+                          .otherwise(F.col("p_size")))
+    return lc.next_version(_part_manifest(p), _part_manifest(bumped), 1)
+
+
+@plan("m3_version_same", M3_CHANGES_SQL.replace("CASE WHEN p_partkey % 97 = 0 THEN p_size + 1 ELSE p_size END", "p_size"))
+def m3_same(spark, sf):
+    """``part`` against itself: the version stays 1."""
+    p = Tables(spark, sf).part
+    return lc.next_version(_part_manifest(p), _part_manifest(p), 1)
+
+
+@plan("m4_assign_ids", """
+SELECT p_partkey, CAST((SELECT MAX(p_partkey) FROM part) + ROW_NUMBER() OVER (ORDER BY p_name, p_partkey) AS BIGINT) AS new_id
+FROM part WHERE p_partkey % 50 = 0""")
+def m4(spark, sf):
+    """Append copies of every 50th part, numbered after the current maximum
+    key in (name, key) order."""
+    p = Tables(spark, sf).part
+    new = p.where(F.col("p_partkey") % 50 == 0).select("p_partkey", "p_name")
+    out = lc.assign_ids(new, p.select(F.max("p_partkey")).scalar(), ["p_name", "p_partkey"])
+    return out.select("p_partkey", "new_id")
+
+
+@plan("m5_quota", """
+SELECT lang, doc_id, pos FROM (
+  SELECT d.lang, d.doc_id, ROW_NUMBER() OVER (PARTITION BY d.lang ORDER BY d.doc_id) AS pos
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 0) t WHERE pos <= 50""")
+def m5(spark, sf):
+    t = Tables(spark, sf)
+    cand = t.documents.select("doc_id", "lang").join(t.labels.where(F.col("toxic") == 0).select("doc_id"), "doc_id")
+    out = lc.quota(cand, "lang", [F.col("doc_id")], 50)
+    return out.select("lang", "doc_id", F.col("pos").cast("bigint").alias("pos"))
+
+
+@plan("m7_sample", """
+SELECT p_partkey, md5('7:' || CAST(p_partkey AS VARCHAR)) AS draw FROM part
+WHERE p_type = 'SMALL' AND p_partkey % 10 <> 0
+ORDER BY draw, p_partkey LIMIT 20""")
+def m7(spark, sf):
+    """20 'SMALL' parts not used before (key % 10 = 0 counts as used), seed 7."""
+    p = Tables(spark, sf).part
+    used = p.where(F.col("p_partkey") % 10 == 0).select("p_partkey")
+    s = lc.sample_without_replacement(p, "p_partkey", 20, 7, used=used, where=F.col("p_type") == "SMALL")
+    return s.select("p_partkey", "draw")
+
+
+@plan("m8_tag_inventory", """
+SELECT tag, COUNT(*) AS n_items FROM (
+  SELECT DISTINCT p_partkey, lower(trim(unnest(string_split(p_name, ' ')[1:6]))) AS tag FROM part) t GROUP BY tag""")
+def m8(spark, sf):
+    p = Tables(spark, sf).part
+    return lc.tag_inventory(p, F.split("p_name", " "))
+
+
+@plan("m9_ledger", f"""
+SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, reason, lang, COUNT(*) AS n
+FROM (SELECT lang, {DOC_RULES_SQL} AS reason FROM documents) s GROUP BY 1, 2, 3""")
+def m9(spark, sf):
+    screened = q.first_failure(Tables(spark, sf).documents, doc_rules())
+    return lc.ledger(screened, "reason", ["lang"])
+
+
+@plan("m10_fill_defaults", """
+SELECT d.doc_id, CAST(COALESCE(l.quality, 0) AS INTEGER) AS quality, CAST(COALESCE(l.toxic, 0) AS INTEGER) AS toxic
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def m10(spark, sf):
+    t = Tables(spark, sf)
+    j = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
+    return rel.fill_defaults(j, {"quality": 0, "toxic": 0}).select("doc_id", "quality", "toxic")
+
+
+@plan("m11_publish")
+def m11(spark, sf):
+    """Rows-only: stage ``part`` twice, once clean and once with a duplicated
+    key (every 37th row repeated); only the clean one is promoted."""
+    p = Tables(spark, sf).part
+    dup = p.unionByName(p.where(F.col("p_partkey") % 37 == 0))
+    checks = {"key_audit": lambda d: q.key_audit(d, "p_partkey"),
+              "required": lambda d: q.required(d, "p_partkey", ["p_name", "p_brand"])}
+    root = lc.scratch_path(spark, "publish")
+    clean = lc.publish_if_clean(p, f"{root}/clean/current", checks).withColumn("variant", F.lit("clean"))
+    dirty = lc.publish_if_clean(dup, f"{root}/dirty/current", checks).withColumn("variant", F.lit("duplicate key"))
+    return clean.unionByName(dirty)
+
+
+@plan("s6_conditional_snapshot")
+def s6(spark, sf):
+    """Rows-only: write the ``part`` manifest as version 1, rebuild it
+    unchanged (no write), then with altered parts (version 2 written)."""
+    t = Tables(spark, sf)
+    root = lc.scratch_path(spark, "snapshots")
+    first = lc.write_if_changed(_part_manifest(t.part), None, root, 0)
+    v1 = f"{root}/v=1"
+    same = lc.write_if_changed(_part_manifest(t.part), v1, root, 1)
+    changed = lc.write_if_changed(_part_manifest(altered_part(t)), v1, root, 1)
+    return (first.withColumn("step", F.lit("initial")).unionByName(same.withColumn("step", F.lit("unchanged")))
+            .unionByName(changed.withColumn("step", F.lit("altered"))))

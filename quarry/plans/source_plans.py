@@ -1 +1,103 @@
-"""(filled in below)"""
+"""Plans for sources and sinks (inventory S1-S5, S7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import lifecycle as lc
+from quarry.operators import quality as q
+from quarry.plans.quality_plans import DOC_RULES_SQL, doc_rules
+from quarry.plans.registry import plan
+from quarry.sources import documents as docs
+from quarry.sources.sinks import write_documents, write_run_report
+from quarry.sources.tables import Tables
+
+EVENT_LINE_SQL = """'{"event_id":' || event_id || ',"event_type":"' || event_type || '","k":' || json_extract_string(props, '$.k') || '}'"""
+
+
+@plan("s1_json_collection", f"""
+WITH l AS (SELECT event_id, {EVENT_LINE_SQL} AS line FROM events)
+SELECT CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_id END AS event_id,
+       CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 13 = 0 THEN substr(line, 1, length(line) - 1) END AS _corrupt_record
+FROM events JOIN l USING (event_id)""")
+def s1(spark, sf):
+    """Write ``events`` as JSON lines (every 13th line truncated, i.e. broken)
+    to a fresh folder, then scan it with an explicit schema in PERMISSIVE
+    mode: broken lines come back in ``_corrupt_record`` instead of vanishing."""
+    ev = Tables(spark, sf).events
+    j = F.to_json(F.struct("event_id", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k")))
+    lines = ev.select("event_id", j.alias("j")).select(
+        F.when(F.col("event_id") % 13 == 0, F.expr("substring(j, 1, length(j) - 1)")).otherwise(F.col("j")).alias("value"))
+    path = lc.scratch_path(spark, "jsonl")
+    lines.write.mode("errorifexists").text(path)
+    schema = "event_id long, event_type string, k long, _corrupt_record string"
+    back = docs.read_json_collection(spark, path, schema=docs.T.StructType.fromDDL(schema), multiline=False,
+                                     glob=None)
+    # a quarantined line carries no trusted field, even where parsing got partway
+    ok = F.col("_corrupt_record").isNull()
+    return back.select(*[F.when(ok, F.col(c)).alias(c) for c in ("event_id", "event_type", "k")], "_corrupt_record")
+
+
+@plan("s2_invalid_capture", """
+WITH p AS (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN substr(props, 2) ELSE props END AS raw FROM events)
+SELECT event_id, CASE WHEN json_valid(raw) THEN 'ok' ELSE 'invalid' END AS status,
+       CASE WHEN json_valid(raw) THEN CAST(json_extract_string(raw, '$.k') AS BIGINT) END AS k
+FROM p""")
+def s2(spark, sf):
+    """``events.props`` with every 9th value damaged (first character cut):
+    the column splits into ``ok`` rows with a typed value and ``invalid`` rows."""
+    ev = Tables(spark, sf).events
+    raw = ev.select("event_id", F.when(F.col("event_id") % 9 == 0, F.expr("substring(props, 2)"))
+                    .otherwise(F.col("props")).alias("raw"))
+    parsed = docs.parse_json_column(raw, "raw", "k long")
+    return parsed.select("event_id", "status", F.col("parsed.k").alias("k"))
+
+
+@plan("s3_long_format", """
+SELECT event_id, k.key AS key, CAST(json_extract_string(props, '$.' || k.key) AS BIGINT) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events) k""")
+def s3(spark, sf):
+    """Nested members -> long format -> typed value."""
+    lf = docs.json_long_format(Tables(spark, sf).events, "event_id", "props")
+    return lf.select("event_id", "key", F.col("value").try_cast("bigint").alias("value"))
+
+
+@plan("s4_content_digest", "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, sha256(html) AS sha256 FROM pages")
+def s4(spark, sf):
+    """Content digest of every page (the hash a manifest keeps)."""
+    pg = Tables(spark, sf).pages
+    return pg.select("page_id", F.length("html").alias("n_chars"), F.sha2("html", 256).alias("sha256"))
+
+
+@plan("s4_file_digests")
+def s4_files(spark, sf):
+    """Rows-only: whole-file scan (``binaryFile``) of the table files with a
+    SHA-256 per file."""
+    d = docs.binary_digests(spark, sf, glob="*.parquet")
+    return d.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256")
+
+
+@plan("s5_document_roundtrip", """
+SELECT lang, COUNT(*) AS n, CAST(SUM(n_chars) AS BIGINT) AS n_chars, COUNT(DISTINCT sha256(text)) AS distinct_texts
+FROM documents GROUP BY lang""")
+def s5(spark, sf):
+    """Write ``documents`` as JSON partitioned by language to a fresh folder,
+    read it back (partition column recovered from the folder names)."""
+    d = Tables(spark, sf).documents
+    path = lc.scratch_path(spark, "documents")
+    write_documents(d, path, ["lang"])
+    back = spark.read.schema("doc_id long, text string, source string, n_chars long, lang string").json(path)
+    return back.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").cast("bigint").alias("n_chars"),
+                                    F.count_distinct(F.sha2("text", 256)).alias("distinct_texts"))
+
+
+@plan("s7_run_report", f"""
+SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, reason, lang, COUNT(*) AS n
+FROM (SELECT lang, {DOC_RULES_SQL} AS reason FROM documents) s GROUP BY 1, 2, 3""")
+def s7(spark, sf):
+    """Screen documents, write accepted / rejected / ledger folders, return the
+    ledger as read back from storage."""
+    screened = q.first_failure(Tables(spark, sf).documents, doc_rules())
+    return write_run_report(screened, lc.scratch_path(spark, "report"), "reason", ["lang"])
