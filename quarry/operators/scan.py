@@ -2,25 +2,28 @@
 
 A window ``OVER (PARTITION BY k ORDER BY o)`` hash-partitions on ``k``; one hot
 key then lands in one task, and a window with no PARTITION BY moves *every*
-row into a single partition. Both are fine on a pre-aggregated, bounded input
-(a few thousand days) and wrong at scale.
-
-The scan here splits the ordered sequence ``(keys, order)`` into contiguous
-*blocks*:
-
-1. Sample the sort key, bring ``n_blocks - 1`` boundary tuples to the driver
-   (bounded by the parameter, never by the data) and assign every row a block
-   number with a binary search written as nested ``CASE`` over key
-   comparisons. The assignment is a deterministic function of the row, so a
-   recomputed task after an executor loss lands rows in the same blocks.
-2. Run the ordinary window ``PARTITION BY (block, keys) ORDER BY order``:
-   one hash exchange; a hot key is spread over as many blocks as its share of
-   the rows.
-3. Summarise each block by its first key and its last row (``n_blocks`` rows),
-   compute the carry of every block from the summaries (a window over at most
-   ``n_blocks`` rows), and add it back through a broadcast of that bounded
-   table. Only the first key of a block can continue from an earlier block,
-   because blocks are contiguous ranges of ``(keys, order)``.
+row into a single partition. Both are fine on a bounded input and wrong at
+scale. The scan here keeps the ordinary window for ordinary keys and splits
+only what is too big for one task:
+
+1. **Sample once.** The rows with the smallest ``rand(seed)`` form a uniform
+   sample of bounded size (a top-k: every task keeps a small heap). The k-th
+   smallest random value also estimates the row count (``N ≈ (k-1)/u_k``),
+   so no count job is needed. Only the sample (bounded by parameters) reaches
+   the driver.
+2. **Plan sub-blocks.** ``n = ceil(N / rows_per_block)`` (capped). A key
+   whose sampled share exceeds one block's worth is *hot*; with no key the
+   whole relation is one hot group. A hot key gets sub-block boundaries on
+   the order columns from its own sample rows; every other key stays whole in
+   sub-block 0. The sub-block is a deterministic function of the row (a
+   binary search written as nested ``CASE`` over the boundaries), so a task
+   recomputed after an executor loss puts rows in the same place.
+3. **Scan.** One window ``PARTITION BY (keys, sub-block) ORDER BY order``:
+   one hash exchange; a hot key spreads over its sub-blocks.
+4. **Carry.** Totals and last row per (hot key, sub-block) are aggregated
+   (partial aggregation; a table bounded by the number of sub-blocks), made
+   exclusive prefixes by a window over that small table, and added back
+   through a broadcast join of it.
 
 ROWS semantics need a total order: ``order`` must make ``(keys, order)``
 unique, otherwise the result depends on how ties are split.
@@ -28,12 +31,16 @@ unique, otherwise the result depends on how ties are split.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLK = "_blk"
+ROWS_PER_BLOCK = 2_000_000
+MAX_BLOCKS = 1024
+SAMPLE_ROWS = 20_000
 
 
 def _cols(cols: str | Sequence[str] | None) -> list[str]:
@@ -42,96 +49,118 @@ def _cols(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _boundaries(df: DataFrame, sort_cols: list[str], n_blocks: int,
-                per_block: int, seed: int) -> list[tuple]:
-    """Sampled, sorted boundary tuples; at most ``n_blocks - 1`` of them."""
-    if n_blocks <= 1:
-        return []
-    total = df.count()
-    if total == 0:
-        return []
-    frac = min(1.0, per_block * n_blocks / total)
-    sample = df.select(*sort_cols)
-    if frac < 1.0:
-        sample = sample.sample(False, frac, seed)
-    # the sample holds about per_block * n_blocks rows: bounded by parameters
-    rows = [tuple(r) for r in sample.orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
-            .limit(per_block * n_blocks * 2).collect()]
-    if not rows:
-        return []
-    step = max(1, len(rows) // n_blocks)
-    picked = []
-    for i in range(step, len(rows), step):
-        if len(picked) == n_blocks - 1:
-            break
-        if not picked or rows[i] != picked[-1]:
-            picked.append(rows[i])
-    return picked
-
-
-def _block_expr(df: DataFrame, sort_cols: list[str], bounds: list[tuple]) -> Column:
-    """Block number = number of boundaries <= row key, as a binary search."""
-    if not bounds:
-        return F.lit(0)
-    types = dict(df.select(*sort_cols).dtypes)
-    def less(b: tuple) -> Column:
-        # NULLs sort first, like asc_nulls_first in the sample
-        out = None
-        for i in range(len(sort_cols) - 1, -1, -1):
-            c, v = F.col(sort_cols[i]), b[i]
-            if v is None:
-                lt, eq = F.lit(False), c.isNull()
-            else:
-                lv = F.lit(v).cast(types[sort_cols[i]])
-                lt, eq = c.isNull() | (c < lv), c.isNotNull() & (c == lv)
-            out = lt if out is None else (lt | (eq & out))
-        return out
+def _less(types: dict, cols: list[str], bound: tuple) -> Column:
+    """Row key < bound, lexicographic, NULLs first (matches asc_nulls_first)."""
+    out = None
+    for i in range(len(cols) - 1, -1, -1):
+        c, v = F.col(cols[i]), bound[i]
+        if v is None:
+            lt, eq = F.lit(False), c.isNull()
+        else:
+            lv = F.lit(v).cast(types[cols[i]])
+            lt, eq = c.isNull() | (c < lv), c.isNotNull() & (c == lv)
+        out = lt if out is None else (lt | (eq & out))
+    return out
+
 
+def _search(types: dict, cols: list[str], bounds: list[tuple]) -> Column:
+    """Number of boundaries <= row key, as a balanced binary search."""
     def tree(lo: int, hi: int) -> Column:
-        # rows with key < bounds[lo] were excluded by the caller; answer in [lo, hi]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(less(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
+        return F.when(_less(types, cols, bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(bounds)) if bounds else F.lit(0)
 
 
-def with_blocks(df: DataFrame, sort_cols: Sequence[str], n_blocks: int = 64,
-                per_block: int = 20, seed: int = 17) -> DataFrame:
-    """Attach a deterministic block number over the lexicographic sort key."""
-    sort_cols = list(sort_cols)
-    bounds = _boundaries(df, sort_cols, n_blocks, per_block, seed)
-    return df.withColumn(BLK, _block_expr(df, sort_cols, bounds))
-
-
-def _key_eq(left: list[str], prefix: str) -> Column:
-    cond = F.lit(True)
-    for k in left:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
-    return cond
+def _split(rows: list[tuple], parts: int) -> list[tuple]:
+    """Up to ``parts - 1`` distinct boundaries at equal steps of sorted ``rows``."""
+    if parts <= 1 or not rows:
+        return []
+    step = len(rows) / parts
+    out: list[tuple] = []
+    for j in range(1, parts):
+        b = rows[min(len(rows) - 1, int(j * step))]
+        if not out or b != out[-1]:
+            out.append(b)
+    return out
+
+
+def plan_blocks(df: DataFrame, keys: list[str], order: list[str], rows_per_block: int = ROWS_PER_BLOCK,
+                max_blocks: int = MAX_BLOCKS, sample_rows: int = SAMPLE_ROWS,
+                seed: int = 17) -> tuple[Column, Column] | None:
+    """``(sub_block, is_split)`` columns for :func:`ordered_scan`, or ``None``
+    when no key (or, without keys, the relation) needs splitting."""
+    cols = keys + order
+    k = max(sample_rows, 2)
+    picked = (df.select(*cols).withColumn("_u", F.rand(seed)).orderBy("_u").limit(k)
+              .orderBy(*[F.col(c).asc_nulls_first() for c in cols]))
+    rows = [tuple(r) for r in picked.collect()]
+    if not rows:
+        return None
+    if len(rows) < k:
+        n_est = len(rows)  # the sample is the whole input
+    else:
+        u_k = max(r[-1] for r in rows)
+        n_est = int((k - 1) / max(u_k, 1e-300))
+    n_blocks = max(1, min(max_blocks, math.ceil(n_est / rows_per_block)))
+    if n_blocks == 1:
+        return None
+    types = dict(df.select(*cols).dtypes)
+    nk = len(keys)
+    groups: list[tuple[tuple, list[tuple]]] = []  # sample rows are sorted: keys are contiguous
+    for r in rows:
+        kv, ov = r[:nk], r[nk:len(cols)]
+        if groups and groups[-1][0] == kv:
+            groups[-1][1].append(ov)
+        else:
+            groups.append((kv, [ov]))
+    per_block_share = len(rows) / n_blocks
+    branches: list[tuple[Column, Column]] = []
+    for kv, ovs in groups:
+        parts = min(max_blocks, math.ceil(len(ovs) / per_block_share))
+        bounds = _split(ovs, parts)
+        if not bounds:
+            continue
+        search = _search(types, order, bounds)
+        if not keys:
+            return search, F.lit(True)
+        match = F.lit(True)
+        for c, v in zip(keys, kv):
+            match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v).cast(types[c])))
+        branches.append((match, search))
+    if not branches:
+        return None
+    expr = F.when(branches[0][0], branches[0][1])
+    is_split = branches[0][0]
+    for m, s in branches[1:]:
+        expr = expr.when(m, s)
+        is_split = is_split | m
+    return expr.otherwise(F.lit(0)), is_split
 
 
 def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
                  order: str | Sequence[str], sums: Sequence[str] = (),
-                 lag_cols: Sequence[str] = (), n_blocks: int = 64,
-                 row_number: str | None = "_rn") -> DataFrame:
+                 lag_cols: Sequence[str] = (), n_blocks: int = MAX_BLOCKS,
+                 row_number: str | None = "_rn", rows_per_block: int = ROWS_PER_BLOCK,
+                 sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Running sums, row number and LAG(1) per key, skew-safe.
 
     Adds ``run_<c>`` for every column in ``sums`` (sum from the first row of
-    the key up to and including the current row), ``row_number`` (1-based
-    position within the key) and ``prev_<c>`` for every column in ``lag_cols``
-    (value on the previous row of the same key, NULL on the first).
-    ``keys`` may be empty: the scan then runs over the whole relation without
-    a single-partition exchange.
+    the key up to and including the current row; NULL while only NULLs were
+    seen), ``row_number`` (1-based position within the key) and ``prev_<c>``
+    for every column in ``lag_cols`` (value on the previous row of the same
+    key, NULL on the first). ``keys`` may be empty: the scan then runs over
+    the whole relation, in one window partition only while the input is
+    within ``rows_per_block`` rows. ``n_blocks`` caps the sub-blocks of one key.
     """
     keys, order = _cols(keys), _cols(order)
     sums, lag_cols = list(sums), list(lag_cols)
-    sort_cols = keys + order
-    blocked = with_blocks(df, sort_cols, n_blocks)
+    planned = plan_blocks(df, keys, order, rows_per_block, n_blocks, sample_rows)
+    blocked = df.withColumn(BLK, planned[0] if planned else F.lit(0))
 
     ordering = [F.col(c).asc_nulls_first() for c in order]
-    w = Window.partitionBy(BLK, *keys).orderBy(*ordering)
+    w = Window.partitionBy(*keys, BLK).orderBy(*ordering)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = blocked
     for c in sums:
@@ -140,66 +169,50 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     for c in lag_cols:
         local = local.withColumn(f"_llag_{c}", F.lag(c, 1).over(w))
 
-    # One summary row per non-empty block: its first key and its last row.
-    sort_struct = F.struct(*[F.col(c) for c in sort_cols])
-    last_payload = F.struct(*[F.col(k).alias(f"lk_{k}") for k in keys],
-                            *[F.col(f"_lrun_{c}").alias(f"ls_{c}") for c in sums],
-                            F.col("_lrn").alias("ln"),
-                            *[F.col(c).alias(f"lv_{c}") for c in lag_cols])
-    first_payload = F.struct(*[F.col(k).alias(f"fk_{k}") for k in keys])
-    summary = (local.groupBy(BLK)
-               .agg(F.max_by(last_payload, sort_struct).alias("l"),
-                    F.min_by(first_payload, sort_struct).alias("f"))
-               .select(BLK, "l.*", "f.*"))
-
-    # Carries over <= n_blocks summary rows (a single-partition window over a
-    # table bounded by the parameter). Block b continues its first key only if
-    # the previous non-empty block ended with that key. The running values of
-    # the key restart in the latest block q < b where the key *started* (its
-    # first key differs from its last key, or it does not continue); the carry
-    # of b is the sum of last-key totals from that block up to b - 1.
-    sw = Window.orderBy(BLK)
-    same_as_prev = F.lit(True)
-    for k in keys:
-        same_as_prev = same_as_prev & F.lag(F.col(f"lk_{k}"), 1).over(sw).eqNullSafe(F.col(f"fk_{k}"))
-    changes_inside = F.lit(False)
-    for k in keys:
-        changes_inside = changes_inside | ~F.col(f"fk_{k}").eqNullSafe(F.col(f"lk_{k}"))
-    summ = summary.withColumn("_cont", F.coalesce(same_as_prev, F.lit(False)))
-    reset = (~F.col("_cont")) | changes_inside
-    summ = summ.withColumn("_g", F.sum(F.when(reset, 1).otherwise(0)).over(
-        sw.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    gw = Window.partitionBy("_g").orderBy(BLK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in sums:
-        summ = summ.withColumn(f"R_{c}", F.sum(f"ls_{c}").over(gw))
-    summ = summ.withColumn("R_n", F.sum("ln").over(gw))
-    carries = summ
+    if planned is None:
+        # nothing is split: the window alone is the answer
+        out = local
+        for c in sums:
+            out = out.withColumnRenamed(f"_lrun_{c}", f"run_{c}")
+        if row_number:
+            out = out.withColumn(row_number, F.col("_lrn"))
+        for c in lag_cols:
+            out = out.withColumnRenamed(f"_llag_{c}", f"prev_{c}")
+        return out.drop(BLK, "_lrn")
+
+    # Totals and last row per (split key, sub-block): rows of split keys only,
+    # partially aggregated, so the exchange carries at most one row per
+    # (split key, sub-block) and task.
+    order_struct = F.struct(*[F.col(c) for c in order])
+    per_bk = blocked.where(planned[1]).groupBy(*keys, BLK).agg(
+        *[F.sum(c).alias(f"t_{c}") for c in sums],
+        F.count(F.lit(1)).alias("t_n"),
+        *([F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), order_struct).alias("_lv")]
+          if lag_cols else []))
+    sw = Window.partitionBy(*keys).orderBy(BLK)
+    before = sw.rowsBetween(Window.unboundedPreceding, -1)
+    carries = per_bk
     for c in sums:
-        carries = carries.withColumn(f"c_{c}", F.when(F.col("_cont"), F.lag(f"R_{c}", 1).over(sw)))
-    carries = carries.withColumn("c_n", F.when(F.col("_cont"), F.lag("R_n", 1).over(sw)))
+        carries = carries.withColumn(f"c_{c}", F.sum(f"t_{c}").over(before))
+    carries = carries.withColumn("c_n", F.sum("t_n").over(before))
     for c in lag_cols:
-        carries = carries.withColumn(f"p_{c}", F.when(F.col("_cont"), F.lag(f"lv_{c}", 1).over(sw)))
-    carries = carries.select(BLK, *[f"c_{c}" for c in sums], "c_n",
-                             *[f"p_{c}" for c in lag_cols],
-                             *[F.col(f"fk_{k}") for k in keys])
-
-    # bounded broadcast: one row per block, n_blocks is a parameter
-    out = local.join(F.broadcast(carries), BLK, "left")
-    # the carry applies to rows of the block's first key only
-    is_first_key = _key_eq(keys, "fk_") if keys else F.lit(True)
+        carries = carries.withColumn(f"p_{c}", F.lag(F.col("_lv")[c], 1).over(sw))
+    carries = carries.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col(BLK).alias("_cblk"),
+                             *[f"c_{c}" for c in sums], "c_n", *[f"p_{c}" for c in lag_cols])
+
+    # bounded broadcast: one row per (split key, sub-block)
+    cond = [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in keys] + [F.col(BLK) == F.col("_cblk")]
+    out = local.join(F.broadcast(carries), cond, "left")
     for c in sums:
-        carry = F.when(is_first_key, F.col(f"c_{c}"))
-        local_run = F.col(f"_lrun_{c}")
+        carry, local_run = F.col(f"c_{c}"), F.col(f"_lrun_{c}")
         # SUM over only NULLs is NULL: stay NULL unless either part has a value
         out = out.withColumn(f"run_{c}", F.when(local_run.isNull() & carry.isNull(), F.lit(None))
                              .otherwise(F.coalesce(local_run, F.lit(0)) + F.coalesce(carry, F.lit(0))))
     if row_number:
-        out = out.withColumn(row_number, F.col("_lrn") + F.when(
-            is_first_key, F.coalesce(F.col("c_n"), F.lit(0))).otherwise(F.lit(0)))
+        out = out.withColumn(row_number, F.col("_lrn") + F.coalesce(F.col("c_n"), F.lit(0)))
     for c in lag_cols:
-        out = out.withColumn(f"prev_{c}", F.when(
-            F.col("_lrn") > 1, F.col(f"_llag_{c}")).when(is_first_key, F.col(f"p_{c}")))
-    drop = [BLK, "_lrn", "c_n", *[f"_lrun_{c}" for c in sums], *[f"c_{c}" for c in sums],
-            *[f"_llag_{c}" for c in lag_cols], *[f"p_{c}" for c in lag_cols],
-            *[f"fk_{k}" for k in keys]]
+        out = out.withColumn(f"prev_{c}", F.when(F.col("_lrn") > 1, F.col(f"_llag_{c}"))
+                             .otherwise(F.col(f"p_{c}")))
+    drop = [BLK, "_lrn", "c_n", "_cblk", *[f"_lrun_{c}" for c in sums], *[f"c_{c}" for c in sums],
+            *[f"_llag_{c}" for c in lag_cols], *[f"p_{c}" for c in lag_cols], *[f"_ck_{k}" for k in keys]]
     return out.drop(*drop)

@@ -184,9 +184,9 @@ def islands(df: DataFrame, keys: str | Sequence[str], seq: str, dedupe: bool = F
     base = df.select(*keys, seq)
     if dedupe:
         base = base.distinct()
-    tb = base.withColumn("_tb", F.xxhash64(*keys, seq)) if not dedupe else base
-    order = [seq] if dedupe else [seq, "_tb"]
-    numbered = ordered_scan(tb, keys, order, n_blocks=n_blocks, row_number="_rn")
+    # rows tied on (keys, seq) are identical here, so any order among them
+    # gives the same islands
+    numbered = ordered_scan(base, keys, [seq], n_blocks=n_blocks, row_number="_rn")
     isl = numbered.withColumn("_island", F.col(seq) - F.col("_rn"))
     return isl.groupBy(*keys, "_island").agg(F.min(seq).alias(start), F.max(seq).alias(end),
                                              F.count(F.lit(1)).alias(size)).drop("_island")
