@@ -128,19 +128,35 @@ def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
         b.select(F.col("id").alias("id_b"), "digest"), "digest").select("id_a", "id_b")
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """``SequenceMatcher(None, a, b).ratio()`` per pair; equal strings give 1.0."""
-    import difflib
-
-    def one(x, y):
-        if x is None or y is None:
-            return None
-        if x == y:
-            return 1.0
-        return difflib.SequenceMatcher(None, x, y).ratio()
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+def make_ratio_udf(t: float = THRESHOLD):
+    """Arrow-batched UDF: ``SequenceMatcher(None, a, b).ratio()`` when it can
+    reach ``t``, else an upper bound below ``t``. ``real_quick_ratio`` and
+    ``quick_ratio`` bound ``ratio`` from above in linear time, so pairs that
+    cannot reach the threshold skip the quadratic matcher; the decision
+    ``>= t`` is exactly the matcher's. Everything the workers run is defined
+    inside, so the UDF ships by value and needs no package on the executors."""
+
+    @F.pandas_udf(T.DoubleType())
+    def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        import difflib
+
+        def one(x, y):
+            if x is None or y is None:
+                return None
+            if x == y:
+                return 1.0
+            m = difflib.SequenceMatcher(None, x, y)
+            bound = m.real_quick_ratio()
+            if bound < t:
+                return bound
+            bound = m.quick_ratio()
+            if bound < t:
+                return bound
+            return m.ratio()
+
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    return sequence_ratio
 
 
 def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None = None,
@@ -157,7 +173,7 @@ def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None =
     texts_a = ra.select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"))
     texts_b = other.select(F.col("id").alias("id_b"), F.col("norm").alias("norm_b"))
     scored = cand.join(texts_a, "id_a").join(texts_b, "id_b") \
-        .withColumn("ratio", sequence_ratio("norm_a", "norm_b")).where(F.col("ratio") >= t) \
+        .withColumn("ratio", make_ratio_udf(t)("norm_a", "norm_b")).where(F.col("ratio") >= t) \
         .select("id_a", "id_b", "ratio")
     if rb is not None:
         scored = scored.unionByName(equal_pairs(ra, rb).withColumn("ratio", F.lit(1.0)))
@@ -182,7 +198,9 @@ def accept_in_order(reps: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
     ensure_checkpoint_dir(reps.sparkSession)
     e = edges.select("id_a", "id_b").distinct().checkpoint(eager=True)
     id_type = reps.schema["id"].dataType
-    state = reps.select("id").withColumn("s", F.lit("U")).withColumn("by", F.lit(None).cast(id_type)) \
+    # values without any edge are accepted outright; only the others iterate
+    touched = e.select(F.col("id_a").alias("id")).union(e.select(F.col("id_b").alias("id"))).distinct()
+    state = touched.withColumn("s", F.lit("U")).withColumn("by", F.lit(None).cast(id_type)) \
         .checkpoint(eager=True)
     for _ in range(max_rounds):
         if state.where(F.col("s") == "U").isEmpty():
@@ -198,7 +216,9 @@ def accept_in_order(reps: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
                  .otherwise(F.lit("U")))
         by_new = F.when((F.col("s") == "U") & F.col("acc_by").isNotNull(), F.col("acc_by")).otherwise(F.col("by"))
         state = nxt.select("id", s_new.alias("s"), by_new.alias("by")).checkpoint(eager=True)
-    return state.select("id", (F.col("s") == "A").alias("accepted"), F.col("by").alias("rejected_by"))
+    decided = reps.select("id").join(state, "id", "left")
+    return decided.select("id", F.coalesce(F.col("s") == "A", F.lit(True)).alias("accepted"),
+                          F.col("by").alias("rejected_by"))
 
 
 def dedupe_in_order(df: DataFrame, id_col: str, text_col: str, t: float = THRESHOLD) -> DataFrame:
