@@ -72,9 +72,18 @@ def read_json_collection(spark: SparkSession, path: str, schema: T.StructType =
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, quarantined) by the corrupt-record column."""
+    """(valid, quarantined) by the corrupt-record column.
+
+    The parsed collection is persisted (memory, spilling to disk) before the
+    split: both halves then reuse one parse, and Spark allows queries that
+    read only the corrupt-record column of a raw JSON scan only on a persisted
+    or saved result. A lost executor's blocks are recomputed from the files.
+    """
+    from pyspark import StorageLevel
+
+    parsed = df.persist(StorageLevel.MEMORY_AND_DISK)
     bad = F.col(CORRUPT).isNotNull()
-    return df.where(~bad).drop(CORRUPT), df.where(bad)
+    return parsed.where(~bad).drop(CORRUPT), parsed.where(bad)
 
 
 def parse_json_column(df: DataFrame, col: str, schema: str | T.StructType) -> DataFrame:
@@ -132,7 +141,7 @@ def typed_table(tables: DataFrame, doc_id: str, table: str, columns: Mapping[str
     declaration (names and types known up front, as a query needs them)."""
     t = tables.where((F.col("id") == doc_id) & (F.col("table") == table))
     rows = t.select(F.explode("rows").alias("r"))
-    return rows.select(*[F.col("r")[i].try_cast(DECLARED_TYPES[ty.upper()]).alias(name)
+    return rows.select(*[F.get(F.col("r"), i).try_cast(DECLARED_TYPES[ty.upper()]).alias(name)
                          for i, (name, ty) in enumerate(columns.items())])
 
 
