@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import reconcile
-from quarry.operators.scan import ordered_scan
+from quarry.operators.scan import MAX_BLOCKS, ordered_scan
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -78,7 +78,7 @@ def next_version(previous: DataFrame, current: DataFrame, prev_version: int | Co
 # --------------------------------------------------------------------- M4 ids
 
 def assign_ids(new_rows: DataFrame, existing_max: Column, order: Sequence[str],
-               id_col: str = "new_id", n_blocks: int = 64) -> DataFrame:
+               id_col: str = "new_id", n_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Sequential ids after the current maximum (M4): ``existing_max +
     row_number()`` in ``order``. The global row number comes from the blocked
     ordered scan, so a large append is numbered by many tasks, not one."""

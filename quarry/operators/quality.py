@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import numeric_or_text, round_half_up
-from quarry.operators.joins import broadcast_if_bounded
 from quarry.operators.scan import ordered_scan
 
 
@@ -52,12 +51,13 @@ def text_key(c: str | Column) -> Column:
 
 
 def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "first",
-                   max_keys_broadcast: int = 1_000_000, n_blocks: int = 64) -> DataFrame:
+                   n_blocks: int = 1024) -> DataFrame:
     """Rows whose normalised text was already held by an earlier id.
 
     ``holder="first"``: name the first (smallest) id with that text; a grouped
-    MIN on the digest joined back (broadcast only when the distinct-key count
-    is checked to be bounded; otherwise AQE splits a hot key's partition).
+    MIN on the digest (duplicated texts only) joined back on the digest. AQE
+    broadcasts that table when its measured size is under the threshold and
+    otherwise splits a hot digest's partition of the large side.
     ``holder="previous"``: name the previous id in id order (the reference's
     running ``seen`` map), via the blocked ordered scan keyed by the digest.
     Output: ``id_col``, ``holder_id``.
@@ -65,7 +65,7 @@ def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "fir
     keyed = df.select(id_col, text_key(text_col).alias("_tk"))
     if holder == "first":
         firsts = keyed.groupBy("_tk").agg(F.min(id_col).alias("holder_id"), F.count(F.lit(1)).alias("_n"))
-        firsts = broadcast_if_bounded(firsts.where(F.col("_n") > 1).drop("_n"), max_keys_broadcast)
+        firsts = firsts.where(F.col("_n") > 1).drop("_n")
         j = keyed.join(firsts, "_tk", "inner")
         return j.where(F.col(id_col) != F.col("holder_id")).select(id_col, "holder_id")
     if holder == "previous":
@@ -281,10 +281,16 @@ def split_accepted(screened: DataFrame, reason: str = "reason") -> tuple[DataFra
     return screened.where(F.col(reason).isNull()), screened.where(F.col(reason).isNotNull())
 
 
-def text_screen(df: DataFrame, text_col: str, patterns: Mapping[str, str]) -> DataFrame:
+def text_screen(df: DataFrame, text_col: str, patterns: Mapping[str, str | tuple[str, str]]) -> DataFrame:
     """Count of rows matching each named pattern (D20), one aggregate pass.
+    A pattern may come as ``(regex, literal)`` where every match contains the
+    literal: the substring test runs first and spares the regex on most rows.
     Output long: ``rule``, ``hits``."""
-    agg = df.agg(*[F.count_if(F.col(text_col).rlike(p)).alias(f"_r{i}") for i, p in enumerate(patterns.values())])
+    def hit(p):
+        if isinstance(p, tuple):
+            return F.col(text_col).contains(p[1]) & F.col(text_col).rlike(p[0])
+        return F.col(text_col).rlike(p)
+    agg = df.agg(*[F.count_if(hit(p)).alias(f"_r{i}") for i, p in enumerate(patterns.values())])
     pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"_r{i}").alias("hits"))
                       for i, n in enumerate(patterns)])
     return agg.select(F.inline(pairs))

@@ -13,8 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import broadcast_if_bounded
-from quarry.operators.scan import ordered_scan
+from quarry.operators.scan import MAX_BLOCKS, ordered_scan
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -57,17 +56,19 @@ def above_scalar(df: DataFrame, col: str, stat: str = "avg") -> DataFrame:
 
 
 def above_group_stat(df: DataFrame, group: str | Sequence[str], col: str,
-                     stat: str = "avg", max_groups: int = 1_000_000) -> DataFrame:
+                     stat: str = "avg") -> DataFrame:
     """Correlated-subquery form (F9): rows above their own group's statistic.
 
-    Decorrelated into a grouped aggregate joined back on the group key. The
-    aggregate is one row per group, so it is broadcast when the group count is
-    checked to be bounded; otherwise the join shuffles. A window over the group
-    would instead put a hot group in one task.
+    Decorrelated into a grouped aggregate (one row per group, partially
+    aggregated) joined back on the group key. The aggregate's size is only
+    known after it runs, so the join strategy is left to AQE, which measures
+    the shuffled aggregate and switches to a broadcast join when it is under
+    the broadcast threshold (a runtime size check with no extra job); beyond
+    it the join stays sort-merge and a hot group's partition is split by AQE's
+    skew handling. A window over the group would put a hot group in one task.
     """
     keys = _list(group)
     stats = df.groupBy(*keys).agg(getattr(F, stat)(F.col(col)).alias("_stat"))
-    stats = broadcast_if_bounded(stats, max_groups)
     return df.join(stats, keys, "inner").where(F.col(col) > F.col("_stat")).drop("_stat")
 
 
@@ -150,7 +151,7 @@ def tie_audit(df: DataFrame, key: str, k: int, descending: bool = True) -> DataF
 # --------------------------------------------------------------------- percentiles
 
 def exact_percentile(df: DataFrame, group: str | Sequence[str] | None, col: str, p: float,
-                     method: str = "cont", name: str = "pct", n_blocks: int = 64) -> DataFrame:
+                     method: str = "cont", name: str = "pct", n_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Exact ``percentile_cont`` / ``percentile_disc`` per group, skew-safe.
 
     Built-in ``percentile``/``median`` buffer every value of a group in one
