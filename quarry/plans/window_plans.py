@@ -231,3 +231,15 @@ def w12(spark, sf):
     return p.select("o_orderpriority", "month", F.col("rev").cast("double").alias("revenue"), "share",
                     F.col("value_rank").cast("bigint").alias("value_rank"),
                     F.col("prev_value").cast("double").alias("prev_value"))
+
+
+@plan("a8_range_summary", """
+WITH y AS (SELECT DISTINCT o_custkey, YEAR(o_orderdate) AS yr FROM orders),
+g AS (SELECT o_custkey, yr, yr - ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY yr) AS grp FROM y)
+SELECT o_custkey, CAST(MIN(yr) AS BIGINT) AS first_year, CAST(MAX(yr) AS BIGINT) AS last_year, COUNT(*) AS years
+FROM g GROUP BY o_custkey, grp""")
+def a8(spark, sf):
+    """MIN / MAX / COUNT per derived group: runs of consecutive order years
+    per customer (the group is the island id)."""
+    o = Tables(spark, sf).orders.select("o_custkey", F.year("o_orderdate").cast("bigint").alias("yr"))
+    return win.islands(o, "o_custkey", "yr", dedupe=True, start="first_year", end="last_year", size="years")
