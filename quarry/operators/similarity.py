@@ -66,29 +66,42 @@ def distinct_texts(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     reps = n.groupBy("digest").agg(F.min_by(F.struct("id", "norm"), F.col("id")).alias("r")) \
         .select(F.col("r.id").alias("id"), F.col("r.norm").alias("norm"), "digest") \
         .withColumn("len", F.length("norm"))
+    # reused by the token, verification and membership stages: materialise it
+    # once in the reliable checkpoint folder instead of re-scanning and
+    # re-shuffling the texts for every use
+    reps = _materialise(reps)
     members = n.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest") \
         .select("id", "rep")
     return reps, members
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    from quarry.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bigram_tokens(reps: DataFrame) -> DataFrame:
-    """``(id, tok)``: every bigram of the normalised text, numbered by
+    """``(id, len, tok)``: every bigram of the normalised text, numbered by
     occurrence (multiset -> set); per-row ``sequence``/``transform`` +
-    ``explode`` and one grouped count, no window."""
+    ``explode`` and one grouped count, no window. The string length rides
+    along so later stages need no join to find it."""
     grams = reps.where(F.col("len") >= 2).select(
-        "id", F.explode(F.expr("transform(sequence(1, len - 1), i -> substring(norm, i, 2))")).alias("g"))
-    counted = grams.groupBy("id", "g").agg(F.count(F.lit(1)).alias("k"))
-    return counted.select("id", F.explode(F.expr("transform(sequence(1, k), j -> concat(g, '#', j))")).alias("tok"))
+        "id", "len", F.explode(F.expr("transform(sequence(1, len - 1), i -> substring(norm, i, 2))")).alias("g"))
+    counted = grams.groupBy("id", "len", "g").agg(F.count(F.lit(1)).alias("k"))
+    return counted.select("id", "len",
+                          F.explode(F.expr("transform(sequence(1, k), j -> concat(g, '#', j))")).alias("tok"))
 
 
-def _prefixes(tokens: DataFrame, lens: DataFrame, freq: DataFrame, t: float) -> DataFrame:
+def _prefixes(tokens: DataFrame, freq: DataFrame, t: float) -> DataFrame:
     """Each string's rarest ``|G| - c_x + 1`` tokens; the window spans one
     string's own bigrams."""
-    ranked = tokens.join(freq, "tok").join(lens, "id")
+    ranked = tokens.join(freq, "tok")
     w = Window.partitionBy("id").orderBy(F.col("df").asc(), F.col("tok").asc())
     cx = F.greatest(overlap_bound(F.col("len"), t), F.lit(1))
     keep = (F.col("len") - 1) - cx + 1
-    return ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).select("id", "tok")
+    return ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).select("id", "len", "tok")
 
 
 def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHOLD) -> DataFrame:
@@ -99,26 +112,31 @@ def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHO
     (step 0 / :func:`equal_pairs`)."""
     self_join = b is None
     b = a if self_join else b
-    ta, tb = bigram_tokens(a), bigram_tokens(b)
+    # each token table feeds the rarity count, the prefixes and the overlap count
+    ta = _materialise(bigram_tokens(a))
+    tb = ta if self_join else _materialise(bigram_tokens(b))
     both = ta if self_join else ta.unionByName(tb)
     freq = both.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    la, lb = a.select("id", "len"), b.select("id", "len")
-    pa, pb = _prefixes(ta, la, freq, t), _prefixes(tb, lb, freq, t)
-    cand = (pa.withColumnRenamed("id", "id_a").join(pb.withColumnRenamed("id", "id_b"), "tok")
-            .select("id_a", "id_b").distinct())
-    if self_join:
-        cand = cand.where(F.col("id_a") > F.col("id_b"))
-    cand = (cand.join(a.select(F.col("id").alias("id_a"), F.col("len").alias("len_a"), F.col("digest").alias("da")), "id_a")
-            .join(b.select(F.col("id").alias("id_b"), F.col("len").alias("len_b"), F.col("digest").alias("db")), "id_b"))
+    pa, pb = _prefixes(ta, freq, t), _prefixes(tb, freq, t)
+    cand = pa.select(F.col("id").alias("id_a"), F.col("len").alias("len_a"), "tok").join(
+        pb.select(F.col("id").alias("id_b"), F.col("len").alias("len_b"), "tok"), "tok")
     mx, mn = F.greatest("len_a", "len_b"), F.least("len_a", "len_b")
-    cand = cand.where((mx >= 3) & in_length_band(mn, mx, t) & (F.col("da") != F.col("db")))
+    keep = (mx >= 3) & in_length_band(mn, mx, t)
+    if self_join:
+        keep = keep & (F.col("id_a") > F.col("id_b"))
+    cand = cand.where(keep).select("id_a", "id_b", "len_a", "len_b").distinct()
+    # exact overlap on candidates only
     shared = (cand.select("id_a", "id_b")
-              .join(ta.withColumnRenamed("id", "id_a"), "id_a")
-              .join(tb.withColumnRenamed("id", "id_b"), ["id_b", "tok"], "left_semi")
+              .join(ta.select(F.col("id").alias("id_a"), "tok"), "id_a")
+              .join(tb.select(F.col("id").alias("id_b"), "tok"), ["id_b", "tok"], "left_semi")
               .groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared")))
-    return (cand.join(shared, ["id_a", "id_b"]).withColumn("need", overlap_bound(mx, t))
-            .where(F.col("shared") >= F.col("need"))
-            .select("id_a", "id_b", "len_a", "len_b", "shared", "need"))
+    found = (cand.join(shared, ["id_a", "id_b"]).withColumn("need", overlap_bound(mx, t))
+             .where(F.col("shared") >= F.col("need")))
+    if not self_join:  # equal values across the sides are reported by equal_pairs
+        found = (found.join(a.select(F.col("id").alias("id_a"), F.col("digest").alias("da")), "id_a")
+                 .join(b.select(F.col("id").alias("id_b"), F.col("digest").alias("db")), "id_b")
+                 .where(F.col("da") != F.col("db")))
+    return found.select("id_a", "id_b", "len_a", "len_b", "shared", "need")
 
 
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
