@@ -67,15 +67,17 @@ def m3_same(spark, sf):
 
 
 @plan("m4_assign_ids", """
-SELECT p_partkey, CAST((SELECT MAX(p_partkey) FROM part) + ROW_NUMBER() OVER (ORDER BY p_name, p_partkey) AS BIGINT) AS new_id
-FROM part WHERE p_partkey % 50 = 0""")
+SELECT o_orderkey, CAST((SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT)
+  AS new_id
+FROM orders""")
 def m4(spark, sf):
-    """Append copies of every 50th part, numbered after the current maximum
-    key in (name, key) order."""
-    p = Tables(spark, sf).part
-    new = p.where(F.col("p_partkey") % 50 == 0).select("p_partkey", "p_name")
-    out = lc.assign_ids(new, p.select(F.max("p_partkey")).scalar(), ["p_name", "p_partkey"])
-    return out.select("p_partkey", "new_id")
+    """Re-issue every order as a new record, numbered after the current maximum
+    key in (date, key) order: a global ordinal over the whole table, run as the
+    blocked scan rather than a single-partition ROW_NUMBER."""
+    o = Tables(spark, sf).orders
+    new = o.select("o_orderkey", "o_orderdate")
+    out = lc.assign_ids(new, o.select(F.max("o_orderkey")).scalar(), ["o_orderdate", "o_orderkey"])
+    return out.select("o_orderkey", "new_id")
 
 
 @plan("m5_quota", """
@@ -91,13 +93,15 @@ def m5(spark, sf):
 
 @plan("m7_sample", """
 SELECT p_partkey, md5('7:' || CAST(p_partkey AS VARCHAR)) AS draw FROM part
-WHERE p_type = 'SMALL' AND p_partkey % 10 <> 0
+WHERE p_type = 'SMALL' AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity >= 50)
 ORDER BY draw, p_partkey LIMIT 20""")
 def m7(spark, sf):
-    """20 'SMALL' parts not used before (key % 10 = 0 counts as used), seed 7."""
-    p = Tables(spark, sf).part
-    used = p.where(F.col("p_partkey") % 10 == 0).select("p_partkey")
-    s = lc.sample_without_replacement(p, "p_partkey", 20, 7, used=used, where=F.col("p_type") == "SMALL")
+    """20 'SMALL' parts not used before, seed 7. A part counts as used when it
+    is on some full-quantity line (``l_quantity >= 50``): the used set comes
+    from the data and grows with it; the pool may hold fewer than 20."""
+    t = Tables(spark, sf)
+    used = t.lineitem.where(F.col("l_quantity") >= 50).select(F.col("l_partkey").alias("p_partkey"))
+    s = lc.sample_without_replacement(t.part, "p_partkey", 20, 7, used=used, where=F.col("p_type") == "SMALL")
     return s.select("p_partkey", "draw")
 
 

@@ -342,14 +342,15 @@ def d21(spark, sf):
 
 
 @plan("d22_unique_members", """
-WITH w AS (SELECT doc_id, string_split(split_part(text, chr(10), 1), ' ') AS words FROM documents)
-SELECT doc_id, CAST(len(words) AS INTEGER) AS members,
-  CAST(len(list_distinct(list_transform(words, lambda x: lower(x)))) AS INTEGER) AS distinct_members
-FROM w WHERE len(words) <> len(list_distinct(list_transform(words, lambda x: lower(x))))""")
+WITH w AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+SELECT doc_id, CAST(len(lines) AS INTEGER) AS members,
+  CAST(len(list_distinct(list_transform(lines, lambda x: lower(x)))) AS INTEGER) AS distinct_members
+FROM w WHERE len(lines) <> len(list_distinct(list_transform(lines, lambda x: lower(x))))""")
 def d22(spark, sf):
+    """Documents that repeat a line, ignoring case: members are all lines of
+    the whole text."""
     d = Tables(spark, sf).documents
-    words = F.split(F.substring_index("text", "\n", 1), " ")
-    return q.unique_members(d, words, ["doc_id"])
+    return q.unique_members(d, F.split("text", "\n"), ["doc_id"])
 
 
 @plan("d23_flag_consistency", f"""
