@@ -21,7 +21,10 @@ the work is staged:
    multiset -> set), ordered by global rarity, and each string indexes only
    its ``|G| - c_x + 1`` rarest (``c_x`` = the bound at its own length); two
    strings that share ``c`` bigrams share a prefix member.
-2. **Count check** on candidates: exact shared-bigram count >= bound.
+2. **Count check** on candidates: exact shared-bigram count >= bound,
+   JVM-side as ``array_intersect`` of the two strings' numbered-token arrays
+   (one array per string), so candidates are not multiplied by tokens in a
+   shuffle.
 3. **Exact verification** in an Arrow-batched pandas UDF over surviving pairs
    (the only Python on the executors). Python's matcher applies its popular-
    character heuristic to strings of 200+ characters; it can only lower M,
@@ -104,15 +107,19 @@ def _prefixes(tokens: DataFrame, freq: DataFrame, t: float) -> DataFrame:
     return ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).select("id", "len", "tok")
 
 
-def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHOLD) -> DataFrame:
+def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHOLD,
+                    exact_overlap: bool = True) -> DataFrame:
     """Lossless candidates between distinct values: ``(id_a, id_b, len_a,
     len_b, shared, need)``, ``shared >= need``. ``b=None``: within ``a``, each
     unordered pair once as ``id_a > id_b`` (later item first: the reference
     compares a new title with existing ones). Equal values are excluded here
-    (step 0 / :func:`equal_pairs`)."""
+    (step 0 / :func:`equal_pairs`). With ``exact_overlap=False`` the count
+    check is left to the verifier and only ``(id_a, id_b, len_a, len_b)`` of
+    the prefix/length-band candidates come back."""
     self_join = b is None
     b = a if self_join else b
-    # each token table feeds the rarity count, the prefixes and the overlap count
+    # each token table feeds the rarity count and the prefixes (and the
+    # overlap arrays): materialise it once
     ta = _materialise(bigram_tokens(a))
     tb = ta if self_join else _materialise(bigram_tokens(b))
     both = ta if self_join else ta.unionByName(tb)
@@ -124,19 +131,23 @@ def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHO
     keep = (mx >= 3) & in_length_band(mn, mx, t)
     if self_join:
         keep = keep & (F.col("id_a") > F.col("id_b"))
-    cand = cand.where(keep).select("id_a", "id_b", "len_a", "len_b").distinct()
-    # exact overlap on candidates only
-    shared = (cand.select("id_a", "id_b")
-              .join(ta.select(F.col("id").alias("id_a"), "tok"), "id_a")
-              .join(tb.select(F.col("id").alias("id_b"), "tok"), ["id_b", "tok"], "left_semi")
-              .groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared")))
-    found = (cand.join(shared, ["id_a", "id_b"]).withColumn("need", overlap_bound(mx, t))
-             .where(F.col("shared") >= F.col("need")))
+    found = cand.where(keep).select("id_a", "id_b", "len_a", "len_b").distinct()
     if not self_join:  # equal values across the sides are reported by equal_pairs
         found = (found.join(a.select(F.col("id").alias("id_a"), F.col("digest").alias("da")), "id_a")
                  .join(b.select(F.col("id").alias("id_b"), F.col("digest").alias("db")), "id_b")
-                 .where(F.col("da") != F.col("db")))
-    return found.select("id_a", "id_b", "len_a", "len_b", "shared", "need")
+                 .where(F.col("da") != F.col("db")).drop("da", "db"))
+    if not exact_overlap:
+        return found.select("id_a", "id_b", "len_a", "len_b")
+    # exact overlap on candidates only: numbered tokens make the multiset
+    # intersection a set intersection; one array per string (bounded by its
+    # own length), two joins of candidate rows, no per-token shuffle
+    arr_a = ta.groupBy("id").agg(F.collect_list("tok").alias("toks"))
+    arr_b = arr_a if self_join else tb.groupBy("id").agg(F.collect_list("tok").alias("toks"))
+    shared = F.size(F.array_intersect("toks_a", "toks_b")).cast("bigint")
+    scored = (found.join(arr_a.select(F.col("id").alias("id_a"), F.col("toks").alias("toks_a")), "id_a")
+              .join(arr_b.select(F.col("id").alias("id_b"), F.col("toks").alias("toks_b")), "id_b")
+              .select("id_a", "id_b", "len_a", "len_b", shared.alias("shared"), overlap_bound(mx, t).alias("need")))
+    return scored.where(F.col("shared") >= F.col("need"))
 
 
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -179,12 +190,13 @@ def make_ratio_udf(t: float = THRESHOLD):
 
 def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None = None,
                     b_id: str | None = None, b_text: str | None = None,
-                    t: float = THRESHOLD) -> DataFrame:
+                    t: float = THRESHOLD, reps_a: DataFrame | None = None) -> DataFrame:
     """Similar pairs ``(id_a, id_b, ratio)`` between representatives of
     distinct normalised values. ``b=None``: within ``a`` (later id first);
-    rows that merely repeat a value map to it via :func:`distinct_texts`.
-    Every pair is found (lossless blocking) and verified exactly."""
-    ra, _ = distinct_texts(a, a_id, a_text)
+    rows that merely repeat a value map to it via :func:`distinct_texts`
+    (pass its ``reps`` as ``reps_a`` when already computed). Every pair is
+    found (lossless blocking) and verified exactly."""
+    ra = reps_a if reps_a is not None else distinct_texts(a, a_id, a_text)[0]
     rb = None if b is None else distinct_texts(b, b_id or a_id, b_text or a_text)[0]
     cand = candidate_pairs(ra, rb, t).select("id_a", "id_b")
     other = ra if rb is None else rb
@@ -247,7 +259,7 @@ def dedupe_in_order(df: DataFrame, id_col: str, text_col: str, t: float = THRESH
     first holder takes the value's decision.
     """
     reps, members = distinct_texts(df, id_col, text_col)
-    edges = near_duplicates(df, id_col, text_col, t=t).select("id_a", "id_b")
+    edges = near_duplicates(df, id_col, text_col, t=t, reps_a=reps).select("id_a", "id_b")
     decided = accept_in_order(reps, edges)
     j = members.join(decided.withColumnRenamed("id", "rep"), "rep")
     is_rep = F.col("id") == F.col("rep")
