@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.joins import reconcile
 from quarry.operators.scan import MAX_BLOCKS, ordered_scan
+from quarry.operators.windows import top_n_per_group
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -90,12 +91,10 @@ def assign_ids(new_rows: DataFrame, existing_max: Column, order: Sequence[str],
 
 def quota(df: DataFrame, class_col: str | Sequence[str], order: Sequence[Column], n: int,
           pos: str = "pos") -> DataFrame:
-    """First ``n`` rows per class in arrival order (M5). ``row_number() <= n``
-    with a literal bound gets a partial WindowGroupLimit, so each task ships at
-    most ``n`` rows per class however large the class is."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*_list(class_col)).orderBy(*order)
-    return df.withColumn(pos, F.row_number().over(w)).where(F.col(pos) <= n)
+    """First ``n`` rows per class in arrival order (M5): ``row_number() <= n``
+    as a bounded top-N (:func:`quarry.operators.windows.top_n_per_group`), so
+    each task ships at most ``n`` rows per class however large the class is."""
+    return top_n_per_group(df, class_col, order, n, kind="row_number", rank_col=pos)
 
 
 def sample_without_replacement(df: DataFrame, id_col: str, n: int, seed: int,

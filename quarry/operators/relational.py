@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.scan import MAX_BLOCKS, ordered_scan
+from quarry.operators.windows import top_n_per_group
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -105,14 +106,14 @@ def pivot_counts(df: DataFrame, keys: str | Sequence[str], pivot_col: str,
 def nth_highest(df: DataFrame, col: str, n: int, name: str | None = None) -> DataFrame:
     """The n-th highest *distinct* value, one row, NULL if there are fewer.
 
-    ``dense_rank() <= n`` over the whole relation is planned with a partial
-    WindowGroupLimit in every task, so only about ``n`` rows (plus ties) per
-    task reach the single final partition; no global DISTINCT shuffle.
+    ``dense_rank() <= n`` over the whole relation as a bounded top-N: a
+    partial WindowGroupLimit in every task (or, above its threshold, the
+    salted two-phase form), so only about ``n`` rows (plus ties) per task or
+    salt reach the single final partition; no global DISTINCT shuffle.
     """
     name = name or col
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    ranked = vals.withColumn("_dr", F.dense_rank().over(Window.orderBy(F.col("_v").desc())))
-    top = ranked.where(F.col("_dr") <= n)
+    top = top_n_per_group(vals, [], [F.col("_v").desc()], n, kind="dense_rank", rank_col="_dr")
     return top.agg(F.when(F.max("_dr") == n, F.min("_v")).alias(name))
 
 

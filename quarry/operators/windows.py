@@ -58,18 +58,33 @@ def rank_columns(df: DataFrame, keys: str | Sequence[str], order: str, tiebreak:
 
 # --------------------------------------------------------------------- W2
 
+GROUP_LIMIT_THRESHOLD = 1000  # spark.sql.optimizer.windowGroupLimitThreshold (default)
+TOP_N_SALTS = 256
+
+
 def top_n_per_group(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column], n: int,
-                    kind: str = "dense_rank", rank_col: str = "rnk") -> DataFrame:
+                    kind: str = "dense_rank", rank_col: str = "rnk", salts: int = TOP_N_SALTS) -> DataFrame:
     """Top-N per group; ``dense_rank`` keeps ties (N distinct values), ``rank``
     keeps ties at the cut, ``row_number`` exactly N rows (needs a tie-break).
 
-    With a literal N Spark inserts a partial WindowGroupLimit before the
-    shuffle (N <= spark.sql.optimizer.windowGroupLimitThreshold, 1000): every
-    task forwards at most N rows per key plus ties, so a hot key costs one
-    task-local top-N, not a shuffle of the key.
+    With a literal N up to the group-limit threshold (1000) Spark inserts a
+    partial WindowGroupLimit before the shuffle: every task forwards at most N
+    rows per key plus ties, so a hot key costs one task-local top-N, not a
+    shuffle of the key. Above the threshold the same two phases are written
+    out: rank within ``(key, salt)`` (salt = hash of the row, so a recomputed
+    task salts alike), keep ``<= N``, then rank again per key over at most
+    ``N * salts`` rows. Exact for all three kinds: a row's rank within its
+    salt part never exceeds its global rank, and every row ranked ahead of a
+    kept row is kept.
     """
     fn = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}[kind]
-    w = Window.partitionBy(*_list(keys)).orderBy(*order)
+    keys = _list(keys)
+    if n > GROUP_LIMIT_THRESHOLD:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
+        w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", salt).withColumn("_r1", fn().over(w1))
+              .where(F.col("_r1") <= n).drop("_r1", "_salt"))
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, fn().over(w)).where(F.col(rank_col) <= n)
 
 
