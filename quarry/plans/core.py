@@ -153,11 +153,10 @@ def f10(spark, sf):
     line_rev = t.lineitem.groupBy("l_orderkey").agg(F.sum(revenue_expr()).alias("rev"))
     order_rev = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("yr")) \
         .join(line_rev, F.col("o_orderkey") == F.col("l_orderkey"))
-    geo = (t.nation.join(joins.broadcast_if_bounded(t.region, DIM_ROWS),
-                         F.col("n_regionkey") == F.col("r_regionkey"))
-           .select("n_nationkey", "r_name"))
-    cust = t.customer.select("c_custkey", "c_nationkey").join(
-        joins.broadcast_if_bounded(geo, DIM_ROWS), F.col("c_nationkey") == F.col("n_nationkey"))
+    geo = joins.broadcast_if_bounded(
+        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name"),
+        DIM_ROWS)
+    cust = t.customer.select("c_custkey", "c_nationkey").join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     region_rev = order_rev.join(cust, F.col("o_custkey") == F.col("c_custkey")) \
         .groupBy("r_name", "yr").agg(F.sum("rev").alias("rev"))
     # (region, year) pairs: bounded by 5 regions x years, a small window
@@ -229,14 +228,21 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY r.r_name""")
 def j2(spark, sf):
+    """Revenue and line count per region. Lines are aggregated per order first
+    (the partial aggregate collapses an order's lines inside the task that
+    read them), so the fact side reaches the joins as one row per order; the
+    dimension chain (nation + region, one checked bound) is broadcast."""
     t = Tables(spark, sf)
-    geo = t.nation.join(joins.broadcast_if_bounded(t.region, DIM_ROWS), F.col("n_regionkey") == F.col("r_regionkey"))
-    cust = t.customer.join(joins.broadcast_if_bounded(geo, DIM_ROWS), F.col("c_nationkey") == F.col("n_nationkey")) \
-        .select("c_custkey", "r_name")
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.sum(revenue_expr()).alias("rev"),
+                                                     F.count(F.lit(1)).alias("n"))
+    geo = joins.broadcast_if_bounded(
+        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name"),
+        DIM_ROWS)
+    cust = t.customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
     oc = t.orders.select("o_orderkey", "o_custkey").join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    j = t.lineitem.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
-    return j.groupBy("r_name").agg(F.sum(revenue_expr()).cast("double").alias("revenue"),
-                                   F.count(F.lit(1)).alias("lines"))
+    j = per_order.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.groupBy("r_name").agg(F.sum("rev").cast("double").alias("revenue"),
+                                   F.sum("n").cast("bigint").alias("lines"))
 
 
 @plan("j3_anti_join", """
