@@ -19,6 +19,21 @@ def x1(spark, sf):
                     X.substr_sql("p_name", 1, 3).alias("head3"), X.substr_sql("p_name", -4, 4).alias("tail4"))
 
 
+@plan("x2_coalesce", """
+SELECT l_orderkey, l_linenumber,
+  CAST(COALESCE(NULLIF(l_discount, 0), NULLIF(l_tax, 0), 0.0) AS DOUBLE) AS first_rate,
+  COALESCE(CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END, l_linestatus) AS flag_or_status
+FROM lineitem""")
+def x2(spark, sf):
+    """COALESCE over several arguments: the first non-NULL wins (NULLs built
+    with NULLIF / CASE, the tables have none)."""
+    li = Tables(spark, sf).lineitem
+    rate = F.coalesce(F.nullif("l_discount", F.lit(0.0)), F.nullif("l_tax", F.lit(0.0)), F.lit(0.0))
+    flag = F.coalesce(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")), F.col("l_linestatus"))
+    return li.select("l_orderkey", "l_linenumber", rate.cast("double").alias("first_rate"),
+                     flag.alias("flag_or_status"))
+
+
 @plan("x3_round_half_up", """
 SELECT p_partkey, CAST(ROUND(CAST(p_retailprice AS DECIMAL(18,2)) * 0.35, 1) AS DOUBLE) AS rounded FROM part""")
 def x3(spark, sf):
@@ -44,6 +59,23 @@ def x4(spark, sf):
                     X.weekday_sun0("o_orderdate").alias("weekday"), X.month_key("o_orderdate").alias("month"))
 
 
+@plan("x5_date_format", """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day_text, strftime(ts, '%Y-%m-%d %H') AS hour_text,
+  strftime(ts, '%Y') AS year_text, CAST(ts AS DATE) AS day,
+  CAST(strptime(strftime(ts, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS day_roundtrip,
+  CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day_index
+FROM events""")
+def x5(spark, sf):
+    """strftime / date equivalents: text renderings of a timestamp, the date
+    part, text back to a date, and a day index (``datediff``)."""
+    ev = Tables(spark, sf).events
+    day_text = F.date_format("ts", "yyyy-MM-dd")
+    return ev.select("event_id", day_text.alias("day_text"), F.date_format("ts", "yyyy-MM-dd HH").alias("hour_text"),
+                     F.date_format("ts", "yyyy").alias("year_text"), X.to_day("ts").alias("day"),
+                     F.try_to_date(day_text, "yyyy-MM-dd").alias("day_roundtrip"),
+                     F.datediff(X.to_day("ts"), F.lit("2024-01-01").cast("date")).alias("day_index"))
+
+
 @plan("x6_arithmetic", """
 SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge,
   l_quantity / 7 AS per_week, CAST(l_quantity AS BIGINT) // 7 AS whole_weeks, l_quantity > 25 AS big
@@ -59,6 +91,22 @@ def x6(spark, sf):
                      (F.col("l_quantity") > 25).alias("big"))
 
 
+@plan("x7_case", """
+SELECT o_orderkey,
+  CASE WHEN o_totalprice >= 300000 THEN 'high' WHEN o_totalprice >= 100000 THEN 'mid'
+       WHEN o_orderpriority = '1-URGENT' THEN 'urgent-low' END AS price_class,
+  CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 ELSE -1 END AS INTEGER) AS status_code
+FROM orders""")
+def x7(spark, sf):
+    """Searched CASE (first match wins, no ELSE gives NULL) and simple CASE
+    on a value."""
+    o = Tables(spark, sf).orders
+    price = (F.when(F.col("o_totalprice") >= 300000, "high").when(F.col("o_totalprice") >= 100000, "mid")
+             .when(F.col("o_orderpriority") == "1-URGENT", "urgent-low"))
+    status = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0).otherwise(-1)
+    return o.select("o_orderkey", price.alias("price_class"), status.cast("int").alias("status_code"))
+
+
 @plan("x8_normalize_text", """
 SELECT item_id, trim(regexp_replace(lower(text), '[^a-z0-9 ]', '', 'g')) AS norm FROM benchmark""")
 def x8(spark, sf):
