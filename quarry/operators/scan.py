@@ -6,18 +6,24 @@ row into a single partition. Both are fine on a bounded input and wrong at
 scale. The scan here keeps the ordinary window for ordinary keys and splits
 only what is too big for one task:
 
-1. **Sample once.** The rows with the smallest ``rand(seed)`` form a uniform
-   sample of bounded size (a top-k: every task keeps a small heap). The k-th
-   smallest random value also estimates the row count (``N ≈ (k-1)/u_k``),
-   so no count job is needed. Only the sample (bounded by parameters) reaches
-   the driver.
-2. **Plan sub-blocks.** ``n = ceil(N / rows_per_block)`` (capped). A key
-   whose sampled share exceeds one block's worth is *hot*; with no key the
-   whole relation is one hot group. A hot key gets sub-block boundaries on
-   the order columns from its own sample rows; every other key stays whole in
-   sub-block 0. The sub-block is a deterministic function of the row (a
-   binary search written as nested ``CASE`` over the boundaries), so a task
-   recomputed after an executor loss puts rows in the same place.
+1. **Count once.** One aggregate (a ``rollup`` over the keys) gives the
+   exact row count ``N`` and the count of every key holding more than one
+   block's worth of rows; nothing else reaches the driver. With
+   ``n = ceil(N / rows_per_block)`` sub-blocks (capped), a key holding more
+   than ``N / n`` rows is *hot* (at most ``n`` keys); with no key the whole
+   relation is one hot group. When nothing is hot the scan is the plain
+   window and no further job runs.
+2. **Sample the hot rows only.** A Bernoulli sample of the hot keys' rows,
+   fraction ``sample_rows / hot_rows``, is shuffled into one partition and
+   sorted there: about ``sample_rows`` rows whatever the number of input
+   partitions (a top-k sample would send ``k`` rows per input task to one
+   task). Each hot key gets ``ceil(rows / (N / n))`` sub-blocks with
+   boundaries on the order columns from its sample rows; every other key
+   stays whole in sub-block 0. The sub-block is a deterministic function of
+   the row (a binary search written as nested ``CASE`` over the boundaries),
+   so a task recomputed after an executor loss puts rows in the same place.
+   The boundaries only balance the work: any sorted boundaries give the
+   same result.
 3. **Scan.** One window ``PARTITION BY (keys, sub-block) ORDER BY order``:
    one hash exchange; a hot key spreads over its sub-blocks.
 4. **Carry.** Totals and last row per (hot key, sub-block) are aggregated
@@ -86,55 +92,69 @@ def _split(rows: list[tuple], parts: int) -> list[tuple]:
     return out
 
 
+def _is_key(keys: list[str], types: dict, kv: tuple) -> Column:
+    match = F.lit(True)
+    for c, v in zip(keys, kv):
+        match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v).cast(types[c])))
+    return match
+
+
 def plan_blocks(df: DataFrame, keys: list[str], order: list[str], rows_per_block: int = ROWS_PER_BLOCK,
                 max_blocks: int = MAX_BLOCKS, sample_rows: int = SAMPLE_ROWS,
                 seed: int = 17) -> tuple[Column, Column] | None:
     """``(sub_block, is_split)`` columns for :func:`ordered_scan`, or ``None``
     when no key (or, without keys, the relation) needs splitting."""
     cols = keys + order
-    k = max(sample_rows, 2)
-    picked = (df.select(*cols).withColumn("_u", F.rand(seed)).orderBy("_u").limit(k)
-              .orderBy(*[F.col(c).asc_nulls_first() for c in cols]))
-    rows = [tuple(r) for r in picked.collect()]
-    if not rows:
-        return None
-    if len(rows) < k:
-        n_est = len(rows)  # the sample is the whole input
+    types = dict(df.select(*cols).dtypes)
+    # step 1: exact total and candidate hot keys from one aggregate; the
+    # driver gets the total plus at most N / rows_per_block key counts
+    if keys:
+        full = (1 << len(keys)) - 1  # grouping id of the grand-total row
+        stats = (df.rollup(*keys).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+                 .where((F.col("_gid") == full) | ((F.col("_gid") == 0) & (F.col("_n") > rows_per_block)))
+                 .collect())
+        total = next((r["_n"] for r in stats if r["_gid"] == full), 0)
+        cand = [(tuple(r[k] for k in keys), r["_n"]) for r in stats if r["_gid"] == 0]
     else:
-        u_k = max(r[-1] for r in rows)
-        n_est = int((k - 1) / max(u_k, 1e-300))
-    n_blocks = max(1, min(max_blocks, math.ceil(n_est / rows_per_block)))
+        total, cand = df.count(), []
+    n_blocks = max(1, min(max_blocks, math.ceil(total / rows_per_block)))
     if n_blocks == 1:
         return None
-    types = dict(df.select(*cols).dtypes)
+    share = total / n_blocks
+    if keys:
+        hot = [(kv, n) for kv, n in cand if n > share]
+        if not hot:
+            return None
+        hot_rows = sum(n for _, n in hot)
+        is_hot = F.lit(False)
+        for kv, _ in hot:
+            is_hot = is_hot | _is_key(keys, types, kv)
+    else:
+        hot, hot_rows, is_hot = [((), total)], total, F.lit(True)
+    # step 2: about sample_rows rows of the hot keys, sorted in one partition
+    frac = min(1.0, sample_rows / max(hot_rows, 1))
+    picked = (df.select(*cols).where(is_hot).where(F.rand(seed) < F.lit(frac))
+              .repartition(1).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in cols]))
+    by_key: dict[tuple, list[tuple]] = {}
     nk = len(keys)
-    groups: list[tuple[tuple, list[tuple]]] = []  # sample rows are sorted: keys are contiguous
-    for r in rows:
-        kv, ov = r[:nk], r[nk:len(cols)]
-        if groups and groups[-1][0] == kv:
-            groups[-1][1].append(ov)
-        else:
-            groups.append((kv, [ov]))
-    per_block_share = len(rows) / n_blocks
+    for r in picked.collect():
+        by_key.setdefault(tuple(r)[:nk], []).append(tuple(r)[nk:])
     branches: list[tuple[Column, Column]] = []
-    for kv, ovs in groups:
-        parts = min(max_blocks, math.ceil(len(ovs) / per_block_share))
-        bounds = _split(ovs, parts)
+    for kv, n in hot:
+        parts = min(max_blocks, math.ceil(n / share))
+        bounds = _split(by_key.get(kv, []), parts)
         if not bounds:
             continue
         search = _search(types, order, bounds)
         if not keys:
             return search, F.lit(True)
-        match = F.lit(True)
-        for c, v in zip(keys, kv):
-            match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v).cast(types[c])))
-        branches.append((match, search))
+        branches.append((_is_key(keys, types, kv), search))
     if not branches:
         return None
     expr = F.when(branches[0][0], branches[0][1])
     is_split = branches[0][0]
-    for m, s in branches[1:]:
-        expr = expr.when(m, s)
+    for m, srch in branches[1:]:
+        expr = expr.when(m, srch)
         is_split = is_split | m
     return expr.otherwise(F.lit(0)), is_split
 

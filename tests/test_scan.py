@@ -4,7 +4,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quarry.operators.scan import ordered_scan
+from quarry.operators.scan import ordered_scan, plan_blocks
 
 ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(-50, 50))),
                 min_size=0, max_size=120)
@@ -24,3 +24,40 @@ def test_scan_equals_window(spark, data, keyed, rpb):
                   | ~F.col("prev_v").eqNullSafe(F.col("e_prev")))
     assert got.count() == len(data)
     assert bad.count() == 0
+
+
+def _expected(df, keys):
+    w = Window.partitionBy(*keys).orderBy("o") if keys else Window.orderBy("o")
+    return (df.withColumn("e_run", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("e_rn", F.row_number().over(w)).withColumn("e_prev", F.lag("v").over(w)))
+
+
+def _assert_same(got, exp, n):
+    j = got.join(exp, "o")
+    bad = j.where(~F.col("run_v").eqNullSafe(F.col("e_run")) | (F.col("_rn") != F.col("e_rn"))
+                  | ~F.col("prev_v").eqNullSafe(F.col("e_prev")))
+    assert got.count() == n
+    assert bad.count() == 0
+
+
+def test_hot_composite_key_is_split(spark):
+    # (1, 'a') holds 60% of the rows; NULL keys and small keys around it
+    data = []
+    for i in range(600):
+        data.append((1, "a", i, i % 7 - 3))
+    for i in range(600, 1000):
+        k1 = None if i % 10 == 0 else i % 5
+        data.append((k1, "b" if i % 3 else None, i, None if i % 11 == 0 else i % 5))
+    df = spark.createDataFrame(data, "k1 long, k2 string, o long, v long")
+    planned = plan_blocks(df, ["k1", "k2"], ["o"], rows_per_block=100, sample_rows=200)
+    assert planned is not None
+    got = ordered_scan(df, ["k1", "k2"], ["o"], sums=["v"], lag_cols=["v"], rows_per_block=100, sample_rows=200)
+    _assert_same(got, _expected(df, ["k1", "k2"]), len(data))
+
+
+def test_keyless_relation_is_split(spark):
+    df = spark.range(0, 5000, numPartitions=16).select(F.col("id").alias("o"), (F.col("id") % 13 - 6).alias("v"))
+    planned = plan_blocks(df, [], ["o"], rows_per_block=400, sample_rows=300)
+    assert planned is not None
+    got = ordered_scan(df, [], ["o"], sums=["v"], lag_cols=["v"], rows_per_block=400, sample_rows=300)
+    _assert_same(got, _expected(df, []), 5000)
