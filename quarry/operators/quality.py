@@ -349,9 +349,13 @@ def order_stability(query: Callable[..., DataFrame], inputs: Sequence[DataFrame]
     order to permute); for a top-k, :func:`quarry.operators.relational.tie_audit`
     is exact.
     """
+    # a different partition count per seed changes the arrival order; the
+    # counts follow the session's shuffle sizing, so a large input is never
+    # squeezed into a handful of tasks
+    base = int(inputs[0].sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) if inputs else 1
     runs = []
     for s in seeds:
-        shuffled = [reorder(x, s, 3 + s) for x in inputs]
+        shuffled = [reorder(x, s, base + s) for x in inputs]
         runs.append(result_digest(query(*shuffled)).withColumn("seed", F.lit(s)))
     out = runs[0]
     for r in runs[1:]:
