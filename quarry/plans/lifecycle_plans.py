@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.operators import lifecycle as lc
 from quarry.operators import quality as q
 from quarry.operators import relational as rel
-from quarry.plans.core import altered_part
+from quarry.plans.core import ALTERED_PART_SQL, altered_part
 from quarry.plans.quality_plans import DOC_RULES_SQL, doc_rules
 from quarry.plans.registry import plan
 from quarry.sources.tables import Tables
@@ -130,10 +130,24 @@ def m10(spark, sf):
     return rel.fill_defaults(j, {"quality": 0, "toxic": 0}).select("doc_id", "quality", "toxic")
 
 
-@plan("m11_publish")
+def _gate_sql(variant: str, source: str) -> str:
+    """Finding counts of the two publish checks over one staged table."""
+    return f"""SELECT '{variant}' AS variant, 'key_audit' AS chk, (SELECT COUNT(*) FROM (SELECT p_partkey FROM ({source}) s
+  GROUP BY p_partkey HAVING COUNT(*) > 1 OR p_partkey IS NULL) d) AS findings
+UNION ALL SELECT '{variant}', 'required', (SELECT COUNT(*) FROM ({source}) s WHERE p_partkey IS NOT NULL AND
+  (p_name IS NULL OR trim(p_name) = '' OR p_brand IS NULL OR trim(p_brand) = ''))"""
+
+
+@plan("m11_publish", f"""
+WITH f AS ({_gate_sql('clean', 'SELECT * FROM part')}
+  UNION ALL {_gate_sql('duplicate key', 'SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 37 = 0')})
+SELECT chk AS "check", CAST(findings AS BIGINT) AS findings,
+  SUM(findings) OVER (PARTITION BY variant) = 0 AS promoted, variant FROM f""")
 def m11(spark, sf):
-    """Rows-only: stage ``part`` twice, once clean and once with a duplicated
-    key (every 37th row repeated); only the clean one is promoted."""
+    """Stage ``part`` twice, once clean and once with a duplicated key (every
+    37th row repeated); only the clean one is promoted. The oracle recomputes
+    the finding counts and the gate decision; the promotion itself is a
+    folder rename."""
     p = Tables(spark, sf).part
     dup = p.unionByName(p.where(F.col("p_partkey") % 37 == 0))
     checks = {"key_audit": lambda d: q.key_audit(d, "p_partkey"),
@@ -144,10 +158,28 @@ def m11(spark, sf):
     return clean.unionByName(dirty)
 
 
-@plan("s6_conditional_snapshot")
+def _changes_sql(step: str, old: str, new: str, prev_version: int) -> str:
+    """M3 over two versions of ``part`` compared column by column (equal
+    content gives an equal digest), as the snapshot sink reports it."""
+    return f"""SELECT '{step}' AS step, {prev_version} AS pv,
+  COUNT(*) FILTER (WHERE o.p_partkey IS NULL) AS n_added, COUNT(*) FILTER (WHERE n.p_partkey IS NULL) AS n_removed,
+  COUNT(*) FILTER (WHERE o.p_partkey IS NOT NULL AND n.p_partkey IS NOT NULL AND (o.p_name IS DISTINCT FROM n.p_name
+    OR o.p_size IS DISTINCT FROM n.p_size OR o.p_retailprice IS DISTINCT FROM n.p_retailprice)) AS n_changed
+FROM ({old}) o FULL OUTER JOIN ({new}) n ON o.p_partkey = n.p_partkey"""
+
+
+@plan("s6_conditional_snapshot", f"""
+WITH c AS ({_changes_sql('initial', 'SELECT * FROM part WHERE FALSE', 'SELECT * FROM part', 0)}
+  UNION ALL {_changes_sql('unchanged', 'SELECT * FROM part', 'SELECT * FROM part', 1)}
+  UNION ALL {_changes_sql('altered', 'SELECT * FROM part', 'SELECT * FROM ' + ALTERED_PART_SQL, 1)})
+SELECT CAST(pv + CAST(n_added + n_removed + n_changed > 0 AS INTEGER) AS BIGINT) AS version,
+  n_added + n_removed + n_changed > 0 AS changed, CAST(n_added AS BIGINT) AS n_added,
+  CAST(n_removed AS BIGINT) AS n_removed, CAST(n_changed AS BIGINT) AS n_changed,
+  n_added + n_removed + n_changed > 0 AS written, step FROM c""")
 def s6(spark, sf):
-    """Rows-only: write the ``part`` manifest as version 1, rebuild it
-    unchanged (no write), then with altered parts (version 2 written)."""
+    """Write the ``part`` manifest as version 1, rebuild it unchanged (no
+    write), then with altered parts (version 2 written). The oracle recomputes
+    the change counts, versions and write decisions."""
     t = Tables(spark, sf)
     root = lc.scratch_path(spark, "snapshots")
     first = lc.write_if_changed(_part_manifest(t.part), None, root, 0)
