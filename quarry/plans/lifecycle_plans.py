@@ -190,13 +190,17 @@ def s6(spark, sf):
             .unionByName(changed.withColumn("step", F.lit("altered"))))
 
 
-@plan("s6_manifest_stream")
+@plan("s6_manifest_stream", """
+SELECT CAST(1 AS BIGINT) AS version, COUNT(*) AS entries, COUNT(DISTINCT sha256(html)) AS distinct_digests
+FROM pages WHERE page_id % 2 = 0
+UNION ALL
+SELECT CAST(2 AS BIGINT), COUNT(*),
+  COUNT(DISTINCT sha256(CASE WHEN page_id % 5 = 0 THEN html || '<!-- v2 -->' ELSE html END)) FROM pages""")
 def s6_stream(spark, sf):
-    """Rows-only: ``pages`` arrive as JSON files in two waves (even ids, then
-    every id with the html of ids % 5 = 0 altered); an incremental
-    Structured Streaming job digests each wave and writes a new manifest
-    version only on change. Returns one row per version: entries and digest
-    total."""
+    """``pages`` arrive as JSON files in two waves (even ids, then every id
+    with the html of ids % 5 = 0 altered); an incremental Structured
+    Streaming job digests each wave and writes a new manifest version only on
+    change. Returns one row per version: entries and distinct digests."""
     from quarry.streaming.manifest_stream import snapshot_versions, start_manifest_stream
 
     pg = Tables(spark, sf).pages.select("page_id", "url", "html")
