@@ -78,6 +78,21 @@ def distinct_texts(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     return reps, members
 
 
+def distinct_texts_two(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
+                       b_text: str) -> tuple[DataFrame, DataFrame]:
+    """Representatives of both sides of a two-sided join (step 0 per side),
+    materialised together in one job; ids may repeat across the sides."""
+    def side(df, id_col, text_col, tag):
+        return df.select(F.lit(tag).alias("_side"), F.col(id_col).alias("id"), norm_title(text_col).alias("norm"))
+    n = side(a, a_id, a_text, 0).unionByName(side(b, b_id, b_text, 1)) \
+        .withColumn("digest", F.unhex(F.sha2("norm", 256)))
+    reps = n.groupBy("_side", "digest").agg(F.min_by(F.struct("id", "norm"), F.col("id")).alias("r")) \
+        .select("_side", F.col("r.id").alias("id"), F.col("r.norm").alias("norm"), "digest") \
+        .withColumn("len", F.length("norm"))
+    both = _materialise(reps)
+    return (both.where(F.col("_side") == 0).drop("_side"), both.where(F.col("_side") == 1).drop("_side"))
+
+
 def _materialise(df: DataFrame) -> DataFrame:
     from quarry.session import ensure_checkpoint_dir
 
@@ -90,10 +105,12 @@ def bigram_tokens(reps: DataFrame) -> DataFrame:
     occurrence (multiset -> set); per-row ``sequence``/``transform`` +
     ``explode`` and one grouped count, no window. The string length rides
     along so later stages need no join to find it."""
+    side = ["_side"] if "_side" in reps.columns else []
     grams = reps.where(F.col("len") >= 2).select(
-        "id", "len", F.explode(F.expr("transform(sequence(1, len - 1), i -> substring(norm, i, 2))")).alias("g"))
-    counted = grams.groupBy("id", "len", "g").agg(F.count(F.lit(1)).alias("k"))
-    return counted.select("id", "len",
+        *side, "id", "len",
+        F.explode(F.expr("transform(sequence(1, len - 1), i -> substring(norm, i, 2))")).alias("g"))
+    counted = grams.groupBy(*side, "id", "len", "g").agg(F.count(F.lit(1)).alias("k"))
+    return counted.select(*side, "id", "len",
                           F.explode(F.expr("transform(sequence(1, k), j -> concat(g, '#', j))")).alias("tok"))
 
 
@@ -120,9 +137,14 @@ def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHO
     b = a if self_join else b
     # each token table feeds the rarity count and the prefixes (and the
     # overlap arrays): materialise it once
-    ta = _materialise(bigram_tokens(a))
-    tb = ta if self_join else _materialise(bigram_tokens(b))
-    both = ta if self_join else ta.unionByName(tb)
+    if self_join:
+        ta = tb = both = _materialise(bigram_tokens(a))
+    else:  # both sides' tokens in one job, split by a side tag
+        tagged = _materialise(bigram_tokens(a.select(F.lit(0).alias("_side"), "id", "len", "norm").unionByName(
+            b.select(F.lit(1).alias("_side"), "id", "len", "norm"))))
+        ta = tagged.where(F.col("_side") == 0).drop("_side")
+        tb = tagged.where(F.col("_side") == 1).drop("_side")
+        both = tagged.drop("_side")
     freq = both.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     pa, pb = _prefixes(ta, freq, t), _prefixes(tb, freq, t)
     cand = pa.select(F.col("id").alias("id_a"), F.col("len").alias("len_a"), "tok").join(
@@ -196,8 +218,12 @@ def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None =
     rows that merely repeat a value map to it via :func:`distinct_texts`
     (pass its ``reps`` as ``reps_a`` when already computed). Every pair is
     found (lossless blocking) and verified exactly."""
-    ra = reps_a if reps_a is not None else distinct_texts(a, a_id, a_text)[0]
-    rb = None if b is None else distinct_texts(b, b_id or a_id, b_text or a_text)[0]
+    if b is None:
+        ra, rb = (reps_a if reps_a is not None else distinct_texts(a, a_id, a_text)[0]), None
+    elif reps_a is None:
+        ra, rb = distinct_texts_two(a, a_id, a_text, b, b_id or a_id, b_text or a_text)
+    else:
+        ra, rb = reps_a, distinct_texts(b, b_id or a_id, b_text or a_text)[0]
     cand = candidate_pairs(ra, rb, t).select("id_a", "id_b")
     other = ra if rb is None else rb
     texts_a = ra.select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"))

@@ -59,8 +59,7 @@ def d3_blocking(spark, sf):
     0.85 (length band and exact shared-bigram bound), found via prefix
     filtering. The oracle computes the same set by brute force."""
     t = Tables(spark, sf)
-    ra, _ = sim.distinct_texts(t.benchmark, "item_id", "text")
-    rb, _ = sim.distinct_texts(mutated_benchmark(t), "item_id", "text")
+    ra, rb = sim.distinct_texts_two(t.benchmark, "item_id", "text", mutated_benchmark(t), "item_id", "text")
     return sim.candidate_pairs(ra, rb)
 
 
