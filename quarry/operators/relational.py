@@ -153,14 +153,23 @@ def tie_audit(df: DataFrame, key: str, k: int, descending: bool = True) -> DataF
 
 def exact_percentile(df: DataFrame, group: str | Sequence[str] | None, col: str, p: float,
                      method: str = "cont", name: str = "pct", n_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """Exact ``percentile_cont`` / ``percentile_disc`` per group, skew-safe.
+    """Exact ``percentile_cont`` / ``percentile_disc`` per group, skew-safe;
+    one percentile of :func:`exact_percentiles`."""
+    return exact_percentiles(df, group, col, [(p, method, name)], n_blocks)
+
+
+def exact_percentiles(df: DataFrame, group: str | Sequence[str] | None, col: str,
+                      specs: Sequence[tuple[float, str, str]], n_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """Several exact percentiles per group (``specs``: ``(p, "cont"|"disc",
+    name)``) from one scan.
 
     Built-in ``percentile``/``median`` buffer every value of a group in one
     task. Here values are first counted per ``(group, value)`` (the partial
     aggregate collapses repeated values), then a blocked ordered scan
     (:func:`quarry.operators.scan.ordered_scan`) gives each distinct value its
-    cumulative count, so a hot group is spread over many tasks. The two ranks
-    the interpolation needs are picked with one more grouped aggregate.
+    cumulative count, so a hot group is spread over many tasks. The ranks
+    every percentile needs (two for ``cont``, one for ``disc``) are picked in
+    one more grouped aggregate.
     """
     keys = _list(group)
     vals = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
@@ -170,26 +179,37 @@ def exact_percentile(df: DataFrame, group: str | Sequence[str] | None, col: str,
         j = scanned.join(totals, keys, "inner")
     else:  # one total: an uncorrelated scalar subquery, evaluated once
         j = scanned.withColumn("_n", totals.scalar())
-    cum, cnt = F.col("run__c"), F.col("_c")
-    if method == "cont":
-        h = F.lit(1.0) + F.lit(p) * (F.col("_n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        j = j.withColumn("_h", h)
-        hits = j.where(((cum - cnt < lo) & (lo <= cum)) | ((cum - cnt < hi) & (hi <= cum)))
-        agg = hits.groupBy(*keys).agg(
-            F.max(F.when((cum - cnt < lo) & (lo <= cum), F.col(col))).alias("_vlo"),
-            F.max(F.when((cum - cnt < hi) & (hi <= cum), F.col(col))).alias("_vhi"),
-            F.first("_h").alias("_h"))
-        frac = F.col("_h") - F.floor(F.col("_h"))
-        out = agg.select(*keys, (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias(name))
-    elif method == "disc":
-        # smallest value whose cumulative share reaches p
-        target = F.greatest(F.ceil(F.lit(p) * F.col("_n")), F.lit(1))
-        hits = j.where((cum - cnt < target) & (target <= cum))
-        out = hits.groupBy(*keys).agg(F.min(col).alias(name))
-    else:
-        raise ValueError(method)
-    return out
+    cum, cnt, n = F.col("run__c"), F.col("_c"), F.col("_n")
+
+    def holds(rank: Column) -> Column:  # the value at 1-based position ``rank``
+        return (cum - cnt < rank) & (rank <= cum)
+
+    def h_of(p: float, total: Column) -> Column:
+        return F.lit(1.0) + F.lit(p) * (total - 1)
+
+    conds, aggs, finals = [], [], []
+    for i, (p, method, name) in enumerate(specs):
+        if method == "cont":
+            h = h_of(p, n)
+            lo, hi = holds(F.floor(h)), holds(F.ceil(h))
+            conds += [lo, hi]
+            aggs += [F.max(F.when(lo, F.col(col))).alias(f"_vlo{i}"), F.max(F.when(hi, F.col(col))).alias(f"_vhi{i}")]
+            hh = h_of(p, F.col("_n"))
+            frac = hh - F.floor(hh)
+            finals.append((F.col(f"_vlo{i}") + frac * (F.col(f"_vhi{i}") - F.col(f"_vlo{i}"))).alias(name))
+        elif method == "disc":
+            # smallest value whose cumulative share reaches p
+            hit = holds(F.greatest(F.ceil(F.lit(p) * n), F.lit(1)))
+            conds.append(hit)
+            aggs.append(F.min(F.when(hit, F.col(col))).alias(f"_vd{i}"))
+            finals.append(F.col(f"_vd{i}").alias(name))
+        else:
+            raise ValueError(method)
+    any_hit = conds[0]
+    for c in conds[1:]:
+        any_hit = any_hit | c
+    agg = j.where(any_hit).groupBy(*keys).agg(*aggs, F.max("_n").alias("_n"))
+    return agg.select(*keys, *finals)
 
 
 # --------------------------------------------------------------------- set operations

@@ -417,9 +417,8 @@ SELECT ROUND((SELECT quantile_cont(o_totalprice, 0.9) FROM orders), 6) AS p90_co
        (SELECT MIN(x) FROM v WHERE rn >= CEIL(0.9 * n)) AS p90_disc""")
 def a7_global(spark, sf):
     o = Tables(spark, sf).orders
-    cont = rel.exact_percentile(o, None, "o_totalprice", 0.9, "cont", "p90_cont")
-    disc = rel.exact_percentile(o, None, "o_totalprice", 0.9, "disc", "p90_disc")
-    return cont.select(F.round("p90_cont", 6).alias("p90_cont"), disc.scalar().alias("p90_disc"))
+    both = rel.exact_percentiles(o, None, "o_totalprice", [(0.9, "cont", "p90_cont"), (0.9, "disc", "p90_disc")])
+    return both.select(F.round("p90_cont", 6).alias("p90_cont"), "p90_disc")
 
 
 @plan("a9_pivot_counts", """
