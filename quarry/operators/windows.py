@@ -245,13 +245,15 @@ def cohort_retention(df: DataFrame, user: str, period: Column, max_users_broadca
     since; ``users`` = distinct active users.
 
     ``period`` must be an integer period number (e.g. ``year*12 + month``).
-    Distinct (user, period) pairs are formed once (partial aggregation), the
-    first period per user is a grouped MIN joined back on the user, and the
-    final count needs no COUNT(DISTINCT) because the pairs are already unique.
+    Distinct (user, period) pairs are formed once (partial aggregation before
+    the shuffle). After that a user holds at most one row per period, so the
+    first period per user is a window MIN over a group bounded by the number
+    of periods, not by the user's activity (a hot user is one row per
+    period); no join back. The final count needs no COUNT(DISTINCT) because
+    the pairs are already unique.
     """
     act = df.select(F.col(user).alias("_u"), period.alias("_p")).where(F.col("_u").isNotNull()).distinct()
-    first = act.groupBy("_u").agg(F.min("_p").alias("cohort"))
-    j = act.join(first, "_u", "inner")
+    j = act.withColumn("cohort", F.min("_p").over(Window.partitionBy("_u")))
     return (j.groupBy("cohort", (F.col("_p") - F.col("cohort")).alias("offset"))
             .agg(F.count(F.lit(1)).alias("users")))
 
