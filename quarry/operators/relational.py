@@ -106,14 +106,16 @@ def pivot_counts(df: DataFrame, keys: str | Sequence[str], pivot_col: str,
 def nth_highest(df: DataFrame, col: str, n: int, name: str | None = None) -> DataFrame:
     """The n-th highest *distinct* value, one row, NULL if there are fewer.
 
-    ``dense_rank() <= n`` over the whole relation as a bounded top-N: a
-    partial WindowGroupLimit in every task (or, above its threshold, the
-    salted two-phase form), so only about ``n`` rows (plus ties) per task or
-    salt reach the single final partition; no global DISTINCT shuffle.
+    Distinct values first (a grouped aggregate; the partial aggregate
+    collapses repeats inside each task), then ``row_number() <= n`` over
+    them as a bounded top-N (a partial WindowGroupLimit per task, or the
+    salted two-phase form above its threshold). Ranking rows with
+    ``dense_rank`` instead would keep every tied row, so a value held by a
+    third of the table would reach the single final task whole.
     """
     name = name or col
-    vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    top = top_n_per_group(vals, [], [F.col("_v").desc()], n, kind="dense_rank", rank_col="_dr")
+    vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
+    top = top_n_per_group(vals, [], [F.col("_v").desc()], n, kind="row_number", rank_col="_dr")
     return top.agg(F.when(F.max("_dr") == n, F.min("_v")).alias(name))
 
 
