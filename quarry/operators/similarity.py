@@ -228,13 +228,7 @@ def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None =
     other = ra if rb is None else rb
     texts_a = ra.select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"))
     texts_b = other.select(F.col("id").alias("id_b"), F.col("norm").alias("norm_b"))
-    # the verifier is CPU-bound per pair, not per byte: spread the pairs over
-    # the session's shuffle sizing explicitly (AQE would coalesce a byte-small
-    # candidate set into one partition and run the matcher on one core);
-    # hashing on the ids keeps the placement deterministic on recompute
-    n_parts = int(ra.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     scored = cand.join(texts_a, "id_a").join(texts_b, "id_b") \
-        .repartition(n_parts, "id_a", "id_b") \
         .withColumn("ratio", make_ratio_udf(t)("norm_a", "norm_b")).where(F.col("ratio") >= t) \
         .select("id_a", "id_b", "ratio")
     if rb is not None:
