@@ -55,3 +55,25 @@ def test_similarity_collapses_exact_copies(spark):
     out = {r["id"]: (r["accepted"], r["rejected_by"]) for r in sim.dedupe_in_order(df, "id", "t").collect()}
     assert out[min(hot_ids)][0] is True
     assert all(out[i] == (False, min(hot_ids)) for i in hot_ids if i != min(hot_ids))
+
+
+def test_cohort_retention_hot_user(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from quarry.operators.windows import cohort_retention
+
+    rng = random.Random(7)
+    data = []
+    for i in range(900):
+        user = 0 if i % 3 == 0 else rng.randint(1, 40)  # user 0 holds a third of the events
+        data.append((user if i % 50 else None, rng.randint(0, 11)))
+    df = spark.createDataFrame(data, "u long, p long")
+    got = {(r["cohort"], r["offset"]): r["users"] for r in cohort_retention(df, "u", F.col("p")).collect()}
+    pairs = {(u, p) for u, p in data if u is not None}
+    first = {}
+    for u, p in pairs:
+        first[u] = min(first.get(u, p), p)
+    exp = Counter((first[u], p - first[u]) for u, p in pairs)
+    assert got == dict(exp)
