@@ -51,7 +51,7 @@ def w2_top3_per_nation(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     j = t.customer.join(joins.broadcast_if_bounded(t.nation, DIM_ROWS),
                         F.col("c_nationkey") == F.col("n_nationkey"))
-    top = win.top_n_per_group(j, "c_nationkey", [F.col("c_acctbal").desc()], 3)
+    top = win.top_n_values(j, "c_nationkey", "c_acctbal", 3)
     return top.select("n_name", "c_custkey", "c_name", "c_acctbal", F.col("rnk").cast("bigint").alias("rnk"))
 
 
@@ -61,7 +61,7 @@ SELECT o_orderpriority, o_orderkey, o_totalprice FROM (
          RANK() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS r FROM orders) t WHERE r = 1""")
 def w2_top1(spark, sf):
     o = Tables(spark, sf).orders
-    top = win.top_n_per_group(o, "o_orderpriority", [F.col("o_totalprice").desc()], 1, kind="rank")
+    top = win.top_n_values(o, "o_orderpriority", "o_totalprice", 1, kind="rank")
     return top.select("o_orderpriority", "o_orderkey", "o_totalprice")
 
 

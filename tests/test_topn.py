@@ -36,3 +36,19 @@ def test_nth_highest_salted(spark, monkeypatch):
     df = spark.createDataFrame([(v,) for v in [5, 9, 9, 7, None, 3, 7, 1]], "v long")
     assert nth_highest(df, "v", 3).collect()[0][0] == 5
     assert nth_highest(df, "v", 6).collect()[0][0] is None
+
+
+VALS = st.lists(st.tuples(st.sampled_from([None, 0, 0, 0, 1, 2]), st.one_of(st.none(), st.integers(0, 6))),
+                min_size=0, max_size=150)
+
+
+@settings(max_examples=8, deadline=None)
+@given(data=VALS, kind=st.sampled_from(["dense_rank", "rank"]), n=st.integers(1, 5), desc=st.booleans())
+def test_top_n_values_equals_window(spark, data, kind, n, desc):
+    df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(data)], "k long, v long, i long")
+    got = W.top_n_values(df, "k", "v", n, kind=kind, descending=desc)
+    fn = {"dense_rank": F.dense_rank, "rank": F.rank}[kind]
+    o = F.col("v").desc() if desc else F.col("v").asc()
+    exp = df.withColumn("rnk", fn().over(Window.partitionBy("k").orderBy(o))).where(F.col("rnk") <= n)
+    assert sorted(map(tuple, got.select("k", "v", "i", "rnk").collect()), key=str) == \
+        sorted(map(tuple, exp.select("k", "v", "i", "rnk").collect()), key=str)
