@@ -19,9 +19,11 @@ shingle; no words: empty set). Two texts are linked when
    all others; equal and similar texts are linked on their full sets. Buckets whose
    texts then lie in one component are settled, as another link in them could not
    change a component. The others get another centre as long as that joins
-   components; at last all pairs of texts from different components that share a
-   bucket are compared. So no link between components that the bands see is lost,
-   and a large group of near copies costs a comparison a text, not a pair.
+   components. At last all pairs of texts from different components that share a
+   bucket are compared, but for those that shingles found in one text alone rule
+   out. So no link between components that the bands see is lost. A group of near
+   copies costs about a comparison a text, and only its texts that are similar
+   enough to few others are compared with all of them.
 5. *Union-find* over the links (``components``).
 
 Defined cases: null or empty text: empty set, linked with nothing, its own
@@ -168,31 +170,76 @@ def similar_components(table: DataFrame, docs: DataFrame, shingle_words: int, mi
     texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = materialize(set_table(texts, shingle_words).join(wanted, ["doc_id", "set_a", "set_b"])
                        .select("doc_id", "shingles").dropDuplicates(["doc_id"]), "sets")
-    component, tried = None, None
-    while not centre.isEmpty():
-        pairs = (now.join(centre, "bucket").where("component <> top")
-                 .select(F.col("doc_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b").where(_fits(min_percent))
-                 .select("a", "b").distinct())
-        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = _verified(pairs, sets, min_percent)
-        tried = pairs if tried is None else tried.union(pairs)
+    state = _State(sets, min_percent)
+    now = state.settle(now, centre)
+    if now is None:
+        return state.component if state.component is not None else _merged(None, _no_links(table))
+    state.link(_remaining(now, sets, min_percent))
+    return state.component if state.component is not None else _merged(None, _no_links(table))
+
+
+class _State:
+    """Components so far and the pairs already compared."""
+
+    def __init__(self, sets: DataFrame, min_percent: int):
+        self.sets, self.min_percent = sets, min_percent
+        self.component: DataFrame | None = None
+        self.tried: DataFrame | None = None
+
+    def labelled(self, members: DataFrame) -> DataFrame:
+        """``members`` with each text's present component, as a written table."""
+        if self.component is None:
+            return materialize(members.withColumn("component", F.col("doc_id")), "now")
+        return materialize(members.join(self.component, F.col("doc_id") == F.col("node"), "left")
+                           .select(*members.columns, F.coalesce("component", "doc_id").alias("component")), "now")
+
+    def link(self, pairs: DataFrame) -> bool:
+        """Compare pairs ``(a, b)`` that were not compared before; whether any were linked."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = materialize(pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti"), "pairs")
+        links = _verified(pairs, self.sets, self.min_percent)
+        self.tried = pairs if self.tried is None else self.tried.union(pairs)
         if links.isEmpty():
-            break
-        component = _merged(component, links)
-        now = materialize(now.drop("component").join(component, F.col("doc_id") == F.col("node"), "left")
-                          .select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")), "now")
-        centre = _centres(now)
-        now = materialize(now.join(centre.select("bucket"), "bucket"), "open")
-    if centre.isEmpty():
-        return component if component is not None else _merged(None, _no_links(table))
-    # every pair left: texts of different components that share a bucket
-    one = now.select("bucket", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    two = now.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    rest = (one.join(two, "bucket").where("a < b and c_a <> c_b").where(_fits(min_percent))
-            .select("a", "b").distinct())
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = _verified(materialize(rest.join(known, ["a", "b"], "left_anti"), "rest"), sets, min_percent)
-    return _merged(component, links) if component is None or not links.isEmpty() else component
+            return False
+        self.component = _merged(self.component, links)
+        return True
+
+    def settle(self, now: DataFrame, centre: DataFrame) -> DataFrame | None:
+        """Rounds of one centre a bucket until none links anything; what is in open buckets then (None: nothing)."""
+        while not centre.isEmpty():
+            pairs = (now.join(centre, "bucket").where("component <> top")
+                     .select(F.col("doc_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b").where(_fits(self.min_percent)))
+            if not self.link(pairs):
+                return now
+            now = self.labelled(now.drop("component"))
+            centre = _centres(now)
+            now = materialize(now.join(centre.select("bucket"), "bucket"), "open")
+        return None
+
+
+def _remaining(now: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
+    """Every pair of texts from different components that share a bucket and can be similar enough.
+
+    Shingles that no other open text has bound a pair's intersection: of near
+    copies with edits of their own, most pairs go without a comparison.
+    """
+    own = sets.join(now.select("doc_id").distinct(), "doc_id", "left_semi")
+    alone = (own.select("doc_id", F.explode("shingles").alias("s")).groupBy("s")
+             .agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
+             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
+    now = materialize(now.join(alone, "doc_id", "left").withColumn("v", F.col("n") - F.coalesce("alone", F.lit(0)))
+                      .where(F.col("v") * 100 >= min_percent * F.col("n"))
+                      .select("bucket", "doc_id", "n", "v", "component"), "bounded")
+    main = (now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket")
+            .agg(F.max(F.struct("c", "component")).alias("m")).select("bucket", F.col("m.component").alias("main")))
+    one = materialize(now.join(main, "bucket").where("component <> main").select(
+        "bucket", "main", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "v", "component")]), "outside")
+    two = now.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "v", "component")])
+    common = F.least("v_a", "v_b")
+    return (one.join(two, "bucket")
+            .where("component_a <> component_b and (component_b = main or doc_id_a < doc_id_b)")
+            .where(100 * common >= min_percent * (F.col("n_a") + F.col("n_b") - common))
+            .select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct())
 
 
 def _no_links(table: DataFrame) -> DataFrame:
