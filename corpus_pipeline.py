@@ -2,6 +2,8 @@
 
 A stage is ``(name, function)``; the function takes ``(spark, docs, sf_dir)`` and
 returns a DataFrame that is written as Parquet and reread as the next one's docs.
+All stages but the last return the columns of ``documents``. Documents without an
+id pass the filtering stages that need one.
 """
 
 from __future__ import annotations
@@ -9,23 +11,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm import apportion, containment, ftrl, secrets, superminhash
+from quarry.llm.plans import held_out
 from quarry.llm.scratch import materialize
-from quarry.llm.superminhash import near_duplicates
+from quarry.operators.joins import broadcast_if_bounded
 from quarry.sources.tables import read_table
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id.
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from the labels of rows not held out."""
+    labels = read_table(spark, sf_dir, "labels").where(~held_out("doc_id", 4, 2))
+    model = ftrl.fit(docs, labels)
+    verdict = ftrl.score(docs, model, carry=docs.columns)
+    return verdict.where("predicted = 0").select("row.*")
 
-    A row stays unless its text was marked as a copy of another id's; repeated
-    rows of a kept id collapse to one.
-    """
-    keep = near_duplicates(docs, shingle_words=5, min_percent=80).where("kept").select("doc_id").distinct()
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one of smallest id, once."""
+    keep = superminhash.near_duplicates(docs, shingle_words=5, min_percent=80).where("kept").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item (80% of its 5-word shingles) go."""
+    found = containment.contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(broadcast_if_bounded(materialize(found, "contaminated")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark and ``n_chars`` follows; all documents stay."""
+    found = secrets.scan(docs, carry=docs.columns)
+    text, n_chars = F.coalesce("redacted", "row.text"), F.length("redacted").cast("long")
+    new = {"text": text, "n_chars": F.when(F.col("redacted").isNotNull(), n_chars).otherwise(F.col("row.n_chars"))}
+    return found.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of 150% at source weights 3, 1, 2 takes."""
+    return apportion.mix_sources(docs)
 
 
-STAGES = [("near_dedup", dedup)]
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontaminate),
+          ("secrets", redact_secrets), ("mixing", mix)]
 ORACLE_SQL = None
 
 

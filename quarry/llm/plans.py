@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.apportion import mix_sources
+from quarry.llm.automaton import token_counts
+from quarry.llm.chat import digests, format_chats
+from quarry.llm.containment import contaminated
+from quarry.llm.ftrl import fit as fit_toxicity
+from quarry.llm.ftrl import score as score_toxicity
+from quarry.llm.language import fit as fit_language
+from quarry.llm.language import predict as predict_language
+from quarry.llm.secrets import KINDS
+from quarry.llm.secrets import scan as scan_secrets
 from quarry.llm.superminhash import near_duplicates
+from quarry.llm.threshold import top_k
 from quarry.sources.tables import read_table
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +39,96 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
 def op7_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of documents by 2-word shingles, Jaccard 0.8. Rows-only here: tested against brute force."""
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2, min_percent=80)
+
+
+@plan
+def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budgeted chat windows of all conversations, read back. Rows-only here: tested against brute force."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(r"\### Assistant: </turn> ok").alias("text"))
+    return digests(format_chats(turns.unionByName(extra)))
+
+
+@plan
+def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words each document gives to a mix of 150% at source weights 3, 1, 2. Rows-only here: tested against brute force."""
+    return mix_sources(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "shard")
+
+
+@plan
+def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model of the rows not held out. Rows-only here: tested by held-out accuracy."""
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = fit_toxicity(docs, labels.where(~held_out("doc_id", 4, 2)))
+    return score_toxicity(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+@plan
+def op9_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: fixed patterns and guess costs. Rows-only here: tested against brute force."""
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select("doc_id", *map(count, KINDS[:3]), F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"), count("guess"))
+
+
+@plan
+def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold at least 80% of, by 5-word shingles."""
+    docs, items = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contaminated(docs, items)
+
+
+_SHINGLES = """SELECT {id}, unnest(CASE WHEN len(w) >= 5 THEN
+        list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM (SELECT {id}, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table} WHERE {id} IS NOT NULL)"""
+
+ORACLE["op10_benchmark_containment"] = f"""
+WITH d AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id='doc_id', table='documents')})),
+     i AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id='item_id', table='benchmark')})),
+     n AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY item_id),
+     c AS (SELECT doc_id, item_id, count(*) AS common FROM d JOIN i USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, item_shingles, common, common / item_shingles AS containment
+FROM c JOIN n USING (item_id) WHERE common * 100 >= item_shingles * 80"""
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@plan
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy longest-match token counts of every document. Rows-only here: tested against brute force."""
+    return token_counts(read_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@plan
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a string kernel. Rows-only here: tested by held-out accuracy."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_language(docs, ~held_out("doc_id", 4, 2))
+    return predict_language(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@plan
+def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best integer inner products of every 100th vector id against all other rows."""
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op4_threshold_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e,
+             row_number() OVER () AS i
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, q.i, c.vec_id,
+             CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda d: q.e[d] * c.e[d])) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.i <> c.i AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+     r AS (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id, i ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10"""
