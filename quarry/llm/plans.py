@@ -13,6 +13,7 @@ from quarry.llm.chat import digests, format_chats
 from quarry.llm.containment import contaminated
 from quarry.llm.ftrl import fit as fit_toxicity
 from quarry.llm.ftrl import score as score_toxicity
+from quarry.llm.katz import score as katz_score
 from quarry.llm.language import fit as fit_language
 from quarry.llm.language import predict as predict_language
 from quarry.llm.secrets import KINDS
@@ -132,3 +133,10 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 *
            FROM v q JOIN v c ON q.i <> c.i AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
      r AS (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id, i ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@plan
+def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff log probability of every document. Rows-only here: tested against brute force."""
+    docs = read_table(spark, sf_dir, "documents")
+    return katz_score(docs, ~held_out("doc_id", 5, 1)).withColumn("held_out", held_out("doc_id", 5, 1))
