@@ -30,8 +30,9 @@ def to_double(c: str | Column) -> Column:
 
 def round_half_up(c: str | Column, digits: int, scale: int = 6) -> Column:
     """ROUND on an exact decimal: half away from zero, no binary-half surprises
-    (``round(1.005, 2)`` is 1.01). Result is a double."""
-    return F.round(col_(c).cast(f"decimal(38,{scale})"), digits).cast("double")
+    (``round(1.005, 2)`` is 1.01). Result is a double; a number beyond the
+    decimal's range (no fraction is left there) stays as it is."""
+    return F.coalesce(F.round(col_(c).try_cast(f"decimal(38,{scale})"), digits).cast("double"), col_(c).cast("double"))
 
 
 def safe_div(n: str | Column, d: str | Column) -> Column:
@@ -44,15 +45,15 @@ def safe_div(n: str | Column, d: str | Column) -> Column:
 def band(c: str | Column, thresholds: Sequence[tuple[float, str]], default: str) -> Column:
     """First-match-wins banding over descending lower bounds.
 
-    ``band("score", [(8.5, "Masterpiece"), (7.0, "Recommended")], "Average")``
-    gives half-open bands: ``>= 8.5``, ``[7.0, 8.5)``, else the default. A NULL
+    ``band("depth_m", [(200.0, "deep"), (40.0, "shelf")], "shore")``
+    gives half-open bands: ``>= 200``, ``[40, 200)``, else the default. A NULL
     input falls through to the default, as in SQL CASE.
     """
     x = col_(c)
     expr = None
     for lower, label in thresholds:
         expr = F.when(x >= lower, label) if expr is None else expr.when(x >= lower, label)
-    return default if expr is None else expr.otherwise(default)
+    return F.lit(default) if expr is None else expr.otherwise(default)
 
 
 # --------------------------------------------------------------------- predicates
@@ -82,7 +83,7 @@ def substr_sql(c: str | Column, start: int, length: int | None = None) -> Column
     return F.substring(col_(c), start, length)
 
 
-def norm_title(c: str | Column) -> Column:
+def normalized_text(c: str | Column) -> Column:
     """Lower-case, drop everything outside ``[a-z0-9 ]``, trim."""
     return F.trim(F.regexp_replace(F.lower(col_(c)), "[^a-z0-9 ]", ""))
 

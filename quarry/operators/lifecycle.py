@@ -62,10 +62,13 @@ def carry_first_seen(current: DataFrame, previous: DataFrame | None, run_date: s
 
 
 def next_version(previous: DataFrame, current: DataFrame, prev_version: int | Column,
-                 id_col: str = "id", compare: Sequence[str] = ("sha256",)) -> DataFrame:
-    """Change detection (M3): reconcile the two snapshots on the id and bump
+                 id_col: str = "id", compare: Sequence[str] | None = None) -> DataFrame:
+    """Change detection (M3): whole entries are compared (``compare`` narrows
+    that to some columns); reconcile the two snapshots on the id and bump
     the version only when something was added, removed or changed. One row:
     ``version``, ``changed``, ``n_added``, ``n_removed``, ``n_changed``."""
+    if compare is None:
+        compare = [c for c in current.columns if c != id_col and c in previous.columns]
     r = reconcile(previous, current, id_col, list(compare))
     s = r.agg(F.count_if(F.col("status") == "added").alias("n_added"),
               F.count_if(F.col("status") == "removed").alias("n_removed"),
@@ -81,10 +84,10 @@ def next_version(previous: DataFrame, current: DataFrame, prev_version: int | Co
 def assign_ids(new_rows: DataFrame, existing_max: Column, order: Sequence[str],
                id_col: str = "new_id", n_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Sequential ids after the current maximum (M4): ``existing_max +
-    row_number()`` in ``order``. The global row number comes from the blocked
+    row_number()`` in ``order``; from 1 where nothing exists yet. The global row number comes from the blocked
     ordered scan, so a large append is numbered by many tasks, not one."""
     numbered = ordered_scan(new_rows, None, list(order), n_blocks=n_blocks, row_number="_rn")
-    return numbered.withColumn(id_col, (existing_max + F.col("_rn")).cast("bigint")).drop("_rn")
+    return numbered.withColumn(id_col, (F.coalesce(existing_max, F.lit(0)) + F.col("_rn")).cast("bigint")).drop("_rn")
 
 
 # --------------------------------------------------------------------- M5, M7 quotas and samples
@@ -150,12 +153,34 @@ def _rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(src_p, dst_p))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def _replace(spark: SparkSession, staging: str, final: str) -> None:
+    """Put ``staging`` in the place of ``final``; the folder that was there stays beside it under a dated name.
+
+    A rename onto a folder that exists would move the new one *into* it. If the
+    second rename fails, the old folder goes back and the call raises.
+    """
+    aside = f"{final.rstrip('/')}.before-{uuid.uuid4().hex}"
+    had = _exists(spark, final)
+    if had and not _rename(spark, final, aside):
+        raise RuntimeError(f"{final} could not be moved aside")
+    if not _rename(spark, staging, final) or _exists(spark, staging):
+        if had:
+            _rename(spark, aside, final)
+        raise RuntimeError(f"{staging} could not be promoted to {final}")
+
+
 def publish_if_clean(df: DataFrame, final_path: str,
                      checks: Mapping[str, Callable[[DataFrame], DataFrame]],
                      staging_path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """All-or-nothing publish (M11): write to a staging folder, run every
     check on the *staged* data (each returns a findings DataFrame), promote
-    by renaming the folder only when all are empty. Returns one row per check
+    by renaming the folder only when all are empty (a snapshot already there is
+    moved aside first and kept). Returns one row per check
     with its finding count and the overall ``promoted`` flag; a failed gate
     leaves ``final_path`` untouched."""
     spark = df.sparkSession
@@ -164,13 +189,14 @@ def publish_if_clean(df: DataFrame, final_path: str,
     staged = spark.read.format(fmt).load(staging)
     counts = [(name, check(staged).count()) for name, check in checks.items()]
     clean = all(n == 0 for _, n in counts)
-    promoted = _rename(spark, staging, final_path) if clean else False
-    return spark.createDataFrame([(name, int(n), bool(promoted)) for name, n in counts],
+    if clean:
+        _replace(spark, staging, final_path)
+    return spark.createDataFrame([(name, int(n), clean) for name, n in counts],
                                  "check string, findings long, promoted boolean")
 
 
 def write_if_changed(current: DataFrame, previous_path: str | None, out_root: str, prev_version: int,
-                     id_col: str = "id", compare: Sequence[str] = ("sha256",)) -> DataFrame:
+                     id_col: str = "id", compare: Sequence[str] | None = None) -> DataFrame:
     """Conditional snapshot sink (S6): compare with the previous snapshot
     (M3) and write ``out_root/v=<version>`` only when the entries changed.
     Returns the version row with ``written``."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import numeric_or_text, round_half_up
-from quarry.operators.scan import ordered_scan
+from quarry.operators.scan import MAX_BLOCKS, ordered_scan
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -51,7 +51,7 @@ def text_key(c: str | Column) -> Column:
 
 
 def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "first",
-                   n_blocks: int = 1024) -> DataFrame:
+                   n_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Rows whose normalised text was already held by an earlier id.
 
     ``holder="first"``: name the first (smallest) id with that text; a grouped
@@ -66,7 +66,9 @@ def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "fir
     if holder == "first":
         firsts = keyed.groupBy("_tk").agg(F.min(id_col).alias("holder_id"), F.count(F.lit(1)).alias("_n"))
         firsts = firsts.where(F.col("_n") > 1).drop("_n")
-        j = keyed.join(firsts, "_tk", "inner")
+        # null-safe, so that both sides are exchanged and AQE can split a hot text; null texts are no duplicates
+        firsts = firsts.where(F.col("_tk").isNotNull()).withColumnRenamed("_tk", "_fk")
+        j = keyed.join(firsts, F.col("_tk").eqNullSafe(F.col("_fk")), "inner")
         return j.where(F.col(id_col) != F.col("holder_id")).select(id_col, "holder_id")
     if holder == "previous":
         dup_keys = keyed.groupBy("_tk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")

@@ -65,12 +65,19 @@ def above_group_stat(df: DataFrame, group: str | Sequence[str], col: str,
     known after it runs, so the join strategy is left to AQE, which measures
     the shuffled aggregate and switches to a broadcast join when it is under
     the broadcast threshold (a runtime size check with no extra job); beyond
-    it the join stays sort-merge and a hot group's partition is split by AQE's
-    skew handling. A window over the group would put a hot group in one task.
+    it the join stays sort-merge. The null-safe condition keeps an exchange on
+    the aggregate's side, without which AQE cannot split a hot group's rows;
+    null groups match nothing, as in SQL. A window over the group would put a
+    hot group in one task.
     """
     keys = _list(group)
-    stats = df.groupBy(*keys).agg(getattr(F, stat)(F.col(col)).alias("_stat"))
-    return df.join(stats, keys, "inner").where(F.col(col) > F.col("_stat")).drop("_stat")
+    some = df
+    for k in keys:
+        some = some.where(F.col(k).isNotNull())
+    stats = some.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(getattr(F, stat)(F.col(col)).alias("_stat"))
+    same = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    return (some.join(stats, same, "inner").where(F.col(col) > F.col("_stat"))
+            .drop("_stat", *[f"_g_{k}" for k in keys]))
 
 
 # --------------------------------------------------------------------- aggregates
@@ -138,15 +145,19 @@ def tie_audit(df: DataFrame, key: str, k: int, descending: bool = True) -> DataF
     ambiguous when ``better < k < better + at_kth``: rows tied at the k-th key
     straddle the boundary, so the chosen rows depend on arrival order.
     """
-    o = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
-    kth = (df.select(key).where(F.col(key).isNotNull()).orderBy(o).limit(k)
-           .agg(F.when(F.count(F.lit(1)) == k, F.min(key) if descending else F.max(key)).alias("_kth")))
-    kth_val = kth.scalar()
-    ahead = (F.col(key) > kth_val) if descending else (F.col(key) < kth_val)
-    stats = df.agg(F.count_if(ahead).alias("better"),
-                   F.count_if(F.col(key) == kth_val).alias("at_kth"))
+    # nulls stand where the top-k puts them: last descending, first ascending
+    rank = F.struct(F.col(key).isNotNull().alias("present"), F.col(key).alias("value"))
+    kth = (df.select(rank.alias("_r")).orderBy(F.col("_r").desc() if descending else F.col("_r").asc()).limit(k)
+           .agg(F.when(F.count(F.lit(1)) == k, F.min("_r") if descending else F.max("_r")).alias("_kth")))
+    at, exists = kth.select("_kth.value").scalar(), kth.select("_kth").scalar().isNotNull()
+    null, at_null = F.col(key).isNull(), at.isNull()
+    if descending:
+        ahead = F.when(at_null, ~null).otherwise(F.col(key) > at)
+    else:
+        ahead = F.when(at_null, F.lit(False)).otherwise(null | (F.col(key) < at))
+    stats = df.agg(F.count_if(exists & ahead).alias("better"), F.count_if(exists & F.col(key).eqNullSafe(at)).alias("at_kth"))
     return stats.select(
-        F.lit(k).cast("bigint").alias("k"), kth.scalar().alias("kth_value"),
+        F.lit(k).cast("bigint").alias("k"), at.alias("kth_value"),
         F.col("better"), F.col("at_kth"),
         ((F.col("better") < k) & (F.col("better") + F.col("at_kth") > k)).alias("ambiguous"))
 
@@ -178,7 +189,8 @@ def exact_percentiles(df: DataFrame, group: str | Sequence[str] | None, col: str
     scanned = ordered_scan(vals, keys, [col], sums=["_c"], n_blocks=n_blocks, row_number=None)
     totals = vals.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     if keys:
-        j = scanned.join(totals, keys, "inner")
+        totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_n")
+        j = scanned.join(totals, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys], "inner")
     else:  # one total: an uncorrelated scalar subquery, evaluated once
         j = scanned.withColumn("_n", totals.scalar())
     cum, cnt, n = F.col("run__c"), F.col("_c"), F.col("_n")

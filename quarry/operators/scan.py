@@ -6,18 +6,16 @@ row into a single partition. Both are fine on a bounded input and wrong at
 scale. The scan here keeps the ordinary window for ordinary keys and splits
 only what is too big for one task:
 
-1. **Count once.** One aggregate (a ``rollup`` over the keys) gives the
-   exact row count ``N`` and the count of every key holding more than one
-   block's worth of rows; nothing else reaches the driver. With
-   ``n = ceil(N / rows_per_block)`` sub-blocks (capped), a key holding more
-   than ``N / n`` rows is *hot* (at most ``n`` keys); with no key the whole
-   relation is one hot group. When nothing is hot the scan is the plain
-   window and no further job runs.
+1. **Count once.** One aggregate gives the count of every key holding more
+   than ``rows_per_block`` rows; nothing else reaches the driver. Each such key
+   is *hot*, whatever the size of the table; with no key the whole relation is
+   one hot group. When nothing is hot the scan is the plain window and no
+   further job runs.
 2. **Sample the hot rows only.** A Bernoulli sample of the hot keys' rows,
-   fraction ``sample_rows / hot_rows``, is shuffled into one partition and
+   fraction ``sample_rows / hot_rows`` (20 rows a sub-block at least), is shuffled into one partition and
    sorted there: about ``sample_rows`` rows whatever the number of input
    partitions (a top-k sample would send ``k`` rows per input task to one
-   task). Each hot key gets ``ceil(rows / (N / n))`` sub-blocks with
+   task). Each hot key gets ``ceil(rows / rows_per_block)`` sub-blocks with
    boundaries on the order columns from its sample rows; every other key
    stays whole in sub-block 0. The sub-block is a deterministic function of
    the row (a binary search written as nested ``CASE`` over the boundaries),
@@ -45,8 +43,9 @@ from pyspark.sql import functions as F
 
 BLK = "_blk"
 ROWS_PER_BLOCK = 2_000_000
-MAX_BLOCKS = 1024
+MAX_BLOCKS = 16_384  # boundaries of one key are a binary search held in the plan
 SAMPLE_ROWS = 20_000
+SAMPLES_PER_BLOCK = 20
 
 
 def _cols(cols: str | Sequence[str] | None) -> list[str]:
@@ -106,23 +105,11 @@ def plan_blocks(df: DataFrame, keys: list[str], order: list[str], rows_per_block
     when no key (or, without keys, the relation) needs splitting."""
     cols = keys + order
     types = dict(df.select(*cols).dtypes)
-    # step 1: exact total and candidate hot keys from one aggregate; the
-    # driver gets the total plus at most N / rows_per_block key counts
+    # step 1: the keys of more than one block's worth from one aggregate; the
+    # driver gets at most N / rows_per_block key counts
     if keys:
-        full = (1 << len(keys)) - 1  # grouping id of the grand-total row
-        stats = (df.rollup(*keys).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
-                 .where((F.col("_gid") == full) | ((F.col("_gid") == 0) & (F.col("_n") > rows_per_block)))
-                 .collect())
-        total = next((r["_n"] for r in stats if r["_gid"] == full), 0)
-        cand = [(tuple(r[k] for k in keys), r["_n"]) for r in stats if r["_gid"] == 0]
-    else:
-        total, cand = df.count(), []
-    n_blocks = max(1, min(max_blocks, math.ceil(total / rows_per_block)))
-    if n_blocks == 1:
-        return None
-    share = total / n_blocks
-    if keys:
-        hot = [(kv, n) for kv, n in cand if n > share]
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).collect()
+        hot = [(tuple(r[k] for k in keys), r["_n"]) for r in counts]
         if not hot:
             return None
         hot_rows = sum(n for _, n in hot)
@@ -130,7 +117,11 @@ def plan_blocks(df: DataFrame, keys: list[str], order: list[str], rows_per_block
         for kv, _ in hot:
             is_hot = is_hot | _is_key(keys, types, kv)
     else:
+        total = df.count()
+        if total <= rows_per_block:
+            return None
         hot, hot_rows, is_hot = [((), total)], total, F.lit(True)
+    sample_rows = max(sample_rows, SAMPLES_PER_BLOCK * math.ceil(hot_rows / rows_per_block))
     # step 2: about sample_rows rows of the hot keys, sorted in one partition
     frac = min(1.0, sample_rows / max(hot_rows, 1))
     picked = (df.select(*cols).where(is_hot).where(F.rand(seed) < F.lit(frac))
@@ -141,7 +132,7 @@ def plan_blocks(df: DataFrame, keys: list[str], order: list[str], rows_per_block
         by_key.setdefault(tuple(r)[:nk], []).append(tuple(r)[nk:])
     branches: list[tuple[Column, Column]] = []
     for kv, n in hot:
-        parts = min(max_blocks, math.ceil(n / share))
+        parts = min(max_blocks, math.ceil(n / rows_per_block))
         bounds = _split(by_key.get(kv, []), parts)
         if not bounds:
             continue
@@ -188,6 +179,9 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     local = local.withColumn("_lrn", F.row_number().over(w))
     for c in lag_cols:
         local = local.withColumn(f"_llag_{c}", F.lag(c, 1).over(w))
+    # the same types whether or not anything is split
+    run_type = {c: local.schema[f"_lrun_{c}"].dataType for c in sums}
+    local = local.withColumn("_lrn", F.col("_lrn").cast("bigint"))
 
     if planned is None:
         # nothing is split: the window alone is the answer
@@ -227,7 +221,7 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
         carry, local_run = F.col(f"c_{c}"), F.col(f"_lrun_{c}")
         # SUM over only NULLs is NULL: stay NULL unless either part has a value
         out = out.withColumn(f"run_{c}", F.when(local_run.isNull() & carry.isNull(), F.lit(None))
-                             .otherwise(F.coalesce(local_run, F.lit(0)) + F.coalesce(carry, F.lit(0))))
+                             .otherwise(F.coalesce(local_run, F.lit(0)) + F.coalesce(carry, F.lit(0))).cast(run_type[c]))
     if row_number:
         out = out.withColumn(row_number, F.col("_lrn") + F.coalesce(F.col("c_n"), F.lit(0)))
     for c in lag_cols:

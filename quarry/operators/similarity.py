@@ -33,18 +33,26 @@ the work is staged:
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.expr import norm_title
+from quarry.functions.expr import normalized_text
 
 THRESHOLD = 0.85
 
 
+LEAST_THRESHOLD = 0.8  # the bigram bound is proved from here on
+
+
 def _pct(t: float) -> int:
-    return int(round(t * 100))
+    """Threshold in whole percents, rounded down: blocking may admit more, never less."""
+    if not LEAST_THRESHOLD <= t <= 1:
+        raise ValueError(f"similarity threshold {t} outside [{LEAST_THRESHOLD}, 1], where blocking is lossless")
+    return math.floor(t * 100 + 1e-9)
 
 
 def in_length_band(shorter: Column, longer: Column, t: float = THRESHOLD) -> Column:
@@ -64,7 +72,7 @@ def overlap_bound(max_len: Column, t: float = THRESHOLD) -> Column:
 def distinct_texts(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Step 0: ``reps(id, norm, len, digest)`` one row per distinct normalised
     text (id = smallest holder) and ``members(id, rep)`` for every row."""
-    n = df.select(F.col(id_col).alias("id"), norm_title(text_col).alias("norm")) \
+    n = df.select(F.col(id_col).alias("id"), normalized_text(text_col).alias("norm")) \
         .withColumn("digest", F.unhex(F.sha2("norm", 256)))
     reps = n.groupBy("digest").agg(F.min_by(F.struct("id", "norm"), F.col("id")).alias("r")) \
         .select(F.col("r.id").alias("id"), F.col("r.norm").alias("norm"), "digest") \
@@ -83,7 +91,7 @@ def distinct_texts_two(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id:
     """Representatives of both sides of a two-sided join (step 0 per side),
     materialised together in one job; ids may repeat across the sides."""
     def side(df, id_col, text_col, tag):
-        return df.select(F.lit(tag).alias("_side"), F.col(id_col).alias("id"), norm_title(text_col).alias("norm"))
+        return df.select(F.lit(tag).alias("_side"), F.col(id_col).alias("id"), normalized_text(text_col).alias("norm"))
     n = side(a, a_id, a_text, 0).unionByName(side(b, b_id, b_text, 1)) \
         .withColumn("digest", F.unhex(F.sha2("norm", 256)))
     reps = n.groupBy("_side", "digest").agg(F.min_by(F.struct("id", "norm"), F.col("id")).alias("r")) \
@@ -236,7 +244,7 @@ def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None =
     return scored
 
 
-def accept_in_order(reps: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def accept_in_order(reps: DataFrame, edges: DataFrame) -> DataFrame:
     """Accept-as-you-go over distinct values (M6): in id order, a value is
     rejected when an *accepted* earlier value is similar to it.
 
@@ -258,7 +266,7 @@ def accept_in_order(reps: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
     touched = e.select(F.col("id_a").alias("id")).union(e.select(F.col("id_b").alias("id"))).distinct()
     state = touched.withColumn("s", F.lit("U")).withColumn("by", F.lit(None).cast(id_type)) \
         .checkpoint(eager=True)
-    for _ in range(max_rounds):
+    while True:  # each round decides the smallest undecided id at least
         if state.where(F.col("s") == "U").isEmpty():
             break
         nb = e.join(state.select(F.col("id").alias("id_b"), F.col("s").alias("sb")), "id_b")

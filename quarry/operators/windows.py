@@ -48,12 +48,16 @@ def rank_columns(df: DataFrame, keys: str | Sequence[str], order: str, tiebreak:
     """
     keys = _list(keys)
     o = F.col(order)
-    base = df.withColumn("_o", -o if descending else o)
-    numbered = ordered_scan(base, keys, ["_o", tiebreak], n_blocks=n_blocks, row_number="row_number")
-    peers = numbered.groupBy(*keys, "_o").agg(F.min("row_number").alias("rank"))
-    dense = ordered_scan(peers, keys, ["_o"], n_blocks=n_blocks, row_number="dense_rank")
-    out = numbered.join(dense, [*keys, "_o"], "inner")
-    return out.drop("_o")
+    # nulls first ascending, last descending
+    by = ["_oa", "_o"]
+    base = df.withColumn("_oa", (o.isNull() if descending else o.isNotNull()).cast("int")).withColumn("_o", -o if descending else o)
+    numbered = ordered_scan(base, keys, [*by, tiebreak], n_blocks=n_blocks, row_number="row_number")
+    peers = numbered.groupBy(*keys, *by).agg(F.min("row_number").alias("rank"))
+    dense = ordered_scan(peers, keys, by, n_blocks=n_blocks, row_number="dense_rank")
+    dense = dense.select(*[F.col(c).alias(f"_d{i}") for i, c in enumerate([*keys, *by])], "rank", "dense_rank")
+    same = [F.col(c).eqNullSafe(F.col(f"_d{i}")) for i, c in enumerate([*keys, *by])]
+    out = numbered.join(dense, same, "inner")  # null-safe: a null key or value is a peer group too
+    return out.select(*df.columns, "row_number", "rank", "dense_rank")
 
 
 # --------------------------------------------------------------------- W2
@@ -145,7 +149,7 @@ def period_change(df: DataFrame, keys: str | Sequence[str] | None, order: str, v
         prior = df.select(*[F.col(k).alias(f"_pk_{k}") for k in keys],
                           F.col(order).alias("_p_next_src"), F.col(value).alias(prev))
         cur = df.withColumn("_p_prev_key", step)
-        cond = [F.col(k) == F.col(f"_pk_{k}") for k in keys] + [F.col("_p_prev_key") == F.col("_p_next_src")]
+        cond = [F.col(k).eqNullSafe(F.col(f"_pk_{k}")) for k in keys] + [F.col("_p_prev_key") == F.col("_p_next_src")]
         out = cur.join(prior, cond, "left")
         return out.drop("_p_prev_key", "_p_next_src", *[f"_pk_{k}" for k in keys])
     raise ValueError(mode)
@@ -213,7 +217,9 @@ def calendar_moving_average(df: DataFrame, keys: str | Sequence[str] | None, day
     cond = [F.col(k).eqNullSafe(F.col(f"_vk_{k}")) for k in keys] + [F.col("_w") == F.col("_vd")]
     j = expanded.join(vals, cond, "inner")
     agg = j.groupBy(*keys, "_d").agg(F.avg("_v").alias(name))
-    return df.join(agg.withColumnRenamed("_d", day), [*keys, day], "left")
+    agg = agg.select(*[F.col(c).alias(f"_a{i}") for i, c in enumerate([*keys, "_d"])], name)
+    same = [F.col(c).eqNullSafe(F.col(f"_a{i}")) for i, c in enumerate([*keys, day])]
+    return df.join(agg, same, "left").drop(*[f"_a{i}" for i in range(len(keys) + 1)])
 
 
 # --------------------------------------------------------------------- W5, W8, W9

@@ -183,7 +183,7 @@ def f11_chain(spark, sf):
     frontier = conv.where(F.col("turn") == 0).withColumn("depth", F.lit(1).cast("bigint"))
     levels = [frontier]
     nxt_base = conv.select(F.col("conv_id").alias("c_id"), F.col("turn").alias("c_turn"), F.col("role").alias("c_role"))
-    for _ in range(10_000):
+    while True:
         nxt = (frontier.join(nxt_base, (F.col("c_id") == F.col("conv_id"))
                              & (F.col("c_turn") == F.col("turn") + 1) & (F.col("c_role") != F.col("role")))
                .select(F.col("c_id").alias("conv_id"), F.col("c_turn").alias("turn"),
@@ -479,7 +479,8 @@ def o4(spark, sf):
 # ===================================================================== U: set operations
 
 def _active_customers(t: Tables, year: int) -> DataFrame:
-    return t.orders.where(F.year("o_orderdate") == year).select(F.col("o_custkey").alias("c_custkey"))
+    kind = t.orders.schema["o_orderdate"].dataType  # a half-open range of the column itself reaches the scan
+    return t.orders.where((F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast(kind)) & (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast(kind))).select(F.col("o_custkey").alias("c_custkey"))
 
 
 @plan("u1_union", """

@@ -111,7 +111,7 @@ def x7(spark, sf):
 SELECT item_id, trim(regexp_replace(lower(text), '[^a-z0-9 ]', '', 'g')) AS norm FROM benchmark""")
 def x8(spark, sf):
     b = Tables(spark, sf).benchmark
-    return b.select("item_id", X.norm_title("text").alias("norm"))
+    return b.select("item_id", X.normalized_text("text").alias("norm"))
 
 
 @plan("x9_x14_keys_and_contains", """
@@ -153,7 +153,7 @@ def x13(spark, sf):
     ev = Tables(spark, sf).events
     reply = F.concat(F.lit("Here you go:\n```json\n"), F.col("props"), F.lit("\n```"))
     span = X.braces_span(reply)
-    return ev.select("event_id", span.alias("span"), F.get_json_object(span, "$.k").cast("bigint").alias("k"))
+    return ev.select("event_id", span.alias("span"), F.get_json_object(span, "$.k").try_cast("bigint").alias("k"))
 
 
 @plan("x15_regex_classes", """

@@ -27,7 +27,7 @@ def s1(spark, sf):
     to a fresh folder, then scan it with an explicit schema in PERMISSIVE
     mode: broken lines come back in ``_corrupt_record`` instead of vanishing."""
     ev = Tables(spark, sf).events
-    j = F.to_json(F.struct("event_id", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k")))
+    j = F.to_json(F.struct("event_id", "event_type", F.get_json_object("props", "$.k").try_cast("bigint").alias("k")))
     lines = ev.select("event_id", j.alias("j")).select(
         F.when(F.col("event_id") % 13 == 0, F.expr("substring(j, 1, length(j) - 1)")).otherwise(F.col("j")).alias("value"))
     path = lc.scratch_path(spark, "jsonl")

@@ -11,11 +11,11 @@ from quarry.operators import joins, relational as rel, windows as win
 
 
 def test_f1_filter_threshold_excluded(spark):
-    emp = spark.createDataFrame([(1, "Ana", 60000.0, 10), (2, "Ben", 75000.0, 10), (3, "Cy", 80000.0, 20),
-                                 (4, "Dee", 59000.0, 10), (5, "Eli", 61000.0, 10), (6, "Fay", None, 10)],
-                                "id long, name string, salary double, department_id long")
-    out = rel.filter_project(emp, (F.col("department_id") == 10) & (F.col("salary") > 60000), ["name"])
-    assert rows(out) == [("Ben",), ("Eli",)]
+    emp = spark.createDataFrame([(1, "kelp", 3.5, 7), (2, "moss", 9.25, 7), (3, "fern", 12.0, 4),
+                                 (4, "reed", 3.0, 7), (5, "sage", 4.0, 7), (6, "dock", None, 7)],
+                                "id long, name string, height double, plot long")
+    out = rel.filter_project(emp, (F.col("plot") == 7) & (F.col("height") > 3.5), ["name"])
+    assert rows(out) == [("moss",), ("sage",)]
 
 
 def test_f2_distinct(spark):
@@ -149,9 +149,9 @@ def money_v(x):
 
 
 def test_f3_half_open_bands(spark):
-    m = spark.createDataFrame([(1, 8.5), (2, 8.49), (3, 7.0), (4, 6.99), (5, None)], "id long, score double")
-    out = m.select("id", band("score", [(8.5, "Masterpiece"), (7.0, "Recommended")], "Average").alias("c"))
-    assert rows(out) == [(1, "Masterpiece"), (2, "Recommended"), (3, "Recommended"), (4, "Average"), (5, "Average")]
+    m = spark.createDataFrame([(1, 200.0), (2, 199.9), (3, 40.0), (4, 39.9), (5, None)], "id long, depth_m double")
+    out = m.select("id", band("depth_m", [(200.0, "deep"), (40.0, "shelf")], "shore").alias("c"))
+    assert rows(out) == [(1, "deep"), (2, "shelf"), (3, "shelf"), (4, "shore"), (5, "shore")]
 
 
 def test_a2_null_aware_totals(spark):
@@ -185,18 +185,18 @@ def test_w4_monthly_drops_per_show(spark):
     assert rows(drops, "show", "month", "streams", "prev") == [(1, "2024-02", 80, 100), (2, "2024-02", 4, 5)]
 
 
-def test_w8_check_number_runs(spark):
-    checks = spark.createDataFrame(
+def test_w8_ticket_number_runs(spark):
+    tickets = spark.createDataFrame(
         [(1, 1, 101, 0), (2, 1, 102, 0), (3, 1, 103, 1), (4, 1, 104, 0), (5, 1, 105, 0), (6, 1, 107, 0),
          (7, 2, 200, 0), (8, 3, 300, 1), (9, 3, 301, 1), (10, 4, 50, 0), (11, 4, 51, 0), (12, 4, 51, 0)],
-        "id long, account long, check_no long, voided long")
-    valid = checks.where(F.col("voided") == 0)
-    out = win.islands(valid, "account", "check_no", start="s", end="e", size="n")
-    # account 4: the duplicated 51 splits the run the way ROW_NUMBER does
-    assert rows(out, "account", "s", "e", "n") == [(1, 101, 102, 2), (1, 104, 105, 2), (1, 107, 107, 1),
+        "id long, reel long, ticket long, torn long")
+    valid = tickets.where(F.col("torn") == 0)
+    out = win.islands(valid, "reel", "ticket", start="s", end="e", size="n")
+    # reel 4: the duplicated 51 splits the run the way ROW_NUMBER does
+    assert rows(out, "reel", "s", "e", "n") == [(1, 101, 102, 2), (1, 104, 105, 2), (1, 107, 107, 1),
                                                    (2, 200, 200, 1), (4, 50, 51, 2), (4, 51, 51, 1)]
-    dedup = win.islands(valid, "account", "check_no", dedupe=True, start="s", end="e", size="n")
-    assert rows(dedup.where(F.col("account") == 4), "s", "e", "n") == [(50, 51, 2)]
+    dedup = win.islands(valid, "reel", "ticket", dedupe=True, start="s", end="e", size="n")
+    assert rows(dedup.where(F.col("reel") == 4), "s", "e", "n") == [(50, 51, 2)]
 
 
 def test_w1_three_ranks(spark):
