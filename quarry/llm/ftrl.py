@@ -68,7 +68,7 @@ def learn(rows: list[tuple[np.ndarray, int]], bits: int, *, alpha: float = 1.0,
     """FTRL-proximal over ``(features, label)``; the bias is the last coordinate and is not shrunk."""
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    threshold = np.full(size + 1, l1)
+    threshold = np.full(size + 1, l1, np.float32)
     threshold[size] = 0
 
     def weights(i):
@@ -92,7 +92,7 @@ def learn(rows: list[tuple[np.ndarray, int]], bits: int, *, alpha: float = 1.0,
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        bits: int = 20, max_positive: int = 3000, max_negative: int = 6000, **settings) -> Model:
+        bits: int = 20, max_positive: int = 2000, max_negative: int = 4000, **settings) -> Model:
     """A model from a bounded sample of the labelled documents.
 
     ``labels`` holds ``id_col`` and ``label_col``, only rows that may be learned from.
@@ -118,11 +118,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     + [list_array((pairs & (1 << bits) - 1).astype(np.int32), ptr)], ["id", "label", "features"])
 
     found = sample.select("id", "label", "text").mapInArrow(run, "id long, label int, features array<int>").toArrow()
-    ids, marks = found.column("id").to_numpy(), found.column("label").to_numpy()
-    lists = found.column("features").combine_chunks()
-    flat, ptr = lists.values.to_numpy(), lists.offsets.to_numpy()
-    order = np.lexsort((np.diff(ptr), ids))
-    return learn([(flat[ptr[k]:ptr[k + 1]].astype(np.int64), int(marks[k])) for k in order], bits, **settings)
+    rows = []
+    for batch in found.to_batches():  # views of the collected lists, no copies
+        lists = batch.column("features")
+        flat, ptr = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for k, (name, mark) in enumerate(zip(batch.column("id").to_pylist(), batch.column("label").to_pylist())):
+            rows.append((name, ptr[k + 1] - ptr[k], flat[ptr[k]:ptr[k + 1]], mark))
+    rows.sort(key=lambda r: r[:2])
+    return learn([(own, mark) for _, _, own, mark in rows], bits, **settings)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3,
