@@ -15,9 +15,17 @@ Tokens are the words of a text, ``A``-``Z`` lower-cased, then one end token.
 
 Counts, weights and pairs are tables partitioned by key. Each token's recursion is
 rewritten as a sum, ``log P(w) + log alpha(h)`` and, for seen pairs, a correction, so
-that a text's score is one join of its distinct words and pairs with one model table
-and one sum. Repeats are summed within a task before every shuffle; hot keys are
-split by AQE as both sides of the join are exchanged. 64-bit hashes stand for words.
+that a text's score is a sum over its distinct words and pairs, each looked up in one
+model table. 64-bit hashes stand for words and pairs.
+
+Texts are taken in chunks. A chunk sends its distinct keys as one row for each bucket
+of keys: an array in key order, its bytes regrouped by position, which the shuffle's
+compression shortens, and no row for each key. A bucket is read as a stream (the
+model's rows first, then the chunks' rows one by one), so what a task holds is one
+bucket of the model, about ``BUCKET`` keys, however often one of them occurs. Keys that
+hold more than one in ``HEAVY`` of the training tokens (at most ``HEAVY`` words and
+``HEAVY`` pairs) are broadcast and scored where the text is read. Tables that are no
+longer needed are removed, and a step's shuffle files as soon as its table is written.
 
 Defined cases: null or empty text: the end token alone. Rows with a null id are
 scored and may be learned from as the caller's column says. Repeated rows are scored
@@ -31,14 +39,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarry.llm.scratch import materialize
+from quarry.llm.scratch import materialize, remove
 from quarry.llm.tokens import Words, mix, words
 
 END, START = 1, 2  # stand for the end token, and for the history of a text's first token
+HEAVY = 1 << 18    # a key with more than one in HEAVY of the training tokens is broadcast
+BUCKET = 1 << 20   # training tokens to a bucket of keys
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,33 +82,171 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([_long(token), pa.array(n)], ["w", "n"])
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _planes(x: np.ndarray) -> bytes:
+    """The array's bytes, the first of every element, then the second, and so on."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a key by its upper half, ascending with the key."""
+    return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def bucket_column(key: str, buckets: int) -> Column:
+    return F.shiftrightunsigned(F.shiftrightunsigned(F.col(key), 32) * F.lit(buckets).cast("long"), 32)
+
+
+def _slices(bucket: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, int)
+    return list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+
+
+def _pair_counts(buckets: int):
+    """Rows ``bucket, h, w, n`` of each chunk: its distinct pairs in key order and how often each occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words(batch.column("text"), 16 << 20):
+                _, history, token = _tokens(part)
+                key, at, n = np.unique(pair_key(history, token), return_index=True, return_counts=True)
+                h, w, n, bucket = history[at], token[at], n.astype(np.uint32), bucket_of(key, buckets)
+                cuts = _slices(bucket)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(bucket[i]) for i, _ in cuts], pa.int64()),
+                     *(pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary()) for x in (h, w, n))], ["bucket", "h", "w", "n"])
+    return run
+
+
+def _add_up(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    key = pair_key(h, w)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], h[order][first], w[order][first], np.add.reduceat(n[order], first)
+
+
+def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, h, w, c`` of every pair, from rows of ``_pair_counts`` sorted by bucket."""
+    held, size, now = [], 0, None
+
+    def merged() -> tuple:
+        return _add_up(*(np.concatenate(x) for x in zip(*held)))
+
     for batch in batches:
-        for part in words(batch.column("text"), 16 << 20):
-            _, history, token = _tokens(part)
-            key, at, n = np.unique(pair_key(history, token), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_long(key), _long(history[at]), _long(token[at]), pa.array(n)], ["key", "h", "w", "n"])
+        for bucket, h, w, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "h", "w", "n"))):
+            if bucket != now:
+                if held:
+                    yield _pair_rows(*merged())
+                held, size, now = [], 0, bucket
+            held.append((_from_planes(h, np.uint64), _from_planes(w, np.uint64), _from_planes(n, np.uint32).astype(np.int64)))
+            size += len(held[-1][0])
+            if size > 4 * BUCKET:  # repeats of the same pairs by many chunks
+                held = [merged()[1:]]
+                size = len(held[0][0]) // 2
+    if held:
+        yield _pair_rows(*merged())
+
+
+def _pair_rows(key: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_long(key), _long(h), _long(w), pa.array(c)], ["key", "h", "w", "c"])
+
+
+# Rows of the last step. slot: twice the bucket, and one more for what comes after the model's rows.
+# Model rows have at (the key), v and base; a chunk's rows at (the number of its first text), keys, texts and ns;
+# a text's own row at (its number), doc_id, tokens, v, base and known.
+_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64()), ("tokens", pa.int64()), ("v", pa.float64()),
+                     ("base", pa.float64()), ("known", pa.int64()), ("keys", pa.binary()), ("texts", pa.binary()), ("ns", pa.binary())])
+_STREAM_SQL = "slot long, at long, doc_id long, tokens long, v double, base double, known long, keys binary, texts binary, ns binary"
+_SUMS = ["row", "doc_id", "tokens", "v", "base", "known"]
+
 
+def _batch(size: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in _STREAM], schema=_STREAM)
 
-def _text_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words and pairs of each text with their numbers; the start row carries the number of tokens."""
-    base = TaskContext.get().partitionId() << 33
+
+def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are in the ascending table, and where those are."""
+    if not len(table):
+        return np.zeros(len(key), bool), np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    hit = table[at] == key
+    return hit, at[hit]
+
+
+def _text_keys(heavy, buckets: int, unknown: float):
+    """Rows of ``_STREAM``: of each text the sums over broadcast keys, of each chunk its other distinct words and pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, v, base = heavy.value
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in words(batch.column("text"), 8 << 20):
+                owner, history, token = _tokens(part)
+                sizes = np.bincount(owner, minlength=part.count)
+                key = np.concatenate([token, pair_key(history, token), np.full(part.count, START, np.uint64)])
+                text = np.concatenate([owner, owner, np.arange(part.count)])
+                order = np.lexsort((key, text))
+                key, text = key[order], text[order]
+                first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])]))
+                n = np.diff(np.append(first, len(key)))
+                key, text = key[first], text[first]
+                hit, at = _find(key, table)
+                add = lambda x: np.bincount(text[hit], x * n[hit], part.count)
+                own = np.arange(number, number + part.count)
+                yield _batch(part.count, slot=pa.array((own % buckets) * 2 + 1), at=pa.array(own),
+                             doc_id=batch.column("doc_id").slice(part.first, part.count), tokens=pa.array(sizes),
+                             v=pa.array(add(v[at]) + unknown * sizes), base=pa.array(add(base[at]) + unknown * sizes),
+                             known=pa.array(add((base[at] > 0).astype(np.int64)).astype(np.int64)))
+                key, text, n = key[~hit], text[~hit].astype(np.uint32), n[~hit].astype(np.uint32)
+                bucket = bucket_of(key, buckets)
+                order = np.argsort(bucket, kind="stable")
+                key, text, n, bucket = key[order], text[order], n[order], bucket[order]
+                cuts = _slices(bucket)
+                yield _batch(len(cuts), slot=pa.array([int(bucket[i]) * 2 + 1 for i, _ in cuts], pa.int64()),
+                             at=pa.array([number] * len(cuts), pa.int64()),
+                             **{name: pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary())
+                                for name, x in (("keys", key), ("texts", text), ("ns", n))})
+                number += part.count
+    return run
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of each text's sums, from rows of ``_STREAM`` sorted by slot."""
+    table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], None
     for batch in batches:
-        for part in words(batch.column("text")):
-            owner, history, token = _tokens(part)
-            sizes = np.bincount(owner, minlength=part.count)
-            ids = batch.column("doc_id").slice(part.first, part.count)
-            rows = np.arange(part.count)
-            out = [(rows, np.full(part.count, START, np.uint64), np.ones(part.count, np.int64), sizes, np.zeros(part.count, bool))]
-            for key, pair in ((token, False), (pair_key(history, token), True)):
-                order = np.lexsort((key, owner))
-                o, k = owner[order], key[order]
-                first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (k[1:] != k[:-1])])) if len(o) else order
-                out.append((o[first], k[first], np.diff(np.append(first, len(o))), np.zeros(len(first), np.int64), np.full(len(first), pair)))
-            at, key, n, total, pair = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(base + at), ids.take(pa.array(at)), _long(key), pa.array(n), pa.array(total),
-                                              pa.array(pair)], ["row", "doc_id", "key", "n", "tokens", "pair"])
-            base += part.count
+        slot = batch.column("slot").to_numpy()
+        for i, j in _slices(slot):
+            run, bucket = batch.slice(i, j - i), int(slot[i]) >> 1
+            if bucket != now:
+                table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], bucket
+            if slot[i] % 2 == 0:
+                held.append([run.column(c).to_numpy(zero_copy_only=False) for c in ("at", "v", "base")])
+                continue
+            if held:
+                table, v, base = (np.concatenate(x) for x in zip(*held))
+                order = np.argsort(table.view(np.uint64))
+                table, v, base, held = table.view(np.uint64)[order], v[order], base[order], []
+            whole = run.column("keys").is_null()
+            texts = run.filter(whole)
+            if len(texts):
+                yield pa.RecordBatch.from_arrays([texts.column(c) for c in ("at", *_SUMS[1:])], _SUMS)
+            chunks = run.filter(pc.invert(whole))
+            for c in range(len(chunks)):
+                keys, text, n = (_from_planes(chunks.column(k)[c].as_py(), t) for k, t in
+                                 (("keys", np.uint64), ("texts", np.uint32), ("ns", np.uint32)))
+                hit, at = _find(keys, table)
+                if not len(at):
+                    continue
+                text, n = text[hit].astype(np.int64), n[hit]
+                some = np.flatnonzero(np.bincount(text))
+                add = lambda x: np.bincount(text, x * n)[some]  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(chunks.column("at")[c].as_py() + some), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()),
+                     pa.array(add(v[at])), pa.array(add(base[at])), pa.array(add((base[at] > 0).astype(np.int64)).astype(np.int64))], _SUMS)
 
 
 def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> dict[int, float]:
@@ -113,18 +262,23 @@ def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> d
 
 
 def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFrame, dict]:
-    """The model as ``key, v, base, known`` (words and pairs), and its constants. ``train`` holds ``text``."""
-    unigram = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams")
-    total, distinct = unigram.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    texts = unigram.where(F.col("w") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    """The model as ``key, v, base, c`` (words, pairs and the start), and its constants. ``train`` holds ``text``.
+
+    ``v`` and ``base`` of words are above the value of an unknown token.
+    """
+    unigrams = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams", free_shuffles=True)
+    total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    texts = unigrams.where(F.col("w") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     scale = total + 0.5 * (distinct + 1)
-    unigram = unigram.select("w", "c", ((F.col("c") + 0.5) / scale).alias("p"))
+    unknown = float(np.log10(0.5 / scale))
+    unigram = unigrams.select("w", "c", ((F.col("c") + 0.5) / scale).alias("p"))
+    buckets = max(4 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET)
 
     counted = Observation()
-    pairs = (train.mapInArrow(_pair_counts, "key long, h long, w long, n long")
-             .groupBy("key").agg(F.sum("n").alias("c"), F.min("h").alias("h"), F.min("w").alias("w")))
+    pairs = (train.mapInArrow(_pair_counts(buckets), "bucket long, h binary, w binary, n binary")
+             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_counts, "key long, h long, w long, c long"))
     seen = materialize(pairs.observe(counted, *[F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, katz_k + 2)])
-                       .where(F.col("c") >= min_count), "pairs")
+                       .where(F.col("c") >= min_count), "pairs", free_shuffles=True)
     factors = discounts({r: counted.get[f"n{r}"] for r in range(1, katz_k + 2)}, katz_k, min_count)
     discount = F.lit(1.0)
     for r, d in factors.items():
@@ -133,32 +287,47 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     token = unigram.select("w", "p")
     history = unigram.where(F.col("w") != END).select(F.col("w").alias("h"), F.col("c").alias("c_h"))
     start = train.sparkSession.range(1).select(F.lit(START).cast("long").alias("h"), F.lit(texts).cast("long").alias("c_h"))
-    joined = materialize(seen.join(token, "w").select("key", "h", "p", (F.col("c") * discount).alias("kept")), "with_tokens")
+    joined = materialize(seen.join(token, "w").select("key", "h", "p", "c"), "with_tokens", free_shuffles=True)
+    remove(seen)
+    joined = joined.withColumn("kept", F.col("c") * discount)
     sums = joined.groupBy("h").agg(F.sum("kept").alias("kept_h"), F.sum("p").alias("p_h"))
     left = F.col("c_h") - F.col("kept_h")
     below = F.when(left > 1e-9 * F.col("c_h"), F.col("c_h")).otherwise(F.col("c_h") + 1.0)
     alpha = materialize(sums.join(history.union(start), "h").withColumn("below", below)
-                        .select("h", "below", F.log10((F.col("below") - F.col("kept_h")) / F.col("below") / (1 - F.col("p_h"))).alias("la")), "alphas")
+                        .select("h", "below", "c_h", F.log10((F.col("below") - F.col("kept_h")) / F.col("below") / (1 - F.col("p_h"))).alias("la")),
+                        "alphas", free_shuffles=True)
     pair = joined.join(alpha, "h").select(
-        "key", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"),
-        F.lit(0.0).alias("base"), F.lit(0).alias("known"))
-    word = unigram.join(alpha, unigram.w == alpha.h, "left").select(
-        F.col("w").alias("key"), (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("v"), F.log10("p").alias("base"), F.lit(1).alias("known"))
-    first = alpha.where(F.col("h") == START).select(F.col("h").alias("key"), F.col("la").alias("v"), F.lit(0.0).alias("base"), F.lit(0).alias("known"))
-    table = materialize(word.union(pair).union(first), "model")
-    return table, {"train_tokens": int(total), "unknown": float(np.log10(0.5 / scale))}
+        "key", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"), F.lit(0.0).alias("base"), "c")
+    word = unigram.join(alpha.select("h", "la"), F.col("w") == F.col("h"), "left").select(
+        F.col("w").alias("key"), (F.log10("p") + F.coalesce("la", F.lit(0.0)) - unknown).alias("v"),
+        (F.log10("p") - unknown).alias("base"), "c")
+    first = alpha.where(F.col("h") == START).select(F.col("h").alias("key"), F.col("la").alias("v"), F.lit(0.0).alias("base"), F.col("c_h").alias("c"))
+    table = materialize(word.union(pair).union(first), "model", free_shuffles=True)
+    for used in (unigrams, joined, alpha):
+        remove(used)
+    return table, {"train_tokens": int(total), "unknown": unknown, "buckets": buckets}
 
 
 def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", *, min_count: int = 2,
-          katz_k: int = 5) -> DataFrame:
-    """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``, learned from rows of ``may_learn``."""
+          katz_k: int = 5, heavy: int = HEAVY) -> DataFrame:
+    """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``, learned from rows of ``may_learn``.
+
+    ``heavy``: at most so many words and so many pairs are broadcast.
+    """
     text = F.col(text_col).cast("string").alias("text")
     table, constant = model_tables(docs.where(may_learn).select(text), min_count, katz_k)
+    total, buckets = constant["train_tokens"], constant["buckets"]
+    often = F.col("c") * heavy > total
+    sent = table.where(often).select("key", "v", "base").toArrow()
+    key, v, base = (sent.column(c).to_numpy() for c in ("key", "v", "base"))
+    order = np.argsort(key.view(np.uint64))
+    local = docs.sparkSession.sparkContext.broadcast((key.view(np.uint64)[order], v[order], base[order]))
     keys = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(
-        _text_keys, "row long, doc_id long, key long, n long, tokens long, pair boolean")
-    unknown = F.when(F.col("pair") | (F.col("key") == START), 0.0).otherwise(constant["unknown"])
-    return (keys.join(table, "key", "left").groupBy("row", "doc_id")
-            .agg(F.sum("tokens").alias("n_tokens"), F.sum(F.col("n") * F.coalesce("known", F.lit(0))).alias("n_known"),
-                 F.sum(F.col("n") * F.coalesce("base", unknown)).alias("base_score"),
-                 F.sum(F.col("n") * F.coalesce("v", unknown)).alias("score"))
-            .select("doc_id", "n_tokens", "n_known", F.lit(constant["train_tokens"]).cast("long").alias("train_tokens"), "base_score", "score"))
+        _text_keys(local, buckets, constant["unknown"]), _STREAM_SQL)
+    model = table.where(~often).select((bucket_column("key", buckets) * 2).alias("slot"), F.col("key").alias("at"), "v", "base")
+    return (model.unionByName(keys, allowMissingColumns=True)
+            .repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
+            .mapInArrow(_sums, "row long, doc_id long, tokens long, v double, base double, known long")
+            .groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
+                                F.sum("base").alias("base_score"), F.sum("v").alias("score"))
+            .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -9,13 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, *, free_shuffles: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
     The copy outlives any executor, cuts the lineage, and gives a later join an
     exchange of its own on this side, so that AQE can split a hot key there.
+    ``free_shuffles`` removes the shuffle files of the write when it is done (the
+    session's setting is put back); nothing else may still read them.
     """
     spark: SparkSession = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE, "false")
+    try:
+        if free_shuffles:
+            spark.conf.set(_FREE, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete the files of a materialised table that no later step reads."""
+    spark: SparkSession = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

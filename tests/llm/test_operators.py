@@ -138,9 +138,12 @@ def test_top_k(spark):
     assert threshold.top_k(df.where("false"), F.lit(True)).count() == 0
 
 
-def test_katz(spark, docs, local):
+@pytest.mark.parametrize(("heavy", "bucket"), [(katz.HEAVY, katz.BUCKET), (0, katz.BUCKET), (30, 50)])
+def test_katz(spark, docs, local, monkeypatch, heavy, bucket):
+    """All keys broadcast; none; some, with many small buckets."""
+    monkeypatch.setattr(katz, "BUCKET", bucket)
     learn = ~held_out("doc_id", 5, 1)
-    got = katz.score(docs, learn).collect()
+    got = katz.score(docs.repartition(5), learn, heavy=heavy).collect()
     tokens = lambda t: [*WORD.findall(lower(t)), None]
     train = [tokens(r.text) for r in local if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 != 1]
     c = Counter(w for t in train for w in t)
@@ -172,8 +175,8 @@ def test_katz(spark, docs, local):
                      sum(math.log10(probability(h, w)) for h, w in zip(["<s>", *t], t))))
     for a, b in zip(sorted((str(g[0]), *g[1:]) for g in got), sorted(want), strict=True):
         assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-9)
-    assert katz.score(empty(docs), learn).count() == 0
-    alone = katz.score(docs.limit(1), F.lit(False)).first()
+    assert katz.score(empty(docs), learn, heavy=heavy).count() == 0
+    alone = katz.score(docs.limit(1), F.lit(False), heavy=heavy).first()
     assert (alone.n_known, alone.train_tokens) == (0, 0)
 
 
