@@ -15,8 +15,8 @@ Tokens are the words of a text, ``A``-``Z`` lower-cased, then one end token.
 
 Counts, weights and pairs are tables partitioned by key. Each token's recursion is
 rewritten as a sum, ``log P(w) + log alpha(h)`` and, for seen pairs, a correction, so
-that a text's score is a sum over its distinct words and pairs, each looked up in one
-model table. 64-bit hashes stand for words and pairs.
+that a text's score is a sum over its words and pairs, each looked up in one model
+table. 64-bit hashes stand for words and pairs.
 
 Texts are taken in chunks. A chunk sends its distinct keys as one row for each bucket
 of keys: an array in key order, its bytes regrouped by position, which the shuffle's
@@ -77,7 +77,7 @@ def _long(x: np.ndarray) -> pa.Array:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen = [np.unique(_tokens(part)[2], return_counts=True) for part in words(batch.column("text"), 16 << 20)]
+        seen = [np.unique(_tokens(part)[2], return_counts=True) for part in words(batch.column("text"), 4 << 20)]
         for token, n in seen:
             yield pa.RecordBatch.from_arrays([_long(token), pa.array(n)], ["w", "n"])
 
@@ -111,9 +111,13 @@ def _pair_counts(buckets: int):
     """Rows ``bucket, h, w, n`` of each chunk: its distinct pairs in key order and how often each occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words(batch.column("text"), 16 << 20):
+            for part in words(batch.column("text"), 4 << 20):
                 _, history, token = _tokens(part)
-                key, at, n = np.unique(pair_key(history, token), return_index=True, return_counts=True)
+                key = pair_key(history, token)
+                order = np.argsort(key)
+                key = key[order]
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                key, at, n = key[first], order[first], np.diff(np.append(first, len(key)))
                 h, w, n, bucket = history[at], token[at], n.astype(np.uint32), bucket_of(key, buckets)
                 cuts = _slices(bucket)
                 yield pa.RecordBatch.from_arrays(
@@ -157,7 +161,7 @@ def _pair_rows(key: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) ->
 
 
 # Rows of the last step. slot: twice the bucket, and one more for what comes after the model's rows.
-# Model rows have at (the key), v and base; a chunk's rows at (the number of its first text), keys, texts and ns;
+# Model rows have at (the key), v and base; a chunk's rows at (the number of its first text), distinct keys in order, with the text and number of each;
 # a text's own row at (its number), doc_id, tokens, v, base and known.
 _STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64()), ("tokens", pa.int64()), ("v", pa.float64()),
                      ("base", pa.float64()), ("known", pa.int64()), ("keys", pa.binary()), ("texts", pa.binary()), ("ns", pa.binary())])
@@ -178,33 +182,32 @@ def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hit, at[hit]
 
 
-def _text_keys(heavy, buckets: int, unknown: float):
-    """Rows of ``_STREAM``: of each text the sums over broadcast keys, of each chunk its other distinct words and pairs."""
+def _text_keys(heavy, buckets: int):
+    """Rows of ``_STREAM``: of each text the sums over broadcast keys, of each chunk the other distinct words and pairs of its texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, v, base = heavy.value
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in words(batch.column("text"), 8 << 20):
+            for part in words(batch.column("text"), 4 << 20):
                 owner, history, token = _tokens(part)
                 sizes = np.bincount(owner, minlength=part.count)
                 key = np.concatenate([token, pair_key(history, token), np.full(part.count, START, np.uint64)])
-                text = np.concatenate([owner, owner, np.arange(part.count)])
-                order = np.lexsort((key, text))
-                key, text = key[order], text[order]
-                first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])]))
-                n = np.diff(np.append(first, len(key)))
-                key, text = key[first], text[first]
+                text = np.concatenate([owner, owner, np.arange(part.count)]).astype(np.uint32)
+                order = np.argsort(key)
+                key = key[order]
+                # by key, then text: the texts of equal keys are put in order behind the number of the key
+                both = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]])).astype(np.uint64) << np.uint64(32) | text[order]
+                both.sort()
+                first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+                key, text, n = key[first], both[first].astype(np.uint32), np.diff(np.append(first, len(key))).astype(np.uint32)
                 hit, at = _find(key, table)
-                add = lambda x: np.bincount(text[hit], x * n[hit], part.count)
+                add = lambda x: np.bincount(text[hit], x[at] * n[hit], part.count)  # noqa: B023, E731
                 own = np.arange(number, number + part.count)
                 yield _batch(part.count, slot=pa.array((own % buckets) * 2 + 1), at=pa.array(own),
                              doc_id=batch.column("doc_id").slice(part.first, part.count), tokens=pa.array(sizes),
-                             v=pa.array(add(v[at]) + unknown * sizes), base=pa.array(add(base[at]) + unknown * sizes),
-                             known=pa.array(add((base[at] > 0).astype(np.int64)).astype(np.int64)))
-                key, text, n = key[~hit], text[~hit].astype(np.uint32), n[~hit].astype(np.uint32)
+                             v=pa.array(add(v)), base=pa.array(add(base)), known=pa.array(add(base < 0).astype(np.int64)))
+                key, text, n = key[~hit], text[~hit], n[~hit]
                 bucket = bucket_of(key, buckets)
-                order = np.argsort(bucket, kind="stable")
-                key, text, n, bucket = key[order], text[order], n[order], bucket[order]
                 cuts = _slices(bucket)
                 yield _batch(len(cuts), slot=pa.array([int(bucket[i]) * 2 + 1 for i, _ in cuts], pa.int64()),
                              at=pa.array([number] * len(cuts), pa.int64()),
@@ -241,12 +244,12 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hit, at = _find(keys, table)
                 if not len(at):
                     continue
-                text, n = text[hit].astype(np.int64), n[hit]
+                text, n = text[hit], n[hit]
                 some = np.flatnonzero(np.bincount(text))
-                add = lambda x: np.bincount(text, x * n)[some]  # noqa: B023, E731
+                add = lambda x: np.bincount(text, x[at] * n)[some]  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(chunks.column("at")[c].as_py() + some), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()),
-                     pa.array(add(v[at])), pa.array(add(base[at])), pa.array(add((base[at] > 0).astype(np.int64)).astype(np.int64))], _SUMS)
+                     pa.array(add(v)), pa.array(add(base)), pa.array(add(base < 0).astype(np.int64))], _SUMS)
 
 
 def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> dict[int, float]:
@@ -264,7 +267,7 @@ def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> d
 def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFrame, dict]:
     """The model as ``key, v, base, c`` (words, pairs and the start), and its constants. ``train`` holds ``text``.
 
-    ``v`` and ``base`` of words are above the value of an unknown token.
+    ``base`` is 0 in rows that are not of a word.
     """
     unigrams = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams", free_shuffles=True)
     total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -299,8 +302,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     pair = joined.join(alpha, "h").select(
         "key", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"), F.lit(0.0).alias("base"), "c")
     word = unigram.join(alpha.select("h", "la"), F.col("w") == F.col("h"), "left").select(
-        F.col("w").alias("key"), (F.log10("p") + F.coalesce("la", F.lit(0.0)) - unknown).alias("v"),
-        (F.log10("p") - unknown).alias("base"), "c")
+        F.col("w").alias("key"), (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("v"), F.log10("p").alias("base"), "c")
     first = alpha.where(F.col("h") == START).select(F.col("h").alias("key"), F.col("la").alias("v"), F.lit(0.0).alias("base"), F.col("c_h").alias("c"))
     table = materialize(word.union(pair).union(first), "model", free_shuffles=True)
     for used in (unigrams, joined, alpha):
@@ -317,17 +319,18 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     text = F.col(text_col).cast("string").alias("text")
     table, constant = model_tables(docs.where(may_learn).select(text), min_count, katz_k)
     total, buckets = constant["train_tokens"], constant["buckets"]
+    others = F.lit(constant["unknown"]) * (F.sum("tokens") - F.sum("known"))
     often = F.col("c") * heavy > total
     sent = table.where(often).select("key", "v", "base").toArrow()
     key, v, base = (sent.column(c).to_numpy() for c in ("key", "v", "base"))
     order = np.argsort(key.view(np.uint64))
     local = docs.sparkSession.sparkContext.broadcast((key.view(np.uint64)[order], v[order], base[order]))
     keys = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(
-        _text_keys(local, buckets, constant["unknown"]), _STREAM_SQL)
+        _text_keys(local, buckets), _STREAM_SQL)
     model = table.where(~often).select((bucket_column("key", buckets) * 2).alias("slot"), F.col("key").alias("at"), "v", "base")
     return (model.unionByName(keys, allowMissingColumns=True)
             .repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
             .mapInArrow(_sums, "row long, doc_id long, tokens long, v double, base double, known long")
             .groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
-                                F.sum("base").alias("base_score"), F.sum("v").alias("score"))
+                                (F.sum("base") + others).alias("base_score"), (F.sum("v") + others).alias("score"))
             .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))
