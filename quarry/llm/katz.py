@@ -22,7 +22,8 @@ Texts are taken in chunks. A chunk sends its distinct keys as one row for each b
 of keys: an array in key order, its bytes regrouped by position, which the shuffle's
 compression shortens, and no row for each key. A bucket is read as a stream (the
 model's rows first, then the chunks' rows one by one), so what a task holds is one
-bucket of the model, about ``BUCKET`` keys, however often one of them occurs. Keys that
+bucket of the model, about ``BUCKET`` keys, however often one of them occurs. Its answer
+is again one row for each chunk, and the last step adds up the rows of one chunk. Keys that
 hold more than one in ``HEAVY`` of the training tokens (at most ``HEAVY`` words and
 ``HEAVY`` pairs) are broadcast and scored where the text is read. Tables that are no
 longer needed are removed, and a step's shuffle files as soon as its table is written.
@@ -160,13 +161,16 @@ def _pair_rows(key: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) ->
     return pa.RecordBatch.from_arrays([_long(key), _long(h), _long(w), pa.array(c)], ["key", "h", "w", "c"])
 
 
-# Rows of the last step. slot: twice the bucket, and one more for what comes after the model's rows.
-# Model rows have at (the key), v and base; a chunk's rows at (the number of its first text), distinct keys in order, with the text and number of each;
-# a text's own row at (its number), doc_id, tokens, v, base and known.
-_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64()), ("tokens", pa.int64()), ("v", pa.float64()),
-                     ("base", pa.float64()), ("known", pa.int64()), ("keys", pa.binary()), ("texts", pa.binary()), ("ns", pa.binary())])
-_STREAM_SQL = "slot long, at long, doc_id long, tokens long, v double, base double, known long, keys binary, texts binary, ns binary"
-_SUMS = ["row", "doc_id", "tokens", "v", "base", "known"]
+# Rows of the lookup step. slot: twice the bucket, and one more for what comes after the model's rows.
+# Model rows have at (the key), v and base. Others have at, the number of a chunk: one for each bucket with the chunk's
+# distinct keys in order and the text and number of each, and one with ids, tokens (ns) and sums over broadcast keys of its texts.
+_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("v", pa.float64()), ("base", pa.float64()), ("keys", pa.binary()),
+                     ("texts", pa.binary()), ("ns", pa.binary()), ("ids", pa.list_(pa.int64())), ("sums", pa.binary())])
+_STREAM_SQL = "slot long, at long, v double, base double, keys binary, texts binary, ns binary, ids array<long>, sums binary"
+# What the lookup makes: of a chunk and a bucket the texts and their sums (v, base, known), and the rows with ids as they came.
+_PARTS = ["at", "texts", "ns", "ids", "sums"]
+_PARTS_SQL = "at long, texts binary, ns binary, ids array<long>, sums binary"
+_TEXT_SQL = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 def _batch(size: int, **columns) -> pa.RecordBatch:
@@ -183,14 +187,14 @@ def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _text_keys(heavy, buckets: int):
-    """Rows of ``_STREAM``: of each text the sums over broadcast keys, of each chunk the other distinct words and pairs of its texts."""
+    """Rows of ``_STREAM``: of each chunk the sums of its texts over broadcast keys, and the other distinct words and pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, v, base = heavy.value
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in words(batch.column("text"), 4 << 20):
                 owner, history, token = _tokens(part)
-                sizes = np.bincount(owner, minlength=part.count)
+                sizes = np.bincount(owner, minlength=part.count).astype(np.int64)
                 key = np.concatenate([token, pair_key(history, token), np.full(part.count, START, np.uint64)])
                 text = np.concatenate([owner, owner, np.arange(part.count)]).astype(np.uint32)
                 order = np.argsort(key)
@@ -201,11 +205,11 @@ def _text_keys(heavy, buckets: int):
                 first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
                 key, text, n = key[first], both[first].astype(np.uint32), np.diff(np.append(first, len(key))).astype(np.uint32)
                 hit, at = _find(key, table)
-                add = lambda x: np.bincount(text[hit], x[at] * n[hit], part.count)  # noqa: B023, E731
-                own = np.arange(number, number + part.count)
-                yield _batch(part.count, slot=pa.array((own % buckets) * 2 + 1), at=pa.array(own),
-                             doc_id=batch.column("doc_id").slice(part.first, part.count), tokens=pa.array(sizes),
-                             v=pa.array(add(v)), base=pa.array(add(base)), known=pa.array(add(base < 0).astype(np.int64)))
+                sums = [np.bincount(text[hit], x[at] * n[hit], part.count) for x in (v, base, base < 0)]
+                ids = batch.column("doc_id").slice(part.first, part.count)
+                yield _batch(1, slot=pa.array([number % buckets * 2 + 1]), at=pa.array([number]), ns=pa.array([_planes(sizes)], pa.binary()),
+                             ids=pa.ListArray.from_arrays(pa.array([0, part.count], pa.int32()), pa.concat_arrays([ids])),
+                             sums=pa.array([np.concatenate(sums).tobytes()], pa.binary()))
                 key, text, n = key[~hit], text[~hit], n[~hit]
                 bucket = bucket_of(key, buckets)
                 cuts = _slices(bucket)
@@ -218,7 +222,7 @@ def _text_keys(heavy, buckets: int):
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of each text's sums, from rows of ``_STREAM`` sorted by slot."""
+    """Rows of ``_PARTS``, from rows of ``_STREAM`` sorted by slot."""
     table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], None
     for batch in batches:
         slot = batch.column("slot").to_numpy()
@@ -236,7 +240,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = run.column("keys").is_null()
             texts = run.filter(whole)
             if len(texts):
-                yield pa.RecordBatch.from_arrays([texts.column(c) for c in ("at", *_SUMS[1:])], _SUMS)
+                yield pa.RecordBatch.from_arrays([texts.column(c) for c in _PARTS], _PARTS)
             chunks = run.filter(pc.invert(whole))
             for c in range(len(chunks)):
                 keys, text, n = (_from_planes(chunks.column(k)[c].as_py(), t) for k, t in
@@ -246,10 +250,38 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 text, n = text[hit], n[hit]
                 some = np.flatnonzero(np.bincount(text))
-                add = lambda x: np.bincount(text, x[at] * n)[some]  # noqa: B023, E731
+                sums = np.concatenate([np.bincount(text, x[at] * n)[some] for x in (v, base, base < 0)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunks.column("at")[c].as_py() + some), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()),
-                     pa.array(add(v)), pa.array(add(base)), pa.array(add(base < 0).astype(np.int64))], _SUMS)
+                    [chunks.column("at").slice(c, 1), pa.array([_planes(some.astype(np.uint32))], pa.binary()), pa.nulls(1, pa.binary()),
+                     pa.nulls(1, pa.list_(pa.int64())), pa.array([sums.tobytes()], pa.binary())], _PARTS)
+
+
+def _per_text(unknown: float):
+    """The texts of each chunk with their sums, from rows of ``_PARTS`` sorted by chunk."""
+    def rows(ids: pa.Array, sizes: np.ndarray, held: list) -> pa.RecordBatch:
+        text, sums = np.concatenate([t for t, _ in held]), np.concatenate([x.reshape(3, -1) for _, x in held], axis=1)
+        v, base, known = (np.bincount(text, x, len(sizes)) for x in sums)
+        others = unknown * (sizes - known)
+        return pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(known.astype(np.int64)), pa.array(base + others), pa.array(v + others)],
+                                          ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, sizes, held = None, None, None, []
+        for batch in batches:
+            for i, at in enumerate(batch.column("at").to_pylist()):
+                if at != now:
+                    if now is not None:
+                        yield rows(ids, sizes, held)
+                    now, held = at, []
+                sums = np.frombuffer(batch.column("sums")[i].as_py(), np.float64)
+                if batch.column("ids")[i].is_valid:
+                    ids, sizes = pa.concat_arrays([batch.column("ids")[i].values]), _from_planes(batch.column("ns")[i].as_py(), np.int64)
+                    held.append((np.arange(len(sizes)), sums))
+                else:
+                    held.append((_from_planes(batch.column("texts")[i].as_py(), np.uint32), sums))
+        if now is not None:
+            yield rows(ids, sizes, held)
+    return run
 
 
 def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> dict[int, float]:
@@ -319,7 +351,6 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     text = F.col(text_col).cast("string").alias("text")
     table, constant = model_tables(docs.where(may_learn).select(text), min_count, katz_k)
     total, buckets = constant["train_tokens"], constant["buckets"]
-    others = F.lit(constant["unknown"]) * (F.sum("tokens") - F.sum("known"))
     often = F.col("c") * heavy > total
     sent = table.where(often).select("key", "v", "base").toArrow()
     key, v, base = (sent.column(c).to_numpy() for c in ("key", "v", "base"))
@@ -330,7 +361,5 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     model = table.where(~often).select((bucket_column("key", buckets) * 2).alias("slot"), F.col("key").alias("at"), "v", "base")
     return (model.unionByName(keys, allowMissingColumns=True)
             .repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
-            .mapInArrow(_sums, "row long, doc_id long, tokens long, v double, base double, known long")
-            .groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
-                                (F.sum("base") + others).alias("base_score"), (F.sum("v") + others).alias("score"))
+            .mapInArrow(_sums, _PARTS_SQL).repartition("at").sortWithinPartitions("at").mapInArrow(_per_text(constant["unknown"]), _TEXT_SQL)
             .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))
