@@ -50,7 +50,7 @@ from quarry.llm.tokens import Words, mix, words
 
 END, START = 1, 2  # stand for the end token, and for the history of a text's first token
 HEAVY = 1 << 18    # a key with more than one in HEAVY of the training tokens is broadcast
-BUCKET = 1 << 20   # training tokens to a bucket of keys
+BUCKET = 1 << 21   # training tokens to a bucket of keys
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,7 +150,7 @@ def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 held, size, now = [], 0, bucket
             held.append((_from_planes(h, np.uint64), _from_planes(w, np.uint64), _from_planes(n, np.uint32).astype(np.int64)))
             size += len(held[-1][0])
-            if size > 4 * BUCKET:  # repeats of the same pairs by many chunks
+            if size > 2 * BUCKET:  # repeats of the same pairs by many chunks
                 held = [merged()[1:]]
                 size = len(held[0][0]) // 2
     if held:
@@ -224,6 +224,13 @@ def _text_keys(heavy, buckets: int):
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``_PARTS``, from rows of ``_STREAM`` sorted by slot."""
     table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], None
+    out, size = [], 0
+
+    def answers() -> pa.RecordBatch:
+        at, texts, sums = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(texts, pa.binary()), pa.nulls(len(at), pa.binary()),
+                                           pa.nulls(len(at), pa.list_(pa.int64())), pa.array(sums, pa.binary())], _PARTS)
+
     for batch in batches:
         slot = batch.column("slot").to_numpy()
         for i, j in _slices(slot):
@@ -251,9 +258,13 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text, n = text[hit], n[hit]
                 some = np.flatnonzero(np.bincount(text))
                 sums = np.concatenate([np.bincount(text, x[at] * n)[some] for x in (v, base, base < 0)])
-                yield pa.RecordBatch.from_arrays(
-                    [chunks.column("at").slice(c, 1), pa.array([_planes(some.astype(np.uint32))], pa.binary()), pa.nulls(1, pa.binary()),
-                     pa.nulls(1, pa.list_(pa.int64())), pa.array([sums.tobytes()], pa.binary())], _PARTS)
+                out.append((chunks.column("at")[c].as_py(), _planes(some.astype(np.uint32)), sums.tobytes()))
+                size += len(out[-1][2])
+                if size > 4 << 20:
+                    yield answers()
+                    out, size = [], 0
+    if out:
+        yield answers()
 
 
 def _per_text(unknown: float):
@@ -307,7 +318,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     scale = total + 0.5 * (distinct + 1)
     unknown = float(np.log10(0.5 / scale))
     unigram = unigrams.select("w", "c", ((F.col("c") + 0.5) / scale).alias("p"))
-    buckets = max(4 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET)
+    buckets = max(2 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET)
 
     counted = Observation()
     pairs = (train.mapInArrow(_pair_counts(buckets), "bucket long, h binary, w binary, n binary")
