@@ -137,6 +137,6 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 @plan
 def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Katz backoff log probability of every document. Rows-only here: tested against brute force."""
+    """Katz backoff log probability of every document, all word pairs in the model. Rows-only here: tested against brute force."""
     docs = read_table(spark, sf_dir, "documents")
-    return katz_score(docs, ~held_out("doc_id", 5, 1)).withColumn("held_out", held_out("doc_id", 5, 1))
+    return katz_score(docs, ~held_out("doc_id", 5, 1), min_count=1).withColumn("held_out", held_out("doc_id", 5, 1))

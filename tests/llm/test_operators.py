@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import apportion, automaton, chat, containment, ftrl, katz, language, secrets, superminhash, threshold
+from quarry.llm import apportion, automaton, chat, containment, ftrl, katz, language, plans, secrets, superminhash, threshold
 from quarry.llm.plans import held_out
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -180,6 +180,38 @@ def test_katz(spark, docs, local, monkeypatch, heavy, bucket):
     assert (alone.n_known, alone.train_tokens) == (0, 0)
 
 
+def test_katz_query_has_pairs_seen_once(spark, docs, local, monkeypatch):
+    """The query's model holds every pair, those seen once with the Good-Turing discount of one."""
+    monkeypatch.setattr(plans, "read_table", lambda *_: docs)
+    got = plans.op5_katz_backoff(spark, "").collect()
+    tokens = lambda t: [*WORD.findall(lower(t)), None]
+    train = [tokens(r.text) for r in local if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 != 1]
+    c = Counter(w for t in train for w in t)
+    p = lambda w: (c.get(w, 0) + 0.5) / (sum(c.values()) + 0.5 * (len(c) + 1))
+    pairs = Counter(pair for t in train for pair in zip(["<s>", *t], t))
+    n = Counter(pairs.values())
+    assert n[1]
+    common = 6 * n[6] / n[1]
+    good = {r: ((r + 1) * n[r + 1] / n[r] / r - common) / (1 - common) if n[r] and common < 1 else 0 for r in range(1, 6)}
+    factor = {r: d if 0 < d < 1 else (r - 0.5) / r for r, d in good.items()}
+    after, seen = defaultdict(dict), Counter()
+    for (h, w), k in pairs.items():
+        after[h][w] = k * factor.get(k, 1.0)
+        seen[h] += k
+
+    def probability(h, w):
+        if h not in after:
+            return p(w)
+        kept = sum(after[h].values())
+        below = seen[h] if seen[h] - kept > 1e-9 * seen[h] else seen[h] + 1
+        return after[h][w] / below if w in after[h] else (1 - kept / below) / (1 - sum(map(p, after[h]))) * p(w)
+    for h in after:
+        assert abs(sum(probability(h, w) for w in c) + probability(h, "<other>") - 1) < 1e-9
+    want = [(str(r.doc_id), sum(math.log10(probability(h, w)) for h, w in zip(["<s>", *t], t))) for r in local for t in [tokens(r.text)]]
+    for a, b in zip(sorted((str(r.doc_id), r.score) for r in got), sorted(want), strict=True):
+        assert a[0] == b[0] and np.isclose(a[1], b[1], rtol=1e-9)
+
+
 def test_sainte_lague_by_quotients():
     r = np.random.default_rng(5)
     for _ in range(40):
