@@ -5,8 +5,12 @@ word pairs, and pairs with one or two words between; a feature counts once
 however often it occurs, and every word of the text is read. Learning goes over a
 bounded sample of labelled rows (``max_positive`` and ``max_negative``, those of
 smallest seeded id hash, so reruns agree) ``epochs`` times, a coordinate at its own
-rate, with L1 keeping most weights at exactly zero. Only the others are sent to the
-executors, at most ``2 ** bits`` pairs of index and weight.
+rate, with L1 keeping most weights at exactly zero. One task learns: the sample's
+features come to it sorted by round and seeded hash, in rows of at most ``PIECE``
+features, so it holds one batch of those, the features of one text (at most
+``2 ** bits``) and the learner's state, whatever the texts' lengths. Only the weights
+that are not zero go to the driver and from there to the executors, at most ``2 ** bits``
+pairs of index and weight.
 
 Defined cases: null or empty text: no feature, the score of the bias alone. Null
 ids: scored, never learned from. Labels other than 0 and 1, or null: ignored; a
@@ -16,16 +20,18 @@ all (or labels of one kind) the model still scores. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.tokens import Words, list_array, mix, words
 
+PIECE = 1024  # features to a row on the way to the learning task
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,9 +69,9 @@ class Model:
         return out
 
 
-def learn(rows: list[tuple[np.ndarray, int]], bits: int, *, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
-          l2: float = 1.0, epochs: int = 3, seed: int = 3) -> Model:
-    """FTRL-proximal over ``(features, label)``; the bias is the last coordinate and is not shrunk."""
+def learn(rows: Iterable[tuple[np.ndarray, int]], bits: int, *, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
+          l2: float = 1.0) -> Model:
+    """FTRL-proximal over ``(features, label)`` in the order given; the bias is the last coordinate and is not shrunk."""
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     threshold = np.full(size + 1, l1, np.float32)
@@ -76,23 +82,59 @@ def learn(rows: list[tuple[np.ndarray, int]], bits: int, *, alpha: float = 1.0,
         active = np.abs(zi) > threshold[i]
         return np.where(active, -(zi - np.sign(zi) * threshold[i]) / ((beta + np.sqrt(n[i])) / alpha + l2), 0.0)
 
-    shuffle = np.random.default_rng(seed)
-    for _ in range(epochs):
-        for k in shuffle.permutation(len(rows)):
-            i, label = rows[k]
-            i = np.append(i, size)
-            w = weights(i)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -40, 40))) - label
-            sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
-            z[i] += g - sigma * w
-            n[i] += g * g
+    for i, label in rows:
+        i = np.append(i, size)
+        w = weights(i)
+        g = 1 / (1 + np.exp(-np.clip(w.sum(), -40, 40))) - label
+        sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
+        z[i] += g - sigma * w
+        n[i] += g * g
     w = weights(np.arange(size + 1))
     index = np.flatnonzero(w[:size])
     return Model(bits, index, w[index], float(w[size]))
 
 
+def _pieces(bits: int):
+    """Rows ``id, label, digest, size, text, piece, features``: each text's distinct features, ``PIECE`` to a row, one row at least."""
+    most = PIECE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in words(batch.column("text")):
+                owner, feature = features(part, bits)
+                pairs = np.unique(owner << bits | feature)
+                ptr = np.searchsorted(pairs, np.arange(part.count + 1) << bits)
+                size = np.diff(ptr)
+                rows = np.maximum(1, -(-size // most))
+                text = np.repeat(np.arange(part.count), rows)
+                piece = np.arange(len(text)) - np.repeat(np.cumsum(rows) - rows, rows)
+                begin = ptr[:-1][text] + piece * most
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(part.first, part.count).take(pa.array(text)) for c in ("id", "label", "digest")]
+                    + [pa.array(size[text]), pa.array(number + text), pa.array(piece),
+                       list_array((pairs & (1 << bits) - 1).astype(np.int32), np.append(begin, ptr[-1]))],
+                    ["id", "label", "digest", "size", "text", "piece", "features"])
+                number += part.count
+    return run
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    """Features and label of each text, from its pieces one behind the other."""
+    held, now = [], 0
+    for batch in batches:
+        lists = batch.column("features")
+        flat, ptr = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for k, (size, label) in enumerate(zip(batch.column("size").to_pylist(), batch.column("label").to_pylist())):
+            held.append(flat[ptr[k]:ptr[k + 1]].astype(np.int64))
+            now += len(held[-1])
+            if now == size:
+                yield np.concatenate(held), label
+                held, now = [], 0
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        bits: int = 20, max_positive: int = 2000, max_negative: int = 4000, **settings) -> Model:
+        bits: int = 20, max_positive: int = 3000, max_negative: int = 6000, epochs: int = 3, seed: int = 3, **settings) -> Model:
     """A model from a bounded sample of the labelled documents.
 
     ``labels`` holds ``id_col`` and ``label_col``, only rows that may be learned from.
@@ -103,29 +145,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     for label, most in ((1, max_positive), (0, max_negative)):
         part = known.where(F.col("label") == label).orderBy(F.xxhash64(F.lit(17), "id"), "id").limit(most)
         taken = part if taken is None else taken.union(part)
-    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    sample = (docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("digest"))
               .join(F.broadcast(taken), "id"))  # at most max_positive + max_negative rows of two numbers
+    pieces = sample.select("id", "label", "digest", "text").mapInArrow(
+        _pieces(bits), "id long, label int, digest long, size long, text long, piece long, features array<int>")
+    turns = (pieces.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).withColumn("turn", F.xxhash64(F.lit(seed), "epoch", "id"))
+             .repartition(1).sortWithinPartitions("epoch", "turn", "id", "size", "digest", "text", "piece"))
 
     def run(batches):
-        for batch in batches:
-            for part in words(batch.column("text")):
-                owner, feature = features(part, bits)
-                pairs = np.unique(owner << bits | feature)
-                ptr = np.searchsorted(pairs, np.arange(part.count + 1) << bits)
-                span = slice(part.first, part.first + part.count)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c)[span] for c in ("id", "label")]
-                    + [list_array((pairs & (1 << bits) - 1).astype(np.int32), ptr)], ["id", "label", "features"])
+        model = learn(_texts(batches), bits, **settings)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(model.index, 1 << bits)), pa.array(np.append(model.weight, model.bias))],
+                                         ["index", "weight"])
 
-    found = sample.select("id", "label", "text").mapInArrow(run, "id long, label int, features array<int>").toArrow()
-    rows = []
-    for batch in found.to_batches():  # views of the collected lists, no copies
-        lists = batch.column("features")
-        flat, ptr = lists.values.to_numpy(), lists.offsets.to_numpy()
-        for k, (name, mark) in enumerate(zip(batch.column("id").to_pylist(), batch.column("label").to_pylist())):
-            rows.append((name, ptr[k + 1] - ptr[k], flat[ptr[k]:ptr[k + 1]], mark))
-    rows.sort(key=lambda r: r[:2])
-    return learn([(own, mark) for _, _, own, mark in rows], bits, **settings)
+    found = turns.select("label", "size", "features").mapInArrow(run, "index long, weight double").toArrow()
+    index, weight = found.column("index").to_numpy(), found.column("weight").to_numpy()
+    return Model(bits, index[:-1], weight[:-1], float(weight[-1]) if len(weight) else 0.0)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3,

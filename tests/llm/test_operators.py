@@ -294,6 +294,29 @@ def test_toxicity(spark):
     assert ftrl.score(df, none).count() == 603
 
 
+def test_toxicity_learns_in_one_task(spark, monkeypatch):
+    """Long texts come to the learner in pieces, in a fixed order, and the driver gets the weights alone."""
+    r = np.random.default_rng(8)
+    rows = [(i, " ".join(f"v{x}" for x in r.integers(0, 300, 40)) + " scum" * (i % 2)) for i in range(80)]
+    rows += [(90, None), (91, ""), (92, " ".join(f"long{x}" for x in range(20_000))), (3, rows[3][1]), (3, "another v1 v2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(93)], "doc_id long, toxic int")
+    sent = []
+    kind = type(df)
+    monkeypatch.setattr(kind, "toArrow", lambda self, f=kind.toArrow: sent.append(f(self)) or sent[-1])
+    model = ftrl.fit(df, labels, l1=0.5)
+    assert sum(t.nbytes for t in sent) <= 32 * (len(model.index) + 8)
+    bits, size = 20, 1 << 20
+    texts = [(i, ftrl.words(ftrl.pa.array([t], "string"))) for i, t in rows]
+    own = {k: (i, np.unique(np.concatenate([ftrl.features(p, bits)[1] for p in parts]))) for k, (i, parts) in enumerate(texts)}
+    turn = {(x.epoch, x.id): x.h for x in spark.range(93).selectExpr("id", "explode(sequence(1, 3)) AS epoch")
+            .withColumn("h", F.xxhash64(F.lit(3), "epoch", "id")).collect()}
+    order = [(own[k][1], own[k][0] % 2) for e in (1, 2, 3) for k in sorted(own, key=lambda k: (turn[e, own[k][0]], len(own[k][1])))]
+    want = ftrl.learn(order, bits, l1=0.5)
+    assert len(model.index) > 50 and model.index.tolist() == want.index.tolist()
+    assert np.allclose(model.weight, want.weight) and np.isclose(model.bias, want.bias) and model.index.max() < size
+
+
 def test_secret_spans(spark):
     texts = ["password = abcdefgh1", "é TOKEN:'aaaaaaaa' api_key=short", "secret: token = abcdefgh123", None, "",
              "AKIAABCDEFGHIJKL end AKIAAB", "0" * 31 + " " + "f" * 40, "pwd is password1", "pwd is q8$Zx!w0Lk#1", "Kelvin paſſword=12345678",
