@@ -9,7 +9,10 @@ Words are dealt in blocks of ``block_words``. Blocks go one by one to the source
 with the highest quotient ``target / (2 * blocks + 1)``, and a source's blocks in
 the same way to its shards (documents by seeded hash) by their words: integer
 quotas. Quotas come from the equivalent divisor, not from counting blocks out. A
-shard lays its documents end to end in seeded order and takes its quota's blocks
+shard whose quota is above ``max_repeat`` times its words is held there, and the
+source's other words are dealt again among its other shards, the last block in part
+where it must be, so a source falls short of its blocks only where all of its shards
+are held. A shard lays its documents end to end in seeded order and takes its quota's blocks
 from the front, starting again at the end; so a document is taken whole, in part
 or repeated, at most ``max_repeat`` times.
 
@@ -86,6 +89,28 @@ def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
     return out
 
 
+def shard_words(sizes: np.ndarray, blocks: int, block_words: int, max_repeat: int) -> np.ndarray:
+    """Words each shard gives: ``blocks`` blocks by size, none above ``max_repeat`` times its size, the excess dealt again."""
+    sizes = np.asarray(sizes, np.int64)
+    most, out = max_repeat * sizes, np.zeros(len(sizes), np.int64)
+    left, free = min(blocks * block_words, int(most.sum())), np.flatnonzero(sizes)
+    while left:
+        quota = sainte_lague(sizes[free], left // block_words)
+        over = quota * block_words > most[free]
+        if not over.any():
+            out[free] = quota * block_words
+            part = left % block_words  # to the shards next in turn that have room
+            for k in free[np.argsort(-sizes[free] / (2 * quota + 1), kind="stable")] if part else ():
+                more = min(part, int(most[k] - out[k]))
+                out[k] += more
+                part -= more
+            break
+        out[free[over]] = most[free[over]]
+        left -= int(most[free[over]].sum())
+        free = free[~over]
+    return out
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
                 weights: Sequence[int] = (3, 1, 2), total_percent: int = 150, max_repeat: int = 2,
                 block_words: int = 16, seed: int = 11) -> DataFrame:
@@ -111,8 +136,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def by_shard(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard", ignore_index=True)
-        quota = sainte_lague(pdf["shard_size"].to_numpy(), int(pdf["blocks"].iloc[0]))
-        pdf["shard_words"] = np.minimum(quota * block_words, max_repeat * pdf["shard_size"])
+        pdf["shard_words"] = shard_words(pdf["shard_size"].to_numpy(), int(pdf["blocks"].iloc[0]), block_words, max_repeat)
         return pdf.drop(columns="blocks")
 
     plan = (per_source.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(by_source, "source string, source_size long, target double, blocks long")

@@ -241,6 +241,24 @@ def test_mix(docs, local):
     assert apportion.mix_sources(empty(docs)).count() == 0
 
 
+def test_shards_held_at_their_repeats_deal_the_rest_again(spark):
+    r = np.random.default_rng(9)
+    for _ in range(60):
+        sizes, blocks, most = r.integers(0, 40, r.integers(1, 30)), int(r.integers(0, 120)), int(r.integers(1, 4))
+        out = apportion.shard_words(sizes, blocks, 16, most)
+        assert (out <= most * sizes).all() and (out >= 0).all() and out.sum() == min(16 * blocks, most * sizes.sum())
+        quota = apportion.sainte_lague(sizes, blocks) * 16
+        assert (quota > most * sizes).any() or out.tolist() == quota.tolist()
+    assert apportion.shard_words(np.full(25, 12), 38, 16, 2).tolist() == [24] * 25
+    shard = spark.range(2000).select("id", F.pmod(F.xxhash64(F.lit(~11), "id"), F.lit(apportion.LEAST_SHARDS)).alias("s")).collect()
+    alone = list({x.s: x.id for x in shard}.values())[:25]
+    df = spark.createDataFrame([(i, "w " * 12, "a") for i in alone] + [(5000 + i, "w " * 100, "b") for i in range(60)],
+                               "doc_id long, text string, source string")
+    got = [x for x in apportion.mix_sources(df).collect() if x.source == "a"]
+    assert len({x["shard"] for x in got}) == 25 and {x.target for x in got} == {600.0}
+    assert 600 - 16 < sum(x.taken for x in got) <= 600 and all(x.taken <= 24 for x in got)
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_near_duplicates(spark, docs, local, width):
     got = superminhash.near_duplicates(docs, shingle_words=width).collect()
