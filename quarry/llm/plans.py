@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators over the test tables, with production parameters."""
+"""Registered queries of the operators over the test tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from quarry.llm.language import fit as fit_language
 from quarry.llm.language import predict as predict_language
 from quarry.llm.secrets import KINDS
 from quarry.llm.secrets import scan as scan_secrets
+from quarry.llm.splitters import shard_documents
 from quarry.llm.superminhash import near_duplicates
 from quarry.llm.threshold import top_k
 from quarry.sources.tables import read_table
@@ -140,3 +141,32 @@ def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Katz backoff log probability of every document, all word pairs in the model. Rows-only here: tested against brute force."""
     docs = read_table(spark, sf_dir, "documents")
     return katz_score(docs, ~held_out("doc_id", 5, 1), min_count=1).withColumn("held_out", held_out("doc_id", 5, 1))
+
+
+def _crc32(text: str) -> str:
+    """DuckDB's words for the unsigned crc32 of a text's UTF-8 bytes: a fold over them with the table of the 256 remainders."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(c >> 1) ^ 0xEDB88320 if c & 1 else c >> 1 for c in table]
+    return f"""xor(coalesce(list_reduce(
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT),
+        lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295), 4294967295::BIGINT)"""
+
+
+@plan
+def op11_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of near equal bytes, equal texts together where a shard can hold them."""
+    return shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
+
+
+ORACLE["op11_sampled_splitters"] = f"""
+WITH r AS (SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+             md5(coalesce(text, '')) AS key FROM documents),
+     p AS (SELECT doc_id, text, size, key, sum(size) OVER (ORDER BY key, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS e,
+             row_number() OVER (ORDER BY key, doc_id NULLS FIRST) AS n, sum(size) OVER () AS total,
+             sum(size) OVER (PARTITION BY key) AS g FROM r),
+     m AS (SELECT *, CASE WHEN g > 0.02 * total / 8 THEN 2 * e - size
+             ELSE min(e - size) OVER (PARTITION BY key) + max(e) OVER (PARTITION BY key) END AS middle FROM p),
+     s AS (SELECT *, CAST(middle * 8 // (2 * total) AS INTEGER) AS shard FROM m)
+SELECT doc_id, CAST(size AS BIGINT) AS size, {_crc32('text')} AS text_crc32, 'bytes' AS law, shard,
+    CAST(n - min(n) OVER (PARTITION BY shard) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""
