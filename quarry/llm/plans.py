@@ -18,6 +18,7 @@ from quarry.llm.language import fit as fit_language
 from quarry.llm.language import predict as predict_language
 from quarry.llm.secrets import KINDS
 from quarry.llm.secrets import scan as scan_secrets
+from quarry.llm.spelling import spelling_variants
 from quarry.llm.splitters import shard_documents
 from quarry.llm.superminhash import near_duplicates
 from quarry.llm.threshold import top_k
@@ -170,3 +171,32 @@ WITH r AS (SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coales
      s AS (SELECT *, CAST(middle * 8 // (2 * total) AS INTEGER) AS shard FROM m)
 SELECT doc_id, CAST(size AS BIGINT) AS size, {_crc32('text')} AS text_crc32, 'bytes' AS law, shard,
     CAST(n - min(n) OVER (PARTITION BY shard) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""
+
+
+@plan
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their commonest near word and their root, one letter dropped from some runs."""
+    return spelling_variants(read_table(spark, sf_dir, "documents"), drop_every=199)
+
+
+ORACLE["op12_spelling_variants"] = f"""
+WITH RECURSIVE
+r AS (SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS c FROM r GROUP BY ALL),
+h AS (SELECT run, c, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM d),
+t AS (SELECT CASE WHEN h % 199 = 0 THEN run[1:CAST(h % length(run) AS BIGINT)] || run[CAST(h % length(run) AS BIGINT) + 2:]
+        ELSE run END AS word, c FROM h),
+w AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM t WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+x AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+e AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM x),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM e a JOIN e b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT w.word, e.word, e.n FROM w JOIN e ON e.rest = w.word
+      UNION SELECT e.word, w.word, w.n FROM w JOIN e ON e.rest = w.word),
+b AS (SELECT word, count(*) AS n_near, max(near_n) AS most FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN most END AS form_n,
+        CASE WHEN most >= 5 * w.n THEN (SELECT min(near) FROM p WHERE p.word = w.word AND p.near_n = b.most) END AS form
+      FROM w LEFT JOIN b ON b.word = w.word),
+g AS (SELECT word, word AS root, form AS next FROM f
+      UNION ALL SELECT g.word, f.word, f.form FROM g JOIN f ON f.word = g.next)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, g.root FROM f JOIN g ON g.word = f.word WHERE g.next IS NULL"""
