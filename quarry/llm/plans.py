@@ -16,6 +16,7 @@ from quarry.llm.ftrl import score as score_toxicity
 from quarry.llm.katz import score as katz_score
 from quarry.llm.language import fit as fit_language
 from quarry.llm.language import predict as predict_language
+from quarry.llm.repair import damage, repair, repair_report
 from quarry.llm.secrets import KINDS
 from quarry.llm.secrets import scan as scan_secrets
 from quarry.llm.spelling import spelling_variants
@@ -200,3 +201,10 @@ f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w
 g AS (SELECT word, word AS root, form AS next FROM f
       UNION ALL SELECT g.word, f.word, f.form FROM g JOIN f ON f.word = g.next)
 SELECT f.word, f.n, f.n_near, f.form, f.form_n, g.root FROM f JOIN g ON g.word = f.word WHERE g.next IS NULL"""
+
+
+@plan
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations after damage. Rows-only here: tested against brute force."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(turns, repair(damage(turns)))
