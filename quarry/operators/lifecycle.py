@@ -82,7 +82,7 @@ def next_version(previous: DataFrame, current: DataFrame, prev_version: int | Co
 # --------------------------------------------------------------------- M4 ids
 
 def assign_ids(new_rows: DataFrame, existing_max: Column, order: Sequence[str],
-               id_col: str = "new_id", n_blocks: int = MAX_BLOCKS) -> DataFrame:
+               id_col: str = "new_id", n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Sequential ids after the current maximum (M4): ``existing_max +
     row_number()`` in ``order``; from 1 where nothing exists yet. The global row number comes from the blocked
     ordered scan, so a large append is numbered by many tasks, not one."""

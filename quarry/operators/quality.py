@@ -51,7 +51,7 @@ def text_key(c: str | Column) -> Column:
 
 
 def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "first",
-                   n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                   n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Rows whose normalised text was already held by an earlier id.
 
     ``holder="first"``: name the first (smallest) id with that text; a grouped

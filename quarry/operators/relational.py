@@ -165,14 +165,14 @@ def tie_audit(df: DataFrame, key: str, k: int, descending: bool = True) -> DataF
 # --------------------------------------------------------------------- percentiles
 
 def exact_percentile(df: DataFrame, group: str | Sequence[str] | None, col: str, p: float,
-                     method: str = "cont", name: str = "pct", n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                     method: str = "cont", name: str = "pct", n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Exact ``percentile_cont`` / ``percentile_disc`` per group, skew-safe;
     one percentile of :func:`exact_percentiles`."""
     return exact_percentiles(df, group, col, [(p, method, name)], n_blocks)
 
 
 def exact_percentiles(df: DataFrame, group: str | Sequence[str] | None, col: str,
-                      specs: Sequence[tuple[float, str, str]], n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                      specs: Sequence[tuple[float, str, str]], n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Several exact percentiles per group (``specs``: ``(p, "cont"|"disc",
     name)``) from one scan.
 

@@ -7,21 +7,21 @@ scale. The scan here keeps the ordinary window for ordinary keys and splits
 only what is too big for one task:
 
 1. **Count once.** One aggregate gives the count of every key holding more
-   than ``rows_per_block`` rows; nothing else reaches the driver. Each such key
-   is *hot*, whatever the size of the table; with no key the whole relation is
-   one hot group. When nothing is hot the scan is the plain window and no
-   further job runs.
-2. **Sample the hot rows only.** A Bernoulli sample of the hot keys' rows,
-   fraction ``sample_rows / hot_rows`` (20 rows a sub-block at least), is shuffled into one partition and
-   sorted there: about ``sample_rows`` rows whatever the number of input
-   partitions (a top-k sample would send ``k`` rows per input task to one
-   task). Each hot key gets ``ceil(rows / rows_per_block)`` sub-blocks with
-   boundaries on the order columns from its sample rows; every other key
-   stays whole in sub-block 0. The sub-block is a deterministic function of
-   the row (a binary search written as nested ``CASE`` over the boundaries),
-   so a task recomputed after an executor loss puts rows in the same place.
-   The boundaries only balance the work: any sorted boundaries give the
-   same result.
+   than ``rows_per_block`` rows, as a written table. Each such key is *hot*,
+   whatever the size of the table; with no key the whole relation is one hot
+   group. When nothing is hot the scan is the plain window and no further job
+   runs.
+2. **Split points.** A Bernoulli sample of the hot keys' rows (20 rows a
+   sub-block at least) is gathered and sorted per key, on the executors, and
+   every key's quantiles are kept: a written table of one row a hot key, with
+   its split points as an array. That table is joined to the rows (broadcast
+   while it has at most ``BROADCAST_POINTS`` points) and each row finds its
+   sub-block by binary search in its key's array. No key and no split point
+   passes through the driver or is held in the plan, so any number of hot
+   keys gives the same plan. The sub-block is a deterministic function of the
+   row, so a task recomputed after an executor loss puts rows in the same
+   place. The points only balance the work: any sorted points give the same
+   result.
 3. **Scan.** One window ``PARTITION BY (keys, sub-block) ORDER BY order``:
    one hash exchange; a hot key spreads over its sub-blocks.
 4. **Carry.** Totals and last row per (hot key, sub-block) are aggregated
@@ -35,17 +35,21 @@ unique, otherwise the result depends on how ties are split.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import broadcast_if_bounded
+from quarry.session import written_table
+
 BLK = "_blk"
 ROWS_PER_BLOCK = 2_000_000
-MAX_BLOCKS = 16_384  # boundaries of one key are a binary search held in the plan
+MAX_BLOCKS = None        # sub-blocks of one key; no limit
 SAMPLE_ROWS = 20_000
 SAMPLES_PER_BLOCK = 20
+BROADCAST_POINTS = 1_000_000
 
 
 def _cols(cols: str | Sequence[str] | None) -> list[str]:
@@ -54,105 +58,63 @@ def _cols(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _less(types: dict, cols: list[str], bound: tuple) -> Column:
-    """Row key < bound, lexicographic, NULLs first (matches asc_nulls_first)."""
-    out = None
-    for i in range(len(cols) - 1, -1, -1):
-        c, v = F.col(cols[i]), bound[i]
-        if v is None:
-            lt, eq = F.lit(False), c.isNull()
-        else:
-            lv = F.lit(v).cast(types[cols[i]])
-            lt, eq = c.isNull() | (c < lv), c.isNotNull() & (c == lv)
-        out = lt if out is None else (lt | (eq & out))
-    return out
-
-
-def _search(types: dict, cols: list[str], bounds: list[tuple]) -> Column:
-    """Number of boundaries <= row key, as a balanced binary search."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_less(types, cols, bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(bounds)) if bounds else F.lit(0)
-
-
-def _split(rows: list[tuple], parts: int) -> list[tuple]:
-    """Up to ``parts - 1`` distinct boundaries at equal steps of sorted ``rows``."""
-    if parts <= 1 or not rows:
-        return []
-    step = len(rows) / parts
-    out: list[tuple] = []
-    for j in range(1, parts):
-        b = rows[min(len(rows) - 1, int(j * step))]
-        if not out or b != out[-1]:
-            out.append(b)
-    return out
-
-
-def _is_key(keys: list[str], types: dict, kv: tuple) -> Column:
-    match = F.lit(True)
-    for c, v in zip(keys, kv):
-        match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v).cast(types[c])))
-    return match
+@dataclass
+class Blocks:
+    """Split points of the hot keys: ``_hk_<key>`` columns and ``_points``, an ascending array of order structs."""
+
+    keys: list[str]
+    order: list[str]
+    points: DataFrame
+    most: int    # sub-blocks of one key at most
+    total: int   # sub-blocks of all hot keys
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """``df`` with its sub-block and ``_is_split``, whether its key is split."""
+        if self.keys:
+            points = F.broadcast(self.points) if self.total <= BROADCAST_POINTS else self.points
+            out = df.join(points, [F.col(k).eqNullSafe(F.col(f"_hk_{k}")) for k in self.keys], "left")
+        else:  # one row: an uncorrelated scalar subquery, evaluated once
+            out = df.withColumn("_points", self.points.select("_points").scalar())
+        steps = [1 << b for b in range(self.most.bit_length(), -1, -1)]
+        here = F.struct(*[F.col(c) for c in self.order])
+        # how many points are at or before the row; structs compare field by field, NULLs first
+        found = F.aggregate(F.lit(steps), F.lit(0), lambda n, step: F.when(
+            F.get(F.col("_points"), n + step - 1) <= here, n + step).otherwise(n))
+        return (out.withColumn(BLK, F.when(F.col("_points").isNull(), F.lit(0)).otherwise(found))
+                .withColumn("_is_split", F.col("_points").isNotNull())
+                .drop("_points", *[f"_hk_{k}" for k in self.keys]))
 
 
 def plan_blocks(df: DataFrame, keys: list[str], order: list[str], rows_per_block: int = ROWS_PER_BLOCK,
-                max_blocks: int = MAX_BLOCKS, sample_rows: int = SAMPLE_ROWS,
-                seed: int = 17) -> tuple[Column, Column] | None:
-    """``(sub_block, is_split)`` columns for :func:`ordered_scan`, or ``None``
-    when no key (or, without keys, the relation) needs splitting."""
-    cols = keys + order
-    types = dict(df.select(*cols).dtypes)
-    # step 1: the keys of more than one block's worth from one aggregate; the
-    # driver gets at most N / rows_per_block key counts
+                max_blocks: int | None = MAX_BLOCKS, sample_rows: int = SAMPLE_ROWS,
+                seed: int = 17) -> Blocks | None:
+    """Split points for :func:`ordered_scan`, or ``None`` when no key (or,
+    without keys, the relation) needs splitting. The driver gets sums only."""
+    hot_keys = [f"_hk_{k}" for k in keys]
+    rows = df.select(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys)], F.struct(*[F.col(c) for c in order]).alias("_at"))
+    parts = F.ceil(F.col("_n") / rows_per_block).cast("int")
+    hot = (rows.groupBy(*hot_keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block)
+           .withColumn("_parts", F.least(parts, F.lit(max_blocks)) if max_blocks else parts))
+    hot_rows, total, most = hot.agg(F.sum("_n"), F.sum("_parts"), F.max("_parts")).first()
+    if not hot_rows:
+        return None
+    fraction = min(1.0, max(sample_rows, SAMPLES_PER_BLOCK * total) / hot_rows)
+    sample = rows.where(F.rand(seed) < fraction)
     if keys:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).collect()
-        hot = [(tuple(r[k] for k in keys), r["_n"]) for r in counts]
-        if not hot:
-            return None
-        hot_rows = sum(n for _, n in hot)
-        is_hot = F.lit(False)
-        for kv, _ in hot:
-            is_hot = is_hot | _is_key(keys, types, kv)
+        small = broadcast_if_bounded(written_table(hot, "hot").select(*[F.col(h).alias(f"_j{h}") for h in hot_keys], "_parts"))
+        sample = sample.join(small, [F.col(h).eqNullSafe(F.col(f"_j{h}")) for h in hot_keys])
     else:
-        total = df.count()
-        if total <= rows_per_block:
-            return None
-        hot, hot_rows, is_hot = [((), total)], total, F.lit(True)
-    sample_rows = max(sample_rows, SAMPLES_PER_BLOCK * math.ceil(hot_rows / rows_per_block))
-    # step 2: about sample_rows rows of the hot keys, sorted in one partition
-    frac = min(1.0, sample_rows / max(hot_rows, 1))
-    picked = (df.select(*cols).where(is_hot).where(F.rand(seed) < F.lit(frac))
-              .repartition(1).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in cols]))
-    by_key: dict[tuple, list[tuple]] = {}
-    nk = len(keys)
-    for r in picked.collect():
-        by_key.setdefault(tuple(r)[:nk], []).append(tuple(r)[nk:])
-    branches: list[tuple[Column, Column]] = []
-    for kv, n in hot:
-        parts = min(max_blocks, math.ceil(n / rows_per_block))
-        bounds = _split(by_key.get(kv, []), parts)
-        if not bounds:
-            continue
-        search = _search(types, order, bounds)
-        if not keys:
-            return search, F.lit(True)
-        branches.append((_is_key(keys, types, kv), search))
-    if not branches:
-        return None
-    expr = F.when(branches[0][0], branches[0][1])
-    is_split = branches[0][0]
-    for m, srch in branches[1:]:
-        expr = expr.when(m, srch)
-        is_split = is_split | m
-    return expr.otherwise(F.lit(0)), is_split
+        sample = sample.withColumn("_parts", F.lit(most))
+    ordered = sample.groupBy(*hot_keys).agg(F.array_sort(F.collect_list("_at")).alias("_s"), F.max("_parts").alias("_parts"))
+    at = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_parts") - 1, F.lit(1))),
+                     lambda j: F.get(F.col("_s"), F.floor(j * F.size("_s") / F.col("_parts")).cast("int")))
+    points = written_table(ordered.where("_parts > 1").select(*hot_keys, F.array_distinct(at).alias("_points")), "points")
+    return Blocks(keys, order, points, int(most), int(total))
 
 
 def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
                  order: str | Sequence[str], sums: Sequence[str] = (),
-                 lag_cols: Sequence[str] = (), n_blocks: int = MAX_BLOCKS,
+                 lag_cols: Sequence[str] = (), n_blocks: int | None = MAX_BLOCKS,
                  row_number: str | None = "_rn", rows_per_block: int = ROWS_PER_BLOCK,
                  sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Running sums, row number and LAG(1) per key, skew-safe.
@@ -168,7 +130,7 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     keys, order = _cols(keys), _cols(order)
     sums, lag_cols = list(sums), list(lag_cols)
     planned = plan_blocks(df, keys, order, rows_per_block, n_blocks, sample_rows)
-    blocked = df.withColumn(BLK, planned[0] if planned else F.lit(0))
+    blocked = planned.place(df) if planned else df.withColumn(BLK, F.lit(0))
 
     ordering = [F.col(c).asc_nulls_first() for c in order]
     w = Window.partitionBy(*keys, BLK).orderBy(*ordering)
@@ -198,7 +160,7 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     # partially aggregated, so the exchange carries at most one row per
     # (split key, sub-block) and task.
     order_struct = F.struct(*[F.col(c) for c in order])
-    per_bk = blocked.where(planned[1]).groupBy(*keys, BLK).agg(
+    per_bk = blocked.where("_is_split").groupBy(*keys, BLK).agg(
         *[F.sum(c).alias(f"t_{c}") for c in sums],
         F.count(F.lit(1)).alias("t_n"),
         *([F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), order_struct).alias("_lv")]
@@ -214,9 +176,9 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     carries = carries.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col(BLK).alias("_cblk"),
                              *[f"c_{c}" for c in sums], "c_n", *[f"p_{c}" for c in lag_cols])
 
-    # bounded broadcast: one row per (split key, sub-block)
+    # one row per (split key, sub-block): broadcast up to the bound of the split points
     cond = [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in keys] + [F.col(BLK) == F.col("_cblk")]
-    out = local.join(F.broadcast(carries), cond, "left")
+    out = local.join(F.broadcast(carries) if planned.total <= BROADCAST_POINTS else carries, cond, "left")
     for c in sums:
         carry, local_run = F.col(f"c_{c}"), F.col(f"_lrun_{c}")
         # SUM over only NULLs is NULL: stay NULL unless either part has a value
@@ -227,6 +189,6 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     for c in lag_cols:
         out = out.withColumn(f"prev_{c}", F.when(F.col("_lrn") > 1, F.col(f"_llag_{c}"))
                              .otherwise(F.col(f"p_{c}")))
-    drop = [BLK, "_lrn", "c_n", "_cblk", *[f"_lrun_{c}" for c in sums], *[f"c_{c}" for c in sums],
+    drop = [BLK, "_is_split", "_lrn", "c_n", "_cblk", *[f"_lrun_{c}" for c in sums], *[f"c_{c}" for c in sums],
             *[f"_llag_{c}" for c in lag_cols], *[f"p_{c}" for c in lag_cols], *[f"_ck_{k}" for k in keys]]
     return out.drop(*drop)

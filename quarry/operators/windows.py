@@ -34,7 +34,7 @@ def _list(x: str | Sequence[str] | None) -> list[str]:
 # --------------------------------------------------------------------- W1
 
 def rank_columns(df: DataFrame, keys: str | Sequence[str], order: str, tiebreak: str,
-                 descending: bool = True, n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                 descending: bool = True, n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """ROW_NUMBER, RANK and DENSE_RANK side by side, skew-safe.
 
     * ``row_number``: blocked ordered scan over ``(keys, order, tiebreak)``.
@@ -129,7 +129,7 @@ def top_n_values(df: DataFrame, keys: str | Sequence[str], value: str, n: int, k
 
 def period_change(df: DataFrame, keys: str | Sequence[str] | None, order: str, value: str,
                   mode: str = "record", tiebreak: Sequence[str] = (), prev: str = "prev",
-                  n_blocks: int = MAX_BLOCKS, period_step: Column | None = None) -> DataFrame:
+                  n_blocks: int | None = MAX_BLOCKS, period_step: Column | None = None) -> DataFrame:
     """Attach the previous period's value (LAG 1) per key.
 
     ``mode="record"``: the previous *row* in order (the quirk of the reference's
@@ -156,7 +156,7 @@ def period_change(df: DataFrame, keys: str | Sequence[str] | None, order: str, v
 
 
 def growth(df: DataFrame, keys: str | Sequence[str] | None, order: str, value: str,
-           name: str = "growth", n_blocks: int = MAX_BLOCKS) -> DataFrame:
+           name: str = "growth", n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Period-over-period growth (W10): ``(v - prev) / prev``, NULL on the first
     period and on a zero previous value."""
     out = period_change(df, keys, order, value, prev="prev_value", n_blocks=n_blocks)
@@ -166,7 +166,7 @@ def growth(df: DataFrame, keys: str | Sequence[str] | None, order: str, value: s
 # --------------------------------------------------------------------- W6, W7
 
 def running_total(df: DataFrame, keys: str | Sequence[str] | None, order: Sequence[str], value: str,
-                  name: str = "running_total", n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                  name: str = "running_total", n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED
     PRECEDING)`` (W6). ``order`` must make rows unique within a key (ROWS
     semantics). Blocked scan: no single partition for the global form, hot keys
@@ -176,7 +176,7 @@ def running_total(df: DataFrame, keys: str | Sequence[str] | None, order: Sequen
 
 
 def moving_average(df: DataFrame, keys: str | Sequence[str] | None, order: Sequence[str], value: str,
-                   rows: int = 7, name: str = "moving_avg", n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                   rows: int = 7, name: str = "moving_avg", n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Average over the current and ``rows - 1`` preceding rows (W7, ROWS frame).
 
     Computed as a difference of running sums: ``run(i) - run(i - rows)``, with
@@ -225,7 +225,7 @@ def calendar_moving_average(df: DataFrame, keys: str | Sequence[str] | None, day
 # --------------------------------------------------------------------- W5, W8, W9
 
 def islands(df: DataFrame, keys: str | Sequence[str], seq: str, dedupe: bool = False,
-            n_blocks: int = MAX_BLOCKS, start: str = "start", end: str = "end", size: str = "n") -> DataFrame:
+            n_blocks: int | None = MAX_BLOCKS, start: str = "start", end: str = "end", size: str = "n") -> DataFrame:
     """Maximal runs of consecutive integers per key.
 
     Island id = ``seq - row_number()``; then one grouped aggregate gives start,
@@ -252,7 +252,7 @@ def day_number(c: str | Column) -> Column:
     return F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date"))
 
 
-def day_islands(df: DataFrame, keys: str | Sequence[str], day: str, n_blocks: int = MAX_BLOCKS) -> DataFrame:
+def day_islands(df: DataFrame, keys: str | Sequence[str], day: str, n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Runs of consecutive calendar days per key, from distinct (key, day)."""
     keys = _list(keys)
     days = df.select(*keys, day_number(day).alias("_dn")).distinct()
@@ -263,7 +263,7 @@ def day_islands(df: DataFrame, keys: str | Sequence[str], day: str, n_blocks: in
 
 
 def streak_keys(df: DataFrame, keys: str | Sequence[str], day: str, n: int,
-                n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Keys active on at least ``n`` consecutive days (W5); the LEAD(d, n-1) =
     d + n - 1 test on distinct days is the same as an island of length >= n."""
     keys = _list(keys)
@@ -271,7 +271,7 @@ def streak_keys(df: DataFrame, keys: str | Sequence[str], day: str, n: int,
 
 
 def longest_streak(df: DataFrame, keys: str | Sequence[str], day: str, name: str = "longest",
-                   n_blocks: int = MAX_BLOCKS) -> DataFrame:
+                   n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
     """Longest run of consecutive active days per key."""
     keys = _list(keys)
     return day_islands(df, keys, day, n_blocks).groupBy(*keys).agg(F.max("days").alias(name))

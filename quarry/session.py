@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "quarry", cpus: int | str | None = None,
@@ -69,3 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the checkpoint directory and read it back: computed
+    once (a ``checkpoint()`` computes its rows twice), shared by all executors,
+    and an exchange of its own in later joins, so that AQE can split it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quarry-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

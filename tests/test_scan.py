@@ -61,3 +61,26 @@ def test_keyless_relation_is_split(spark):
     assert planned is not None
     got = ordered_scan(df, [], ["o"], sums=["v"], lag_cols=["v"], rows_per_block=400, sample_rows=300)
     _assert_same(got, _expected(df, []), 5000)
+
+
+def test_thousands_of_hot_keys(spark):
+    """5,000 hot keys: same result, and a plan whose size does not depend on their number."""
+    def made(n):
+        return spark.range(0, 12 * n, numPartitions=8).select(
+            F.col("id").alias("o"), (F.col("id") % n).alias("k"), (F.col("id") % 13 - 6).alias("v"))
+
+    def scan(n):
+        return ordered_scan(made(n), ["k"], ["o"], sums=["v"], lag_cols=["v"], rows_per_block=10)
+    _assert_same(scan(5000), _expected(made(5000), ["k"]), 60_000)
+    size = [len(scan(n)._jdf.queryExecution().optimizedPlan().toString()) for n in (50, 5000)]
+    assert abs(size[0] - size[1]) < 0.02 * size[0]
+
+
+def test_split_points_handle_null_and_text_orders(spark):
+    data = [(None if i % 3 else "k", None if i % 7 == 0 else f"t{i % 50:02d}", i, i) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, t string, o long, v long")
+    got = ordered_scan(df, ["k"], ["t", "o"], sums=["v"], lag_cols=["v"], rows_per_block=30)
+    w = Window.partitionBy("k").orderBy("t", "o")
+    exp = (df.withColumn("e_run", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("e_rn", F.row_number().over(w)).withColumn("e_prev", F.lag("v").over(w)).drop("k", "t", "v"))
+    _assert_same(got, exp, 400)
