@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import numeric_or_text, round_half_up
+from quarry.operators.compare import EPS, tolerant_agreement
 from quarry.operators.scan import MAX_BLOCKS, ordered_scan
 
 
@@ -365,12 +366,8 @@ def order_stability(query: Callable[..., DataFrame], inputs: Sequence[DataFrame]
     return out.select("seed", "rows", "digest")
 
 
-def agreement(a: DataFrame, b: DataFrame) -> DataFrame:
+def agreement(a: DataFrame, b: DataFrame, eps: float = EPS) -> DataFrame:
     """Do two independent answers coincide (D19)? Column names (case-
-    insensitive, in order) and multiset equality. One row."""
-    if not same_columns(a, b):
-        spark = a.sparkSession
-        return spark.createDataFrame([(False, None, None)], "agree boolean, only_a long, only_b long")
-    eq = tables_equal(a, b.toDF(*a.columns))
-    return eq.select(F.col("equal").alias("agree"), F.col("only_a").cast("bigint").alias("only_a"),
-                     F.col("only_b").cast("bigint").alias("only_b"))
+    insensitive, in order) and rows paired with a tolerance: numbers and
+    numeric text within ``eps``, other text trimmed. One row."""
+    return tolerant_agreement(a, b, eps)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import compare
 from quarry.operators import quality as q
 from quarry.operators import relational as rel
 from quarry.operators import windows as win
@@ -317,6 +318,89 @@ def d19(spark, sf):
     return q.agreement(a, b)
 
 
+REVENUE = "CAST(l_extendedprice * (1 - l_discount) AS DOUBLE)"
+
+
+def _revenue_texts(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Revenue per order, summed as doubles; and the same from exact decimals, as
+    padded text, a cent higher on every 13th order and missing on every 19th.
+    Every 7th order has its quantity times 1e38 on both sides."""
+    li, k = t.lineitem, F.col("l_orderkey")
+    line = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("double")
+    huge = F.sum("l_quantity").cast("double") * 1e38
+    a = li.groupBy("l_orderkey").agg(F.when(k % 7 == 0, huge).otherwise(F.sum(line)).alias("revenue"))
+    exact = F.sum(line.cast("decimal(18,6)")).cast("double")
+    stored = F.when(k % 13 == 0, exact + 0.01).when(k % 7 == 0, huge).otherwise(exact)
+    b = li.where(k % 19 != 0).groupBy("l_orderkey").agg(stored.alias("revenue"))
+    return a, b.select(F.concat(F.lit(" "), k.cast("string")).alias("l_orderkey"),
+                       F.concat(F.lit("  "), F.col("revenue").cast("string"), F.lit(" ")).alias("revenue"))
+
+
+@plan("d7_tolerant_rows", f"""
+WITH a AS (SELECT l_orderkey, CASE WHEN l_orderkey % 7 = 0 THEN CAST(sum(l_quantity) AS DOUBLE) * 1e38 ELSE sum({REVENUE}) END AS x
+           FROM lineitem GROUP BY 1),
+e AS (SELECT l_orderkey, CAST(sum(CAST({REVENUE} AS DECIMAL(18,6))) AS DOUBLE) AS r, CAST(sum(l_quantity) AS DOUBLE) * 1e38 AS h
+      FROM lineitem WHERE l_orderkey % 19 <> 0 GROUP BY 1),
+b AS (SELECT l_orderkey, CASE WHEN l_orderkey % 13 = 0 THEN r + 0.01 WHEN l_orderkey % 7 = 0 THEN h ELSE r END AS x FROM e),
+p AS (SELECT a.l_orderkey FROM a JOIN b ON a.l_orderkey = b.l_orderkey AND (a.x = b.x OR abs(a.x - b.x) < 1e-6))
+SELECT 'a' AS side, l_orderkey, CAST(1 AS BIGINT) AS n FROM a WHERE l_orderkey NOT IN (SELECT l_orderkey FROM p)
+UNION ALL SELECT 'b', l_orderkey, CAST(1 AS BIGINT) FROM b WHERE l_orderkey NOT IN (SELECT l_orderkey FROM p)""")
+def d7_tolerant(spark, sf):
+    """Order-free differences of two results: float noise, padded numeric text and
+    numbers beyond 1e38 are no differences; changed and missing rows are."""
+    a, b = _revenue_texts(Tables(spark, sf))
+    d = compare.tolerant_rows(a, b)
+    return d.select("side", F.get("nums", F.lit(0)).cast("bigint").alias("l_orderkey"), "n")
+
+
+@plan("d9_tolerant_multiset", """
+WITH a AS (SELECT trim(c_mktsegment) AS s, c_nationkey AS n, floor(CAST(c_acctbal AS DOUBLE) / 50) / 3 * 3 AS x FROM customer),
+b AS (SELECT trim(c_mktsegment) AS s, c_nationkey AS n, floor(CAST(c_acctbal AS DOUBLE) / 50) + CASE WHEN c_custkey % 29 = 0 THEN 0.5 ELSE 0 END AS x FROM customer),
+ca AS (SELECT s, n, round(x, 1) AS x, count(*) AS c FROM a GROUP BY ALL),
+cb AS (SELECT s, n, round(x, 1) AS x, count(*) AS c FROM b GROUP BY ALL),
+j AS (SELECT coalesce(ca.c, 0) - coalesce(cb.c, 0) AS d FROM ca FULL OUTER JOIN cb ON ca.s = cb.s AND ca.n = cb.n AND ca.x = cb.x)
+SELECT CAST(coalesce(sum(greatest(d, 0)), 0) AS BIGINT) AS only_a, CAST(coalesce(sum(greatest(-d, 0)), 0) AS BIGINT) AS only_b,
+  coalesce(sum(abs(d)), 0) = 0 AS agree FROM j""")
+def d9_multiset(spark, sf):
+    """Rows without a key, many repeated: segment (padded on one side), nation and
+    balance in fifties with float noise; every 29th is half a step off."""
+    c = Tables(spark, sf).customer
+    step = F.floor(F.col("c_acctbal").cast("double") / 50)
+    a = c.select(F.concat(F.lit(" "), "c_mktsegment", F.lit("\t")).alias("s"), "c_nationkey", (step / 3 * 3).alias("x"))
+    b = c.select(F.col("c_mktsegment").alias("s"), "c_nationkey", (step + F.when(F.col("c_custkey") % 29 == 0, 0.5).otherwise(0.0)).alias("x"))
+    return compare.tolerant_agreement(a, b)
+
+
+@plan("d8_tolerant_ordered", """
+WITH a AS (SELECT o_orderkey AS pos, CAST(o_totalprice AS DOUBLE) AS x, o_orderstatus AS s FROM orders),
+b AS (SELECT o_orderkey AS pos, CASE WHEN o_orderkey % 23 = 0 THEN CAST(o_totalprice AS DOUBLE) + 1e-5 ELSE CAST(o_totalprice AS DOUBLE) + 4e-7 END AS x,
+        CASE WHEN o_orderkey % 31 = 0 THEN lower(o_orderstatus) ELSE o_orderstatus || ' ' END AS s FROM orders WHERE o_orderkey % 41 <> 0)
+SELECT a.pos, CASE WHEN b.pos IS NULL THEN 'only_a' ELSE 'both' END AS side,
+  CASE WHEN b.pos IS NULL THEN NULL ELSE concat_ws(',', CASE WHEN abs(a.x - b.x) >= 1e-6 THEN '1' END, CASE WHEN trim(a.s) <> trim(b.s) THEN '2' END) END AS columns
+FROM a LEFT JOIN b ON a.pos = b.pos WHERE b.pos IS NULL OR abs(a.x - b.x) >= 1e-6 OR trim(a.s) <> trim(b.s)""")
+def d8_tolerant(spark, sf):
+    """Two ordered results by position: noise of 4e-7 and padding are no differences."""
+    o, k = Tables(spark, sf).orders, F.col("o_orderkey")
+    x = F.col("o_totalprice").cast("double")
+    a = o.select(k.alias("pos"), x.alias("x"), F.col("o_orderstatus").alias("s"))
+    b = o.where(k % 41 != 0).select(k.alias("pos"), F.when(k % 23 == 0, x + 1e-5).otherwise(x + 4e-7).cast("string").alias("x"),
+                                    F.when(k % 31 == 0, F.lower("o_orderstatus")).otherwise(F.concat("o_orderstatus", F.lit(" "))).alias("s"))
+    d = compare.tolerant_ordered(a, b, "pos")
+    return d.select("pos", "side", F.array_join("columns", ",").alias("columns"))
+
+
+@plan("d19_agreement_noise", """
+SELECT count(*) > 0 AS agree, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b FROM lineitem""")
+def d19_noise(spark, sf):
+    """Average line value per part, as an average and as the sum of tenths over a
+    count: equal but for float noise in nearly every row, so the answers agree."""
+    li = Tables(spark, sf).lineitem
+    tenth = F.col("l_extendedprice").cast("double") * 0.1
+    a = li.groupBy("l_partkey").agg(F.avg("l_extendedprice").cast("double").alias("mean"))
+    b = li.groupBy("l_partkey").agg((F.sum(tenth) / F.count(F.lit(1)) * 10).alias("mean"))
+    return q.agreement(a, b)
+
+
 @plan("d20_text_screen", f"""
 SELECT 'secret' AS rule, COUNT(*) FILTER (WHERE regexp_matches(text, '{DOC_RULES[2][1]}')) AS hits FROM documents
 UNION ALL SELECT 'card number', COUNT(*) FILTER (WHERE regexp_matches(text, '{DOC_RULES[3][1]}')) FROM documents
