@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import band, money
-from quarry.operators import joins, relational as rel
+from quarry.operators import joins, recursion, relational as rel
 from quarry.operators.scan import ordered_scan
 from quarry.plans.registry import plan
 from quarry.sources.tables import Tables
@@ -173,30 +173,26 @@ WITH RECURSIVE chain(conv_id, turn, role, depth) AS (
   JOIN conversations c ON c.conv_id = ch.conv_id AND c.turn = ch.turn + 1 AND c.role <> ch.role)
 SELECT conv_id, CAST(MAX(depth) AS BIGINT) AS depth FROM chain GROUP BY conv_id""")
 def f11_chain(spark, sf):
-    """Recursive CTE as an iterative frontier join: each level joins the new
-    frontier (checkpointed, so lineage stays one level deep) with the base
-    table on (conv_id, turn + 1); stops when a level is empty. One job per
-    level; the data never passes through the driver."""
-    from quarry.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    conv = Tables(spark, sf).conversations.select("conv_id", "turn", "role")
-    frontier = conv.where(F.col("turn") == 0).withColumn("depth", F.lit(1).cast("bigint"))
-    levels = [frontier]
-    nxt_base = conv.select(F.col("conv_id").alias("c_id"), F.col("turn").alias("c_turn"), F.col("role").alias("c_role"))
-    while True:
-        nxt = (frontier.join(nxt_base, (F.col("c_id") == F.col("conv_id"))
-                             & (F.col("c_turn") == F.col("turn") + 1) & (F.col("c_role") != F.col("role")))
-               .select(F.col("c_id").alias("conv_id"), F.col("c_turn").alias("turn"),
-                       F.col("c_role").alias("role"), (F.col("depth") + 1).alias("depth")))
-        nxt = nxt.checkpoint(eager=True)
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        frontier = nxt
-    allv = levels[0]
-    for lv in levels[1:]:
-        allv = allv.unionByName(lv)
-    return allv.groupBy("conv_id").agg(F.max("depth").alias("depth"))
+    """Recursive CTE by path doubling: nodes are (conversation, turn, role), an
+    edge leads to the next turn of another role."""
+    conv = Tables(spark, sf).conversations.select(F.struct("conv_id", "turn", "role").alias("node"))
+    n = F.col("node")
+    following = conv.select(n.alias("dst"), n["conv_id"].alias("c"), (n["turn"] - 1).alias("t"), n["role"].alias("r"))
+    edges = conv.select(n.alias("src"), n["conv_id"].alias("c"), n["turn"].alias("t"), n["role"].alias("r0")).join(
+        following, ["c", "t"]).where(F.col("r0") != F.col("r"))
+    found = recursion.reachable(conv.where(n["turn"] == 0), edges)
+    return found.groupBy(F.col("node.conv_id").alias("conv_id")).agg((F.max("depth") + 1).alias("depth"))
+
+
+@plan("f11_day_chain", """
+WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+i AS (SELECT day, day - CAST(ROW_NUMBER() OVER (ORDER BY day) AS INTEGER) AS g FROM d)
+SELECT day, MIN(day) OVER (PARTITION BY g) AS root, CAST(day - MIN(day) OVER (PARTITION BY g) AS BIGINT) AS depth FROM i""")
+def f11_days(spark, sf):
+    """Parent chain of every active day to the day before it, hundreds of levels
+    deep: root and depth by pointer doubling."""
+    days = Tables(spark, sf).events.select(F.to_date("ts").alias("day")).distinct()
+    return recursion.roots(days.select("day", F.date_sub("day", 1).alias("before")), "day", "before")
 
 
 @plan("f11_day_spine", """

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import accept
 from quarry.operators import similarity as sim
 from quarry.plans.registry import plan
 from quarry.sources.tables import Tables
@@ -100,3 +101,37 @@ def m6_similar(spark, sf):
     t = Tables(spark, sf)
     both = t.benchmark.select("item_id", "text").unionByName(mutated_benchmark(t))
     return sim.dedupe_in_order(both, "item_id", "text")
+
+
+WORDS_SQL = """words AS (SELECT DISTINCT doc_id, unnest(list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: length(w) >= 7)) AS w FROM documents),
+rare AS (SELECT w FROM words GROUP BY w HAVING count(*) BETWEEN 2 AND 3),
+e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM words a JOIN words b ON a.w = b.w AND a.doc_id <> b.doc_id WHERE a.w IN (SELECT w FROM rare))"""
+QUOTAS = {"en": 60, "de": 25, "fr": 40}
+
+
+@plan("m5_m6_capped_accept", f"""
+WITH RECURSIVE {WORDS_SQL},
+items AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS k,
+    CASE lang WHEN 'en' THEN 60 WHEN 'de' THEN 25 WHEN 'fr' THEN 40 ELSE 0 END AS room,
+    coalesce((SELECT list(b) FROM e WHERE e.a = d.doc_id), []) AS near FROM documents d),
+s(k, acc, counts, doc_id, outcome) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), {{'en': 0, 'de': 0, 'fr': 0}}, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR)
+  UNION ALL
+  SELECT i.k, CASE WHEN o.outcome = 'accepted' THEN list_append(s.acc, i.doc_id) ELSE s.acc END,
+    {{'en': s.counts.en + CAST(o.outcome = 'accepted' AND i.lang = 'en' AS INTEGER), 'de': s.counts.de + CAST(o.outcome = 'accepted' AND i.lang = 'de' AS INTEGER),
+      'fr': s.counts.fr + CAST(o.outcome = 'accepted' AND i.lang = 'fr' AS INTEGER)}}, i.doc_id, o.outcome
+  FROM s JOIN items i ON i.k = s.k + 1,
+    LATERAL (SELECT CASE WHEN (CASE i.lang WHEN 'en' THEN s.counts.en WHEN 'de' THEN s.counts.de WHEN 'fr' THEN s.counts.fr ELSE 0 END) >= i.room THEN 'full'
+                         WHEN list_has_any(s.acc, i.near) THEN 'similar' ELSE 'accepted' END AS outcome) o)
+SELECT doc_id, outcome FROM s WHERE doc_id IS NOT NULL""")
+def m5_m6_capped(spark, sf):
+    """Documents offered in id order under quotas by language; two are similar if they
+    share a long word that two or three documents have. The oracle walks the documents
+    one by one."""
+    d = Tables(spark, sf).documents
+    words = d.select("doc_id", F.explode(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: F.length(w) >= 7)).alias("w")).distinct()
+    rare = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n between 2 and 3").select("w")
+    held = words.join(rare, "w")
+    edges = held.select("w", F.col("doc_id").alias("a")).join(held.select("w", F.col("doc_id").alias("b")), "w").where("a < b").select("a", "b").distinct()
+    out = accept.accept_capped(d.select("doc_id", F.col("doc_id").alias("value"), "lang"), edges, QUOTAS, "doc_id", "value", "lang")
+    return out.select("doc_id", "outcome")
