@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.scan import MAX_BLOCKS, ordered_scan
 from quarry.operators.windows import top_n_per_group
+from quarry.session import written_table
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -186,13 +187,15 @@ def exact_percentiles(df: DataFrame, group: str | Sequence[str] | None, col: str
     """
     keys = _list(group)
     vals = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    if not keys:  # counted once, then read by the scan and for the total
+        vals = written_table(vals, "values")
     scanned = ordered_scan(vals, keys, [col], sums=["_c"], n_blocks=n_blocks, row_number=None)
     totals = vals.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     if keys:
         totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_n")
         j = scanned.join(totals, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys], "inner")
-    else:  # one total: an uncorrelated scalar subquery, evaluated once
-        j = scanned.withColumn("_n", totals.scalar())
+    else:  # one number, used in every condition below
+        j = scanned.withColumn("_n", F.lit(totals.first()[0]).cast("bigint"))
     cum, cnt, n = F.col("run__c"), F.col("_c"), F.col("_n")
 
     def holds(rank: Column) -> Column:  # the value at 1-based position ``rank``
@@ -226,6 +229,31 @@ def exact_percentiles(df: DataFrame, group: str | Sequence[str] | None, col: str
     return agg.select(*keys, *finals)
 
 
+SKETCH_K = 400           # normalised rank error of about 1% at 99% confidence
+SKETCH_ERROR = 0.02      # stated bound, for results that are checked
+
+
+def quantile_sketches(df: DataFrame, group: str | Sequence[str] | None, col: str, k: int = SKETCH_K, name: str = "sketch") -> DataFrame:
+    """One KLL quantile sketch per group (A7 at scale): a few kilobytes whatever the
+    group's size, built per task and merged, so no value is shuffled. NULLs are left out;
+    a group of NULLs has a NULL sketch. The sketch is a binary column to be stored and
+    merged later (:func:`merge_sketches`)."""
+    return df.groupBy(*_list(group)).agg(F.kll_sketch_agg_double(F.col(col).cast("double"), F.lit(k)).alias(name))
+
+
+def merge_sketches(sketches: DataFrame, group: str | Sequence[str] | None, name: str = "sketch", k: int = SKETCH_K) -> DataFrame:
+    """Sketches of parts (days, files) merged into one per ``group``: percentiles of
+    the union without reading its rows again."""
+    return sketches.groupBy(*_list(group)).agg(F.kll_merge_agg_double(F.col(name), F.lit(k)).alias(name))
+
+
+def sketch_percentiles(sketches: DataFrame, specs: Sequence[tuple[float, str]], name: str = "sketch") -> DataFrame:
+    """Approximate percentiles from sketches; ``specs``: ``(p, column)``. The rank of
+    each is within ``SKETCH_ERROR`` of ``p`` (normalised), for ``SKETCH_K``."""
+    rest = [c for c in sketches.columns if c != name]
+    return sketches.select(*rest, *[F.kll_sketch_get_quantile_double(F.col(name), F.lit(float(p))).alias(out) for p, out in specs])
+
+
 # --------------------------------------------------------------------- set operations
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -116,7 +116,7 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
                  order: str | Sequence[str], sums: Sequence[str] = (),
                  lag_cols: Sequence[str] = (), n_blocks: int | None = MAX_BLOCKS,
                  row_number: str | None = "_rn", rows_per_block: int = ROWS_PER_BLOCK,
-                 sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+                 sample_rows: int = SAMPLE_ROWS, planned: Blocks | None = None) -> DataFrame:
     """Running sums, row number and LAG(1) per key, skew-safe.
 
     Adds ``run_<c>`` for every column in ``sums`` (sum from the first row of
@@ -125,11 +125,12 @@ def ordered_scan(df: DataFrame, keys: str | Sequence[str] | None,
     for every column in ``lag_cols`` (value on the previous row of the same
     key, NULL on the first). ``keys`` may be empty: the scan then runs over
     the whole relation, in one window partition only while the input is
-    within ``rows_per_block`` rows. ``n_blocks`` caps the sub-blocks of one key.
+    within ``rows_per_block`` rows. ``n_blocks`` caps the sub-blocks of one key;
+    ``planned`` takes split points already made for ``df``.
     """
     keys, order = _cols(keys), _cols(order)
     sums, lag_cols = list(sums), list(lag_cols)
-    planned = plan_blocks(df, keys, order, rows_per_block, n_blocks, sample_rows)
+    planned = planned or plan_blocks(df, keys, order, rows_per_block, n_blocks, sample_rows)
     blocked = planned.place(df) if planned else df.withColumn(BLK, F.lit(0))
 
     ordering = [F.col(c).asc_nulls_first() for c in order]

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.scan import MAX_BLOCKS, ordered_scan
+from quarry.operators.scan import MAX_BLOCKS, ROWS_PER_BLOCK, ordered_scan, plan_blocks
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -175,51 +175,59 @@ def running_total(df: DataFrame, keys: str | Sequence[str] | None, order: Sequen
     return out.withColumnRenamed(f"run_{value}", name)
 
 
-def moving_average(df: DataFrame, keys: str | Sequence[str] | None, order: Sequence[str], value: str,
-                   rows: int = 7, name: str = "moving_avg", n_blocks: int | None = MAX_BLOCKS) -> DataFrame:
-    """Average over the current and ``rows - 1`` preceding rows (W7, ROWS frame).
+def _mean(value: Column, w) -> Column:
+    n = F.count(value).over(w)
+    return F.when(n > 0, F.sum(value).over(w) / n)
+
 
-    Computed as a difference of running sums: ``run(i) - run(i - rows)``, with
-    ``run(i - rows)`` fetched by an equi-join on ``(keys, row_number)`` (unique,
-    so no skew). ``value`` should be DECIMAL for an exact difference.
-    Non-NULL count uses the same difference.
+def moving_average(df: DataFrame, keys: str | Sequence[str] | None, order: Sequence[str], value: str,
+                   rows: int = 7, name: str = "moving_avg", n_blocks: int | None = MAX_BLOCKS,
+                   rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Average over the current and ``rows - 1`` preceding rows (W7, ROWS frame);
+    NULL values do not count, no value at all gives NULL. ``order`` must make rows
+    unique within a key.
+
+    The frame runs as it stands while no key is hot. Otherwise rows are numbered by
+    the blocked scan and cut into blocks of ``rows_per_block`` (``rows`` at least);
+    the last ``rows - 1`` rows of a block are copied as a halo in front of the next
+    one, so the plain ROWS frame within a block sees all it needs. No join back.
     """
-    keys = _list(keys)
-    v = F.col(value)
-    base = df.withColumn("_one", F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)))
-    sc = ordered_scan(base, keys, order, sums=[value, "_one"], n_blocks=n_blocks, row_number="_rn")
-    back = sc.select(*[F.col(k).alias(f"_bk_{k}") for k in keys], (F.col("_rn") + rows).alias("_brn"),
-                     F.col(f"run_{value}").alias("_bsum"), F.col("run__one").alias("_bcnt"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_bk_{k}")) for k in keys] + [F.col("_rn") == F.col("_brn")]
-    j = sc.join(back, cond, "left")
-    s = F.coalesce(F.col(f"run_{value}"), F.lit(0)) - F.coalesce(F.col("_bsum"), F.lit(0))
-    c = F.col("run__one") - F.coalesce(F.col("_bcnt"), F.lit(0))
-    out = j.withColumn(name, F.when(c > 0, s / c))
-    return out.drop(f"run_{value}", "run__one", "_one", "_rn", "_brn", "_bsum", "_bcnt",
-                    *[f"_bk_{k}" for k in keys])
+    keys, order = _list(keys), _list(order)
+    planned = plan_blocks(df, keys, order, rows_per_block, n_blocks)
+    if planned is None:
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(1 - rows, 0)
+        return df.withColumn(name, _mean(F.col(value), w))
+    size = max(rows_per_block, rows)
+    numbered = ordered_scan(df, keys, order, row_number="_rn", planned=planned)
+    block, place = F.floor((F.col("_rn") - 1) / size), (F.col("_rn") - 1) % size
+    copies = F.when(place > size - rows, F.array(block, block + 1)).otherwise(F.array(block))
+    blocks = numbered.withColumn("_own", block).withColumn("_b", F.explode(copies))
+    w = Window.partitionBy(*keys, "_b").orderBy("_rn").rowsBetween(1 - rows, 0)
+    return blocks.withColumn(name, _mean(F.col(value), w)).where("_b = _own").select(*df.columns, name)
+
+
+DAYS_PER_BLOCK = 4096
 
 
 def calendar_moving_average(df: DataFrame, keys: str | Sequence[str] | None, day: str, value: str,
-                            days: int = 7, name: str = "moving_avg_days") -> DataFrame:
+                            days: int = 7, name: str = "moving_avg_days", days_per_block: int = DAYS_PER_BLOCK) -> DataFrame:
     """``AVG(value) OVER (... ORDER BY day RANGE BETWEEN days-1 PRECEDING AND
-    CURRENT ROW)`` over one row per (key, day) (W7, calendar form).
+    CURRENT ROW)`` over one row per (key, day) (W7, calendar form). A NULL day has
+    no frame: NULL.
 
-    The preceding ``days - 1`` calendar days are expanded per row
-    (``sequence`` + ``explode``, a constant factor) and joined to the daily
-    values on ``(keys, day)``: an equi-join, so a key with many days spreads
-    over all tasks.
+    Days are cut into blocks of ``days_per_block`` (``days`` at least) with a halo of
+    the ``days - 1`` days before, and each block is a plain RANGE frame: one exchange,
+    no join, and a key's days spread over its blocks.
     """
     keys = _list(keys)
-    cur = df.select(*keys, F.col(day).alias("_d"), F.col(value).alias("_cur_v"))
-    expanded = cur.select(*keys, "_d", F.explode(F.sequence(F.date_sub("_d", days - 1), F.col("_d"))).alias("_w"))
-    vals = df.select(*[F.col(k).alias(f"_vk_{k}") for k in keys], F.col(day).alias("_vd"),
-                     F.col(value).alias("_v"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_vk_{k}")) for k in keys] + [F.col("_w") == F.col("_vd")]
-    j = expanded.join(vals, cond, "inner")
-    agg = j.groupBy(*keys, "_d").agg(F.avg("_v").alias(name))
-    agg = agg.select(*[F.col(c).alias(f"_a{i}") for i, c in enumerate([*keys, "_d"])], name)
-    same = [F.col(c).eqNullSafe(F.col(f"_a{i}")) for i, c in enumerate([*keys, day])]
-    return df.join(agg, same, "left").drop(*[f"_a{i}" for i in range(len(keys) + 1)])
+    size = max(days_per_block, days)
+    numbered = df.withColumn("_dn", day_number(day))
+    block = F.floor(F.col("_dn") / size)
+    copies = F.when(F.pmod("_dn", F.lit(size)) > size - days, F.array(block, block + 1)).otherwise(F.array(block))
+    blocks = numbered.withColumn("_own", block).withColumn("_b", F.explode(copies))
+    w = Window.partitionBy(*keys, "_b").orderBy("_dn").rangeBetween(1 - days, 0)
+    mean = F.when(F.col("_dn").isNotNull(), F.avg(value).over(w))
+    return blocks.withColumn(name, mean).where(F.col("_b").eqNullSafe(F.col("_own"))).select(*df.columns, name)
 
 
 # --------------------------------------------------------------------- W5, W8, W9
@@ -279,7 +287,7 @@ def longest_streak(df: DataFrame, keys: str | Sequence[str], day: str, name: str
 
 # --------------------------------------------------------------------- W11
 
-def cohort_retention(df: DataFrame, user: str, period: Column, max_users_broadcast: int = 0) -> DataFrame:
+def cohort_retention(df: DataFrame, user: str, period: Column) -> DataFrame:
     """Cohort matrix (W11): cohort = user's first period; ``offset`` = periods
     since; ``users`` = distinct active users.
 

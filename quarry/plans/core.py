@@ -417,6 +417,26 @@ def a7_global(spark, sf):
     return both.select(F.round("p90_cont", 6).alias("p90_cont"), "p90_disc")
 
 
+@plan("a7_sketch_percentiles", """
+SELECT l_returnflag, p, true AS within FROM (SELECT DISTINCT l_returnflag FROM lineitem), (SELECT CAST(unnest([0.1, 0.5, 0.99]) AS DOUBLE) AS p)""")
+def a7_sketch(spark, sf):
+    """Percentiles of line values per flag from sketches per flag and ship month,
+    merged; their ranks are then counted over all lines and must lie within the
+    stated error."""
+    li = Tables(spark, sf).lineitem.select("l_returnflag", "l_shipdate", F.col("l_extendedprice").cast("double").alias("x"))
+    parts = rel.quantile_sketches(li.withColumn("month", F.date_trunc("month", F.col("l_shipdate").cast("timestamp"))), ["l_returnflag", "month"], "x")
+    wanted = [0.1, 0.5, 0.99]
+    found = rel.sketch_percentiles(rel.merge_sketches(parts, "l_returnflag"), [(p, f"q{k}") for k, p in enumerate(wanted)])
+    found = joins.broadcast_if_bounded(found.withColumnRenamed("l_returnflag", "flag"), 1000)
+    counted = li.join(found, F.col("l_returnflag").eqNullSafe(F.col("flag"))).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("x") < F.col(f"q{k}")).alias(f"below{k}") for k in range(3)],
+        *[F.count_if(F.col("x") <= F.col(f"q{k}")).alias(f"upto{k}") for k in range(3)])
+    near = [F.struct(F.lit(p).alias("p"), ((F.col(f"below{k}") <= (p + rel.SKETCH_ERROR) * F.col("n"))
+                                                               & (F.col(f"upto{k}") >= (p - rel.SKETCH_ERROR) * F.col("n"))).alias("within"))
+            for k, p in enumerate(wanted)]
+    return counted.select("l_returnflag", F.inline(F.array(*near)))
+
+
 @plan("a9_pivot_counts", """
 SELECT user_id, COUNT(*) FILTER (WHERE event_type = 'click') AS n_click,
   COUNT(*) FILTER (WHERE event_type = 'view') AS n_view, COUNT(*) FILTER (WHERE event_type = 'purchase') AS n_purchase,
