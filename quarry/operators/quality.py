@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.expr import numeric_or_text, round_half_up
+from quarry.functions.expr import numeric_or_text, round_half_up, starts_with_word, statement_count, statement_mask
 from quarry.operators.compare import EPS, tolerant_agreement
 from quarry.operators.scan import MAX_BLOCKS, ordered_scan
 
@@ -280,6 +280,19 @@ def first_failure(df: DataFrame, rules: Sequence[tuple[str, Column]], reason: st
     return df.withColumn(reason, expr.cast("string"))
 
 
+def statement_rules(text: str, starts: Sequence[str] = ("select", "with"),
+                    banned: Sequence[str] = ()) -> list[tuple[str, Column]]:
+    """The start, single-statement and banned-word rules of a statement screen
+    (D20), for :func:`first_failure`. Separators and words inside quotes and
+    comments do not count; one closing separator is allowed. NULL text is empty."""
+    c = F.coalesce(F.col(text), F.lit(""))
+    rules = [("empty", statement_count(c) == 0), ("more than one statement", statement_count(c) > 1),
+             ("wrong start", ~starts_with_word(c, starts))]
+    if banned:
+        rules.append(("banned word", statement_mask(c).rlike(r"(?i)\b(?:" + "|".join(banned) + r")\b")))
+    return rules
+
+
 def split_accepted(screened: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
     return screened.where(F.col(reason).isNull()), screened.where(F.col(reason).isNotNull())
 

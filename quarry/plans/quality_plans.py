@@ -413,14 +413,43 @@ def d20(spark, sf):
     return q.text_screen(Tables(spark, sf).documents, "text", pats)
 
 
+STATEMENT_SQL = r"""CASE doc_id % 8
+  WHEN 0 THEN 'SELECT ''' || text || ''' AS t FROM d;' WHEN 1 THEN 'SELECT '';'' AS a; ' || chr(10) || ';' WHEN 2 THEN 'SELECT 1; SELECT ' || doc_id
+  WHEN 3 THEN '-- note; ' || replace(text, chr(10), ' ') || chr(10) || 'with a AS (SELECT 1) SELECT * FROM a'
+  WHEN 4 THEN 'SELECT "a;b" /* ; ' || text || ' */ ;;' WHEN 5 THEN 'DELETE FROM d' WHEN 6 THEN '/* SELECT */ ' || text
+  ELSE 'SELECT ''it''''s; drop'', selected FROM d -- ;' END"""
+MASK_SQL = r"""regexp_replace(st, '''[^'']*''?|"[^"]*"?|--[^\n]*|/\*(?s:.*?)(?:\*/|\z)', ' ', 'g')"""
+
+
+@plan("d20_statement_rules", rf"""
+WITH s AS (SELECT doc_id, {STATEMENT_SQL} AS st FROM documents), m AS (SELECT doc_id, {MASK_SQL} AS m FROM s),
+n AS (SELECT doc_id, m, len(list_filter(string_split(m, ';'), lambda x: regexp_matches(x, '[^\s]'))) AS n FROM m)
+SELECT doc_id, CASE WHEN n = 0 THEN 'empty' WHEN n > 1 THEN 'more than one statement'
+  WHEN NOT regexp_matches(m, '(?i)^\s*(?:select|with)\b') THEN 'wrong start' WHEN regexp_matches(m, '(?i)\b(?:drop|delete|update)\b') THEN 'banned word' END AS reason
+FROM n""")
+def d20_statements(spark, sf):
+    """Start, single-statement and banned-word rules over statements that hold whole
+    documents in quotes, comments or bare: what is quoted does not count."""
+    d, k = Tables(spark, sf).documents, F.col("doc_id") % 8
+    text, lit = F.col("text"), F.lit
+    cases = [F.concat(lit("SELECT '"), text, lit("' AS t FROM d;")), lit("SELECT ';' AS a; \n;"), F.concat(lit("SELECT 1; SELECT "), F.col("doc_id").cast("string")),
+             F.concat(lit("-- note; "), F.replace(text, lit("\n"), lit(" ")), lit("\nwith a AS (SELECT 1) SELECT * FROM a")),
+             F.concat(lit('SELECT "a;b" /* ; '), text, lit(" */ ;;")), lit("DELETE FROM d"), F.concat(lit("/* SELECT */ "), text)]
+    st = lit("SELECT 'it''s; drop', selected FROM d -- ;")
+    for n, case in enumerate(cases):
+        st = F.when(k == n, case).otherwise(st)
+    statements = d.select("doc_id", st.alias("st"))
+    return q.first_failure(statements, q.statement_rules("st", banned=["drop", "delete", "update"])).select("doc_id", "reason")
+
+
 @plan("d21_mentions", """
 SELECT doc_id, concat_ws(',', CASE WHEN NOT contains(lower(text), 'the') THEN 'the' END,
                               CASE WHEN NOT contains(lower(text), 'and') THEN 'and' END,
                               CASE WHEN NOT contains(lower(text), 'with') THEN 'with' END) AS missing
-FROM documents WHERE lang = 'en' AND (NOT contains(lower(text), 'the') OR NOT contains(lower(text), 'and')
+FROM documents WHERE (NOT contains(lower(text), 'the') OR NOT contains(lower(text), 'and')
                                       OR NOT contains(lower(text), 'with'))""")
 def d21(spark, sf):
-    d = Tables(spark, sf).documents.where(F.col("lang") == "en")
+    d = Tables(spark, sf).documents
     m = q.mentions(d, "text", ["the", "and", "with"], ["doc_id"])
     return m.select("doc_id", F.array_join("missing", ",").alias("missing"))
 

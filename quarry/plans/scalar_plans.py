@@ -166,10 +166,12 @@ def x15(spark, sf):
 
 
 @plan("x16_numeric_or_text", """
-SELECT conv_id, turn, TRY_CAST(CAST(turn AS VARCHAR) AS DOUBLE) AS as_number,
-       CASE WHEN TRY_CAST(role AS DOUBLE) IS NULL THEN trim(role) END AS as_text FROM conversations""")
+WITH v AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN ' ' || turn || '.50' ELSE ' ' || role || ' ' END AS raw FROM conversations)
+SELECT conv_id, turn, CASE WHEN TRY_CAST(raw AS DOUBLE) IS NOT NULL THEN 'n:' || CAST(ROUND(TRY_CAST(raw AS DOUBLE), 6) AS VARCHAR)
+                           ELSE 's:' || trim(raw) END AS value FROM v""")
 def x16(spark, sf):
-    """Numeric coercion of text, else trimmed text."""
+    """Numeric coercion of text (padded, with trailing zeros), else trimmed text."""
     c = Tables(spark, sf).conversations
-    return c.select("conv_id", "turn", F.col("turn").cast("string").try_cast("double").alias("as_number"),
-                    F.when(F.col("role").try_cast("double").isNull(), F.trim("role")).alias("as_text"))
+    raw = F.when(F.col("turn") % 2 == 0, F.concat(F.lit(" "), F.col("turn").cast("string"), F.lit(".50"))).otherwise(
+        F.concat(F.lit(" "), F.col("role"), F.lit(" ")))
+    return c.select("conv_id", "turn", X.numeric_or_text(raw).alias("value"))

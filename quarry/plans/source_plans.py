@@ -64,6 +64,63 @@ def s3(spark, sf):
     return lf.select("event_id", "key", F.col("value").try_cast("bigint").alias("value"))
 
 
+@plan("s2_strict_json", r"""
+WITH p AS (SELECT event_id, CASE event_id % 10
+  WHEN 0 THEN props || ' x' WHEN 1 THEN props || props WHEN 2 THEN props || ',' || props WHEN 3 THEN '1],[2' WHEN 4 THEN ''
+  WHEN 5 THEN '"' || event_type || '"' WHEN 6 THEN ' ' || props || chr(10) WHEN 7 THEN replace(props, '"', chr(39)) WHEN 8 THEN '[' || props || ',null,-1.5e3]'
+  ELSE props || ']' END AS raw FROM events)
+SELECT event_id, json_valid(raw) AS valid FROM p""")
+def s2_strict(spark, sf):
+    """Whole-text validity: trailing text, two values, lone brackets, an empty text and
+    single quotes are invalid; scalars, arrays and surrounding white space are valid."""
+    ev = Tables(spark, sf).events
+    props, k = F.col("props"), F.col("event_id") % 10
+    cases = [F.concat(props, F.lit(" x")), F.concat(props, props), F.concat(props, F.lit(","), props), F.lit("1],[2"), F.lit(""),
+             F.concat(F.lit('"'), F.col("event_type"), F.lit('"')), F.concat(F.lit(" "), props, F.lit("\n")),
+             F.replace(props, F.lit('"'), F.lit("'")), F.concat(F.lit("["), props, F.lit(",null,-1.5e3]"))]
+    raw = F.concat(props, F.lit("]"))
+    for n, case in enumerate(cases):
+        raw = F.when(k == n, case).otherwise(raw)
+    return ev.select("event_id", docs.is_json(raw).alias("valid"))
+
+
+@plan("s2_quarantine", f"""
+WITH l AS (SELECT event_id, {EVENT_LINE_SQL} AS line FROM events)
+SELECT event_id % 13 = 0 AS quarantined, COUNT(*) AS n,
+  CAST(SUM(CASE WHEN event_id % 13 = 0 THEN length(line) - 1 ELSE event_id END) AS BIGINT) AS total FROM l GROUP BY 1""")
+def s2_quarantine(spark, sf):
+    """A collection scanned from files and split into valid and quarantined rows."""
+    valid, bad = docs.split_valid(s1(spark, sf).select("event_id", "_corrupt_record"))
+
+    def count(df, value, flag):
+        return df.agg(F.lit(flag).alias("quarantined"), F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("total"))
+    return count(valid, F.col("event_id"), False).unionByName(count(bad, F.length("_corrupt_record"), True))
+
+
+@plan("s3_inline_tables", """
+WITH c AS (SELECT conv_id, turn, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS row_no,
+    CASE WHEN turn % 5 = 3 THEN 'turn ' || turn ELSE CAST(turn AS VARCHAR) END AS a, role AS b,
+    CASE WHEN turn % 7 = 2 THEN NULL ELSE CAST(length(text) / 4 AS VARCHAR) END AS s FROM conversations)
+SELECT conv_id AS id, 'turns' AS "table", row_no, 0 AS col_no, 'turn' AS "column", 'INTEGER' AS type, a AS text, TRY_CAST(a AS BIGINT) AS as_long,
+  CAST(NULL AS DOUBLE) AS as_double, turn % 5 <> 3 AS fits, role <> 'system' AS arity_ok FROM c
+UNION ALL SELECT conv_id, 'turns', row_no, 1, 'role', 'TEXT', b, NULL, NULL, true, role <> 'system' FROM c
+UNION ALL SELECT conv_id, 'turns', row_no, 2, 'size', 'REAL', s, NULL, CAST(s AS DOUBLE), true, role <> 'system' FROM c WHERE role <> 'system'""")
+def s3_inline(spark, sf):
+    """Conversations as JSON documents that hold an inline table: declared columns and
+    positional rows, some cells of the wrong type, some NULL, rows of system turns a cell
+    short. Read back from the text into typed cells with misfits and arity flagged."""
+    c = Tables(spark, sf).conversations
+    turn = F.when(F.col("turn") % 5 == 3, F.concat(F.lit("turn "), F.col("turn").cast("string"))).otherwise(F.col("turn").cast("string"))
+    size = F.when(F.col("turn") % 7 == 2, F.lit(None)).otherwise((F.length("text") / 4).cast("string"))
+    row = F.when(F.col("role") == "system", F.array(turn, F.col("role"))).otherwise(F.array(turn, F.col("role"), size))
+    rows = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", row.alias("row")))).alias("rows"))
+    declared = [("turn", "integer"), ("role", "TEXT"), ("size", "Real")]
+    columns = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in declared])
+    table = F.struct(F.lit("turns").alias("name"), columns.alias("columns"), F.transform("rows", lambda r: r["row"]).alias("rows"))
+    text = F.to_json(F.struct(F.array(table).alias("tables")), {"ignoreNullFields": "false"})
+    return docs.typed_cells(docs.tables_from_json(rows.select("conv_id", text.alias("doc")), "conv_id", "doc"))
+
+
 @plan("s4_content_digest", "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, sha256(html) AS sha256 FROM pages")
 def s4(spark, sf):
     """Content digest of every page (the hash a manifest keeps)."""

@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import written_table
+
 CORRUPT = "_corrupt_record"
 
 # ---- fixed values: the declared column types of an inline table and their Spark types
@@ -56,7 +58,7 @@ DOCUMENT = T.StructType([
 
 
 def read_json_collection(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT,
-                         multiline: bool = True, glob: str | None = "sql_*.json") -> DataFrame:
+                         multiline: bool = True, glob: str | None = "*.json") -> DataFrame:
     """Collection scan (S1): every matching file, explicit schema (no
     inference pass), PERMISSIVE mode with the corrupt-record column, and the
     source file name from ``_metadata``. Unreadable documents stay as rows
@@ -74,28 +76,45 @@ def read_json_collection(spark: SparkSession, path: str, schema: T.StructType =
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantined) by the corrupt-record column.
 
-    The parsed collection is persisted (memory, spilling to disk) before the
-    split: both halves then reuse one parse, and Spark allows queries that
-    read only the corrupt-record column of a raw JSON scan only on a persisted
-    or saved result. A lost executor's blocks are recomputed from the files.
+    The parsed collection is written below the checkpoint folder first: both
+    halves then read one parse, which any executor can reach, and Spark allows
+    queries that read only the corrupt-record column of a JSON scan only on a
+    saved result.
     """
-    from pyspark import StorageLevel
-
-    parsed = df.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = written_table(df, "collection")
     bad = F.col(CORRUPT).isNotNull()
     return parsed.where(~bad).drop(CORRUPT), parsed.where(bad)
 
 
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "allowUnquotedFieldNames": "false",
+           "allowComments": "false", "allowNumericLeadingZeros": "false", "allowBackslashEscapingAnyCharacter": "false"}
+
+
+def is_json(text: str | Column) -> Column:
+    """Whether a text as a whole is exactly one JSON value (S2); NULL text: false.
+
+    Spark's JSON readers stop after the first complete value, so ``{"a":1} x`` and
+    ``{"a":1}{"b":2}`` parse. Here the text is put between ``[`` and ``,"digest"]``, the
+    digest being the text's own MD5, and must give an array of two members whose last
+    is that digest: trailing text breaks the array, a second value adds a member, and a
+    text that closes the bracket itself (``1],[2``) would have to hold its own digest.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    mark = F.md5(c.cast("binary"))
+    whole = F.from_json(F.concat(F.lit("["), c, F.lit(',"'), mark, F.lit('"]')), "array<string>", _STRICT)
+    return F.coalesce((F.size(whole) == 2) & (F.element_at(whole, -1) == mark), F.lit(False))
+
+
 def parse_json_column(df: DataFrame, col: str, schema: str | T.StructType) -> DataFrame:
     """Column-level S1/S2: ``status`` (``ok`` / ``invalid``) and the typed
     struct ``parsed``. Parsing is ``from_json`` in PERMISSIVE mode with a
     corrupt-record field, so malformed text and values of the wrong type are
-    flagged rather than silently NULL. (Spark's JSON readers accept trailing
-    text after a complete value; that one case passes as valid.)"""
+    flagged rather than silently NULL, and the text as a whole must be one
+    value (:func:`is_json`)."""
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     with_bad = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(col), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    ok = parsed.isNotNull() & parsed[CORRUPT].isNull()
+    ok = is_json(col) & parsed.isNotNull() & parsed[CORRUPT].isNull()
     return df.withColumn("status", F.when(ok, "ok").otherwise("invalid")) \
         .withColumn("parsed", F.when(ok, F.struct(*[parsed[f.name].alias(f.name) for f in st.fields])))
 
@@ -136,6 +155,15 @@ def typed_cells(tables: DataFrame) -> DataFrame:
                         (fits & typ.isin(list(DECLARED_TYPES))).alias("fits"), "arity_ok")
 
 
+def tables_from_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """Inline tables of JSON documents kept as text, one row per table: ``id, table,
+    columns, rows``. The column list (names, declared types) and the positional rows
+    both come with the document; a text that is no JSON value gives no table."""
+    schema = T.StructType([T.StructField("tables", T.ArrayType(TABLE))])
+    docs = df.where(is_json(json_col)).select(F.col(id_col).alias("id"), F.from_json(F.col(json_col), schema).getField("tables").alias("tables"))
+    return inline_tables(docs)
+
+
 def typed_table(tables: DataFrame, doc_id: str, table: str, columns: Mapping[str, str]) -> DataFrame:
     """One inline table as a typed DataFrame with the given ``{name: TYPE}``
     declaration (names and types known up front, as a query needs them)."""
