@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.operators import lifecycle as lc
 from quarry.operators import quality as q
 from quarry.operators import relational as rel
+from quarry.operators import snapshots
 from quarry.plans.core import ALTERED_PART_SQL, altered_part
 from quarry.plans.quality_plans import DOC_RULES_SQL, doc_rules
 from quarry.plans.registry import plan
@@ -158,6 +159,38 @@ def m11(spark, sf):
     return clean.unionByName(dirty)
 
 
+_SEEN_SQL = "COUNT(*) AS n, CAST(SUM(p_size) AS BIGINT) AS size, COUNT(DISTINCT p_name) AS names"
+
+
+@plan("m11_snapshots", f"""
+SELECT '1 first' AS step, {_SEEN_SQL} FROM part
+UNION ALL SELECT '2 second', {_SEEN_SQL} FROM {ALTERED_PART_SQL}
+UNION ALL SELECT '3 refused', {_SEEN_SQL} FROM {ALTERED_PART_SQL}
+UNION ALL SELECT '4 rolled back', {_SEEN_SQL} FROM part
+UNION ALL SELECT '5 third', {_SEEN_SQL} FROM {ALTERED_PART_SQL}""")
+def m11_snapshots(spark, sf):
+    """``part`` published, published again altered, a dirty version refused, rolled
+    back and published once more: what a reader of the pointer finds after each step."""
+    t = Tables(spark, sf)
+    root = lc.scratch_path(spark, "published")
+    checks = {"key_audit": lambda d: q.key_audit(d, "p_partkey")}
+
+    def seen(step):
+        d = snapshots.read_snapshot(spark, root)
+        return d.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"), F.sum("p_size").cast("bigint").alias("size"),
+                     F.count_distinct("p_name").alias("names"))
+    snapshots.publish(t.part, root, checks)
+    out = seen("1 first")
+    snapshots.publish(altered_part(t), root, checks)
+    out = out.unionByName(seen("2 second"))
+    snapshots.publish(t.part.unionByName(t.part), root, checks)
+    out = out.unionByName(seen("3 refused"))
+    snapshots.roll_back(spark, root)
+    out = out.unionByName(seen("4 rolled back"))
+    snapshots.publish(altered_part(t), root, checks)
+    return out.unionByName(seen("5 third"))
+
+
 def _changes_sql(step: str, old: str, new: str, prev_version: int) -> str:
     """M3 over two versions of ``part`` compared column by column (equal
     content gives an equal digest), as the snapshot sink reports it."""
