@@ -8,30 +8,32 @@ span the kernel's Nyström feature map, on which one ridge regression per langua
 presence of the landmarks' n-grams, times the landmarks, times the solved weights.
 
 The model is fitted on a bounded sample: ``per_language`` rows of each language, of
-smallest seeded id hash among texts of up to ``max_chars`` characters, of which the
-first ``landmarks`` are landmarks; ``alphabet`` letters are told apart, the commonest
-of the sample. Prediction reads whole texts of any length.
+smallest seeded id hash, whole texts of any length. The first ``landmarks`` of each are
+landmarks, fewer where that would be over ``most_landmarks`` in all (one at least). n-grams are exact: three
+code points packed into one number, whatever the script. The driver gets the landmarks'
+n-grams and, for each sampled row, its kernel with each landmark.
 
 Defined cases: text null or without a letter: ``und``, score 0. Ties: the language
 first in code-point order. No row to learn from: ``und`` for all. Rows with a null
-language or id are not learned from. Extra columns are ignored.
+language or id are not learned from; rows equal in id, language and text are learned from once. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.scratch import materialize
 from quarry.llm.tokens import list_array, runs
 from quarry.operators.joins import broadcast_if_bounded
 
-BATCH_TEXTS = 64
-OTHER = 1  # class of letters outside the alphabet; 0 is the boundary
+BATCH_TEXTS = 256
 
 
 def _letters() -> np.ndarray:
@@ -54,110 +56,117 @@ def letters(data: np.ndarray, text_ptr: np.ndarray, table: np.ndarray) -> tuple[
     return low, np.minimum(lead[text_ptr], len(low))
 
 
+def grams(code: np.ndarray) -> np.ndarray:
+    """Distinct n-grams of a text of code points plus one (1: boundary): three 21-bit numbers each, absent ones 0."""
+    two = code[:-1] << 21 | code[1:]
+    return np.unique(np.concatenate([code, two, two[:-1] << 21 | code[2:]]))
+
+
+def _texts(batch: pa.RecordBatch, table: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(row, n-grams)`` of the texts that hold a letter."""
+    for first, count, data, text_ptr in runs(batch.column("text")):
+        low, at = letters(data, text_ptr, table)
+        code = low + 1
+        for i in range(count):
+            c = code[at[i]:at[i + 1]]
+            if len(c) and c.max() > 1:
+                yield first + i, grams(c)
+
+
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact n-grams of training texts: three 21-bit code points a number, absent ones 0, boundaries 1."""
     table = _letters()
     for batch in batches:
-        for first, count, data, text_ptr in runs(batch.column("text")):
-            low, at = letters(data, text_ptr, table)
-            code = low + 1
-            lists = []
-            for i in range(count):
-                c = code[at[i]:at[i + 1]]
-                two = c[:-1] << 21 | c[1:]
-                lists.append(np.unique(np.concatenate([c, two, two[:-1] << 21 | c[2:]])))
-            ptr = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").slice(first, count), batch.column("order").slice(first, count),
-                 list_array(np.concatenate(lists), ptr)], ["lang", "order", "grams"])
+        for row, own in _texts(batch, table):
+            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(row, 1), batch.column("r").slice(row, 1),
+                                              list_array(own, np.array([0, len(own)]))], ["lang", "r", "grams"])
+
+
+@dataclass
+class Landmarks:
+    """n-grams of the landmarks, ascending, and which landmarks hold each: ``post[start[k]:start[k + 1]]`` for ``column[k]``."""
+
+    column: np.ndarray
+    start: np.ndarray
+    post: np.ndarray
+    norm: np.ndarray  # number of n-grams of each landmark
+
+    @classmethod
+    def of(cls, lists: list[np.ndarray]) -> Landmarks:
+        sizes = np.array([len(x) for x in lists])
+        flat, owner = np.concatenate(lists), np.repeat(np.arange(len(lists)), sizes)
+        order = np.lexsort((owner, flat))
+        column, start = np.unique(flat[order], return_index=True)
+        return cls(column, np.append(start, len(flat)), owner[order].astype(np.int32), sizes.astype(float))
+
+    def kernel(self, lists: list[np.ndarray]) -> np.ndarray:
+        """Texts by landmarks: the sparse product of n-gram presences, over the geometric mean of their numbers."""
+        shared = np.zeros((len(lists), len(self.norm)))
+        for i, own in enumerate(lists):
+            at = np.searchsorted(self.column, own)
+            at = at[np.take(self.column, at, mode="clip") == own]
+            begin, length = self.start[at], self.start[at + 1] - self.start[at]
+            inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+            shared[i] = np.bincount(self.post[np.repeat(begin, length) + inside], minlength=len(self.norm))
+        sizes = np.array([len(x) for x in lists], float)
+        return shared / np.sqrt(sizes[:, None] * self.norm[None, :])
 
 
 @dataclass
 class Model:
     languages: list[str]
-    alphabet: np.ndarray    # code points of the letters told apart, ascending
-    column: np.ndarray      # n-grams of the landmarks, ascending
-    landmark: np.ndarray    # presence, n-grams by landmarks
-    norm: np.ndarray        # number of n-grams of each landmark
+    landmarks: Landmarks
     weight: np.ndarray      # landmarks by languages
     bias: np.ndarray
 
-    def classes(self, low: np.ndarray) -> np.ndarray:
-        """0 for a boundary, 1 for other letters, 2 and on for the alphabet."""
-        at = np.minimum(np.searchsorted(self.alphabet, low), len(self.alphabet) - 1)
-        return np.where(low == 0, 0, np.where(self.alphabet[at] == low, at + 2, OTHER))
-
-    @property
-    def radix(self) -> int:
-        return len(self.alphabet) + 2
-
-    def space(self) -> int:
-        return self.radix + self.radix ** 2 + self.radix ** 3
-
-    def decide(self, presence: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        kernel = presence @ self.landmark / np.sqrt(np.maximum(sizes, 1)[:, None] * self.norm[None, :])
-        return kernel @ self.weight + self.bias
+    def decide(self, lists: list[np.ndarray]) -> np.ndarray:
+        return self.landmarks.kernel(lists) @ self.weight + self.bias
 
 
-def _keys(c: np.ndarray, radix: int) -> np.ndarray:
-    """n-gram numbers of a text's classes."""
-    two = c[:-1] * radix + c[1:]
-    return np.concatenate([c, two + radix, two[:-1] * radix + c[2:] + radix + radix ** 2])
-
-
-def solve(rows: list[tuple[str, np.ndarray]], alphabet: int, landmarks: int, ridge: float) -> Model | None:
-    """Nyström map and ridge weights from ``(language, exact n-grams)`` in sample order."""
-    if not rows:
-        return None
-    one = np.concatenate([g[(g > 1) & (g < 1 << 21)] for _, g in rows]) - 1
-    found, times = np.unique(one, return_counts=True)
-    if not len(found):
-        return None
-    common = np.sort(found[np.lexsort((found, -times))[:alphabet]])
-    model = Model(sorted({lang for lang, _ in rows}), common, *[np.empty(0)] * 5)
-    coded = []
-    for _, g in rows:
-        a, b, c = g >> 42, g >> 21 & 0x1FFFFF, g & 0x1FFFFF
-        x, y, z = (model.classes(np.maximum(v - 1, 0)) for v in (a, b, c))
-        r = model.radix
-        coded.append(np.unique(np.where(a > 0, (x * r + y) * r + z + r + r * r, np.where(b > 0, y * r + z + r, z))))
-    sizes = np.array([len(k) for k in coded], float)
-    chosen, seen = [], dict.fromkeys(model.languages, 0)
-    for i, (lang, _) in enumerate(rows):
-        if seen[lang] < landmarks:
-            seen[lang] += 1
-            chosen.append(i)
-    model.column = np.unique(np.concatenate([coded[i] for i in chosen]))
-    presence = np.zeros((len(rows), len(model.column)), np.float32)
-    for i, k in enumerate(coded):
-        at = np.minimum(np.searchsorted(model.column, k), len(model.column) - 1)
-        presence[i, at[model.column[at] == k]] = 1
-    model.landmark, model.norm = presence[chosen].T.copy(), sizes[chosen]
-    kernel = presence @ model.landmark / np.sqrt(np.maximum(sizes, 1)[:, None] * np.maximum(model.norm, 1)[None, :])
-    values, vectors = np.linalg.eigh(kernel[chosen].astype(float))
+def solve(landmarks: Landmarks, chosen: np.ndarray, langs: list[str], kernel: np.ndarray, ridge: float) -> Model:
+    """Nyström map and ridge weights from the kernel of the sampled rows with the landmarks (their rows ``chosen``)."""
+    languages = sorted(set(langs))
+    among = kernel[chosen]
+    values, vectors = np.linalg.eigh((among + among.T) / 2)
     some = values > 1e-6 * values.max()
     root = vectors[:, some] / np.sqrt(values[some])
     z = kernel @ root
-    target = np.array([[1.0 if lang == x else -1.0 for x in model.languages] for lang, _ in rows])
+    target = np.where(np.array(langs)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     mean_z, mean_t = z.mean(0), target.mean(0)
     solved = np.linalg.solve((z - mean_z).T @ (z - mean_z) + ridge * np.eye(z.shape[1]), (z - mean_z).T @ (target - mean_t))
-    model.weight, model.bias = (root @ solved).astype(np.float32), mean_t - mean_z @ solved
-    return model
+    return Model(languages, landmarks, root @ solved, mean_t - mean_z @ solved)
 
 
 def fit(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
-        per_language: int = 300, landmarks: int = 32, alphabet: int = 96, max_chars: int = 100_000, ridge: float = 1.0) -> Model | None:
+        per_language: int = 300, landmarks: int = 32, most_landmarks: int = 1024, ridge: float = 1.0) -> Model | None:
     """A model from a bounded sample of the rows of ``may_learn`` that have a language."""
     slim = docs.where(may_learn).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                                         F.col(text_col).cast("string").alias("text"))
-    fits = slim.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
-    order = F.xxhash64(F.lit(29), "id")
-    ranked = fits.select("id", "lang", order.alias("order")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))).where(F.col("r") <= per_language)
-    sample = fits.join(broadcast_if_bounded(ranked.select("id", "lang", "order").distinct()), ["id", "lang"])
-    found = sample.select("lang", "order", "text").mapInArrow(_distinct, "lang string, order long, grams array<long>").toPandas()
-    rows = sorted(zip(found["lang"], found["order"], found["grams"]), key=lambda r: (r[0], r[1], len(r[2])))
-    return solve([(lang, np.asarray(g, np.int64)) for lang, _, g in rows], alphabet, landmarks, ridge)
+    fits = slim.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(29), "id"), "id", "key")
+    keyed = fits.withColumn("key", F.xxhash64("text"))
+    ranked = materialize(keyed.select("id", "lang", "key").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language), "ranked")
+    sample = keyed.join(broadcast_if_bounded(ranked), ["id", "lang", "key"]).select("lang", "r", "text").dropDuplicates(["lang", "r"])
+    rows = materialize(sample.mapInArrow(_distinct, "lang string, r int, grams array<long>"), "sample")
+    n_languages = rows.select("lang").distinct().count()
+    if not n_languages:
+        return None
+    each = max(1, min(landmarks, most_landmarks // n_languages))
+    marks = sorted(rows.where(F.col("r") <= each).select("lang", "r", "grams").toPandas().itertuples(index=False), key=lambda x: x[:2])
+    found = Landmarks.of([np.asarray(x[2], np.int64) for x in marks])
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(found).values()))
+
+    def kernels(batches):
+        own = Landmarks(*shared.value)
+        for batch in batches:
+            if len(batch):
+                k = own.kernel([np.asarray(x, np.int64) for x in batch.column("grams").to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("r"), list_array(k.reshape(-1), np.arange(len(k) + 1) * k.shape[1])],
+                                                 ["lang", "r", "kernel"])
+
+    table = rows.mapInArrow(kernels, "lang string, r int, kernel array<double>").toPandas().sort_values(["lang", "r"])
+    number = {x: i for i, x in enumerate(zip(table["lang"], table["r"]))}
+    chosen = np.array([number[x[:2]] for x in marks])
+    return solve(found, chosen, list(table["lang"]), np.stack(list(table["kernel"])), ridge)
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,44 +174,20 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if model is None:
         return slim.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, tuple(vars(model.landmarks).values()), model.weight, model.bias))
 
     def run(batches):
-        own, table = Model(*shared.value), _letters()
-        to_column = np.full(own.space(), -1, np.int32)
-        to_column[own.column] = np.arange(len(own.column))
-        last = np.zeros(own.space(), np.int64)
+        languages, found, weight, bias = shared.value
+        own, table, names = Model(languages, Landmarks(*found), weight, bias), _letters(), np.array(languages, object)
         for batch in batches:
             langs, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
-            presence, sizes, index = np.zeros((BATCH_TEXTS, len(own.column)), np.float32), np.zeros(BATCH_TEXTS), []
-
-            def flush():
-                out = own.decide(presence[:len(index)], sizes[:len(index)])
+            texts = _texts(batch, table)
+            while some := list(islice(texts, BATCH_TEXTS)):
+                index = [row for row, _ in some]
+                out = own.decide([x for _, x in some])
                 best = out.argmax(1)
-                langs[index] = np.array(own.languages, object)[best]
+                langs[index] = names[best]
                 scores[index] = np.clip((out[np.arange(len(index)), best] + 1) / 2, 0, 1)
-                presence[:] = 0
-                index.clear()
-
-            for first, count, data, text_ptr in runs(batch.column("text")):
-                low, at = letters(data, text_ptr, table)
-                code = own.classes(low)
-                for i in range(count):
-                    c = code[at[i]:at[i + 1]]
-                    if not c.any():
-                        continue
-                    keys = _keys(c, own.radix)
-                    number = np.arange(len(keys))
-                    last[keys] = number  # the last of equal n-grams stands for all
-                    keys = keys[last[keys] == number]
-                    column = to_column[keys]
-                    presence[len(index), column[column >= 0]] = 1
-                    sizes[len(index)] = len(keys)
-                    index.append(first + i)
-                    if len(index) == BATCH_TEXTS:
-                        flush()
-            if index:
-                flush()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)],
                                              ["doc_id", "lang_pred", "score"])
 

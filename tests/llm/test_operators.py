@@ -106,13 +106,6 @@ def test_language(spark, docs):
     assert {got[i].lang_pred for i in (900, 901, 902)} == {"und"}
     assert language.fit(empty(docs), F.lit(True)) is None
     assert language.predict(docs, None).count() == docs.count()
-    # the batched kernel equals the definition
-    def grams(t):
-        t = "".join(c.lower() if c.isalpha() else "\0" for c in t)
-        return {t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
-    a, b = grams("Über uns"), grams("über")
-    k = language._keys(np.array([2, 3, 4, 5]), 10)
-    assert len(np.unique(k)) == 9 and len(b) == 9 and len(a & b) == 9
 
 
 def test_top_k(spark):
