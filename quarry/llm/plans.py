@@ -88,18 +88,19 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(docs, items)
 
 
-_SHINGLES = """SELECT {id}, unnest(CASE WHEN len(w) >= 5 THEN
-        list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-    FROM (SELECT {id}, list_filter(string_split_regex(
+_WORDS = """SELECT {id}, list_filter(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table} WHERE {id} IS NOT NULL)"""
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table} WHERE {id} IS NOT NULL"""
+_RUNS = "unnest(list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(w[i:i + {k} - 1], ' ')))"
 
 ORACLE["op10_benchmark_containment"] = f"""
-WITH d AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id='doc_id', table='documents')})),
-     i AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id='item_id', table='benchmark')})),
+WITH dw AS ({_WORDS.format(id='doc_id', table='documents')}),
+     iw AS ({_WORDS.format(id='item_id', table='benchmark')}),
+     k AS (SELECT DISTINCT least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
+     d AS (SELECT DISTINCT doc_id, k, {_RUNS.format(k='k')} AS s FROM dw, k WHERE len(w) >= k),
+     i AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, {_RUNS.format(k='least(len(w), 5)')} AS s FROM iw WHERE len(w) > 0),
      n AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY item_id),
-     c AS (SELECT doc_id, item_id, count(*) AS common FROM d JOIN i USING (s) GROUP BY ALL)
+     c AS (SELECT doc_id, item_id, count(*) AS common FROM d JOIN i USING (k, s) GROUP BY ALL)
 SELECT doc_id, item_id, item_shingles, common, common / item_shingles AS containment
 FROM c JOIN n USING (item_id) WHERE common * 100 >= item_shingles * 80"""
 
