@@ -1,7 +1,7 @@
 """Exact top-k by inner product with Fagin's threshold algorithm (operator 4).
 
 Components become integers, ``floor(scale * x)``. Queries and candidates are dealt by
-id hash into blocks of bounded size; each pair of blocks meets in one task. There
+a hash of id and vector (and of the copy, where rows are equal) into blocks of bounded size; each pair of blocks meets in one task. There
 every dimension has its list of candidates sorted by component. A query reads the
 lists from their better ends, deeper and deeper; what it meets is scored in full by
 random access, and it stops as soon as the bound, the score that a vector at the
@@ -78,12 +78,15 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
             .select(F.col(id_col).cast("long").alias("id"), number.alias("v"), is_query.alias("asks"))
             .withColumn("dim", F.size("v")))
     queries = rows.where("asks").groupBy("id", "v", "dim").agg(F.count(F.lit(1)).alias("times"))
+    # of equal candidates no query returns more than k, besides its own row: their number is bounded, and so is a block's
+    once = rows.groupBy("id", "v", "dim").agg(F.count(F.lit(1)).alias("times"))
+    candidates = once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("times", F.lit(k + 1).cast("long")))))
     n, asked = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     c_blocks, q_blocks = max(1, -(-n // CANDIDATE_BLOCK)), max(1, -(-asked // QUERY_BLOCK))
-    q_number, c_number = F.pmod(F.xxhash64("id"), F.lit(q_blocks)), F.pmod(F.xxhash64("id"), F.lit(c_blocks))
+    q_number, c_number = F.pmod(F.xxhash64("id", "v"), F.lit(q_blocks)), F.pmod(F.xxhash64("id", "v", "copy"), F.lit(c_blocks))
     every = lambda m, name: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(name)
     left = queries.select("id", "v", "dim", F.xxhash64("v").alias("hash"), q_number.alias("q"), every(c_blocks, "c"))
-    right = rows.select("id", "v", "dim", c_number.alias("c"), every(q_blocks, "q"))
+    right = candidates.select("id", "v", "dim", c_number.alias("c"), every(q_blocks, "q"))
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         out = []
