@@ -7,7 +7,7 @@ weight until no target is above that.
 
 Words are dealt in blocks of ``block_words``. Blocks go one by one to the source
 with the highest quotient ``target / (2 * blocks + 1)``, and a source's blocks in
-the same way to its shards (documents by seeded hash) by their words: integer
+the same way to its shards (documents by seeded hash of id and text) by their words: integer
 quotas. Quotas come from the equivalent divisor, not from counting blocks out. A
 shard whose quota is above ``max_repeat`` times its words is held there, and the
 source's other words are dealt again among its other shards, the last block in part
@@ -20,8 +20,8 @@ The driver sees nothing; one task sees one row per source, and one per shard of
 source. A source of any share of the rows is spread over its shards.
 
 Defined cases: null text: size 0, taken 0. Null source: a source of its own, last.
-Null ids are ordered before others by the same hash. Repeated rows are documents
-of their own. Empty table: empty result. Extra columns are ignored.
+Documents are dealt by a hash of id, size and text, so rows that share an id, null too, are spread;
+equal rows are documents of their own in one shard. Empty table: empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -115,12 +115,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 weights: Sequence[int] = (3, 1, 2), total_percent: int = 150, max_repeat: int = 2,
                 block_words: int = 16, seed: int = 11) -> DataFrame:
     """``doc_id, source, size, source_size, target, shard, shard_words, taken`` per row of ``docs``."""
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(text_col)).alias("text_hash"),
                         F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     rows = docs.count()
     shards = max(LEAST_SHARDS, -(-rows // ROWS_PER_SHARD))
-    sized = sized.withColumn("order", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(~seed), F.col("doc_id")), F.lit(shards)))
+    sized = sized.withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "size", "text_hash")).withColumn(
+        "shard", F.pmod(F.xxhash64(F.lit(~seed), "doc_id", "size", "text_hash"), F.lit(shards)))
     per_shard = sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     per_source = per_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
 
@@ -145,7 +145,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("source", "shard", "shard_size", "source_size", "target", "blocks")
              .groupBy("source").applyInPandas(by_shard, "source string, shard long, shard_size long, source_size long, target double, shard_words long")
              .withColumnsRenamed({"source": "name", "shard": "part"}))
-    line = Window.partitionBy("source", "shard").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("source", "shard").orderBy("order", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     laid = (sized.withColumn("before", F.sum("size").over(line) - F.col("size"))
             .join(quota, F.col("source").eqNullSafe(F.col("name")) & (F.col("shard") == F.col("part"))))
     rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("shard_words") / F.col("shard_size"))).otherwise(0)

@@ -58,3 +58,14 @@ def test_top_k_with_a_hot_id(spark, monkeypatch):
             order = sorted((m for m in range(len(ints)) if m != n), key=lambda m: (-score[m], ints[m][0]))[:10]
             want += [(i, k + 1, ints[m][0], int(score[m])) for k, m in enumerate(order)]
     assert got == sorted(want)
+
+
+def test_mix_spreads_rows_without_id(spark):
+    from quarry.llm import apportion
+    df = spark.createDataFrame([(None if i % 3 else i, "w " * (i % 50) + str(i), "ab"[i % 2]) for i in range(3000)], "doc_id long, text string, source string")
+    got = apportion.mix_sources(df).collect()
+    assert len({(r.source, r["shard"]) for r in got if r.doc_id is None}) > apportion.LEAST_SHARDS
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 0.02 * own[0].target and all(r.taken <= 2 * r.size for r in own)
+    assert sorted(map(str, apportion.mix_sources(df.repartition(5)).collect())) == sorted(map(str, got))

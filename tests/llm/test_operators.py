@@ -243,7 +243,8 @@ def test_shards_held_at_their_repeats_deal_the_rest_again(spark):
         quota = apportion.sainte_lague(sizes, blocks) * 16
         assert (quota > most * sizes).any() or out.tolist() == quota.tolist()
     assert apportion.shard_words(np.full(25, 12), 38, 16, 2).tolist() == [24] * 25
-    shard = spark.range(2000).select("id", F.pmod(F.xxhash64(F.lit(~11), "id"), F.lit(apportion.LEAST_SHARDS)).alias("s")).collect()
+    shard = spark.range(2000).select("id", F.pmod(F.xxhash64(F.lit(~11), "id", F.lit(12).cast("long"), F.xxhash64(F.lit("w " * 12))),
+                                                  F.lit(apportion.LEAST_SHARDS)).alias("s")).collect()
     alone = list({x.s: x.id for x in shard}.values())[:25]
     df = spark.createDataFrame([(i, "w " * 12, "a") for i in alone] + [(5000 + i, "w " * 100, "b") for i in range(60)],
                                "doc_id long, text string, source string")
