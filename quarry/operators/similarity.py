@@ -25,6 +25,7 @@ the work is staged:
    JVM-side as ``array_intersect`` of the two strings' numbered-token arrays
    (one array per string), so candidates are not multiplied by tokens in a
    shuffle.
+   Then a character-count bound (the matcher's own quick bound), JVM-side too.
 3. **Exact verification** in an Arrow-batched pandas UDF over surviving pairs
    (the only Python on the executors). Python's matcher applies its popular-
    character heuristic to strings of 200+ characters; it can only lower M,
@@ -71,8 +72,9 @@ def overlap_bound(max_len: Column, t: float = THRESHOLD) -> Column:
 
 def distinct_texts(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Step 0: ``reps(id, norm, len, digest)`` one row per distinct normalised
-    text (id = smallest holder) and ``members(id, rep)`` for every row."""
-    n = df.select(F.col(id_col).alias("id"), normalized_text(text_col).alias("norm")) \
+    text (id = smallest holder) and ``members(id, rep)`` for every row. A NULL
+    text counts as empty."""
+    n = df.select(F.col(id_col).alias("id"), F.coalesce(normalized_text(text_col), F.lit("")).alias("norm")) \
         .withColumn("digest", F.unhex(F.sha2("norm", 256)))
     reps = n.groupBy("digest").agg(F.min_by(F.struct("id", "norm"), F.col("id")).alias("r")) \
         .select(F.col("r.id").alias("id"), F.col("r.norm").alias("norm"), "digest") \
@@ -91,7 +93,7 @@ def distinct_texts_two(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id:
     """Representatives of both sides of a two-sided join (step 0 per side),
     materialised together in one job; ids may repeat across the sides."""
     def side(df, id_col, text_col, tag):
-        return df.select(F.lit(tag).alias("_side"), F.col(id_col).alias("id"), normalized_text(text_col).alias("norm"))
+        return df.select(F.lit(tag).alias("_side"), F.col(id_col).alias("id"), F.coalesce(normalized_text(text_col), F.lit("")).alias("norm"))
     n = side(a, a_id, a_text, 0).unionByName(side(b, b_id, b_text, 1)) \
         .withColumn("digest", F.unhex(F.sha2("norm", 256)))
     reps = n.groupBy("_side", "digest").agg(F.min_by(F.struct("id", "norm"), F.col("id")).alias("r")) \
@@ -110,18 +112,35 @@ def _materialise(df: DataFrame) -> DataFrame:
 
 def bigram_tokens(reps: DataFrame) -> DataFrame:
     """``(id, len, tok)``: every bigram of the normalised text, numbered by
-    occurrence (multiset -> set); per-row ``sequence``/``transform`` +
-    ``explode`` and one grouped count, no window. The string length rides
-    along so later stages need no join to find it."""
+    occurrence (multiset -> set); the text is split into characters once and
+    neighbours are paired (linear in its length), one grouped count, no window.
+    The string length rides along so later stages need no join to find it."""
     side = ["_side"] if "_side" in reps.columns else []
-    grams = reps.where(F.col("len") >= 2).select(
-        *side, "id", "len",
-        F.explode(F.expr("transform(sequence(1, len - 1), i -> substring(norm, i, 2))")).alias("g"))
+    chars = reps.where(F.col("len") >= 2).select(*side, "id", "len", F.split("norm", "").alias("c"))
+    pairs = F.zip_with(F.slice("c", F.lit(1), F.col("len") - 1), F.slice("c", F.lit(2), F.col("len") - 1), lambda x, y: F.concat(x, y))
+    grams = chars.select(*side, "id", "len", F.explode(pairs).alias("g"))
     counted = grams.groupBy(*side, "id", "len", "g").agg(F.count(F.lit(1)).alias("k"))
     return counted.select(*side, "id", "len",
                           F.explode(F.expr("transform(sequence(1, k), j -> concat(g, '#', j))")).alias("tok"))
 
 
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "  # what a normalised text is made of
+
+
+def character_counts(norm: Column) -> Column:
+    """How often each character of the normalised alphabet occurs."""
+    return F.array(*[(F.length(norm) - F.length(F.replace(norm, F.lit(c), F.lit("")))).alias(c) for c in ALPHABET])
+
+
+def can_reach(counts_a: Column, counts_b: Column, t: float = THRESHOLD) -> Column:
+    """Whether the ratio of two texts can be ``t``: matching blocks use each
+    character at most as often as both texts have it, so ``2 * sum(min) / (la + lb)``
+    bounds the ratio (integer arithmetic in percents, rounded to admit)."""
+    total = lambda arr: F.aggregate(arr, F.lit(0), lambda s, x: s + x)
+    shared = total(F.zip_with(counts_a, counts_b, lambda x, y: F.least(x, y)))
+    return 200 * shared >= _pct(t) * (total(counts_a) + total(counts_b))
+
+
 def _prefixes(tokens: DataFrame, freq: DataFrame, t: float) -> DataFrame:
     """Each string's rarest ``|G| - c_x + 1`` tokens; the window spans one
     string's own bigrams."""
@@ -129,7 +148,13 @@ def _prefixes(tokens: DataFrame, freq: DataFrame, t: float) -> DataFrame:
     w = Window.partitionBy("id").orderBy(F.col("df").asc(), F.col("tok").asc())
     cx = F.greatest(overlap_bound(F.col("len"), t), F.lit(1))
     keep = (F.col("len") - 1) - cx + 1
-    return ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).select("id", "len", "tok")
+    return ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).select("id", "len", "tok", "_r")
+
+
+def _length_class(length: Column, t: float) -> Column:
+    """Lengths of one class, or of neighbouring ones, are all that the band allows."""
+    ratio = (200 - _pct(t)) / _pct(t)
+    return F.floor(F.log(length.cast("double")) / math.log(ratio) + 1e-9).cast("int")
 
 
 def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHOLD,
@@ -155,10 +180,14 @@ def candidate_pairs(a: DataFrame, b: DataFrame | None = None, t: float = THRESHO
         both = tagged.drop("_side")
     freq = both.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     pa, pb = _prefixes(ta, freq, t), _prefixes(tb, freq, t)
-    cand = pa.select(F.col("id").alias("id_a"), F.col("len").alias("len_a"), "tok").join(
-        pb.select(F.col("id").alias("id_b"), F.col("len").alias("len_b"), "tok"), "tok")
+    # a token meets texts of its own length class and the two beside it, not all that hold it
+    near = F.explode(F.array(*[_length_class(F.col("len"), t) + step for step in (-1, 0, 1)]))
+    cand = pa.select(F.col("id").alias("id_a"), F.col("len").alias("len_a"), "tok", F.col("_r").alias("r_a"), _length_class(F.col("len"), t).alias("lc")).join(
+        pb.select(F.col("id").alias("id_b"), F.col("len").alias("len_b"), "tok", F.col("_r").alias("r_b"), near.alias("lc")), ["tok", "lc"])
     mx, mn = F.greatest("len_a", "len_b"), F.least("len_a", "len_b")
-    keep = (mx >= 3) & in_length_band(mn, mx, t)
+    # shared tokens stand in the same order on both sides: what can follow the first bounds them all
+    follow = F.least(F.col("len_a") - F.col("r_a"), F.col("len_b") - F.col("r_b"))
+    keep = (mx >= 3) & in_length_band(mn, mx, t) & (follow >= overlap_bound(mx, t))
     if self_join:
         keep = keep & (F.col("id_a") > F.col("id_b"))
     found = cand.where(keep).select("id_a", "id_b", "len_a", "len_b").distinct()
@@ -234,9 +263,9 @@ def near_duplicates(a: DataFrame, a_id: str, a_text: str, b: DataFrame | None =
         ra, rb = reps_a, distinct_texts(b, b_id or a_id, b_text or a_text)[0]
     cand = candidate_pairs(ra, rb, t).select("id_a", "id_b")
     other = ra if rb is None else rb
-    texts_a = ra.select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"))
-    texts_b = other.select(F.col("id").alias("id_b"), F.col("norm").alias("norm_b"))
-    scored = cand.join(texts_a, "id_a").join(texts_b, "id_b") \
+    texts_a = ra.select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"), character_counts(F.col("norm")).alias("count_a"))
+    texts_b = other.select(F.col("id").alias("id_b"), F.col("norm").alias("norm_b"), character_counts(F.col("norm")).alias("count_b"))
+    scored = cand.join(texts_a, "id_a").join(texts_b, "id_b").where(can_reach(F.col("count_a"), F.col("count_b"), t)) \
         .withColumn("ratio", make_ratio_udf(t)("norm_a", "norm_b")).where(F.col("ratio") >= t) \
         .select("id_a", "id_b", "ratio")
     if rb is not None:

@@ -91,3 +91,39 @@ def test_blocking_bound_is_integer_exact(spark):
     df = spark.createDataFrame([(10,), (3,), (23,)], "m int")
     out = rows(df.select("m", sim.overlap_bound(df["m"]).alias("c")))
     assert out == [(10, 3), (23, 9), (3, 1)] or sorted(out) == sorted([(10, 3), (23, 9), (3, 1)])
+
+
+def test_null_texts_stay(spark):
+    """Four rows in, four rows out: NULL texts are empty texts, the first accepted, the second rejected by it."""
+    df = spark.createDataFrame([(1, "alpha beta"), (2, None), (3, None), (4, "")], "id long, t string")
+    got = {r.id: (r.accepted, r.rejected_by) for r in sim.dedupe_in_order(df, "id", "t").collect()}
+    assert got == {1: (True, None), 2: (True, None), 3: (False, 2), 4: (False, 2)}
+    members = sim.distinct_texts_two(df, "id", "t", df, "id", "t")
+    assert [m.count() for m in members] == [2, 2]
+
+
+def test_pruning_is_lossless_over_lengths(spark):
+    """Texts of very different lengths, some on the edge of the length band and of the character bound."""
+    rnd = random.Random(11)
+    items = []
+    for i in range(40):
+        s = "".join(rnd.choice("abcdefgh 12") for _ in range(rnd.choice([4, 7, 12, 20, 23, 27, 31, 60, 85, 115, 180])))
+        items.append((i, s))
+        cut = max(1, len(s) * rnd.choice([1, 5, 13, 14]) // 100)
+        items.append((100 + i, s[:-cut]))
+        items.append((200 + i, s + s[:cut * 2]))
+    df = spark.createDataFrame(items, "id long, t string")
+    got = {(r.id_a, r.id_b) for r in sim.near_duplicates(df, "id", "t").collect()}
+    reps = {}
+    for i, t in sorted(items):
+        reps.setdefault(norm(t), i)
+    inv = sorted((i, n) for n, i in reps.items())
+    exp = {(i, j) for i, x in inv for j, y in inv if i > j and difflib.SequenceMatcher(None, x, y).ratio() >= 0.85}
+    assert got == exp and len(exp) > 60
+
+
+def test_bigrams_of_a_long_text(spark):
+    text = ("lorem ipsum dolor " * 6000)[:100_000].strip()
+    df = spark.createDataFrame([(1, text, len(text))], "id long, norm string, len int")
+    tokens = sim.bigram_tokens(df)
+    assert tokens.count() == len(text) - 1 and tokens.select("tok").distinct().count() == len(text) - 1
