@@ -293,10 +293,6 @@ def statement_rules(text: str, starts: Sequence[str] = ("select", "with"),
     return rules
 
 
-def split_accepted(screened: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
-    return screened.where(F.col(reason).isNull()), screened.where(F.col(reason).isNotNull())
-
-
 def text_screen(df: DataFrame, text_col: str, patterns: Mapping[str, str | tuple[str, str]]) -> DataFrame:
     """Count of rows matching each named pattern (D20), one aggregate pass.
     A pattern may come as ``(regex, literal)`` where every match contains the
@@ -312,11 +308,6 @@ def text_screen(df: DataFrame, text_col: str, patterns: Mapping[str, str | tuple
     return agg.select(F.inline(pairs))
 
 
-def screen_flags(df: DataFrame, text_col: str, patterns: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
-    """Per-row rule flags (D20): one boolean column per named pattern."""
-    return df.select(*keep, *[F.col(text_col).rlike(p).alias(n) for n, p in patterns.items()])
-
-
 def mentions(df: DataFrame, text_col: str, terms: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Terms (case-insensitive) that do not occur in the text (D21); rows with
     at least one missing term."""

@@ -72,6 +72,16 @@ def f5(spark, sf):
                                  F.count_if(F.col("quality").isNotNull()).alias("labelled"))
 
 
+@plan("f5_null_rows", """
+SELECT d.doc_id, 'unlabelled' AS kind FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL
+UNION ALL SELECT d.doc_id, 'labelled' FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL""")
+def f5_rows(spark, sf):
+    t = Tables(spark, sf)
+    j = t.documents.select("doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
+    kinds = [rel.null_rows(j, "quality", is_null).select("doc_id", F.lit(kind).alias("kind")) for is_null, kind in ((True, "unlabelled"), (False, "labelled"))]
+    return kinds[0].unionByName(kinds[1])
+
+
 @plan("f6_like_in_between", """
 SELECT p_partkey, p_name, p_type, p_size FROM part
 WHERE p_name ILIKE '%RING%' AND p_size BETWEEN 10 AND 30 AND p_type IN ('ECONOMY', 'SMALL', 'PROMO')""")

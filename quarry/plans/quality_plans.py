@@ -297,6 +297,19 @@ def d18(spark, sf):
                                        F.count_distinct("digest").alias("distinct_digests"))
 
 
+@plan("d18_tie_broken", """
+WITH t AS (SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 9)
+SELECT CAST(seed AS INTEGER) AS seed, p_partkey, p_retailprice FROM t, range(6) s(seed)""")
+def d18_tie_broken(spark, sf):
+    """The tie-broken top-9 on six reorderings of ``part``: the same rows each time."""
+    p = Tables(spark, sf).part.select("p_partkey", "p_retailprice")
+    runs = [_top9(q.reorder(p, seed, 8 + seed), True).select(F.lit(seed).alias("seed"), "p_partkey", "p_retailprice") for seed in range(6)]
+    out = runs[0]
+    for run in runs[1:]:
+        out = out.unionByName(run)
+    return out
+
+
 @plan("d19_agreement", """
 WITH a AS (SELECT c_custkey FROM (SELECT c_custkey, DENSE_RANK() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS r
                                    FROM customer) t WHERE r <= 3),

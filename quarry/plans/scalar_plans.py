@@ -41,7 +41,7 @@ def x3(spark, sf):
     engines (no binary-half drift)."""
     p = Tables(spark, sf).part
     v = X.money("p_retailprice") * F.lit(0.35).cast("decimal(3,2)")
-    return p.select("p_partkey", F.round(v, 1).cast("double").alias("rounded"))
+    return p.select("p_partkey", X.round_half_up(v, 1).alias("rounded"))
 
 
 @plan("x4_date_functions", """
@@ -123,10 +123,10 @@ def x9(spark, sf):
                     X.contains_ci("text", "LICENSE").alias("has_license"))
 
 
-@plan("x10_padded_id", "SELECT p_partkey, printf('sql_%03d', p_partkey) AS qid FROM part")
+@plan("x10_padded_id", "SELECT p_partkey, printf('item_%03d', p_partkey) AS qid FROM part")
 def x10(spark, sf):
     p = Tables(spark, sf).part
-    return p.select("p_partkey", X.padded_id("sql_", "p_partkey").alias("qid"))
+    return p.select("p_partkey", X.padded_id("item_", "p_partkey").alias("qid"))
 
 
 @plan("x11_array_slice", """

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarry.operators.lifecycle import ledger
 
@@ -26,11 +27,13 @@ def write_documents(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 def write_run_report(screened: DataFrame, path: str, reason: str = "reason",
                      by: Sequence[str] = ()) -> DataFrame:
-    """Run report (S7): accepted items, the reject ledger and its counts, each
-    in its own folder under ``path``. Returns the ledger read back."""
+    """Run report (S7): every item below ``path/items/outcome=accepted`` or
+    ``=rejected``, written in one pass over the screen, and the ledger with its
+    counts, taken from what was written. Returns the ledger read back."""
     spark = screened.sparkSession
     root = path.rstrip("/")
-    screened.where(screened[reason].isNull()).write.mode("errorifexists").parquet(f"{root}/accepted")
-    screened.where(screened[reason].isNotNull()).write.mode("errorifexists").parquet(f"{root}/rejected")
-    ledger(screened, reason, by).write.mode("errorifexists").parquet(f"{root}/ledger")
+    outcome = F.when(screened[reason].isNull(), "accepted").otherwise("rejected")
+    screened.withColumn("outcome", outcome).write.mode("errorifexists").partitionBy("outcome").parquet(f"{root}/items")
+    items = spark.read.schema(screened.withColumn("outcome", outcome).schema).parquet(f"{root}/items").drop("outcome")
+    ledger(items, reason, by).write.mode("errorifexists").parquet(f"{root}/ledger")
     return spark.read.parquet(f"{root}/ledger")
