@@ -312,7 +312,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
 
     ``base`` is 0 in rows that are not of a word.
     """
-    unigrams = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams", free_shuffles=True)
+    unigrams = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams")
     total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     texts = unigrams.where(F.col("w") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     scale = total + 0.5 * (distinct + 1)
@@ -324,7 +324,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     pairs = (train.mapInArrow(_pair_counts(buckets), "bucket long, h binary, w binary, n binary")
              .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_counts, "key long, h long, w long, c long"))
     seen = materialize(pairs.observe(counted, *[F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, katz_k + 2)])
-                       .where(F.col("c") >= min_count), "pairs", free_shuffles=True)
+                       .where(F.col("c") >= min_count), "pairs")
     factors = discounts({r: counted.get[f"n{r}"] for r in range(1, katz_k + 2)}, katz_k, min_count)
     discount = F.lit(1.0)
     for r, d in factors.items():
@@ -333,7 +333,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     token = unigram.select("w", "p")
     history = unigram.where(F.col("w") != END).select(F.col("w").alias("h"), F.col("c").alias("c_h"))
     start = train.sparkSession.range(1).select(F.lit(START).cast("long").alias("h"), F.lit(texts).cast("long").alias("c_h"))
-    joined = materialize(seen.join(token, "w").select("key", "h", "p", "c"), "with_tokens", free_shuffles=True)
+    joined = materialize(seen.join(token, "w").select("key", "h", "p", "c"), "with_tokens")
     remove(seen)
     joined = joined.withColumn("kept", F.col("c") * discount)
     sums = joined.groupBy("h").agg(F.sum("kept").alias("kept_h"), F.sum("p").alias("p_h"))
@@ -341,19 +341,19 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     below = F.when(left > 1e-9 * F.col("c_h"), F.col("c_h")).otherwise(F.col("c_h") + 1.0)
     alpha = materialize(sums.join(history.union(start), "h").withColumn("below", below)
                         .select("h", "below", "c_h", F.log10((F.col("below") - F.col("kept_h")) / F.col("below") / (1 - F.col("p_h"))).alias("la")),
-                        "alphas", free_shuffles=True)
+                        "alphas")
     pair = joined.join(alpha, "h").select(
         "key", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"), F.lit(0.0).alias("base"), "c")
     word = unigram.join(alpha.select("h", "la"), F.col("w") == F.col("h"), "left").select(
         F.col("w").alias("key"), (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("v"), F.log10("p").alias("base"), "c")
     first = alpha.where(F.col("h") == START).select(F.col("h").alias("key"), F.col("la").alias("v"), F.lit(0.0).alias("base"), F.col("c_h").alias("c"))
-    table = materialize(word.union(pair).union(first), "model", free_shuffles=True)
+    table = materialize(word.union(pair).union(first), "model")
     for used in (unigrams, joined, alpha):
         remove(used)
     return table, {"train_tokens": int(total), "unknown": unknown, "buckets": buckets}
 
 
-def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", *, min_count: int = 2,
+def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", *, min_count: int = 1,
           katz_k: int = 5, heavy: int = HEAVY) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``, learned from rows of ``may_learn``.
 

@@ -136,7 +136,7 @@ def test_katz(spark, docs, local, monkeypatch, heavy, bucket):
     """All keys broadcast; none; some, with many small buckets."""
     monkeypatch.setattr(katz, "BUCKET", bucket)
     learn = ~held_out("doc_id", 5, 1)
-    got = katz.score(docs.repartition(5), learn, heavy=heavy).collect()
+    got = katz.score(docs.repartition(5), learn, heavy=heavy, min_count=2).collect()
     tokens = lambda t: [*WORD.findall(lower(t)), None]
     train = [tokens(r.text) for r in local if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 != 1]
     c = Counter(w for t in train for w in t)
