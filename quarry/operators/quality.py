@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quarry.functions.expr import numeric_or_text, round_half_up, starts_with_word, statement_count, statement_mask
 from quarry.operators.compare import EPS, tolerant_agreement
 from quarry.operators.scan import MAX_BLOCKS, ordered_scan
+from quarry.session import written_table
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -60,7 +61,8 @@ def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "fir
     broadcasts that table when its measured size is under the threshold and
     otherwise splits a hot digest's partition of the large side.
     ``holder="previous"``: name the previous id in id order (the reference's
-    running ``seen`` map), via the blocked ordered scan keyed by the digest.
+    running ``seen`` map), via the blocked ordered scan keyed by the digest, over
+    the duplicated rows only.
     Output: ``id_col``, ``holder_id``.
     """
     keyed = df.select(id_col, text_key(text_col).alias("_tk"))
@@ -72,8 +74,9 @@ def duplicate_text(df: DataFrame, id_col: str, text_col: str, holder: str = "fir
         j = keyed.join(firsts, F.col("_tk").eqNullSafe(F.col("_fk")), "inner")
         return j.where(F.col(id_col) != F.col("holder_id")).select(id_col, "holder_id")
     if holder == "previous":
-        dup_keys = keyed.groupBy("_tk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-        cand = keyed.join(dup_keys, "_tk", "left_semi")
+        several = keyed.groupBy(F.col("_tk").alias("_fk")).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col("_fk").isNotNull())
+        # null-safe as above; written once, as the scan counts, samples and orders it
+        cand = written_table(keyed.join(several, F.col("_tk").eqNullSafe(F.col("_fk"))).select(id_col, "_tk"), "duplicates")
         sc = ordered_scan(cand, ["_tk"], [id_col], lag_cols=[id_col], n_blocks=n_blocks, row_number=None)
         return sc.where(F.col(f"prev_{id_col}").isNotNull()).select(
             id_col, F.col(f"prev_{id_col}").alias("holder_id"))

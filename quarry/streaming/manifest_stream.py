@@ -39,14 +39,21 @@ def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+SEEN = "_seen"
+
+
 def upsert_batch(batch: DataFrame, root: str, id_col: str, content_cols: Sequence[str],
-                 attrs: Sequence[str] = ()) -> None:
-    """Fold one batch of documents into the manifest snapshots under ``root``."""
+                 attrs: Sequence[str] = (), seen_col: str | None = None) -> None:
+    """Fold one batch of documents into the manifest snapshots under ``root``.
+
+    Of several versions of an id in the batch the newest by ``seen_col`` stays
+    (ties, or without it: the largest digest).
+    """
     spark = batch.sparkSession
-    entries = manifest(batch, id_col, content_cols, attrs)
-    # one entry per id inside the batch (deterministic pick: largest digest)
-    cols = entries.columns
-    entries = entries.groupBy("id").agg(F.max_by(F.struct(*cols), F.col("sha256")).alias("e")).select("e.*")
+    entries = manifest(batch, id_col, content_cols, (*attrs, seen_col) if seen_col else attrs)
+    cols = [c for c in entries.columns if c != seen_col]
+    newest = F.struct(F.col(seen_col), F.col("sha256")) if seen_col else F.col("sha256")
+    entries = entries.groupBy("id").agg(F.max_by(F.struct(*cols), newest).alias("e")).select("e.*")
     versions = snapshot_versions(spark, root)
     if versions:
         prev = spark.read.parquet(f"{root}/v={versions[-1]}")
@@ -66,11 +73,12 @@ def start_manifest_stream(spark: SparkSession, source_dir: str, schema: T.Struct
                           fmt: str = "json", checkpoint_location: str | None = None,
                           available_now: bool = True) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops
-    (a scheduled incremental run), otherwise it keeps polling."""
-    stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
+    (a scheduled incremental run), otherwise it keeps polling. Of the versions of
+    an id that arrive together, the one of the newest file stays."""
+    stream = spark.readStream.schema(schema).format(fmt).load(source_dir).withColumn(SEEN, F.col("_metadata.file_modification_time"))
     ckpt = checkpoint_location or scratch_path(spark, "manifest-stream")
     writer = (stream.writeStream
-              .foreachBatch(lambda df, _batch_id: upsert_batch(df, out_root, id_col, content_cols, attrs))
+              .foreachBatch(lambda df, _batch_id: upsert_batch(df, out_root, id_col, content_cols, tuple(attrs), SEEN))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -1,5 +1,7 @@
 """Incremental manifest over a file stream."""
 
+import hashlib
+import os
 import uuid
 
 from quarry.operators.lifecycle import scratch_path
@@ -24,3 +26,25 @@ def test_manifest_stream_versions_only_on_change(spark):
                           checkpoint_location=ck + "3").awaitTermination()
     assert snapshot_versions(spark, out) == [1, 2]
     assert spark.read.parquet(f"{out}/v=2").count() == 3
+
+
+def test_newest_file_wins_and_resume_reads_new_files_only(spark, tmp_path):
+    """Two versions of an id in one batch: the newer file's stays, whatever its digest. A second run with the
+    same checkpoint folder takes up where the first ended."""
+    src, out, ck = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "ck")
+    src.mkdir()
+    for k, (name, body) in enumerate([("b.json", "old"), ("a.json", "new")]):
+        (src / name).write_text(f'{{"id":1,"body":"{body}"}}\n{{"id":{10 + k},"body":"x"}}')
+        os.utime(src / name, (1_600_000_000 + 100 * k, 1_600_000_000 + 100 * k))
+
+    def run():
+        start_manifest_stream(spark, str(src), "id long, body string", "id", ["body"], out, checkpoint_location=ck).awaitTermination()
+        last = snapshot_versions(spark, out)[-1]
+        return last, {r["id"]: r["sha256"] for r in spark.read.parquet(f"{out}/v={last}").collect()}
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+    assert run() == (1, {1: sha("new"), 10: sha("x"), 11: sha("x")})
+    assert run()[0] == 1
+    (src / "c.json").write_text('{"id":10,"body":"y"}')
+    assert run() == (2, {1: sha("new"), 10: sha("y"), 11: sha("x")})
