@@ -14,7 +14,9 @@ vocabulary's size, is built on the driver and broadcast. Counts of words already
 are kept in a dictionary of at most ``MEMO_WORDS`` entries a worker.
 
 Defined cases: null or empty text: no words, no tokens. Null ids are kept. Every
-row has a row in the result. Extra columns are ignored.
+row has a row in the result, repeated rows one each. Texts are read whole, a few
+megabytes at a time; a word of any length is one word. Ties cannot occur: of the pieces
+that fit, the longest is one. Empty table: empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -18,8 +18,10 @@ Conversations are dealt out by id, sorted by turn, and streamed: memory holds on
 window, whatever the length of a conversation.
 
 Defined cases: null text or role: empty. Turns of equal number are ordered by role,
-then text (null first). A null id is a conversation of its own. Empty table: empty
-result. Extra columns are ignored.
+then text (null first). A null id is a conversation of its own. Repeated rows are
+turns of their own. A very long turn is a window of its own, whole. One conversation is
+one task by nature (windows depend on all before, the digest is one value), streamed
+window by window. Empty table: empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations

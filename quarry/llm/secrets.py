@@ -14,7 +14,9 @@ Positions are code points, ends exclusive. Whole texts are read; texts that cann
 hold any kind are passed over by one linear regular expression on the Arrow column.
 
 Defined cases: null and empty texts have no spans. Null ids are kept. Every row has
-a row in the result. Extra columns are ignored.
+a row in the result, repeated rows one each. Texts are read whole, whatever their
+length. Spans of one start are listed by kind. Empty table: empty result. Extra
+columns are ignored, or carried unchanged.
 """
 
 from __future__ import annotations
