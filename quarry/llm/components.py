@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.scratch import materialize
+from quarry.llm.scratch import materialize, remove
 
 
 def _smallest(pairs: DataFrame) -> DataFrame:
@@ -33,25 +33,25 @@ def _round(edges: DataFrame) -> DataFrame:
             .select("e.a", "e.b").where("a <> b").distinct())
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-    return tuple(row)
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node is both a root (``a``) and a leaf (``b``), or a leaf of two."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.lit(0).alias("leaf")), F.struct(F.col("b").alias("n"), F.lit(1).alias("leaf")))).alias("e"))
+    seen = ends.groupBy(F.col("e.n").alias("n")).agg(F.min("e.leaf").alias("low"), F.sum("e.leaf").alias("leaves"))
+    return seen.where("leaves > 1 or (leaves = 1 and low = 0)").isEmpty()
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node of ``links``; component is its smallest node.
 
     ``links`` holds long columns ``a`` and ``b`` in any direction; loops and
-    repeats are ignored. Runs until a round changes nothing (no round limit).
+    repeats are ignored. Runs until the links are stars (no round limit): as
+    ``a`` is the smaller end of each, a star's root is its smallest node.
     """
     edges = (links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
              .where("a <> b").distinct())
     edges = materialize(edges, "edges")
-    state = _state(edges)
-    while state[0]:
-        edges = materialize(_round(edges), "edges")
-        state, last = _state(edges), state
-        if state == last:
-            break
+    while not _are_stars(edges):
+        last, edges = edges, materialize(_round(edges), "edges")
+        remove(last)
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
         edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -105,3 +105,19 @@ def test_stage_keeps_one_text_of_each_group(spark):
     assert sorted((of[x], x[0]) for x in kept) == sorted(want.items())
     assert sorted(str(x) for x in out if x[0] is None) == sorted(str(x) for x in rows if x[0] is None)
     assert sorted(str(x) for x in out if x[0] in (12, 13)) == ["(12, None)", "(13, '')"]
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    from quarry.llm.components import connected_components
+    r = random.Random(8)
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(200 + i, 200 + (i + 1) % 17) for i in range(17)]
+    links += [(r.randrange(300, 400), r.randrange(300, 400)) for _ in range(60)] + [(5, 5), (9, 8), (9, 8)]
+    r.shuffle(links)
+    root = {n: n for e in links for n in e}
+    for _ in range(len(root)):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    want = {n: c for n, c in root.items() if any(n in e and e[0] != e[1] for e in links)}
+    assert {x.node: x.component for x in got} == want and len(got) == len(want)
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
