@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 HASH_BYTES = 4 << 20
 
 _SEPARATOR = np.zeros(256, bool)

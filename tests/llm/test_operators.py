@@ -364,16 +364,17 @@ def test_contamination(spark, docs, local):
              (6, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda WRONG words here"), (None, "one"), (7, "ALPHA beta gamma delta epsilon")]
     table = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, common long")
 
-    def shingles(t):
+    def runs(t, k):
         w = WORD.findall(lower(t))
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
     own = defaultdict(set)
     for r in local:
         if r.doc_id is not None:
-            own[r.doc_id] |= shingles(r.text)
+            own[r.doc_id].update(*(runs(r.text, k) for k in range(1, 6)))
     want = []
     for i, t in items:
-        s = shingles(t)
+        k = min(5, len(WORD.findall(lower(t))))
+        s = runs(t, k) if k else set()  # an item of fewer words is one run of its own width
         if i is not None and s:
             want += [(d, i, len(s), len(s & x)) for d, x in own.items() if 100 * len(s & x) >= 80 * len(s)]
     got = containment.contaminated(docs, table).collect()
