@@ -286,9 +286,9 @@ def j5(spark, sf):
         F.length("a_text").alias("prompt_chars"), F.length("b_text").alias("reply_chars"))
 
 
-def altered_part(t: Tables) -> DataFrame:
+def altered_part(t: Tables, shift: int = 1_000_000) -> DataFrame:
     """Second snapshot of ``part``: removed where key % 89 = 0, size + 1 where
-    key % 97 = 0, renamed where key % 83 = 0, and new keys (key + 1,000,000) for
+    key % 97 = 0, renamed where key % 83 = 0, and new keys (key + ``shift``) for
     key % 101 = 0. Modular rules so DuckDB builds the same input."""
     p = t.part
     kept = p.where(F.col("p_partkey") % 89 != 0).select(
@@ -297,7 +297,7 @@ def altered_part(t: Tables) -> DataFrame:
         "p_brand", "p_type",
         F.when(F.col("p_partkey") % 97 == 0, F.col("p_size") + 1).otherwise(F.col("p_size")).alias("p_size"),
         "p_retailprice")
-    added = p.where(F.col("p_partkey") % 101 == 0).withColumn("p_partkey", F.col("p_partkey") + 1_000_000)
+    added = p.where(F.col("p_partkey") % 101 == 0).withColumn("p_partkey", F.col("p_partkey") + shift)
     return kept.unionByName(added)
 
 

@@ -170,8 +170,12 @@ UNION ALL SELECT '4 rolled back', {_SEEN_SQL} FROM part
 UNION ALL SELECT '5 third', {_SEEN_SQL} FROM {ALTERED_PART_SQL}""")
 def m11_snapshots(spark, sf):
     """``part`` published, published again altered, a dirty version refused, rolled
-    back and published once more: what a reader of the pointer finds after each step."""
+    back and published once more: what a reader of the pointer finds after each step.
+    Added parts get keys above every key there is: a fixed step meets keys of a table
+    of a million parts, and the key check would refuse the altered version."""
     t = Tables(spark, sf)
+    keys = t.part.agg(F.max("p_partkey") - F.min("p_partkey") + 1).first()[0]
+    altered = altered_part(t, max(1_000_000, keys or 0))
     root = lc.scratch_path(spark, "published")
     checks = {"key_audit": lambda d: q.key_audit(d, "p_partkey")}
 
@@ -181,13 +185,13 @@ def m11_snapshots(spark, sf):
                      F.count_distinct("p_name").alias("names"))
     snapshots.publish(t.part, root, checks)
     out = seen("1 first")
-    snapshots.publish(altered_part(t), root, checks)
+    snapshots.publish(altered, root, checks)
     out = out.unionByName(seen("2 second"))
     snapshots.publish(t.part.unionByName(t.part), root, checks)
     out = out.unionByName(seen("3 refused"))
     snapshots.roll_back(spark, root)
     out = out.unionByName(seen("4 rolled back"))
-    snapshots.publish(altered_part(t), root, checks)
+    snapshots.publish(altered, root, checks)
     return out.unionByName(seen("5 third"))
 
 

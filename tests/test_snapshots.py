@@ -67,3 +67,15 @@ def test_a_second_writer_is_refused(spark, tmp_path):
     assert rows(spark, root) == [2]
     s.publish(table(spark, 4), root)
     assert rows(spark, root) == [4]
+
+
+def test_altered_parts_of_a_table_of_over_a_million_keys_are_published(spark, tmp_path):
+    from quarry.plans.lifecycle_plans import m11_snapshots
+    keys = [0, 101, 202, 1_000_000, 1_000_101, 1_000_202, 1_010_000]
+    part = spark.createDataFrame([(k, f"name {k}", "b", "t", 1, 1.0) for k in keys],
+                                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    seen = {r["step"]: (r["n"], r["size"], r["names"]) for r in m11_snapshots(spark, str(tmp_path)).collect()}
+    kept, added = sum(k % 89 != 0 for k in keys), sum(k % 101 == 0 for k in keys)
+    assert seen["1 first"] == seen["4 rolled back"] == (7, 7, 7)
+    assert [seen[s][0] for s in ("2 second", "3 refused", "5 third")] == [kept + added] * 3
