@@ -9,8 +9,8 @@ rounded value (0.4999995 and 0.5000005 round apart at any digit). Instead:
 
 1. Equal rows cancel: one grouped, signed count over both sides (as the exact
    multiset difference). Only what is left goes on.
-2. The numbers left in each column are sorted (:func:`ordered_scan`, so neither a
-   column nor a hot value is one task) and cut into *islands* wherever two
+2. The numbers left in each column are sorted in blocks (:func:`plan_blocks`, so neither
+   a column nor a hot value is one task) and cut into *islands* wherever two
    neighbours are ``eps`` or more apart. Numbers of different islands are never
    equal.
 3. Rows with the same texts and the same islands are a class. Where every island
@@ -28,10 +28,10 @@ infinities.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.scan import ordered_scan
+from quarry.operators.scan import BLK, BROADCAST_POINTS, ROWS_PER_BLOCK, ordered_scan, plan_blocks
 from quarry.session import written_table
 
 EPS = 1e-6
@@ -47,18 +47,28 @@ def _number(c: Column, dtype: str) -> Column:
     if dtype in _NUMERIC or dtype.startswith("decimal"):
         return c.cast("double")
     text = c.cast("string")
-    return F.when(text.rlike(_NUMBER), _stripped(text).try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))  # which strips
+
+
+def _near(x: Column, eps: float) -> Column:
+    return F.abs(x) < eps * 2.0 ** 54
+
+
+def _key(c: Column, x: Column, eps: float) -> Column:
+    text = F.concat(F.lit("t:"), _stripped(c.cast("string")))
+    return (F.when(c.isNull(), "null").when(x.isNull(), text).when(_near(x, eps), "#")
+            .otherwise(F.concat(F.lit("x:"), x.cast("string"))))
+
+
+def _num(x: Column, eps: float) -> Column:
+    return F.when(_near(x, eps), x + F.lit(0.0))  # + 0.0: -0.0 is 0.0
 
 
 def cell(c: Column, dtype: str, eps: float = EPS) -> Column:
     """``struct(key, num)``: ``num`` is set for a number that is compared within
     ``eps`` (``key`` is then ``#``); ``key`` holds everything compared exactly."""
     x = _number(c, dtype)
-    near = F.abs(x) < eps * 2.0 ** 54
-    text = F.concat(F.lit("t:"), _stripped(c.cast("string")))
-    key = (F.when(c.isNull(), "null").when(x.isNull(), text).when(near, "#")
-           .otherwise(F.concat(F.lit("x:"), x.cast("string"))))
-    return F.struct(key.alias("key"), F.when(near, x + F.lit(0.0)).alias("num"))  # + 0.0: -0.0 is 0.0
+    return F.struct(_key(c, x, eps).alias("key"), _num(x, eps).alias("num"))
 
 
 def cells_equal(a: Column, b: Column, eps: float = EPS) -> Column:
@@ -70,10 +80,17 @@ def _cells(df: DataFrame, eps: float) -> list[Column]:
     return [cell(F.col(f"`{c}`"), t, eps) for c, t in df.dtypes]
 
 
+def _named(letter: str, n: int) -> list[str]:
+    return [f"{letter}{i}" for i in range(n)]
+
+
 def _rows(df: DataFrame, sign: int, eps: float) -> DataFrame:
-    cells = F.array(*_cells(df, eps))
-    return df.select(F.transform(cells, lambda c: c["key"]).alias("keys"), F.transform(cells, lambda c: c["num"]).alias("nums"),
-                     F.lit(sign).alias("sign"))
+    """``k0``... and ``x0``..., the key and number of each cell as plain columns (grouping by arrays of doubles
+    is slow), and ``sign``. Numbers are parsed in a select of their own, once a cell."""
+    parsed = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)],
+                       *[_number(F.col(f"`{c}`"), t).alias(f"v{i}") for i, (c, t) in enumerate(df.dtypes)])
+    return parsed.select(*[_key(F.col(f"c{i}"), F.col(f"v{i}"), eps).alias(f"k{i}") for i in range(len(df.columns))],
+                         *[_num(F.col(f"v{i}"), eps).alias(f"x{i}") for i in range(len(df.columns))], F.lit(sign).alias("sign"))
 
 
 def same_shape(a: DataFrame, b: DataFrame) -> bool:
@@ -81,17 +98,37 @@ def same_shape(a: DataFrame, b: DataFrame) -> bool:
     return [c.lower() for c in a.columns] == [c.lower() for c in b.columns]
 
 
-def _islands(left: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
-    """``id, islands`` of the rows with numbers, and the ``pos, island`` that are ``eps`` wide or wider."""
-    long = left.select("id", F.posexplode("nums").alias("pos", "value")).where(F.col("value").isNotNull())
-    gaps = ordered_scan(long, "pos", ["value", "id"], lag_cols=["value"], row_number=None)
-    starts = F.coalesce(F.col("value") - F.col("prev_value") >= eps, F.lit(True))
-    numbered = ordered_scan(gaps.withColumn("start", starts.cast("long")), "pos", ["value", "id"], sums=["start"], row_number=None)
-    numbered = written_table(numbered.select("id", "pos", "value", F.col("run_start").alias("island")), "islands")
-    wide = (numbered.groupBy("pos", "island").agg((F.max("value") - F.min("value") >= eps).alias("wide"))
-            .where("wide").select("pos", "island"))
-    per_row = numbered.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "island"))).alias("islands"))
-    return per_row, wide
+def _islands(left: DataFrame, n: int, eps: float, rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """``id, pos, island`` of the numbers, and the ``pos, island`` that are ``eps`` wide or wider.
+
+    The numbers are sorted once. Inside a block (:func:`plan_blocks`) islands are counted from its first number, and
+    a table of one row a block says what goes before.
+    """
+    long = left.select("id", F.posexplode(F.array(*_named("x", n))).alias("pos", "value")).where(F.col("value").isNotNull())
+    planned = plan_blocks(long, ["pos"], ["value", "id"], rows_per_block)
+    placed = planned.place(long) if planned else long.withColumn(BLK, F.lit(0))
+    order = Window.partitionBy("pos", BLK).orderBy("value", "id")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = F.coalesce(F.col("value") - F.lag("value").over(order) >= eps, F.lit(False))
+    inside = (placed.select("id", "pos", BLK, "value", starts.alias("starts"))
+              .select("id", "pos", BLK, "value", F.sum(F.col("starts").cast("long")).over(running).alias("run"),
+                      F.max(F.when(F.col("starts"), F.col("value"))).over(running).alias("since")))
+    inside = written_table(inside, "islands")
+    blocks = inside.groupBy("pos", BLK).agg(F.min("value").alias("low"), F.max("value").alias("high"), F.max("run").alias("runs"), F.max("since").alias("last"))
+    by_block = Window.partitionBy("pos").orderBy(BLK)
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("low") - F.lag("high").over(by_block) >= eps, F.lit(True))
+    blocks = blocks.withColumn("opens", opens).withColumn("held", F.coalesce("last", F.when(F.col("opens"), F.col("low"))))
+    new = F.col("opens").cast("long")
+    blocks = blocks.select(
+        F.col("pos").alias("_pos"), F.col(BLK).alias("_block"),
+        (F.coalesce(F.sum(F.col("runs") + new).over(before), F.lit(0)) + new).alias("earlier"),
+        F.when(F.col("opens"), F.col("low")).otherwise(F.max("held").over(before)).alias("open_since"))
+    few = planned is None or planned.total <= BROADCAST_POINTS
+    numbered = inside.join(F.broadcast(blocks) if few else blocks, (F.col("pos") == F.col("_pos")) & (F.col(BLK) == F.col("_block"))).select(
+        "id", "pos", (F.col("run") + F.col("earlier")).alias("island"),
+        (F.col("value") - F.coalesce("since", "open_since") >= eps).alias("far"))
+    return numbered.select("id", "pos", "island"), numbered.where("far").select("pos", "island").distinct()
 
 
 def _by_rank(rows: DataFrame, eps: float) -> DataFrame:
@@ -116,22 +153,29 @@ def tolerant_rows(a: DataFrame, b: DataFrame, eps: float = EPS) -> DataFrame:
     Columns are compared by position and may differ in type. Repeated rows count.
     Empty tables: no rows.
     """
+    n = len(a.columns)
+    k, x, i = _named("k", n), _named("x", n), _named("i", n)
     both = _rows(a, 1, eps).unionByName(_rows(b, -1, eps))
-    left = written_table(both.groupBy("keys", "nums").agg(F.sum("sign").alias("delta")).where("delta <> 0")
+    left = written_table(both.groupBy(*k, *x).agg(F.sum("sign").alias("delta")).where("delta <> 0")
                          .withColumn("id", F.monotonically_increasing_id()), "left")
-    per_row, wide = _islands(left, eps)
-    rows = left.join(per_row, "id", "left").withColumn("islands", F.coalesce("islands", F.array().cast("array<struct<pos:int,island:bigint>>")))
+    numbered, wide = _islands(left, n, eps)
+    wide = written_table(wide, "wide")
+    found = [F.max(F.when(F.col("pos") == at, F.col("island"))).alias(name) for at, name in enumerate(i)]
+    rows = left.join(numbered.groupBy("id").agg(*found), "id", "left").withColumns(
+        {name: F.coalesce(name, F.lit(0).cast("long")) for name in i})  # 0: not a number
+    keys, nums, islands = F.array(*k).alias("keys"), F.array(*x).alias("nums"), F.array(*i).alias("islands")
     chained = None
     if not wide.isEmpty():
-        hit = (rows.select("id", F.explode("islands").alias("i")).select("id", "i.*").join(wide, ["pos", "island"], "left_semi")
-               .groupBy("id").agg(F.array_sort(F.collect_list("pos")).alias("chain")))
+        hit = numbered.join(wide, ["pos", "island"], "left_semi").groupBy("id").agg(F.array_sort(F.collect_list("pos")).alias("chain"))
         rows = written_table(rows.join(hit, "id", "left"), "rows")
         # a class is chained as a whole: its rows share their islands
         numbers = F.transform("chain", lambda pos: F.get(F.col("nums"), pos))
-        chained, rows = rows.where("chain is not null").withColumn("chain", numbers), rows.where("chain is null")
-    net = (rows.groupBy("keys", "islands").agg(F.sum("delta").alias("net"), F.min(F.when(F.col("delta") > 0, F.col("nums"))).alias("na"),
-                                               F.min(F.when(F.col("delta") < 0, F.col("nums"))).alias("nb")).where("net <> 0"))
-    out = net.select(F.when(F.col("net") > 0, "a").otherwise("b").alias("side"), F.abs("net").cast("bigint").alias("n"), "keys",
+        chained = rows.where("chain is not null").select("id", "delta", "chain", keys, nums, islands).withColumn("chain", numbers)
+        rows = rows.where("chain is null")
+    net = (rows.select(*k, *i, "delta", nums).groupBy(*k, *i)
+           .agg(F.sum("delta").alias("net"), F.min(F.when(F.col("delta") > 0, F.col("nums"))).alias("na"),
+                F.min(F.when(F.col("delta") < 0, F.col("nums"))).alias("nb")).where("net <> 0"))
+    out = net.select(F.when(F.col("net") > 0, "a").otherwise("b").alias("side"), F.abs("net").cast("bigint").alias("n"), keys,
                      F.when(F.col("net") > 0, F.col("na")).otherwise(F.col("nb")).alias("nums"))
     return out if chained is None else out.unionByName(_by_rank(chained, eps))
 

@@ -95,3 +95,37 @@ def test_ordered(spark):
     b = spark.createDataFrame([(1, "0.30000000000000004", "a "), (2, "1.1", "B"), (3, None, "c"), (5, "1", "")], "pos long, y string, t string")
     got = {r["pos"]: (r["side"], r["columns"]) for r in compare.tolerant_ordered(a, b, "pos").collect()}
     assert got == {2: ("both", [1, 2]), 4: ("only_a", None), 5: ("only_b", None)}
+
+
+@pytest.mark.parametrize("rows_per_block", [3, 7, 1000])
+def test_islands_over_blocks(spark, rows_per_block):
+    """Islands that begin, go on and end at block borders; equal values over several blocks."""
+    rng = random.Random(rows_per_block)
+    x0 = [round(rng.uniform(0, 3), 1) + rng.choice([0, 4e-7, 8e-7, 1.2e-6]) for _ in range(60)] + [5.0] * 20 + [None] * 3
+    rows = [(i, v, None if i % 5 == 0 else float(i // 4)) for i, v in enumerate(x0)]
+    numbered, wide = compare._islands(spark.createDataFrame(rows, "id long, x0 double, x1 double"), 2, EPS, rows_per_block)
+    got, far = {}, {tuple(r) for r in wide.collect()}
+    for r in numbered.collect():
+        got.setdefault((r["pos"], r["island"]), set()).add(r["id"])
+    want, want_far = set(), set()
+    for pos in (0, 1):
+        now, last, first = [], None, None
+        for v, i in sorted((r[1 + pos], r[0]) for r in rows if r[1 + pos] is not None) + [(None, None)]:
+            if now and (v is None or v - last >= EPS):
+                want.add((pos, frozenset(now)))
+                if last - first >= EPS:
+                    want_far.add((pos, frozenset(now)))
+                now = []
+            first = v if not now else first
+            now, last = [*now, i], v
+    assert {(pos, frozenset(ids)) for (pos, _), ids in got.items()} == want
+    assert {(pos, frozenset(got[pos, island])) for pos, island in far} == want_far and want_far
+
+
+def test_numbers_are_sorted_once(spark, monkeypatch):
+    """The split points of the numbers are planned once, whatever the rows of a block."""
+    planned = []
+    monkeypatch.setattr(compare, "plan_blocks", lambda *a, f=compare.plan_blocks: planned.append(a) or f(*a[:3], 4))
+    a = spark.createDataFrame([(float(i), f"{i}.5") for i in range(20)], "x double, y string")
+    b = a.select((F.col("x") + 3e-7).alias("x"), "y").where("x < 18")
+    assert sorted(r["nums"][0] for r in compare.tolerant_rows(a, b).collect()) == [18.0, 19.0] and len(planned) == 1
