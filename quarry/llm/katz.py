@@ -20,8 +20,8 @@ table. 64-bit hashes stand for words and pairs.
 
 Texts are taken in chunks. A chunk sends its distinct keys as one row for each bucket
 of keys: an array in key order, its bytes regrouped by position, which the shuffle's
-compression shortens, and no row for each key. A bucket is read as a stream (the
-model's rows first, then the chunks' rows one by one), so what a task holds is one
+compression shortens, and no row for each key. The model's entries are packed the same
+way. A bucket is read as a stream (the model's rows first, then the chunks' rows one by one), so what a task holds is one
 bucket of the model, about ``BUCKET`` keys, however often one of them occurs. Its answer
 is again one row for each chunk, and the last step adds up the rows of one chunk. Keys that
 hold more than one in ``HEAVY`` of the training tokens (at most ``HEAVY`` words and
@@ -51,6 +51,7 @@ from quarry.llm.tokens import Words, mix, words
 END, START = 1, 2  # stand for the end token, and for the history of a text's first token
 HEAVY = 1 << 18    # a key with more than one in HEAVY of the training tokens is broadcast
 BUCKET = 1 << 21   # training tokens to a bucket of keys
+PACKED = 1 << 19   # entries of the model that are packed together
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,10 +99,6 @@ def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
     return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def bucket_column(key: str, buckets: int) -> Column:
-    return F.shiftrightunsigned(F.shiftrightunsigned(F.col(key), 32) * F.lit(buckets).cast("long"), 32)
-
-
 def _slices(bucket: np.ndarray) -> list[tuple[int, int]]:
     """Bounds of the runs of equal values."""
     cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, int)
@@ -110,20 +107,23 @@ def _slices(bucket: np.ndarray) -> list[tuple[int, int]]:
 
 def _pair_counts(buckets: int):
     """Rows ``bucket, h, w, n`` of each chunk: its distinct pairs in key order and how often each occurs."""
+    def rows(part: Words) -> pa.RecordBatch:
+        _, history, token = _tokens(part)
+        key = pair_key(history, token)
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, at, n = key[first], order[first], np.diff(np.append(first, len(key)))
+        h, w, n, bucket = history[at], token[at], n.astype(np.uint32), bucket_of(key, buckets)
+        cuts = _slices(bucket)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(bucket[i]) for i, _ in cuts], pa.int64()),
+             *(pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary()) for x in (h, w, n))], ["bucket", "h", "w", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words(batch.column("text"), 4 << 20):
-                _, history, token = _tokens(part)
-                key = pair_key(history, token)
-                order = np.argsort(key)
-                key = key[order]
-                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                key, at, n = key[first], order[first], np.diff(np.append(first, len(key)))
-                h, w, n, bucket = history[at], token[at], n.astype(np.uint32), bucket_of(key, buckets)
-                cuts = _slices(bucket)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[i]) for i, _ in cuts], pa.int64()),
-                     *(pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary()) for x in (h, w, n))], ["bucket", "h", "w", "n"])
+            # a chunk's arrays end with the call, before the next chunk's are made
+            yield from map(rows, words(batch.column("text"), 4 << 20))
     return run
 
 
@@ -161,12 +161,13 @@ def _pair_rows(key: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) ->
     return pa.RecordBatch.from_arrays([_long(key), _long(h), _long(w), pa.array(c)], ["key", "h", "w", "c"])
 
 
-# Rows of the lookup step. slot: twice the bucket, and one more for what comes after the model's rows.
-# Model rows have at (the key), v and base. Others have at, the number of a chunk: one for each bucket with the chunk's
-# distinct keys in order and the text and number of each, and one with ids, tokens (ns) and sums over broadcast keys of its texts.
-_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("v", pa.float64()), ("base", pa.float64()), ("keys", pa.binary()),
+# Rows of the lookup step. slot: twice the bucket, and one more for what comes after the model's rows. Arrays are bytes by position.
+# Model rows hold many entries of one bucket: keys, their v (in texts) and base (in ns). Others have at, the number of a chunk: one
+# for each bucket with the chunk's distinct keys in order and the text and number of each, and one with ids, tokens (ns) and sums
+# over broadcast keys of its texts.
+_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("keys", pa.binary()),
                      ("texts", pa.binary()), ("ns", pa.binary()), ("ids", pa.list_(pa.int64())), ("sums", pa.binary())])
-_STREAM_SQL = "slot long, at long, v double, base double, keys binary, texts binary, ns binary, ids array<long>, sums binary"
+_STREAM_SQL = "slot long, at long, keys binary, texts binary, ns binary, ids array<long>, sums binary"
 # What the lookup makes: of a chunk and a bucket the texts and their sums (v, base, known), and the rows with ids as they came.
 _PARTS = ["at", "texts", "ns", "ids", "sums"]
 _PARTS_SQL = "at long, texts binary, ns binary, ids array<long>, sums binary"
@@ -177,6 +178,32 @@ def _batch(size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in _STREAM], schema=_STREAM)
 
 
+def _model_rows(buckets: int):
+    """Rows of ``_STREAM`` from ``key, v, base`` of the model, ``PACKED`` entries at a time."""
+    def rows(held: list) -> pa.RecordBatch:
+        key, v, base = (np.concatenate(x) for x in zip(*held))
+        key = key.view(np.uint64)
+        order = np.argsort(key)
+        key, v, base = key[order], v[order], base[order]
+        bucket = bucket_of(key, buckets)
+        cuts = _slices(bucket)
+        return _batch(len(cuts), slot=pa.array([int(bucket[i]) * 2 for i, _ in cuts], pa.int64()),
+                      **{name: pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary())
+                         for name, x in (("keys", key), ("texts", v), ("ns", base))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "v", "base")])
+            size += len(batch)
+            if size >= PACKED:
+                yield rows(held)
+                held, size = [], 0
+        if size:
+            yield rows(held)
+    return run
+
+
 def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which keys are in the ascending table, and where those are."""
     if not len(table):
@@ -188,35 +215,42 @@ def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _text_keys(heavy, buckets: int):
     """Rows of ``_STREAM``: of each chunk the sums of its texts over broadcast keys, and the other distinct words and pairs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(part: Words, doc_id: pa.Array, number: int) -> list[pa.RecordBatch]:
         table, v, base = heavy.value
+        owner, history, token = _tokens(part)
+        sizes = np.bincount(owner, minlength=part.count).astype(np.int64)
+        key = np.concatenate([token, pair_key(history, token), np.full(part.count, START, np.uint64)])
+        text = np.concatenate([owner, owner, np.arange(part.count)]).astype(np.uint32)
+        del owner, history, token
+        order = np.argsort(key)
+        key = key[order]
+        # by key, then text: the texts of equal keys are put in order behind the number of the key
+        both = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]])).astype(np.uint64) << np.uint64(32) | text[order]
+        del order, text
+        both.sort()
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        key, text, n = key[first], both[first].astype(np.uint32), np.diff(np.append(first, len(key))).astype(np.uint32)
+        del both, first
+        hit, at = _find(key, table)
+        sums = [np.bincount(text[hit], x[at] * n[hit], part.count) for x in (v, base, base < 0)]
+        ids = doc_id.slice(part.first, part.count)
+        whole = _batch(1, slot=pa.array([number % buckets * 2 + 1]), at=pa.array([number]), ns=pa.array([_planes(sizes)], pa.binary()),
+                       ids=pa.ListArray.from_arrays(pa.array([0, part.count], pa.int32()), pa.concat_arrays([ids])),
+                       sums=pa.array([np.concatenate(sums).tobytes()], pa.binary()))
+        key, text, n = key[~hit], text[~hit], n[~hit]
+        bucket = bucket_of(key, buckets)
+        cuts = _slices(bucket)
+        return [whole, _batch(len(cuts), slot=pa.array([int(bucket[i]) * 2 + 1 for i, _ in cuts], pa.int64()),
+                              at=pa.array([number] * len(cuts), pa.int64()),
+                              **{name: pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary())
+                                 for name, x in (("keys", key), ("texts", text), ("ns", n))})]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in words(batch.column("text"), 4 << 20):
-                owner, history, token = _tokens(part)
-                sizes = np.bincount(owner, minlength=part.count).astype(np.int64)
-                key = np.concatenate([token, pair_key(history, token), np.full(part.count, START, np.uint64)])
-                text = np.concatenate([owner, owner, np.arange(part.count)]).astype(np.uint32)
-                order = np.argsort(key)
-                key = key[order]
-                # by key, then text: the texts of equal keys are put in order behind the number of the key
-                both = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]])).astype(np.uint64) << np.uint64(32) | text[order]
-                both.sort()
-                first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-                key, text, n = key[first], both[first].astype(np.uint32), np.diff(np.append(first, len(key))).astype(np.uint32)
-                hit, at = _find(key, table)
-                sums = [np.bincount(text[hit], x[at] * n[hit], part.count) for x in (v, base, base < 0)]
-                ids = batch.column("doc_id").slice(part.first, part.count)
-                yield _batch(1, slot=pa.array([number % buckets * 2 + 1]), at=pa.array([number]), ns=pa.array([_planes(sizes)], pa.binary()),
-                             ids=pa.ListArray.from_arrays(pa.array([0, part.count], pa.int32()), pa.concat_arrays([ids])),
-                             sums=pa.array([np.concatenate(sums).tobytes()], pa.binary()))
-                key, text, n = key[~hit], text[~hit], n[~hit]
-                bucket = bucket_of(key, buckets)
-                cuts = _slices(bucket)
-                yield _batch(len(cuts), slot=pa.array([int(bucket[i]) * 2 + 1 for i, _ in cuts], pa.int64()),
-                             at=pa.array([number] * len(cuts), pa.int64()),
-                             **{name: pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary())
-                                for name, x in (("keys", key), ("texts", text), ("ns", n))})
+                # a chunk's arrays end with the call, before the next chunk's are made
+                yield from rows(part, batch.column("doc_id"), number)
                 number += part.count
     return run
 
@@ -238,12 +272,13 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if bucket != now:
                 table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], bucket
             if slot[i] % 2 == 0:
-                held.append([run.column(c).to_numpy(zero_copy_only=False) for c in ("at", "v", "base")])
+                held += [[_from_planes(x.as_py(), t) for x, t in zip(entry, (np.uint64, np.float64, np.float64))]
+                         for entry in zip(*(run.column(c) for c in ("keys", "texts", "ns")))]
                 continue
             if held:
                 table, v, base = (np.concatenate(x) for x in zip(*held))
-                order = np.argsort(table.view(np.uint64))
-                table, v, base, held = table.view(np.uint64)[order], v[order], base[order], []
+                order = np.argsort(table)
+                table, v, base, held = table[order], v[order], base[order], []
             whole = run.column("keys").is_null()
             texts = run.filter(whole)
             if len(texts):
@@ -369,8 +404,8 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     local = docs.sparkSession.sparkContext.broadcast((key.view(np.uint64)[order], v[order], base[order]))
     keys = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(
         _text_keys(local, buckets), _STREAM_SQL)
-    model = table.where(~often).select((bucket_column("key", buckets) * 2).alias("slot"), F.col("key").alias("at"), "v", "base")
-    return (model.unionByName(keys, allowMissingColumns=True)
+    model = table.where(~often).select("key", "v", "base").mapInArrow(_model_rows(buckets), _STREAM_SQL)
+    return (model.unionByName(keys)
             .repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
             .mapInArrow(_sums, _PARTS_SQL).repartition("at").sortWithinPartitions("at").mapInArrow(_per_text(constant["unknown"]), _TEXT_SQL)
             .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
-HASH_BYTES = 4 << 20
+HASH_BYTES = 1 << 18  # hashed at a time: each byte takes 40 bytes of powers and sums
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -39,7 +39,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES)
+        size = max(n, HASH_BYTES)
         tables = []
         for base in (_BASE, _BASE_INVERSE):
             t = np.full(size, base, np.uint64)
@@ -104,15 +104,19 @@ def runs(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
 
 
 def words(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Words]:
-    for first, count, data, text_ptr in runs(column, limit):
-        inside = ~_SEPARATOR[data]
-        edge = np.zeros(len(data) + 1, bool)
-        edge[text_ptr] = True
-        before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
-        begin = np.flatnonzero(inside & (~before | edge[:-1]))
-        after = np.concatenate([inside[1:], [False]]) if len(data) else inside
-        end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        yield Words(first, count, data, begin, end, np.searchsorted(begin, text_ptr), text_ptr)
+    for run in runs(column, limit):
+        yield _words(*run)
+
+
+def _words(first: int, count: int, data: np.ndarray, text_ptr: np.ndarray) -> Words:
+    inside = ~_SEPARATOR[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[text_ptr] = True
+    before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
+    begin = np.flatnonzero(inside & (~before | edge[:-1]))
+    after = np.concatenate([inside[1:], [False]]) if len(data) else inside
+    end = np.flatnonzero(inside & (~after | edge[1:])) + 1
+    return Words(first, count, data, begin, end, np.searchsorted(begin, text_ptr), text_ptr)
 
 
 def shingles(hashes: np.ndarray, ptr: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -381,3 +381,30 @@ def test_contamination(spark, docs, local):
     assert sorted(tuple(r)[:4] for r in got) == sorted(want) and want
     assert containment.contaminated(empty(docs), table).count() == 0
     assert containment.contaminated(docs, table.where("false")).count() == 0
+
+
+def test_katz_model_entries_travel_packed_and_chunks_leave_nothing_behind():
+    """A row holds many entries of a bucket; hashing takes little beside the text."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quarry.llm.tokens import words
+    r = np.random.default_rng(5)
+    key, v = r.integers(-2**63, 2**63, 5000), r.random(5000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[i:i + 1000]), pa.array(v[i:i + 1000]), pa.array(-v[i:i + 1000])], ["key", "v", "base"])
+               for i in range(0, 5000, 1000)]
+    rows = [row for b in katz._model_rows(8)(batches) for row in b.to_pylist()]
+    assert len(rows) == 8 and sorted(row["slot"] for row in rows) == list(range(0, 16, 2))
+    found = {}
+    for row in rows:
+        keys = katz._from_planes(row["keys"], np.uint64)
+        assert (katz.bucket_of(keys, 8) * 2 == row["slot"]).all()
+        found |= dict(zip(keys.view(np.int64).tolist(), zip(katz._from_planes(row["texts"], float).tolist(), katz._from_planes(row["ns"], float).tolist())))
+    assert found == {k: (x, -x) for k, x in zip(key.tolist(), v.tolist())}
+    part = next(words(pa.array(["some words " * 300_000]), 4 << 20))
+    whole = part.hashes()
+    tracemalloc.start()
+    again, peak = part.hashes(), tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20 and (again == whole).all() and len(np.unique(whole)) == 2
