@@ -127,16 +127,16 @@ def _pair_counts(buckets: int):
     return run
 
 
-def _add_up(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _add_up(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key = pair_key(h, w)
     order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], h[order][first], w[order][first], np.add.reduceat(n[order], first)
+    return h[order][first], w[order][first], np.add.reduceat(n[order], first)
 
 
 def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, h, w, c`` of every pair, from rows of ``_pair_counts`` sorted by bucket."""
+    """``h, w, c`` of every pair, from rows of ``_pair_counts`` sorted by bucket."""
     held, size, now = [], 0, None
 
     def merged() -> tuple:
@@ -151,14 +151,14 @@ def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             held.append((_from_planes(h, np.uint64), _from_planes(w, np.uint64), _from_planes(n, np.uint32).astype(np.int64)))
             size += len(held[-1][0])
             if size > 2 * BUCKET:  # repeats of the same pairs by many chunks
-                held = [merged()[1:]]
+                held = [merged()]
                 size = len(held[0][0]) // 2
     if held:
         yield _pair_rows(*merged())
 
 
-def _pair_rows(key: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_long(key), _long(h), _long(w), pa.array(c)], ["key", "h", "w", "c"])
+def _pair_rows(h: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_long(h), _long(w), pa.array(c)], ["h", "w", "c"])
 
 
 # Rows of the lookup step. slot: twice the bucket, and one more for what comes after the model's rows. Arrays are bytes by position.
@@ -178,11 +178,18 @@ def _batch(size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in _STREAM], schema=_STREAM)
 
 
+def _entries(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, v and base of rows ``h, w, v, base`` of the model; ``w`` is null where the key is of one word."""
+    h, w = (pc.fill_null(rows.column(c), 0).to_numpy(zero_copy_only=False).view(np.uint64) for c in "hw")
+    pairs = pc.is_valid(rows.column("w")).to_numpy(zero_copy_only=False)
+    v, base = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("v", "base"))
+    return np.where(pairs, pair_key(h, w), h), v, base
+
+
 def _model_rows(buckets: int):
-    """Rows of ``_STREAM`` from ``key, v, base`` of the model, ``PACKED`` entries at a time."""
+    """Rows of ``_STREAM`` from rows ``h, w, v, base`` of the model, ``PACKED`` entries at a time."""
     def rows(held: list) -> pa.RecordBatch:
         key, v, base = (np.concatenate(x) for x in zip(*held))
-        key = key.view(np.uint64)
         order = np.argsort(key)
         key, v, base = key[order], v[order], base[order]
         bucket = bucket_of(key, buckets)
@@ -194,7 +201,7 @@ def _model_rows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "v", "base")])
+            held.append(_entries(batch))
             size += len(batch)
             if size >= PACKED:
                 yield rows(held)
@@ -343,9 +350,9 @@ def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> d
 
 
 def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFrame, dict]:
-    """The model as ``key, v, base, c`` (words, pairs and the start), and its constants. ``train`` holds ``text``.
+    """The model as ``h, w, v, base, c`` (pairs; words and the start as ``h`` without ``w``), and its constants. ``train`` holds ``text``.
 
-    ``base`` is 0 in rows that are not of a word.
+    ``base`` is 0 in rows that are not of a word. A pair's key is made of its words where it is needed.
     """
     unigrams = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams")
     total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -357,7 +364,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
 
     counted = Observation()
     pairs = (train.mapInArrow(_pair_counts(buckets), "bucket long, h binary, w binary, n binary")
-             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_counts, "key long, h long, w long, c long"))
+             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_counts, "h long, w long, c long"))
     seen = materialize(pairs.observe(counted, *[F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, katz_k + 2)])
                        .where(F.col("c") >= min_count), "pairs")
     factors = discounts({r: counted.get[f"n{r}"] for r in range(1, katz_k + 2)}, katz_k, min_count)
@@ -368,7 +375,7 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
     token = unigram.select("w", "p")
     history = unigram.where(F.col("w") != END).select(F.col("w").alias("h"), F.col("c").alias("c_h"))
     start = train.sparkSession.range(1).select(F.lit(START).cast("long").alias("h"), F.lit(texts).cast("long").alias("c_h"))
-    joined = materialize(seen.join(token, "w").select("key", "h", "p", "c"), "with_tokens")
+    joined = materialize(seen.join(token, "w").select("h", "w", "p", "c"), "with_tokens")
     remove(seen)
     joined = joined.withColumn("kept", F.col("c") * discount)
     sums = joined.groupBy("h").agg(F.sum("kept").alias("kept_h"), F.sum("p").alias("p_h"))
@@ -378,10 +385,11 @@ def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFra
                         .select("h", "below", "c_h", F.log10((F.col("below") - F.col("kept_h")) / F.col("below") / (1 - F.col("p_h"))).alias("la")),
                         "alphas")
     pair = joined.join(alpha, "h").select(
-        "key", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"), F.lit(0.0).alias("base"), "c")
+        "h", "w", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"), F.lit(0.0).alias("base"), "c")
+    alone = F.lit(None).cast("long").alias("w")
     word = unigram.join(alpha.select("h", "la"), F.col("w") == F.col("h"), "left").select(
-        F.col("w").alias("key"), (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("v"), F.log10("p").alias("base"), "c")
-    first = alpha.where(F.col("h") == START).select(F.col("h").alias("key"), F.col("la").alias("v"), F.lit(0.0).alias("base"), F.col("c_h").alias("c"))
+        F.col("w").alias("h"), alone, (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("v"), F.log10("p").alias("base"), "c")
+    first = alpha.where(F.col("h") == START).select("h", alone, F.col("la").alias("v"), F.lit(0.0).alias("base"), F.col("c_h").alias("c"))
     table = materialize(word.union(pair).union(first), "model")
     for used in (unigrams, joined, alpha):
         remove(used)
@@ -398,13 +406,12 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     table, constant = model_tables(docs.where(may_learn).select(text), min_count, katz_k)
     total, buckets = constant["train_tokens"], constant["buckets"]
     often = F.col("c") * heavy > total
-    sent = table.where(often).select("key", "v", "base").toArrow()
-    key, v, base = (sent.column(c).to_numpy() for c in ("key", "v", "base"))
-    order = np.argsort(key.view(np.uint64))
-    local = docs.sparkSession.sparkContext.broadcast((key.view(np.uint64)[order], v[order], base[order]))
+    key, v, base = _entries(table.where(often).select("h", "w", "v", "base").toArrow())
+    order = np.argsort(key)
+    local = docs.sparkSession.sparkContext.broadcast((key[order], v[order], base[order]))
     keys = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(
         _text_keys(local, buckets), _STREAM_SQL)
-    model = table.where(~often).select("key", "v", "base").mapInArrow(_model_rows(buckets), _STREAM_SQL)
+    model = table.where(~often).select("h", "w", "v", "base").mapInArrow(_model_rows(buckets), _STREAM_SQL)
     return (model.unionByName(keys)
             .repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
             .mapInArrow(_sums, _PARTS_SQL).repartition("at").sortWithinPartitions("at").mapInArrow(_per_text(constant["unknown"]), _TEXT_SQL)

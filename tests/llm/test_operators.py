@@ -391,9 +391,11 @@ def test_katz_model_entries_travel_packed_and_chunks_leave_nothing_behind():
 
     from quarry.llm.tokens import words
     r = np.random.default_rng(5)
-    key, v = r.integers(-2**63, 2**63, 5000), r.random(5000)
-    batches = [pa.RecordBatch.from_arrays([pa.array(key[i:i + 1000]), pa.array(v[i:i + 1000]), pa.array(-v[i:i + 1000])], ["key", "v", "base"])
-               for i in range(0, 5000, 1000)]
+    h, w, v = r.integers(-2**63, 2**63, 5000), r.integers(-2**63, 2**63, 5000), r.random(5000)
+    alone = np.arange(5000) % 3 == 0
+    key = np.where(alone, h, katz.pair_key(h.view(np.uint64), w.view(np.uint64)).view(np.int64))
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i:i + 1000], mask=m[i:i + 1000]) for x, m in ((h, ~alone & False), (w, alone), (v, ~alone & False), (-v, ~alone & False))],
+                                          ["h", "w", "v", "base"]) for i in range(0, 5000, 1000)]
     rows = [row for b in katz._model_rows(8)(batches) for row in b.to_pylist()]
     assert len(rows) == 8 and sorted(row["slot"] for row in rows) == list(range(0, 16, 2))
     found = {}
