@@ -26,7 +26,7 @@ bucket of the model, about ``BUCKET`` keys, however often one of them occurs. It
 is again one row for each chunk, and the last step adds up the rows of one chunk. Keys that
 hold more than one in ``HEAVY`` of the training tokens (at most ``HEAVY`` words and
 ``HEAVY`` pairs) are broadcast and scored where the text is read. Tables that are no
-longer needed are removed, and a step's shuffle files as soon as its table is written.
+longer needed are removed.
 
 Defined cases: null or empty text: the end token alone. Rows with a null id are
 scored and may be learned from as the caller's column says. Repeated rows are scored
