@@ -13,20 +13,23 @@ Tokens are the words of a text, ``A``-``Z`` lower-cased, then one end token.
   not seen after h, so ``P(. | h)`` sums to exactly 1. A history that no discount
   leaves anything is counted once more in its denominator.
 
-Counts, weights and pairs are tables partitioned by key. Each token's recursion is
-rewritten as a sum, ``log P(w) + log alpha(h)`` and, for seen pairs, a correction, so
-that a text's score is a sum over its words and pairs, each looked up in one model
-table. 64-bit hashes stand for words and pairs.
-
-Texts are taken in chunks. A chunk sends its distinct keys as one row for each bucket
-of keys: an array in key order, its bytes regrouped by position, which the shuffle's
-compression shortens, and no row for each key. The model's entries are packed the same
-way. A bucket is read as a stream (the model's rows first, then the chunks' rows one by one), so what a task holds is one
-bucket of the model, about ``BUCKET`` keys, however often one of them occurs. Its answer
-is again one row for each chunk, and the last step adds up the rows of one chunk. Keys that
-hold more than one in ``HEAVY`` of the training tokens (at most ``HEAVY`` words and
-``HEAVY`` pairs) are broadcast and scored where the text is read. Tables that are no
-longer needed are removed.
+The logarithm of a seen pair is that of ``kept(c(h, w)) / below(h)``, of another
+``log P(w) + log alpha(h)``: of a pair only its count is needed, the rest belongs to
+its words. So neither the model nor its pairs are ever joined as rows:
+
+1. Texts are written in chunks of about ``CHUNK`` bytes.
+2. Each chunk sends its distinct words and pairs, as 64-bit hashes, with their number
+   in its training texts. They are added up by buckets of keys, which answer with one
+   array of counts for each chunk, and mark each key in one of the chunks that sent it.
+3. Each chunk meets its counts. Of the pairs marked in it, it sends what ``alpha`` is
+   made of, by history. It sums up what it knows of its texts, and asks for histories
+   of unseen pairs, or of which it sees no discounted pair (which tells that
+   ``below(h)`` is ``c(h)``). A bucket of histories answers with one row for a chunk.
+4. The answers of one chunk are added up.
+
+Rows hold arrays, in key order, their bytes regrouped by position and compressed. A task
+holds one chunk, or one bucket of about ``BUCKET`` tokens' keys: a chunk sends a key once,
+however often it occurs.
 
 Defined cases: null or empty text: the end token alone. Rows with a null id are
 scored and may be learned from as the caller's column says. Repeated rows are scored
@@ -37,20 +40,22 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.scratch import materialize, remove
+from quarry.llm.scratch import materialize
 from quarry.llm.tokens import Words, mix, words
 
 END, START = 1, 2  # stand for the end token, and for the history of a text's first token
-HEAVY = 1 << 18    # a key with more than one in HEAVY of the training tokens is broadcast
-BUCKET = 1 << 21   # training tokens to a bucket of keys
+HEAVY = 1 << 18
+CHUNK = 6 << 20    # bytes of text to a chunk
+BUCKET = 1 << 21   # tokens to a bucket of keys
 PACKED = 1 << 19   # entries of the model that are packed together
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,21 +82,16 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen = [np.unique(_tokens(part)[2], return_counts=True) for part in words(batch.column("text"), 4 << 20)]
-        for token, n in seen:
-            yield pa.RecordBatch.from_arrays([_long(token), pa.array(n)], ["w", "n"])
-
-
 def _planes(x: np.ndarray) -> bytes:
-    """The array's bytes, the first of every element, then the second, and so on."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    """The array's bytes, the first of every element, then the second, and so on: compressed, behind their number."""
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel() if raw else np.empty(0, kind)
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -105,70 +105,140 @@ def _slices(bucket: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cut[:-1].tolist(), cut[1:].tolist()))
 
 
-def _pair_counts(buckets: int):
-    """Rows ``bucket, h, w, n`` of each chunk: its distinct pairs in key order and how often each occurs."""
-    def rows(part: Words) -> pa.RecordBatch:
-        _, history, token = _tokens(part)
-        key = pair_key(history, token)
-        order = np.argsort(key)
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, at, n = key[first], order[first], np.diff(np.append(first, len(key)))
-        h, w, n, bucket = history[at], token[at], n.astype(np.uint32), bucket_of(key, buckets)
-        cuts = _slices(bucket)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([int(bucket[i]) for i, _ in cuts], pa.int64()),
-             *(pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary()) for x in (h, w, n))], ["bucket", "h", "w", "n"])
+def _arrays(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [_from_planes(x.as_py(), kind) for x in column]
+
+
+def _joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.empty(0, kind)
+
+
+def _binary(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary())
+
+
+# A chunk of texts: its number, tokens, texts that are learned from, ids, which texts are learned from, bytes of each and all bytes.
+_CHUNK = ["at", "tokens", "learned", "ids", "learn", "sizes", "texts"]
+_CHUNK_SQL = "at long, tokens long, learned long, ids array<long>, learn binary, sizes binary, texts binary"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_CHUNK`` from rows ``doc_id, text, learn``."""
+    number = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for part in words(batch.column("text"), CHUNK):
+            ids, learn = (batch.column(c).slice(part.first, part.count) for c in ("doc_id", "learn"))
+            learn = learn.to_numpy(zero_copy_only=False).astype(bool)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([len(part.begin) + part.count]), pa.array([int(learn.sum())]),
+                 pa.ListArray.from_arrays(pa.array([0, part.count], pa.int32()), pa.concat_arrays([ids])),
+                 _binary([_planes(learn)]), _binary([_planes(np.diff(part.text_ptr))]), _binary([_planes(part.data)])], _CHUNK)
+            number += 1
+
+
+@dataclass
+class Chunk:
+    """Tokens of a chunk, their words and pairs as positions among its distinct ones, which ascend by key."""
+
+    texts: int
+    learn: np.ndarray    # bool, of each text
+    owner: np.ndarray    # of each token its text,
+    token: np.ndarray    # its word
+    at: np.ndarray       # and its pair
+    word: np.ndarray     # uint64, key of each word; START is one
+    start: int           # where START is
+    pair: np.ndarray     # uint64, key of each pair,
+    h: np.ndarray        # its history's word
+    w: np.ndarray        # and its own
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often each word and each pair is in texts that are learned from; START once a text."""
+        n = self.learn[self.owner]
+        word = np.bincount(self.token, n, len(self.word)).astype(np.int64)
+        word[self.start] += self.learn.sum()
+        return word, np.bincount(self.at, n, len(self.pair)).astype(np.int64)
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, a position of each, and which of them every element is."""
+    order = np.argsort(x)
+    ordered = x[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    which = np.empty(len(x), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], order[new], which
+
+
+def _read(rows: pa.RecordBatch | pa.Table, i: int = 0) -> Chunk:
+    learn, sizes, data = (_from_planes(rows.column(c)[i].as_py(), kind) for c, kind in (("learn", bool), ("sizes", np.int64), ("texts", np.uint8)))
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+    column = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(data))
+    owner, history, token = _tokens(next(words(column, len(data))))
+    pair, place, at = _distinct(pair_key(history, token))
+    first = history == START
+    del history
+    word, _, token = _distinct(np.append(token, np.uint64(START)))
+    start, token = int(token[-1]), token[:-1]
+    before = np.append(np.int32(start), token[:-1])
+    before[first] = start
+    return Chunk(len(sizes), learn, owner.astype(np.int32), token, at, word, start, pair, before[place], token[place])
+
+
+_KEYS = ["slot", "at", "keys", "ns"]
+_KEYS_SQL = "slot long, at long, keys binary, ns binary"
+
+
+def _key_rows(buckets: int):
+    """Rows of ``_KEYS`` from rows of ``_CHUNK``. slot: twice the bucket, and one more for pairs; keys are the steps between them."""
+    def rows(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        chunk, out = _read(batch, i), []
+        for kind, (key, n) in enumerate(zip((chunk.word, chunk.pair), chunk.counts())):
+            bucket = bucket_of(key, buckets)
+            out += [(int(bucket[a]) * 2 + kind, _planes(np.diff(key[a:b], prepend=np.uint64(0))), _planes(n[a:b])) for a, b in _slices(bucket)]
+        slot, keys, ns = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array([batch.column("at")[i].as_py()] * len(out), pa.int64()),
+                                           _binary(keys), _binary(ns)], _KEYS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # a chunk's arrays end with the call, before the next chunk's are made
-            yield from map(rows, words(batch.column("text"), 4 << 20))
+            yield from (rows(batch, i) for i in range(len(batch)))
     return run
 
 
-def _add_up(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key = pair_key(h, w)
-    order = np.argsort(key)
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return h[order][first], w[order][first], np.add.reduceat(n[order], first)
-
-
-def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``h, w, c`` of every pair, from rows of ``_pair_counts`` sorted by bucket."""
-    held, size, now = [], 0, None
+# Of each row of _KEYS the counts of its keys and which of them are marked there (bits). seen, in one row of a slot: how many distinct
+# keys it has, what their counts add up to, and how many of them are counted once, twice and so on.
+_COUNTS = ["slot", "at", "counts", "own", "seen"]
+_COUNTS_SQL = "slot long, at long, counts binary, own binary, seen array<long>"
+
+
+def _key_counts(most: int):
+    """Rows of ``_COUNTS`` of one slot; counts of counts up to ``most``."""
+    def run(rows: pa.Table) -> pa.Table:
+        keys = [np.cumsum(x, dtype=np.uint64) for x in _arrays(rows.column("keys"), np.uint64)]
+        n = np.concatenate(_arrays(rows.column("ns"), np.int64))
+        cuts = np.cumsum([len(x) for x in keys])[:-1]
+        values, place, which = _distinct(np.concatenate(keys))
+        total = np.bincount(which, n, len(values)).astype(np.int64)
+        own = np.zeros(len(n), bool)
+        own[place] = True
+        some = total[total > 0]
+        seen = [len(some), int(some.sum()), *np.bincount(np.minimum(some, most + 1), minlength=most + 2)[1:most + 1].tolist()]
+        return pa.Table.from_arrays(
+            [rows.column("slot"), rows.column("at"), _binary([_planes(x) for x in np.split(total[which], cuts)]),
+             _binary([_planes(np.packbits(x)) for x in np.split(own, cuts)]),
+             pa.array([seen] + [None] * (len(keys) - 1), pa.list_(pa.int64()))], _COUNTS)
+    return run
 
-    def merged() -> tuple:
-        return _add_up(*(np.concatenate(x) for x in zip(*held)))
 
-    for batch in batches:
-        for bucket, h, w, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "h", "w", "n"))):
-            if bucket != now:
-                if held:
-                    yield _pair_rows(*merged())
-                held, size, now = [], 0, bucket
-            held.append((_from_planes(h, np.uint64), _from_planes(w, np.uint64), _from_planes(n, np.uint32).astype(np.int64)))
-            size += len(held[-1][0])
-            if size > 2 * BUCKET:  # repeats of the same pairs by many chunks
-                held = [merged()]
-                size = len(held[0][0]) // 2
-    if held:
-        yield _pair_rows(*merged())
-
-
-def _pair_rows(h: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_long(h), _long(w), pa.array(c)], ["h", "w", "c"])
-
-
-# Rows of the lookup step. slot: twice the bucket, and one more for what comes after the model's rows. Arrays are bytes by position.
-# Model rows hold many entries of one bucket: keys, their v (in texts) and base (in ns). Others have at, the number of a chunk: one
-# for each bucket with the chunk's distinct keys in order and the text and number of each, and one with ids, tokens (ns) and sums
-# over broadcast keys of its texts.
-_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("keys", pa.binary()),
+# Rows of the histories' step. slot: twice the bucket, and one more for what comes after the model's rows. Arrays are compressed.
+# Model rows hold entries of one bucket: keys, and in texts and ns what their v and base add up from. Others have at, the number of a
+# chunk: one for each bucket with the histories that the chunk asks for, the count of each and its number of entries (parts), and of
+# each entry twice the text, and one more for seen pairs, and its tokens (ns); and one with ids, tokens (ns) and sums of its texts.
+_STREAM = pa.schema([("slot", pa.int64()), ("at", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("parts", pa.binary()),
                      ("texts", pa.binary()), ("ns", pa.binary()), ("ids", pa.list_(pa.int64())), ("sums", pa.binary())])
-_STREAM_SQL = "slot long, at long, keys binary, texts binary, ns binary, ids array<long>, sums binary"
-# What the lookup makes: of a chunk and a bucket the texts and their sums (v, base, known), and the rows with ids as they came.
+_STREAM_SQL = "slot long, at long, keys binary, counts binary, parts binary, texts binary, ns binary, ids array<long>, sums binary"
+# What that step makes: of a chunk and a bucket the texts and what their scores gain, and the rows with ids as they came.
 _PARTS = ["at", "texts", "ns", "ids", "sums"]
 _PARTS_SQL = "at long, texts binary, ns binary, ids array<long>, sums binary"
 _TEXT_SQL = "doc_id long, n_tokens long, n_known long, base_score double, score double"
@@ -220,123 +290,116 @@ def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hit, at[hit]
 
 
-def _text_keys(heavy, buckets: int):
-    """Rows of ``_STREAM``: of each chunk the sums of its texts over broadcast keys, and the other distinct words and pairs."""
-    def rows(part: Words, doc_id: pa.Array, number: int) -> list[pa.RecordBatch]:
-        table, v, base = heavy.value
-        owner, history, token = _tokens(part)
-        sizes = np.bincount(owner, minlength=part.count).astype(np.int64)
-        key = np.concatenate([token, pair_key(history, token), np.full(part.count, START, np.uint64)])
-        text = np.concatenate([owner, owner, np.arange(part.count)]).astype(np.uint32)
-        del owner, history, token
-        order = np.argsort(key)
-        key = key[order]
-        # by key, then text: the texts of equal keys are put in order behind the number of the key
-        both = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]])).astype(np.uint64) << np.uint64(32) | text[order]
-        del order, text
-        both.sort()
-        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-        key, text, n = key[first], both[first].astype(np.uint32), np.diff(np.append(first, len(key))).astype(np.uint32)
-        del both, first
-        hit, at = _find(key, table)
-        sums = [np.bincount(text[hit], x[at] * n[hit], part.count) for x in (v, base, base < 0)]
-        ids = doc_id.slice(part.first, part.count)
-        whole = _batch(1, slot=pa.array([number % buckets * 2 + 1]), at=pa.array([number]), ns=pa.array([_planes(sizes)], pa.binary()),
-                       ids=pa.ListArray.from_arrays(pa.array([0, part.count], pa.int32()), pa.concat_arrays([ids])),
-                       sums=pa.array([np.concatenate(sums).tobytes()], pa.binary()))
-        key, text, n = key[~hit], text[~hit], n[~hit]
+@dataclass
+class Constants:
+    scale: float               # N + 0.5 * (V + 1)
+    factors: dict[int, float]  # Good-Turing factor of each count that has one
+    min_count: int
+    buckets: int
+
+    def kept(self, c: np.ndarray) -> np.ndarray:
+        """Counts less their discounts; 0 where the pair is not in the model."""
+        factor = np.ones(max(self.factors, default=0) + 2)
+        factor[list(self.factors)] = list(self.factors.values())
+        return np.where(c >= max(1, self.min_count), c * factor[np.minimum(c, len(factor) - 1)], 0.0)
+
+
+def _text_rows(constant: Constants):
+    """Rows of ``_STREAM`` of one chunk, from its row of ``_CHUNK`` and its rows of ``_COUNTS``."""
+    def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
+        chunk, number, buckets = _read(rows), rows.column("at")[0].as_py(), constant.buckets
+        counts = counts.sort_by("slot")
+        pairs = pc.equal(pc.bit_wise_and(counts.column("slot"), 1), 1)
+        word_c = np.concatenate(_arrays(counts.filter(pc.invert(pairs)).column("counts"), np.int64))
+        counts = counts.filter(pairs)
+        by_row = _arrays(counts.column("counts"), np.int64)
+        own = np.concatenate([np.unpackbits(bits, count=len(c)) for bits, c in zip(_arrays(counts.column("own"), np.uint8), by_row)]).astype(bool)
+        c = np.concatenate(by_row)
+        mass = 2 * word_c + 1  # of a word's P, in units of half a token
+        base = np.log10(mass / 2 / constant.scale)
+        kept = constant.kept(c)
+        seen, many, c_h = kept > 0, len(chunk.word), word_c[chunk.h]
+
+        mine = own & seen
+        h = chunk.h[mine]
+        has = np.bincount(h, minlength=many) > 0
+        sums = [np.bincount(h, x, many)[has] for x in (kept[mine], mass[chunk.w[mine]].astype(float))]
+        out = [pa.Table.from_batches(_model_rows(buckets)(iter([pa.RecordBatch.from_arrays(
+            [_long(chunk.word[has]), pa.nulls(int(has.sum()), pa.int64()), *map(pa.array, sums)], ["h", "w", "v", "base"])])), _STREAM)]
+
+        # a discounted pair leaves its history something, whatever the other pairs are; far from the bound in _alphas
+        plain = np.bincount(chunk.h[seen & (c - kept > 2e-9 * c_h)], minlength=many) > 0
+        plain = plain[chunk.h]
+        value = base[chunk.w]
+        value[seen] = np.log10(kept[seen] / c_h[seen])
+        sums = [np.bincount(chunk.owner, x, chunk.texts) for x in (value[chunk.at], base[chunk.token], word_c[chunk.token] > 0)]
+        sizes = np.bincount(chunk.owner, minlength=chunk.texts).astype(np.int64)
+        out.append(pa.Table.from_batches([_batch(1, slot=pa.array([number % buckets * 2 + 1]), at=pa.array([number]), ns=_binary([_planes(sizes)]),
+                                                 ids=rows.column("ids").combine_chunks(), sums=_binary([_planes(np.concatenate(sums))]))]))
+
+        asked = np.where(seen, ~plain, c_h > 0)[chunk.at]
+        at = chunk.at[asked]
+        entry, n = np.unique(chunk.h[at].astype(np.int64) << 33 | chunk.owner[asked].astype(np.int64) << 1 | seen[at], return_counts=True)
+        which, first, parts = np.unique(entry >> 33, return_index=True, return_counts=True)
+        texts, key = entry & (1 << 33) - 1, chunk.word[which]
         bucket = bucket_of(key, buckets)
-        cuts = _slices(bucket)
-        return [whole, _batch(len(cuts), slot=pa.array([int(bucket[i]) * 2 + 1 for i, _ in cuts], pa.int64()),
-                              at=pa.array([number] * len(cuts), pa.int64()),
-                              **{name: pa.array([_planes(x[i:j]) for i, j in cuts], pa.binary())
-                                 for name, x in (("keys", key), ("texts", text), ("ns", n))})]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for part in words(batch.column("text"), 4 << 20):
-                # a chunk's arrays end with the call, before the next chunk's are made
-                yield from rows(part, batch.column("doc_id"), number)
-                number += part.count
+        cuts, ends = _slices(bucket), np.append(first, len(entry))
+        columns = {"keys": (key, False), "counts": (word_c[which], False), "parts": (parts, False), "texts": (texts, True), "ns": (n, True)}
+        out.append(pa.Table.from_batches([_batch(
+            len(cuts), slot=pa.array([int(bucket[i]) * 2 + 1 for i, _ in cuts], pa.int64()), at=pa.array([number] * len(cuts), pa.int64()),
+            **{name: _binary([_planes(x[ends[i]:ends[j]] if inner else x[i:j]) for i, j in cuts]) for name, (x, inner) in columns.items()})]))
+        return pa.concat_tables(out)
     return run
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_PARTS``, from rows of ``_STREAM`` sorted by slot."""
-    table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], None
-    out, size = [], 0
-
-    def answers() -> pa.RecordBatch:
-        at, texts, sums = zip(*out)
-        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(texts, pa.binary()), pa.nulls(len(at), pa.binary()),
-                                           pa.nulls(len(at), pa.list_(pa.int64())), pa.array(sums, pa.binary())], _PARTS)
+def _find(key: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are in the ascending table, and where those are."""
+    if not len(table):
+        return np.zeros(len(key), bool), np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    hit = table[at] == key
+    return hit, at[hit]
 
-    for batch in batches:
-        slot = batch.column("slot").to_numpy()
-        for i, j in _slices(slot):
-            run, bucket = batch.slice(i, j - i), int(slot[i]) >> 1
-            if bucket != now:
-                table, v, base, held, now = np.empty(0, np.uint64), np.empty(0), np.empty(0), [], bucket
-            if slot[i] % 2 == 0:
-                held += [[_from_planes(x.as_py(), t) for x, t in zip(entry, (np.uint64, np.float64, np.float64))]
-                         for entry in zip(*(run.column(c) for c in ("keys", "texts", "ns")))]
-                continue
-            if held:
-                table, v, base = (np.concatenate(x) for x in zip(*held))
-                order = np.argsort(table)
-                table, v, base, held = table[order], v[order], base[order], []
-            whole = run.column("keys").is_null()
-            texts = run.filter(whole)
-            if len(texts):
-                yield pa.RecordBatch.from_arrays([texts.column(c) for c in _PARTS], _PARTS)
-            chunks = run.filter(pc.invert(whole))
-            for c in range(len(chunks)):
-                keys, text, n = (_from_planes(chunks.column(k)[c].as_py(), t) for k, t in
-                                 (("keys", np.uint64), ("texts", np.uint32), ("ns", np.uint32)))
-                hit, at = _find(keys, table)
-                if not len(at):
-                    continue
-                text, n = text[hit], n[hit]
-                some = np.flatnonzero(np.bincount(text))
-                sums = np.concatenate([np.bincount(text, x[at] * n)[some] for x in (v, base, base < 0)])
-                out.append((chunks.column("at")[c].as_py(), _planes(some.astype(np.uint32)), sums.tobytes()))
-                size += len(out[-1][2])
-                if size > 4 << 20:
-                    yield answers()
-                    out, size = [], 0
-    if out:
-        yield answers()
-
-
-def _per_text(unknown: float):
-    """The texts of each chunk with their sums, from rows of ``_PARTS`` sorted by chunk."""
-    def rows(ids: pa.Array, sizes: np.ndarray, held: list) -> pa.RecordBatch:
-        text, sums = np.concatenate([t for t, _ in held]), np.concatenate([x.reshape(3, -1) for _, x in held], axis=1)
-        v, base, known = (np.bincount(text, x, len(sizes)) for x in sums)
-        others = unknown * (sizes - known)
-        return pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(known.astype(np.int64)), pa.array(base + others), pa.array(v + others)],
-                                          ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, sizes, held = None, None, None, []
-        for batch in batches:
-            for i, at in enumerate(batch.column("at").to_pylist()):
-                if at != now:
-                    if now is not None:
-                        yield rows(ids, sizes, held)
-                    now, held = at, []
-                sums = np.frombuffer(batch.column("sums")[i].as_py(), np.float64)
-                if batch.column("ids")[i].is_valid:
-                    ids, sizes = pa.concat_arrays([batch.column("ids")[i].values]), _from_planes(batch.column("ns")[i].as_py(), np.int64)
-                    held.append((np.arange(len(sizes)), sums))
-                else:
-                    held.append((_from_planes(batch.column("texts")[i].as_py(), np.uint32), sums))
-        if now is not None:
-            yield rows(ids, sizes, held)
+def _alphas(scale: float):
+    """Rows of ``_PARTS``, from the rows of ``_STREAM`` of one bucket."""
+    def run(rows: pa.Table) -> pa.Table:
+        of_model = pc.is_null(rows.column("at"))
+        model, whole = rows.filter(of_model), rows.filter(pc.is_valid(rows.column("ids")))
+        asking = rows.filter(pc.and_(pc.invert(of_model), pc.is_null(rows.column("ids"))))
+        table, _, which = _distinct(_joined(_arrays(model.column("keys"), np.uint64), np.uint64)) if len(model) else (np.empty(0, np.uint64),) * 3
+        kept_of, mass_of = (np.bincount(which, _joined(_arrays(model.column(c), float), float), len(table)) if len(table) else np.empty(0) for c in ("texts", "ns"))
+        out = []
+        for i in range(len(asking)):
+            key, c, parts, texts, n = (_from_planes(asking.column(name)[i].as_py(), kind) for name, kind in
+                                       (("keys", np.uint64), *((x, np.int64) for x in ("counts", "parts", "texts", "ns"))))
+            hit, at = _find(key, table)
+            kept, mass = np.zeros(len(key)), np.zeros(len(key))
+            kept[hit], mass[hit] = kept_of[at], mass_of[at]
+            below = np.where(c - kept > 1e-9 * c, c, c + 1.0)
+            alpha = np.log10((below - kept) / below / (1 - mass / 2 / scale))
+            gain = n * np.where(texts & 1, np.repeat(np.log10(c / below), parts), np.repeat(alpha, parts))
+            some, which = np.unique(texts >> 1, return_inverse=True)
+            out.append((asking.column("at")[i].as_py(), _planes(some), _planes(np.bincount(which, gain, len(some)))))
+        at, texts, sums = zip(*out) if out else ((), (), ())
+        gains = pa.Table.from_arrays([pa.array(at, pa.int64()), _binary(texts), pa.nulls(len(at), pa.binary()),
+                                      pa.nulls(len(at), pa.list_(pa.int64())), _binary(sums)], _PARTS)
+        return pa.concat_tables([gains, pa.Table.from_arrays([whole.column(c).cast(gains.schema.field(c).type) for c in _PARTS], _PARTS)])
     return run
 
 
+def _per_text(rows: pa.Table) -> pa.Table:
+    """The texts of one chunk with their sums, from its rows of ``_PARTS``."""
+    whole = rows.filter(pc.is_valid(rows.column("ids")))
+    sizes, sums = (_from_planes(whole.column(c)[0].as_py(), kind) for c, kind in (("ns", np.int64), ("sums", float)))
+    score, base, known = sums.reshape(3, -1)
+    gains = rows.filter(pc.is_null(rows.column("ids")))
+    if len(gains):
+        score = score + np.bincount(np.concatenate(_arrays(gains.column("texts"), np.int64)), np.concatenate(_arrays(gains.column("sums"), float)), len(sizes))
+    return pa.Table.from_arrays([pa.concat_arrays([whole.column("ids")[0].values]), pa.array(sizes), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
+                                ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
 def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> dict[int, float]:
     """Good-Turing factor of each count up to ``katz_k``; counts below ``min_count`` are not in the model."""
     n = count_of_counts
@@ -349,70 +412,26 @@ def discounts(count_of_counts: dict[int, int], katz_k: int, min_count: int) -> d
     return out
 
 
-def model_tables(train: DataFrame, min_count: int, katz_k: int) -> tuple[DataFrame, dict]:
-    """The model as ``h, w, v, base, c`` (pairs; words and the start as ``h`` without ``w``), and its constants. ``train`` holds ``text``.
-
-    ``base`` is 0 in rows that are not of a word. A pair's key is made of its words where it is needed.
-    """
-    unigrams = materialize(train.mapInArrow(_word_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "unigrams")
-    total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    texts = unigrams.where(F.col("w") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    scale = total + 0.5 * (distinct + 1)
-    unknown = float(np.log10(0.5 / scale))
-    unigram = unigrams.select("w", "c", ((F.col("c") + 0.5) / scale).alias("p"))
-    buckets = max(2 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // BUCKET)
-
-    counted = Observation()
-    pairs = (train.mapInArrow(_pair_counts(buckets), "bucket long, h binary, w binary, n binary")
-             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_counts, "h long, w long, c long"))
-    seen = materialize(pairs.observe(counted, *[F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, katz_k + 2)])
-                       .where(F.col("c") >= min_count), "pairs")
-    factors = discounts({r: counted.get[f"n{r}"] for r in range(1, katz_k + 2)}, katz_k, min_count)
-    discount = F.lit(1.0)
-    for r, d in factors.items():
-        discount = F.when(F.col("c") == r, d).otherwise(discount)
-    # one row per pair with both unigrams; the start's count is the number of texts
-    token = unigram.select("w", "p")
-    history = unigram.where(F.col("w") != END).select(F.col("w").alias("h"), F.col("c").alias("c_h"))
-    start = train.sparkSession.range(1).select(F.lit(START).cast("long").alias("h"), F.lit(texts).cast("long").alias("c_h"))
-    joined = materialize(seen.join(token, "w").select("h", "w", "p", "c"), "with_tokens")
-    remove(seen)
-    joined = joined.withColumn("kept", F.col("c") * discount)
-    sums = joined.groupBy("h").agg(F.sum("kept").alias("kept_h"), F.sum("p").alias("p_h"))
-    left = F.col("c_h") - F.col("kept_h")
-    below = F.when(left > 1e-9 * F.col("c_h"), F.col("c_h")).otherwise(F.col("c_h") + 1.0)
-    alpha = materialize(sums.join(history.union(start), "h").withColumn("below", below)
-                        .select("h", "below", "c_h", F.log10((F.col("below") - F.col("kept_h")) / F.col("below") / (1 - F.col("p_h"))).alias("la")),
-                        "alphas")
-    pair = joined.join(alpha, "h").select(
-        "h", "w", (F.log10(F.col("kept") / F.col("below")) - F.col("la") - F.log10("p")).alias("v"), F.lit(0.0).alias("base"), "c")
-    alone = F.lit(None).cast("long").alias("w")
-    word = unigram.join(alpha.select("h", "la"), F.col("w") == F.col("h"), "left").select(
-        F.col("w").alias("h"), alone, (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("v"), F.log10("p").alias("base"), "c")
-    first = alpha.where(F.col("h") == START).select("h", alone, F.col("la").alias("v"), F.lit(0.0).alias("base"), F.col("c_h").alias("c"))
-    table = materialize(word.union(pair).union(first), "model")
-    for used in (unigrams, joined, alpha):
-        remove(used)
-    return table, {"train_tokens": int(total), "unknown": unknown, "buckets": buckets}
-
-
 def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", *, min_count: int = 1,
           katz_k: int = 5, heavy: int = HEAVY) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``, learned from rows of ``may_learn``.
 
-    ``heavy``: at most so many words and so many pairs are broadcast.
+    ``heavy`` is accepted and not used: no key is broadcast, as a chunk sends a frequent key once like any other.
     """
-    text = F.col(text_col).cast("string").alias("text")
-    table, constant = model_tables(docs.where(may_learn).select(text), min_count, katz_k)
-    total, buckets = constant["train_tokens"], constant["buckets"]
-    often = F.col("c") * heavy > total
-    key, v, base = _entries(table.where(often).select("h", "w", "v", "base").toArrow())
-    order = np.argsort(key)
-    local = docs.sparkSession.sparkContext.broadcast((key[order], v[order], base[order]))
-    keys = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(
-        _text_keys(local, buckets), _STREAM_SQL)
-    model = table.where(~often).select("h", "w", "v", "base").mapInArrow(_model_rows(buckets), _STREAM_SQL)
-    return (model.unionByName(keys)
-            .repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
-            .mapInArrow(_sums, _PARTS_SQL).repartition("at").sortWithinPartitions("at").mapInArrow(_per_text(constant["unknown"]), _TEXT_SQL)
+    chunks = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                                     F.coalesce(may_learn, F.lit(False)).alias("learn")).mapInArrow(_chunks, _CHUNK_SQL), "chunks")
+    tokens, texts = chunks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0))).first()
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(tokens) // BUCKET)
+    counts = materialize(chunks.select("at", "learn", "sizes", "texts").mapInArrow(_key_rows(buckets), _KEYS_SQL)
+                         .groupBy("slot").applyInArrow(_key_counts(katz_k + 1), _COUNTS_SQL), "counts")
+    sums = counts.where("seen IS NOT NULL").groupBy((F.col("slot") % 2).alias("kind")).agg(
+        *[F.sum(F.col("seen")[i]).alias(f"s{i}") for i in range(katz_k + 3)]).collect()
+    by_kind = {r.kind: list(r)[1:] for r in sums}
+    # START is among the words, once for each text
+    distinct, total = (by_kind[0][0] - (texts > 0), by_kind[0][1] - texts) if by_kind else (0, 0)
+    factors = discounts(dict(enumerate(by_kind[1][2:], 1)) if by_kind else {}, katz_k, min_count)
+    constant = Constants(total + 0.5 * (distinct + 1), factors, min_count, buckets)
+    return (chunks.groupBy("at").cogroup(counts.select("at", "slot", "counts", "own").groupBy("at")).applyInArrow(_text_rows(constant), _STREAM_SQL)
+            .groupBy(F.shiftright("slot", 1)).applyInArrow(_alphas(constant.scale), _PARTS_SQL)
+            .groupBy("at").applyInArrow(_per_text, _TEXT_SQL)
             .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -410,3 +411,53 @@ def test_katz_model_entries_travel_packed_and_chunks_leave_nothing_behind():
     again, peak = part.hashes(), tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 20 << 20 and (again == whole).all() and len(np.unique(whole)) == 2
+
+
+def test_katz_by_chunks_and_scratch_size(spark, docs):
+    """However texts are cut into chunks, scores are the same; what the result reads from scratch is well below its texts."""
+    def scored(rows, min_count=1):
+        out = katz.score(rows, F.col("doc_id") % 3 != 0, min_count=min_count)
+        return out, sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out.collect())
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    r = np.random.default_rng(6)
+    names = np.array([f"w{i:05d}" for i in range(20_000)])
+    made = spark.createDataFrame([(i, " ".join(names[r.integers(0, 20_000, 2000)])) for i in range(100)], "doc_id long, text string").repartition(2).cache()
+    size = made.agg(F.sum(F.length("text"))).first()[0]
+    try:
+        wholes = [scored(docs.coalesce(1), 1), scored(docs.coalesce(1), 2), scored(made)]
+        spark.conf.set(key, "3")
+        cut = [scored(docs.coalesce(1), 1), scored(docs.coalesce(1), 2), scored(made)]
+    finally:
+        spark.conf.set(key, before)
+    for (_, a), (_, b) in zip(wholes, cut, strict=True):
+        assert [x[:4] for x in a] == [x[:4] for x in b] and np.allclose([x[4:] for x in a], [x[4:] for x in b], rtol=1e-9)
+    files = [f.removeprefix("file:") for f in wholes[2][0].inputFiles()]
+    assert files and sum(os.path.getsize(f) for f in files) < 0.7 * size
+
+
+def test_katz_keys_travel_in_few_bytes():
+    """A chunk's keys with their counts: less than 8 bytes each, and all of them."""
+    import pyarrow as pa
+    r = np.random.default_rng(7)
+    texts = [" ".join(f"w{i}" for i in r.zipf(1.3, 500) % 50_000) for _ in range(400)]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([5]), *(pa.array([katz._planes(x)], pa.binary()) for x in (
+            np.arange(400) % 4 > 0, np.array([len(t) for t in texts]), np.frombuffer("".join(texts).encode(), np.uint8)))],
+        ["at", "learn", "sizes", "texts"])
+    sent = [row for b in katz._key_rows(16)([rows]) for row in b.to_pylist()]
+    pairs, tokens = Counter(), Counter()
+    for i, t in enumerate(texts):
+        known = [None, *t.split(), ""]
+        pairs.update(dict.fromkeys(zip(known, known[1:]), 0))
+        tokens.update(dict.fromkeys(known, 0))
+        if i % 4:
+            pairs.update(zip(known, known[1:]))
+            tokens.update(known)
+    for kind, want in ((0, tokens), (1, pairs)):
+        mine = [x for x in sent if x["slot"] % 2 == kind]
+        n = np.concatenate([katz._from_planes(x["ns"], np.int64) for x in mine])
+        assert sorted(n.tolist()) == sorted(want.values())
+        keys = np.concatenate([np.cumsum(katz._from_planes(x["keys"], np.uint64), dtype=np.uint64) for x in mine])
+        assert len(np.unique(keys)) == len(keys) == len(want)
+    assert sum(len(x["keys"]) + len(x["ns"]) for x in sent) < 8 * (len(pairs) + len(tokens))
