@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.tokens import Words, list_array, mix, words
 
-PIECE = 1024  # features to a row on the way to the learning task
+PIECE = 256  # features to a row on the way to the learning task; Spark sends 10,000 rows to a worker at once
+TEXT_BYTES = 1 << 19  # of text at a time: each word has four features of 16 bytes, copied to be sorted
+BLOCK = 1 << 16  # coordinates at a time when all weights are read
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -89,9 +91,13 @@ def learn(rows: Iterable[tuple[np.ndarray, int]], bits: int, *, alpha: float = 1
         sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
         z[i] += g - sigma * w
         n[i] += g * g
-    w = weights(np.arange(size + 1))
-    index = np.flatnonzero(w[:size])
-    return Model(bits, index, w[index], float(w[size]))
+    index, weight = [], []
+    for k in range(0, size, BLOCK):
+        w = weights(np.arange(k, min(k + BLOCK, size)))
+        some = np.flatnonzero(w)
+        index.append(some + k)
+        weight.append(w[some])
+    return Model(bits, np.concatenate(index), np.concatenate(weight), float(weights(np.array([size]))[0]))
 
 
 def _pieces(bits: int):
@@ -101,7 +107,7 @@ def _pieces(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in words(batch.column("text")):
+            for part in words(batch.column("text"), TEXT_BYTES):
                 owner, feature = features(part, bits)
                 pairs = np.unique(owner << bits | feature)
                 ptr = np.searchsorted(pairs, np.arange(part.count + 1) << bits)
@@ -165,7 +171,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3,
           carry: Sequence[str] | None = None) -> DataFrame:
-    """``doc_id, score, predicted`` per row of ``docs``; ``carry`` names columns to pass on, as a struct ``row``, instead of the id."""
+    """``doc_id, score, predicted`` per row of ``docs``; ``carry`` names columns to pass on, as a struct ``row``, instead of the id.
+
+    A text that is carried goes to the worker once, and rows come back as the texts are scored, ``TEXT_BYTES`` at a time.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.index, model.weight))
     model_bits, model_bias = model.bits, model.bias
 
@@ -173,13 +182,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         own = Model(model_bits, *shared.value, model_bias)
         table = own.table()
         for batch in batches:
-            p = np.empty(batch.num_rows)
-            for part in words(batch.column("_text")):
-                p[part.first:part.first + part.count] = own.score(part, table)
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
-                                             ["_row", "score", "predicted"])
+            rows = batch.column("_row")
+            for part in words(rows.field(text_col) if carried else batch.column("_text"), TEXT_BYTES):
+                p = own.score(part, table)
+                yield pa.RecordBatch.from_arrays([rows.slice(part.first, part.count), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
+                                                 ["_row", "score", "predicted"])
 
     row = F.struct(*carry) if carry else F.struct(F.col(id_col).cast("long").alias("doc_id"))
-    slim = docs.select(row.alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    carried = text_col in (carry or ()) and dict(docs.dtypes).get(text_col) == "string"
+    slim = docs.select(row.alias("_row"), *([] if carried else [F.col(text_col).cast("string").alias("_text")]))
     out = slim.mapInArrow(run, f"_row {slim.schema['_row'].dataType.simpleString()}, score double, predicted int")
     return out.withColumnRenamed("_row", "row") if carry else out.select("_row.*", "score", "predicted")

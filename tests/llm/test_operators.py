@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -307,6 +308,36 @@ def test_toxicity(spark):
     assert ftrl.score(df, none).count() == 603
 
 
+def test_toxicity_memory(spark, monkeypatch):
+    """A carried text goes to the worker once and rows come back in small batches; the learner reads its weights by block."""
+    rows = [(i, f"w{i} " + "fine words here " * 1500 if i % 9 else None, f"t{i}") for i in range(200)] + [(None, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    given = []
+    kind = type(df)
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, run, *a, f=kind.mapInArrow, **b: given.append((self, run)) or f(self, run, *a, **b))
+    model = ftrl.learn([(np.arange(50), 1), (np.arange(40, 90), 0)] * 3, 20, l1=0.1)
+    got = ftrl.score(df, model, carry=df.columns)
+    slim, run = given[0]
+    table = slim.toArrow().combine_chunks()
+    assert table.nbytes < 1.2 * sum(len(t or "") for _, t, _ in rows)
+    parts = list(run(iter(table.to_batches())))
+    assert len(parts) > 5 and max(p.num_rows for p in parts) < 60
+    back = ftrl.pa.Table.from_batches(parts).column("_row").to_pylist()
+    assert [(r["doc_id"], r["text"], r["tag"]) for r in back] == rows
+    assert sorted(map(str, got.select("row.*").collect())) == sorted(map(str, df.collect()))
+    plain = {r.doc_id: (r.score, r.predicted) for r in ftrl.score(df, model).collect()}
+    assert plain == {r.row.doc_id: (r.score, r.predicted) for r in got.collect()}
+    other = ftrl.score(df, model, carry=["tag"])  # the text is not among them
+    assert other.columns == ["row", "score", "predicted"] and sorted(r.score for r in other.collect()) == sorted(s for s, _ in plain.values())
+
+    tracemalloc.start()
+    ftrl.learn([(np.arange(5), 1)], 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20  # its state alone is 20 MB
+    assert 10_000 * ftrl.PIECE * 4 <= 16 << 20  # features of one batch of Spark's rows
+
+
 def test_toxicity_learns_in_one_task(spark, monkeypatch):
     """Long texts come to the learner in pieces, in a fixed order, and the driver gets the weights alone."""
     r = np.random.default_rng(8)
