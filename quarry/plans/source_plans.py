@@ -130,8 +130,8 @@ def s4(spark, sf):
 
 @plan("s4_file_digests")
 def s4_files(spark, sf):
-    """Rows-only: whole-file scan (``binaryFile``) of the table files with a
-    SHA-256 per file."""
+    """Rows-only: whole-file scan of the table files, each read as a stream,
+    with a SHA-256 per file."""
     d = docs.binary_digests(spark, sf, glob="*.parquet")
     return d.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256")
 

@@ -16,6 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.classic.column import Column as ClassicColumn
 
 from quarry.session import written_table
 
@@ -173,10 +174,50 @@ def typed_table(tables: DataFrame, doc_id: str, table: str, columns: Mapping[str
                          for i, (name, ty) in enumerate(columns.items())])
 
 
+def _file_sha256(spark: SparkSession, path: Column) -> Column:
+    """SHA-256 of the file at ``path``, read to its end as a stream by the executor.
+
+    Spark has no function that reads a file, and a ``content`` of ``binaryFile`` is one array (under 2 GB,
+    several copies of it in memory). So the JVM's own calls are put together as Catalyst expressions:
+    ``DigestUtils.sha256Hex(new AutoCloseInputStream(fs.open(path)))`` with ``fs`` the Hadoop FileSystem of
+    the path under this session's settings; memory does not depend on the file's size.
+    """
+    jvm = spark._jvm
+    types = jvm.org.apache.spark.sql.types
+    objects = jvm.org.apache.spark.sql.catalyst.expressions.objects
+    columns = jvm.org.apache.spark.sql.classic.ExpressionUtils
+    load = jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass
+
+    def seq(*items):
+        return jvm.PythonUtils.toSeq(list(items))
+
+    def of(name):
+        return types.ObjectType(load(name))
+
+    def new(name, *args):
+        return objects.NewInstance(load(name), seq(*args), seq(), True, of(name), jvm.scala.Option.empty())
+
+    def call(target, method, result, *args):
+        return objects.Invoke(target, method, result, seq(*args), seq(), True, True, True)
+
+    def static(name, method, result, *args):
+        return objects.StaticInvoke(load(name), result, method, seq(*args), seq(), True, True, True, jvm.scala.Option.empty())
+
+    settings = jvm.org.apache.spark.util.SerializableConfiguration(spark._jsparkSession.sessionState().newHadoopConf())
+    conf = call(jvm.org.apache.spark.sql.catalyst.expressions.Literal(settings, of("org.apache.spark.util.SerializableConfiguration")),
+                "value", of("org.apache.hadoop.conf.Configuration"))
+    file = new("org.apache.hadoop.fs.Path", call(columns.expression(path._jc), "toString", of("java.lang.String")))
+    fs = call(file, "getFileSystem", of("org.apache.hadoop.fs.FileSystem"), conf)
+    stream = new("org.apache.commons.io.input.AutoCloseInputStream", call(fs, "open", of("org.apache.hadoop.fs.FSDataInputStream"), file))
+    digest = static("org.apache.commons.codec.digest.DigestUtils", "sha256Hex", of("java.lang.String"), stream)
+    return ClassicColumn(columns.column(static("org.apache.spark.unsafe.types.UTF8String", "fromString", types.DataType.fromDDL("string"), digest)))
+
+
 def binary_digests(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Whole-file content scan + SHA-256 (S4): ``path, length, sha256``."""
+    """Whole-file content scan + SHA-256 (S4): ``path, length, sha256``; ``binaryFile``
+    lists the files, their bytes are streamed (:func:`_file_sha256`)."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(path)
-    return df.select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    return df.select("path", "length", _file_sha256(spark, F.col("path")).alias("sha256"))

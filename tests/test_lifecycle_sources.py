@@ -1,5 +1,7 @@
 """Lifecycle operators and document sources on small fixtures."""
 
+import gzip
+import hashlib
 import json
 import os
 import uuid
@@ -86,3 +88,22 @@ def test_binary_digests(spark, tmp_path):
     out = docs.binary_digests(spark, str(p)).collect()
     assert out[0]["sha256"] == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
     assert os.path.basename(out[0]["path"]) == "a.bin"
+
+
+def test_binary_digests_stream_files_of_any_size(spark, tmp_path):
+    """Files above what ``binaryFile`` gives as one content; any bytes and names; an empty file has no row."""
+    p = tmp_path / f"bin-{uuid.uuid4().hex}"
+    (p / "table.parquet").mkdir(parents=True)
+    files = {"a b%20c.parquet": bytes(range(256)) * 4096, "d.gz": gzip.compress(os.urandom(5000)), "bom": b"\xef\xbb\xbf1\r\n\n",
+             "no newline": b"\0" * 300_000, "tiny.parquet": b"\n"}
+    for name, data in (files | {"empty.parquet": b"", "table.parquet/part-0.parquet": b"below"}).items():
+        (p / name).write_bytes(data)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        out = docs.binary_digests(spark, str(p))
+        assert rows(out) == sorted((f"file:{p / n}", len(d), hashlib.sha256(d).hexdigest()) for n, d in files.items())
+        assert out.schema.simpleString() == "struct<path:string,length:bigint,sha256:string>"
+        assert rows(docs.binary_digests(spark, str(p), "*.parquet"), "length") == [(1,), (1 << 20,)]
+        assert rows(out.where("sha256 LIKE '%'").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sha256").alias("d"))) == [(5, 5)]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
